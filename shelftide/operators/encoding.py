@@ -48,21 +48,23 @@ def one_hot(
     )
 
 
-def _rank_in_one_task(df: DataFrame, column: str, output: str) -> DataFrame:
+def _distinct_ids(df: DataFrame, column: str) -> DataFrame:
+    return df.select(column).dropna().distinct()
+
+
+def _rank_in_one_task(ids: DataFrame, column: str, output: str) -> DataFrame:
     """For a checked small number of ids: one sorted array, exploded with positions."""
-    return df.agg(F.sort_array(F.collect_set(column)).alias("ids")).select(
-        F.posexplode("ids").alias(output, column)
-    ).select(column, output)
+    listed = ids.agg(F.sort_array(F.collect_list(column)).alias("ids"))
+    return listed.select(F.posexplode("ids").alias(output, column)).select(column, output)
 
 
-def _rank_by_ranges(df: DataFrame, column: str, output: str, ranges: int) -> DataFrame:
+def _rank_by_ranges(ids: DataFrame, column: str, output: str, ranges: int) -> DataFrame:
     """For any number of ids: cut the sorted ids into ranges, rank inside each range, and
     add the number of ids in the ranges before.
 
     Only the lower ends of the ranges (at most ``ranges`` strings) come to the driver. They
     go back into the plan as literals, so a recomputed task gives the same ranks.
     """
-    ids = df.select(column).dropna().distinct()
     lower_ends = [
         r["low"]
         for r in ids.repartitionByRange(ranges, column)
@@ -101,9 +103,8 @@ def id_dimensions(
     found = {}
     for column, output in params.id_outputs.items():
         small = sizes[column] * SKETCH_SLACK <= params.broadcast_ids
-        frame = (
-            _rank_in_one_task(df, column, output) if small else _rank_by_ranges(df, column, output, ranges)
-        )
+        ids = _distinct_ids(df, column)
+        frame = _rank_in_one_task(ids, column, output) if small else _rank_by_ranges(ids, column, output, ranges)
         found[column] = IdDimension(column, output, frame, small)
     return found
 

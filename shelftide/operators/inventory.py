@@ -11,26 +11,42 @@ from shelftide.params import PanelColumns, PolicyParams
 from shelftide.schemas import RECOMMENDATION_MEASURES
 
 
-def _earliest(column: str, panel: PanelColumns) -> Column:
-    """First value in date order that is not NULL."""
-    return F.min_by(column, F.when(F.col(column).isNotNull(), F.col(panel.date)))
-
-
 def demand_stats(scored: DataFrame, panel: PanelColumns = PanelColumns()) -> DataFrame:
     """Mean and sample standard deviation of the forecasts of each entity (0 for a single
-    row), with its first category and region. Entities with a NULL key are left out."""
+    row), with its first category and region in date order. Entities with a NULL key are
+    left out.
+
+    The rows are aggregated with category and region as keys: only numbers are aggregated
+    then, so Spark hashes where it would have to sort the rows to carry strings along. The
+    few resulting groups of an entity are merged by their counts, means and squared
+    deviations.
+    """
     require_columns(scored, [*panel.grain, panel.category, panel.region, panel.prediction], "demand statistics")
-    return (
+    forecast, day = F.col(panel.prediction), F.col(panel.date)
+    groups = (
         scored.dropna(subset=list(panel.entity))
-        .groupBy(*panel.entity)
+        .groupBy(*panel.entity, panel.category, panel.region)
         .agg(
-            _earliest(panel.category, panel).alias(panel.category),
-            _earliest(panel.region, panel).alias(panel.region),
-            F.avg(panel.prediction).alias("avg_daily_demand"),
-            F.coalesce(F.stddev_samp(panel.prediction), F.lit(0.0)).alias("demand_std_dev"),
+            F.count(forecast).alias("n"),
+            F.avg(forecast).alias("mean"),
+            (F.var_pop(forecast) * F.count(forecast)).alias("within"),
+            F.min(day).alias("first_day"),
         )
     )
 
+    def first(column: str) -> Column:
+        return F.min_by(column, F.when(F.col(column).isNotNull(), F.col("first_day"))).alias(column)
+
+    n, total = F.sum("n"), F.sum(F.col("n") * F.col("mean"))
+    between = F.sum(F.col("n") * F.col("mean") * F.col("mean")) - total * total / n
+    squares = F.sum("within") + F.when(F.count("mean") > 1, F.greatest(between, F.lit(0.0))).otherwise(0.0)
+    return groups.groupBy(*panel.entity).agg(
+        first(panel.category),
+        first(panel.region),
+        F.when(n > 0, F.when(F.count("mean") > 1, total / n).otherwise(F.max("mean"))).alias("avg_daily_demand"),
+        F.when(n > 1, F.sqrt(squares / (n - 1))).otherwise(0.0).alias("demand_std_dev"),
+    )
+
 
 def latest_stock(df: DataFrame, panel: PanelColumns = PanelColumns()) -> DataFrame:
     """Stock on the latest date of each entity. An aggregate, so rows are reduced before

@@ -177,13 +177,15 @@ def encode_dynamic(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def encode_dynamic_ranges(spark: SparkSession, folder: str) -> DataFrame:
-    """The path for many ids, taken here for every product of the order lines."""
+    """The path for many ids, taken here for every product of the order lines. Lines are
+    added up per store and product before the labels are joined."""
     params = encoding.EncodingParams(labels=STAR_ENCODING.labels, broadcast_ids=0)
-    lines = sale_lines(spark, folder)
-    coded = encoding.encode_ids(lines, encoding.id_dimensions(lines, params, ranges=16))
-    return coded.groupBy("store_id", "product_id", *params.id_outputs.values()).agg(
-        F.count(F.lit(1)).alias("line_count"), F.sum("units_ordered").alias("units_ordered")
+    totals = (
+        sale_lines(spark, folder)
+        .groupBy("store_id", "product_id")
+        .agg(F.count(F.lit(1)).alias("line_count"), F.sum("units_ordered").alias("units_ordered"))
     )
+    return encoding.encode_ids(totals, encoding.id_dimensions(totals, params))
 
 
 def one_hot(spark: SparkSession, folder: str) -> DataFrame:

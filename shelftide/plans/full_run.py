@@ -45,13 +45,14 @@ def run(
 ) -> RunResult:
     """Runs every step on a frame of raw rows.
 
-    Two tables are staged in ``folder``: the features, which training and scoring read
-    several times, and the forecasts. With ``check_grain`` a repeated (date, entity) stops
+    The cleaned rows, the features and the forecasts are staged in ``folder``, each being
+    read several times: text files are parsed once, windows are computed once. With ``check_grain`` a repeated (date, entity) stops
     the run, which is also what bounds the length of one series; ``strict_quality`` stops
     it for NULLs and values out of range.
     """
     cleaned = clean(raw)
     require_schema(cleaned, step="clean")
+    cleaned = stage(cleaned, f"{folder}/cleaned")
     if strict_quality:
         require_quality(quality_report(cleaned))
     if check_grain:

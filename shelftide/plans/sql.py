@@ -136,6 +136,14 @@ scored AS (
   FROM cleaned
 )"""
 
+
+
+def round4(value: str) -> str:
+    """Half-up rounding of the decimal text of a double. DuckDB's own ``round`` multiplies
+    the double first, which lifts 29.331249999999997 to a tie."""
+    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 17)), 4) AS DOUBLE)"
+
+
 POLICY = PolicyParams()
 SAFETY = f"demand_std_dev * ({POLICY.service_level_z!r}::DOUBLE * sqrt(CAST({POLICY.lead_time_days} AS DOUBLE)))"
 TRIGGER = f"(avg_daily_demand * {POLICY.lead_time_days} + {SAFETY})"
@@ -143,10 +151,10 @@ TARGET = f"(avg_daily_demand * {POLICY.order_cycle_days} + {SAFETY})"
 POLICY_COLUMNS = f"""CAST({POLICY.lead_time_days} AS INTEGER) AS lead_time_days,
   CAST({POLICY.order_cycle_days} AS INTEGER) AS order_cycle_days,
   CAST({POLICY.service_level_z} AS DOUBLE) AS service_level_z,
-  round({SAFETY}, 4) AS safety_stock, round({TRIGGER}, 4) AS reorder_point,
-  round({TARGET}, 4) AS target_stock_level,
-  round(greatest({TARGET} - current_inventory_level, CAST(0 AS DOUBLE)), 4) AS recommended_order_qty,
-  round(CASE WHEN avg_daily_demand > 0 THEN current_inventory_level / avg_daily_demand END, 4) AS days_of_supply,
+  {round4(SAFETY)} AS safety_stock, {round4(TRIGGER)} AS reorder_point,
+  {round4(TARGET)} AS target_stock_level,
+  {round4(f"greatest({TARGET} - current_inventory_level, CAST(0 AS DOUBLE))")} AS recommended_order_qty,
+  {round4("CASE WHEN avg_daily_demand > 0 THEN current_inventory_level / avg_daily_demand END")} AS days_of_supply,
   current_inventory_level <= {TRIGGER} AS reorder_recommendation"""
 POLICY_INPUT = "round(avg_daily_demand, 6) AS avg_daily_demand, round(demand_std_dev, 6) AS demand_std_dev"
 
@@ -173,8 +181,9 @@ RECOMMEND = f"WITH {ADVICE} SELECT * REPLACE ({POLICY_INPUT}) FROM advice"
 def _measures(side: str, forecast: str) -> str:
     """RMSE, MAE and MAPE over the rows where ``forecast`` is not NULL."""
     error = f"({forecast} - units_sold)"
-    return f"""round(sqrt(avg({error} * {error})), 4) AS {side}_rmse, round(avg(abs({error})), 4) AS {side}_mae,
-      round(CAST(100 AS DOUBLE) * avg(CASE WHEN units_sold <> 0 THEN abs({error}) / units_sold END), 4) AS {side}_mape"""
+    percent = f"CAST(100 AS DOUBLE) * avg(CASE WHEN units_sold <> 0 THEN abs({error}) / units_sold END)"
+    figures = {"rmse": f"sqrt(avg({error} * {error}))", "mae": f"avg(abs({error}))", "mape": percent}
+    return ", ".join(f"{round4(value)} AS {side}_{name}" for name, value in figures.items())
 
 
 METRICS = SCORED_LAST_WEEK + f""",
@@ -191,8 +200,8 @@ measured AS (
   FROM marked GROUP BY GROUPING SETS ((), (category))
 ),
 metrics AS (
-  SELECT *, round(baseline_rmse - model_rmse, 4) AS rmse_delta, round(baseline_mae - model_mae, 4) AS mae_delta,
-    round(baseline_mape - model_mape, 4) AS mape_delta
+  SELECT *, {round4('baseline_rmse - model_rmse')} AS rmse_delta, {round4('baseline_mae - model_mae')} AS mae_delta,
+    {round4('baseline_mape - model_mape')} AS mape_delta
   FROM measured
 )"""
 

@@ -29,31 +29,29 @@ def _pick(values: tuple[str, ...], position: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (position + 1).cast("int"))
 
 
-def _stores(spark: SparkSession, folder: str) -> DataFrame:
-    """Supplier -> region. Sizes decide the joins: nation and region are small by nature,
-    the supplier table grows with the data and is not hinted."""
-    nations = table(spark, folder, "nation").join(
-        table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
+def _with_store(lines: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines with the region of their supplier. The tables are joined one after the
+    other, so the size of each plain table decides its join: nation and region are small by
+    nature, the supplier table grows with the data."""
+    suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
+    nations = table(spark, folder, "nation").select("n_nationkey", "n_regionkey")
+    regions = table(spark, folder, "region").select("r_regionkey", "r_name")
     return (
-        table(spark, folder, "supplier")
+        lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("s_suppkey", "n_regionkey", "r_name")
+        .join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
     )
 
 
 def sale_lines(spark: SparkSession, folder: str) -> DataFrame:
     """One row per order line with the grain columns of a panel (store, part as product,
     date). Not unique on that grain."""
-    return (
-        table(spark, folder, "lineitem")
-        .join(_stores(spark, folder), F.col("l_suppkey") == F.col("s_suppkey"))
-        .select(
-            F.col("l_shipdate").cast("date").alias("date"),
-            _code("S", F.col("n_regionkey") + 1, 3).alias("store_id"),
-            _code("P", F.col("l_partkey"), 12).alias("product_id"),
-            F.col("l_quantity").cast("int").alias("units_ordered"),
-        )
+    lines = table(spark, folder, "lineitem").select("l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
+    return _with_store(lines, spark, folder).select(
+        F.col("l_shipdate").cast("date").alias("date"),
+        _code("S", F.col("n_regionkey") + 1, 3).alias("store_id"),
+        _code("P", F.col("l_partkey"), 12).alias("product_id"),
+        F.col("l_quantity").cast("int").alias("units_ordered"),
     )
 
 
@@ -81,7 +79,7 @@ def retail_panel(spark: SparkSession, folder: str) -> DataFrame:
     category = F.col("l_partkey") % len(CATEGORIES)
     quantity = F.col("l_quantity")
     grouped = (
-        lines.join(_stores(spark, folder), F.col("l_suppkey") == F.col("s_suppkey"))
+        _with_store(lines, spark, folder)
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("date", "n_regionkey", "r_name", product.alias("product"), category.alias("kind"))
         .agg(
