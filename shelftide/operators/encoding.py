@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from shelftide.functions.labels import indicator_columns, label_of
 from shelftide.operators.checks import require_columns
 from shelftide.params import EncodingParams
+from shelftide.sources.shared import shared_folder
 
 # Slack for the relative error of the distinct-count sketch used as a size check.
 SKETCH_ERROR = 0.02
@@ -96,14 +97,21 @@ def _rank_by_ranges(ids: DataFrame, column: str, output: str, ranges: int) -> Da
 def id_dimensions(
     df: DataFrame, params: EncodingParams = EncodingParams(), ranges: int = 200
 ) -> dict[str, IdDimension]:
-    """The id dimension of each id column. One pass over the ids estimates how many there
-    are, which selects the way to rank and to join them; the ranks do not depend on it."""
-    require_columns(df, params.id_outputs, "encode ids")
-    sizes = df.agg(*[F.approx_count_distinct(c, SKETCH_ERROR).alias(c) for c in params.id_outputs]).first()
+    """The id dimension of each id column.
+
+    The distinct id combinations are found in one pass over the rows and checkpointed in
+    the shared folder; everything else reads those. How many ids there are selects the way
+    to rank and to join them; the ranks do not depend on it.
+    """
+    columns = list(params.id_outputs)
+    require_columns(df, columns, "encode ids")
+    shared_folder(df.sparkSession)
+    entities = df.select(*columns).distinct().checkpoint()
+    sizes = entities.agg(*[F.approx_count_distinct(c, SKETCH_ERROR).alias(c) for c in columns]).first()
     found = {}
     for column, output in params.id_outputs.items():
         small = sizes[column] * SKETCH_SLACK <= params.broadcast_ids
-        ids = _distinct_ids(df, column)
+        ids = _distinct_ids(entities, column)
         frame = _rank_in_one_task(ids, column, output) if small else _rank_by_ranges(ids, column, output, ranges)
         found[column] = IdDimension(column, output, frame, small)
     return found

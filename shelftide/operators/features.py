@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -10,7 +10,8 @@ from shelftide.functions import series
 from shelftide.functions.dates import calendar_columns
 from shelftide.functions.prices import price_columns
 from shelftide.operators.checks import require_columns
-from shelftide.params import FeatureParams, PanelColumns
+from shelftide.operators.encoding import IdDimension, encode, id_dimensions
+from shelftide.params import EncodingParams, FeatureParams, PanelColumns
 
 
 def _require_series(df: DataFrame, panel: PanelColumns, step: str) -> None:
@@ -66,18 +67,45 @@ def add_prices(df: DataFrame) -> DataFrame:
     return df.withColumns(price_columns())
 
 
-def build_features(
-    encoded: DataFrame, params: FeatureParams = FeatureParams(), panel: PanelColumns = PanelColumns()
+def add_series_features(
+    df: DataFrame, params: FeatureParams = FeatureParams(), panel: PanelColumns = PanelColumns()
 ) -> DataFrame:
-    """All feature groups. Lags and rolling statistics go into one window pass: one shuffle
-    by entity, one sort by date."""
-    _require_series(encoded, panel, "features")
-    df = encoded.withColumns(
+    """Lags and rolling statistics in one window pass: one shuffle by entity, one sort by
+    date."""
+    _require_series(df, panel, "series features")
+    return df.withColumns(
         series.lag_columns(panel, params.lags)
         | series.rolling_columns(panel, params.rolling, include_current=params.include_current)
     )
+
+
+def build_features(
+    encoded: DataFrame, params: FeatureParams = FeatureParams(), panel: PanelColumns = PanelColumns()
+) -> DataFrame:
+    """All feature groups on a frame that has its labels already."""
+    df = add_series_features(encoded, params, panel)
     if params.calendar:
         df = add_calendar(df, panel)
     if params.price:
         df = add_prices(df)
     return df
+
+
+def feature_table(
+    cleaned: DataFrame,
+    encoding: EncodingParams = EncodingParams(),
+    params: FeatureParams = FeatureParams(),
+    panel: PanelColumns = PanelColumns(),
+    dimensions: Mapping[str, IdDimension] | None = None,
+) -> DataFrame:
+    """Labels and all feature groups, with the columns of ``build_features(encode(...))``.
+
+    The windows come first here: labels are cheap to add and would only widen the rows
+    that the window shuffle moves. Id labels join afterwards on the partitioning that the
+    windows leave behind.
+    """
+    known = id_dimensions(cleaned, encoding) if dimensions is None else dimensions
+    labels = [*encoding.label_outputs.values(), *encoding.id_outputs.values()]
+    featured = build_features(cleaned, params, panel)
+    added = featured.columns[len(cleaned.columns) :]
+    return encode(featured, encoding, known).select(*cleaned.columns, *labels, *added)

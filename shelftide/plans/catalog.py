@@ -53,7 +53,7 @@ def encoded(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def feature_frame(spark: SparkSession, folder: str) -> DataFrame:
-    return features.build_features(encoded(spark, folder))
+    return features.feature_table(cleaned(spark, folder), STAR_ENCODING)
 
 
 def scored_baseline(spark: SparkSession, folder: str) -> DataFrame:

@@ -13,9 +13,9 @@ from shelftide.operators.checks import (
     require_unique_grain,
 )
 from shelftide.operators.cleaning import clean
-from shelftide.operators.encoding import encode, id_dimensions
+from shelftide.operators.encoding import id_dimensions
 from shelftide.operators.evaluation import evaluate, report_lines, stockout_rate
-from shelftide.operators.features import build_features
+from shelftide.operators.features import feature_table
 from shelftide.operators.inventory import recommend, run_summary
 from shelftide.operators.modelling import DemandModel, predict, save_model, train
 from shelftide.params import Settings
@@ -58,8 +58,8 @@ def run(
     if check_grain:
         require_unique_grain(cleaned, settings.panel.grain)
     dimensions = id_dimensions(cleaned, settings.encoding)
-    encoded = encode(cleaned, settings.encoding, dimensions)
-    features = stage(build_features(encoded, settings.features, settings.panel), f"{folder}/features")
+    table = feature_table(cleaned, settings.encoding, settings.features, settings.panel, dimensions)
+    features = stage(table, f"{folder}/features")
     model = train(features, settings, use_baseline)
     saved = save_model(model, f"{folder}/models", dimensions)
     scored = stage(predict(features, model, settings), f"{folder}/scored/{model.variant}")

@@ -17,8 +17,19 @@ STAR_REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 STAR_ENCODING = EncodingParams(labels={**LABEL_VALUES, "region": STAR_REGIONS})
 
 
+# The columns used of each table. Declared, so no job infers them.
+TABLES = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_retailprice double",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "nation": "n_nationkey int, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _code(letter: str, number: Column, width: int) -> Column:
@@ -30,24 +41,18 @@ def _pick(values: tuple[str, ...], position: Column) -> Column:
 
 
 def _with_store(lines: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines with the region of their supplier. The tables are joined one after the
-    other, so the size of each plain table decides its join: nation and region are small by
-    nature, the supplier table grows with the data."""
-    suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
-    nations = table(spark, folder, "nation").select("n_nationkey", "n_regionkey")
-    regions = table(spark, folder, "region").select("r_regionkey", "r_name")
-    return (
-        lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
+    """Order lines with the region key of their supplier. The tables are joined one after
+    the other, so the size of each plain table decides its join: the nation table is small
+    by nature, the supplier table grows with the data."""
+    return lines.join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).join(
+        table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
     )
 
 
 def sale_lines(spark: SparkSession, folder: str) -> DataFrame:
     """One row per order line with the grain columns of a panel (store, part as product,
     date). Not unique on that grain."""
-    lines = table(spark, folder, "lineitem").select("l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
-    return _with_store(lines, spark, folder).select(
+    return _with_store(table(spark, folder, "lineitem"), spark, folder).select(
         F.col("l_shipdate").cast("date").alias("date"),
         _code("S", F.col("n_regionkey") + 1, 3).alias("store_id"),
         _code("P", F.col("l_partkey"), 12).alias("product_id"),
@@ -58,30 +63,19 @@ def sale_lines(spark: SparkSession, folder: str) -> DataFrame:
 def retail_panel(spark: SparkSession, folder: str) -> DataFrame:
     """Panel with the cleaned column names, except that the holiday flag is still 0/1.
 
-    Order lines are narrowed before the joins, and added up per group before the shuffle of
-    the aggregate. Skewed supplier or part keys are left to adaptive skew handling, which
-    applies to both joins.
+    Order lines are added up per group before the shuffle of the aggregate, on number keys
+    only; whatever follows from the keys (names, codes, category) is added afterwards. Skewed
+    supplier or part keys are left to adaptive skew handling, which applies to both joins.
     """
-    lines = table(spark, folder, "lineitem").select(
-        "l_orderkey",
-        "l_partkey",
-        "l_suppkey",
-        "l_linenumber",
-        "l_quantity",
-        "l_extendedprice",
-        "l_discount",
-        "l_tax",
-        "l_returnflag",
-        F.col("l_shipdate").cast("date").alias("date"),
-    )
-    parts = table(spark, folder, "part").select("p_partkey", "p_retailprice")
-    product = F.col("l_partkey") % PRODUCTS
-    category = F.col("l_partkey") % len(CATEGORIES)
     quantity = F.col("l_quantity")
     grouped = (
-        _with_store(lines, spark, folder)
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy("date", "n_regionkey", "r_name", product.alias("product"), category.alias("kind"))
+        _with_store(table(spark, folder, "lineitem"), spark, folder)
+        .join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        .groupBy(
+            F.col("l_shipdate").cast("date").alias("date"),
+            "n_regionkey",
+            (F.col("l_partkey") % PRODUCTS).cast("int").alias("product"),
+        )
         .agg(
             F.sum("l_orderkey").alias("order_keys"),
             F.sum(F.when(F.col("l_returnflag") == "R", 0.0).otherwise(quantity)).alias("sold"),
@@ -92,13 +86,16 @@ def retail_panel(spark: SparkSession, folder: str) -> DataFrame:
             F.min("l_linenumber").alias("first_line"),
             F.max("p_retailprice").alias("top_retail"),
         )
+        .join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
     month = F.month("date")
     return grouped.select(
         "date",
         _code("S", F.col("n_regionkey") + 1, 3).alias("store_id"),
         _code("P", F.col("product") + 1, 4).alias("product_id"),
-        _pick(CATEGORIES, F.col("kind")).alias("category"),
+        # The number of products is a multiple of the number of categories, so the category
+        # of a part follows from its product number.
+        _pick(CATEGORIES, F.col("product") % len(CATEGORIES)).alias("category"),
         F.col("r_name").alias("region"),
         (50 + F.col("order_keys") % 451).cast("int").alias("inventory_level"),
         F.col("sold").cast("int").alias("units_sold"),

@@ -10,9 +10,12 @@ from shelftide.operators import encoding, features, inventory
 from shelftide.plans import catalog
 from shelftide.plans.catalog import QUERIES
 from shelftide.plans.sql import SQL
+from shelftide.params import LABEL_VALUES, EncodingParams
 from shelftide.sources import sinks
+from shelftide.sources.star_tables import STAR_ENCODING, STAR_REGIONS
 
 FOLDER = "/root/testdata/sf0.001"
+MANY = EncodingParams(labels={**LABEL_VALUES, "region": STAR_REGIONS}, broadcast_ids=0)
 
 
 @pytest.fixture(scope="module")
@@ -58,6 +61,15 @@ def test_features_take_one_shuffle_and_one_window(staged):
     assert plan(df).count("+- Window ") == 1
 
 
+@pytest.mark.parametrize("params", [STAR_ENCODING, MANY], ids=["few", "many"])
+def test_windows_first_gives_the_same_table(staged, params):
+    dims = encoding.id_dimensions(staged, params)
+    plain = features.build_features(encoding.encode(staged, params, dims))
+    table = features.feature_table(staged, params, dimensions=dims)
+    assert table.dtypes == plain.dtypes
+    assert table.exceptAll(plain).isEmpty() and plain.exceptAll(table).isEmpty()
+
+
 def test_few_ids_are_joined_without_moving_rows(staged):
     df = encoding.encode_ids(staged, encoding.id_dimensions(staged))
     moved = [s for s in shuffles(df) if s == "hashpartitioning"]
@@ -66,12 +78,12 @@ def test_few_ids_are_joined_without_moving_rows(staged):
 
 
 def test_many_ids_share_the_shuffle_of_the_windows(spark, staged):
-    params = encoding.EncodingParams(broadcast_ids=0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        dims = encoding.id_dimensions(staged, params)
-        coded = encoding.encode_ids(staged, dims)
-        assert len(shuffles(features.build_features(coded.withColumns({})))) == len(shuffles(coded))
+        dims = encoding.id_dimensions(staged, MANY)
+        with_ids = features.feature_table(staged, MANY, dimensions=dims)
+        ids_alone = encoding.encode_ids(staged, dims)
+        assert len(shuffles(with_ids)) == len(shuffles(ids_alone))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
