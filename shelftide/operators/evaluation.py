@@ -115,12 +115,13 @@ def forecast_errors(scored: DataFrame, panel: PanelColumns = PanelColumns()) ->
 
 
 def report_lines(metrics: DataFrame) -> DataFrame:
-    """The metric table as JSON text, one nested document per scope."""
+    """The metric table as JSON text, one nested document per scope, with the time."""
 
     def group(prefix: str, suffix: str = "") -> Column:
         return F.struct(*[F.col(f"{prefix}{m}{suffix}").alias(f"{m}{suffix}") for m in MEASURES])
 
     document = F.struct(
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("evaluation_timestamp"),
         "scope",
         "category",
         F.struct(

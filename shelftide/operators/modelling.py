@@ -149,6 +149,7 @@ def training_metadata(
     ignored = ["reg_alpha", "reg_lambda"]
     return split_counts(df, settings.split, settings.panel).select(
         "cutoff_date",
+        F.lit(settings.split.rule).alias("split_rule"),
         F.lit(settings.split.holdout_days).alias("holdout_days"),
         F.col("train_rows").alias("train_row_count"),
         F.col("holdout_rows").alias("val_row_count"),
@@ -183,8 +184,8 @@ def train(df: DataFrame, settings: Settings = Settings(), use_baseline: bool = F
     known = facts.first()
     if not known["train_row_count"]:
         raise ValueError(
-            f"training set is empty: {settings.split.holdout_days} holdout days leave no rows "
-            f"up to {known['cutoff_date']}"
+            f"training set is empty: no rows up to {known['cutoff_date']} "
+            f"({settings.split.holdout_days} holdout days)"
         )
     metadata = spark.createDataFrame([known], facts.schema).withColumn("training_timestamp", F.current_timestamp())
 

@@ -99,10 +99,18 @@ class FeatureParams:
 
 @dataclass(frozen=True)
 class SplitParams:
+    """``rule`` "days" holds out the last ``holdout_days`` days; "percentile" trains up to the
+    date at the ``train_share`` percentile of the rows."""
+
     holdout_days: int = 90
     train_share: float = 0.8
+    rule: str = "days"
     seed: int = 42
 
+    def __post_init__(self) -> None:
+        if self.rule not in ("days", "percentile"):
+            raise ValueError(f"unknown split rule: {self.rule}")
+
 
 @dataclass(frozen=True)
 class TreeParams:
@@ -178,6 +186,7 @@ class Settings:
             ),
             split=SplitParams(
                 holdout_days=int(training.get("holdout_days", 90)),
+                rule=training.get("split_rule", "days"),
                 seed=int(training.get("random_seed", 42)),
             ),
             trees=TreeParams(**{k: v for k, v in tree.items() if k in known_tree}),

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelftide.operators import checks, cleaning, encoding, evaluation, features, inventory, modelling, splitting
-from shelftide.params import FeatureParams, Settings, TreeParams
+from shelftide.params import FeatureParams, Settings, SplitParams, TreeParams
 from shelftide.plans.full_run import run
 from shelftide.schemas import CLEAN_SCHEMA, PREDICTION_COLUMNS
 from shelftide.sources import sinks
@@ -249,8 +249,7 @@ def cutoff_date(spark: SparkSession, folder: str) -> DataFrame:
 
 def percentile_split(spark: SparkSession, folder: str) -> DataFrame:
     """Cutoff at the 80th percentile date, with the rows on both sides."""
-    df = cleaned(spark, folder)
-    return splitting.split_counts(df, cutoff=splitting.percentile_cutoff(df))
+    return splitting.split_counts(cleaned(spark, folder), SplitParams(rule="percentile"))
 
 
 def time_split(spark: SparkSession, folder: str) -> DataFrame:

@@ -262,7 +262,7 @@ PROJECTION = ", ".join(dict.fromkeys([*PREDICTION_COLUMNS[:-1], *ENHANCED]))
 TREE_TEXT = ",".join(sorted(f"{k}={v}" for k, v in asdict(TreeParams()).items()))
 
 METADATA = f"""WITH {CLEANED}
-SELECT max(date) - 90 AS cutoff_date, CAST(90 AS INTEGER) AS holdout_days,
+SELECT max(date) - 90 AS cutoff_date, 'days' AS split_rule, CAST(90 AS INTEGER) AS holdout_days,
   count(*) FILTER (WHERE date <= {CUTOFF}) AS train_row_count, count(*) FILTER (WHERE date > {CUTOFF}) AS val_row_count,
   CAST({len(ENHANCED)} AS INTEGER) AS feature_count, '{",".join(ENHANCED)}' AS feature_columns,
   'units_sold' AS target_column, '{TREE_TEXT}' AS model_parameters, 'reg_alpha,reg_lambda' AS parameters_not_applied,

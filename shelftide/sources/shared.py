@@ -14,15 +14,16 @@ from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
+    """The folder, which is also where checkpoints go from here on."""
     context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="shelftide-")
-    context.setCheckpointDir(folder)
-    spark.conf.set("spark.checkpoint.dir", folder)
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
+        folder = tempfile.mkdtemp(prefix="shelftide-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder
 
 

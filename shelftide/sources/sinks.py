@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelftide.params import OutputParams
+from shelftide.params import OutputParams, PanelColumns
 from shelftide.sources.sales_csv import DATE_FORMAT
 
 
@@ -31,18 +31,28 @@ def write_text(df: DataFrame, path: str) -> str:
 
 
 def write_result(
-    df: DataFrame, folder: str, name: str, parquet: bool = True, csv: bool = True
+    df: DataFrame,
+    folder: str,
+    name: str,
+    parquet: bool = True,
+    csv: bool = True,
+    order_by: Sequence[str] = (),
 ) -> dict[str, str]:
     """Writes the wanted formats and returns format -> path. With both, the CSV is written
-    from the Parquet files, so the frame is computed once and nothing is cached."""
+    from the Parquet files, so the frame is computed once and nothing is cached. With
+    ``order_by`` the rows are in that order across the part files of either format."""
     if not (parquet or csv):
         raise ValueError("no output format is enabled")
+
+    def arranged(frame: DataFrame) -> DataFrame:
+        return frame.orderBy(*order_by) if order_by else frame
+
     written = {}
     if parquet:
-        written["parquet"] = write_parquet(df, f"{folder}/{name}.parquet")
+        written["parquet"] = write_parquet(arranged(df), f"{folder}/{name}.parquet")
         df = df.sparkSession.read.schema(df.schema).parquet(written["parquet"])
     if csv:
-        written["csv"] = write_csv(df, f"{folder}/{name}.csv")
+        written["csv"] = write_csv(arranged(df), f"{folder}/{name}.csv")
     return written
 
 
@@ -50,8 +60,10 @@ def write_forecast(df: DataFrame, folder: str, output: OutputParams = OutputPara
     return write_result(df, folder, output.forecast_name, output.write_parquet, output.write_csv)
 
 
-def write_inventory(df: DataFrame, folder: str, output: OutputParams = OutputParams()) -> dict[str, str]:
-    return write_result(df, folder, output.inventory_name, output.write_parquet, output.write_csv)
+def write_inventory(
+    df: DataFrame, folder: str, output: OutputParams = OutputParams(), panel: PanelColumns = PanelColumns()
+) -> dict[str, str]:
+    return write_result(df, folder, output.inventory_name, output.write_parquet, output.write_csv, panel.entity)
 
 
 def stage(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:

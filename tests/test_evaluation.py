@@ -67,6 +67,7 @@ def test_report_lines_are_nested_json(scored):
     documents = {d["scope"]: d for d in (json.loads(r.value) for r in lines)}
     assert documents["global"]["model"] == {"rmse": 2.0, "mae": 2.0, "mape": None}
     assert documents["global"]["improvement"]["rmse_delta"] == -1.0
+    assert documents["global"]["evaluation_timestamp"].startswith("20")
     assert documents["category"]["row_counts"]["total_rows"] == 1
 
 

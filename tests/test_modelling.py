@@ -60,11 +60,20 @@ def test_rows_without_a_date_are_in_neither_part(cleaned):
 
 
 def test_percentile_cutoff(cleaned):
-    df = cleaned(*[{"date": day(i)} for i in range(11)])
-    cutoff = splitting.percentile_cutoff(df)
-    assert cutoff.first().cutoff_date == day(8)
-    train, holdout = splitting.time_split(df, cutoff=cutoff)
+    df = cleaned(*[{"date": day(i)} for i in range(11)], {"date": None})
+    params = SplitParams(rule="percentile")
+    assert splitting.cutoff_date(df, params).first().cutoff_date == day(8)
+    train, holdout = splitting.time_split(df, params)
     assert (train.count(), holdout.count()) == (9, 2)
+    with pytest.raises(ValueError, match="unknown split rule"):
+        SplitParams(rule="random")
+
+
+def test_training_with_the_percentile_rule(feature_frame):
+    settings = Settings(split=SplitParams(rule="percentile"), trees=TreeParams(n_estimators=1, max_depth=2))
+    facts = modelling.train(feature_frame, settings).metadata.first()
+    assert (facts.split_rule, facts.cutoff_date) == ("percentile", day(39))
+    assert (facts.train_row_count, facts.val_row_count) == (160, 40)
 
 
 def test_feature_lists():

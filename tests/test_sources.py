@@ -71,6 +71,15 @@ def test_both_formats_round_trip(spark, tmp_path, scored):
         assert back.exceptAll(df).isEmpty() and df.exceptAll(back).isEmpty()
 
 
+def test_inventory_is_in_entity_order_across_files(spark, tmp_path):
+    df = spark.range(300).selectExpr("concat('S', id % 3) AS store_id", "concat('P', 999 - id) AS product_id", "id").repartition(5)
+    written = sinks.write_inventory(df, str(tmp_path))
+    parts = sorted((tmp_path / "inventory_recommendations.csv").glob("part-*.csv"))
+    lines = [line for p in parts for line in p.read_text().splitlines()[1:]]
+    assert len(lines) == 300 and lines == sorted(lines) and len(parts) >= 1
+    assert spark.read.parquet(written["parquet"]).count() == 300
+
+
 def test_format_switches(tmp_path, scored):
     df = scored(("Toys", 10, 12.0, 9.25))
     only = sinks.write_forecast(df, str(tmp_path), OutputParams(write_parquet=False))
