@@ -49,6 +49,46 @@ def rolling_columns(
     }
 
 
+# Working columns: count, sum and sum of squares.
+SUMS = ("count", "sum", "squares")
+
+
+def running_sums(panel: PanelColumns) -> dict[str, Column]:
+    """``__running_*``: the sums from the start of the series to the row, in 64 bits."""
+    w = by_date(panel).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    value = F.col(panel.target).cast("bigint")
+    sums = (F.count(value), F.sum(value), F.sum(value * value))
+    return {f"__running_{name}": F.coalesce(c.over(w), F.lit(0)) for name, c in zip(SUMS, sums)}
+
+
+def frame_sums(panel: PanelColumns, sizes: Sequence[int], include_current: bool = True) -> dict[str, Column]:
+    """``__frame_*_N``: the sums over a frame of N rows, which are the running sums at its end
+    less those before its start. The work per row does not grow with the frame."""
+    w = by_date(panel)
+    skipped = 0 if include_current else 1
+
+    def upto(name: str, rows_back: int) -> Column:
+        running = F.col(f"__running_{name}")
+        return F.coalesce(F.lag(running, rows_back).over(w), F.lit(0)) if rows_back else running
+
+    return {
+        f"__frame_{name}_{n}": upto(name, skipped) - upto(name, skipped + n) for n in sizes for name in SUMS
+    }
+
+
+def rolling_from_sums(sizes: Sequence[int], stats: Sequence[str] = ("mean", "std")) -> dict[str, Column]:
+    """The mean and std columns of ``rolling_columns`` from the columns of ``frame_sums``."""
+    found = {}
+    for size in sizes:
+        n, total, squares = (F.col(f"__frame_{name}_{size}") for name in SUMS)
+        figures = {
+            "mean": F.when(n > 0, total / n),
+            "std": F.when(n > 1, F.sqrt((n * squares - total * total) / (n * (n - 1)))),
+        }
+        found |= {f"rolling_{stat}_{size}": figures[stat] for stat in stats}
+    return found
+
+
 def calendar_lag_columns(panel: PanelColumns, lags: Sequence[int]) -> dict[str, Column]:
     """Target exactly ``n`` days earlier; NULL when that day has no row."""
     w = by_day_number(panel)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import types as T
 
 from shelftide.functions import series
 from shelftide.functions.dates import calendar_columns
@@ -18,6 +19,32 @@ def _require_series(df: DataFrame, panel: PanelColumns, step: str) -> None:
     require_columns(df, [*panel.grain, panel.target], step)
 
 
+def _whole_number(df: DataFrame, column: str) -> bool:
+    """Integers of up to 32 bits: their squares add up in 64 bits without loss."""
+    return isinstance(df.schema[column].dataType, (T.ByteType, T.ShortType, T.IntegerType))
+
+
+def _with_rolling(
+    df: DataFrame, params: FeatureParams, panel: PanelColumns, stats: Sequence[str], others: Mapping[str, Column]
+) -> DataFrame:
+    """Adds ``others`` and the rolling columns over one shuffle and one sort.
+
+    Mean and std of whole numbers come from running sums. A series whose squares add up to
+    more than 64 bits (a daily series of a century at 15 million units a day) fails the job
+    under ANSI mode; ``FeatureParams(running_sums=False)`` has no such limit. Everything
+    else aggregates the rows of each frame.
+    """
+    sizes, last_row = params.rolling, params.include_current
+    if params.running_sums and {*stats} <= {"mean", "std"} and _whole_number(df, panel.target):
+        return (
+            df.withColumns(series.running_sums(panel))
+            .withColumns({**others, **series.frame_sums(panel, sizes, last_row)})
+            .withColumns(series.rolling_from_sums(sizes, stats))
+            .select(*df.columns, *others, *[f"rolling_{stat}_{n}" for n in sizes for stat in stats])
+        )
+    return df.withColumns({**others, **series.rolling_columns(panel, sizes, stats, last_row)})
+
+
 def add_lags(
     df: DataFrame, params: FeatureParams = FeatureParams(), panel: PanelColumns = PanelColumns()
 ) -> DataFrame:
@@ -35,7 +62,7 @@ def add_rolling(
     """``rolling_STAT_N`` over N rows. By default the row's own target is in its frame; for
     features known before the day use ``FeatureParams(include_current=False)``."""
     _require_series(df, panel, "rolling features")
-    return df.withColumns(series.rolling_columns(panel, params.rolling, stats, params.include_current))
+    return _with_rolling(df, params, panel, stats, {})
 
 
 def add_calendar_lags(
@@ -70,13 +97,9 @@ def add_prices(df: DataFrame) -> DataFrame:
 def add_series_features(
     df: DataFrame, params: FeatureParams = FeatureParams(), panel: PanelColumns = PanelColumns()
 ) -> DataFrame:
-    """Lags and rolling statistics in one window pass: one shuffle by entity, one sort by
-    date."""
+    """Lags and rolling statistics together: one shuffle by entity, one sort by date."""
     _require_series(df, panel, "series features")
-    return df.withColumns(
-        series.lag_columns(panel, params.lags)
-        | series.rolling_columns(panel, params.rolling, include_current=params.include_current)
-    )
+    return _with_rolling(df, params, panel, ("mean", "std"), series.lag_columns(panel, params.lags))
 
 
 def build_features(

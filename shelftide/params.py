@@ -88,6 +88,8 @@ class FeatureParams:
     # True: the frame ends on the current row, so the target of the day is part of its
     # own rolling features. False: the frame ends on the row before (leak-free).
     include_current: bool = True
+    # Rolling mean and std of whole numbers from running sums instead of from each frame.
+    running_sums: bool = True
     calendar: bool = True
     price: bool = True
 

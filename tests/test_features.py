@@ -1,4 +1,5 @@
 import datetime
+import random
 import statistics
 
 import pytest
@@ -54,6 +55,33 @@ def test_frame_without_the_current_row(cleaned):
     assert [r.rolling_mean_3 for r in rows] == [None, 0.0, 0.5, 1.0, 2.0, 3.0]
 
 
+@pytest.mark.parametrize("include_current", [True, False])
+def test_running_sums_equal_frames(cleaned, include_current):
+    pick = random.Random(5)
+    rows = [
+        {"store_id": f"S{i % 3}", "date": day(i), "units_sold": pick.choice([None, 0, 3, 499, 15_000_000, -7])}
+        for i in range(150)
+    ]
+    df = cleaned(*rows)
+    fast, plain = (
+        features.add_rolling(df, FeatureParams(rolling=(2, 7, 28), include_current=include_current, running_sums=r))
+        for r in (True, False)
+    )
+    assert fast.columns == plain.columns
+    for store in ("S0", "S1", "S2"):
+        for a, b in zip(by_date(fast, store), by_date(plain, store)):
+            for name in fast.columns[16:]:
+                assert a[name] == (None if b[name] is None else pytest.approx(b[name], rel=1e-12, abs=1e-6)), name
+
+
+def test_sums_beyond_64_bits_fail_loudly_or_take_the_frames(cleaned):
+    df = cleaned(*[{"date": day(i), "units_sold": 2**31 - 1} for i in range(4)])
+    with pytest.raises(Exception, match="ARITHMETIC_OVERFLOW|overflow"):
+        features.add_rolling(df, SMALL).collect()
+    plain = features.add_rolling(df, FeatureParams(rolling=(7,), running_sums=False))
+    assert by_date(plain)[3].rolling_mean_7 == float(2**31 - 1)
+
+
 def test_days_equal_rows_only_without_gaps(cleaned):
     def both(df):
         out = features.add_calendar_rolling(features.add_calendar_lags(features.add_rolling(features.add_lags(df, SMALL), SMALL), SMALL), SMALL)

@@ -10,7 +10,7 @@ from shelftide.operators import encoding, features, inventory
 from shelftide.plans import catalog
 from shelftide.plans.catalog import QUERIES
 from shelftide.plans.sql import SQL
-from shelftide.params import LABEL_VALUES, EncodingParams
+from shelftide.params import LABEL_VALUES, EncodingParams, FeatureParams
 from shelftide.sources import sinks
 from shelftide.sources.star_tables import STAR_ENCODING, STAR_REGIONS
 
@@ -55,10 +55,11 @@ def staged(spark, tmp_path_factory):
     return sinks.stage(catalog.cleaned(spark, FOLDER), str(tmp_path_factory.mktemp("staged") / "t"))
 
 
-def test_features_take_one_shuffle_and_one_window(staged):
-    df = features.build_features(encoding.encode_labels(staged))
+@pytest.mark.parametrize("running, windows", [(True, 2), (False, 1)])
+def test_features_take_one_shuffle_and_one_sort(staged, running, windows):
+    df = features.build_features(encoding.encode_labels(staged), FeatureParams(running_sums=running))
     assert shuffles(df) == ["hashpartitioning"]
-    assert plan(df).count("+- Window ") == 1
+    assert (plan(df).count("+- Window "), plan(df).count("+- Sort ")) == (windows, 1)
 
 
 @pytest.mark.parametrize("params", [STAR_ENCODING, MANY], ids=["few", "many"])
