@@ -17,7 +17,7 @@ from shelftide.operators.encoding import id_dimensions
 from shelftide.operators.evaluation import evaluate, report_lines, stockout_rate
 from shelftide.operators.features import feature_table
 from shelftide.operators.inventory import recommend, run_summary
-from shelftide.operators.modelling import DemandModel, predict, save_model, train
+from shelftide.operators.modelling import DemandModel, predict, save_model, train, variant_name
 from shelftide.params import Settings
 from shelftide.sources.sales_csv import read_sales_csv
 from shelftide.sources.sinks import stage, write_forecast, write_inventory, write_text
@@ -45,24 +45,26 @@ def run(
 ) -> RunResult:
     """Runs every step on a frame of raw rows.
 
-    The cleaned rows, the features and the forecasts are staged in ``folder``, each being
-    read several times: text files are parsed once, windows are computed once. With ``check_grain`` a repeated (date, entity) stops
+    The cleaned rows, the features and the forecasts are staged in ``folder`` under the name
+    of the variant, each being read several times: text files are parsed once, windows are
+    computed once. With ``check_grain`` a repeated (date, entity) stops
     the run, which is also what bounds the length of one series; ``strict_quality`` stops
     it for NULLs and values out of range.
     """
     cleaned = clean(raw)
     require_schema(cleaned, step="clean")
-    cleaned = stage(cleaned, f"{folder}/cleaned")
+    staging = f"{folder}/staged/{variant_name(use_baseline)}"
+    cleaned = stage(cleaned, f"{staging}/cleaned")
     if strict_quality:
         require_quality(quality_report(cleaned))
     if check_grain:
         require_unique_grain(cleaned, settings.panel.grain)
     dimensions = id_dimensions(cleaned, settings.encoding)
     table = feature_table(cleaned, settings.encoding, settings.features, settings.panel, dimensions)
-    features = stage(table, f"{folder}/features")
+    features = stage(table, f"{staging}/features")
     model = train(features, settings, use_baseline)
     saved = save_model(model, f"{folder}/models", dimensions)
-    scored = stage(predict(features, model, settings), f"{folder}/scored/{model.variant}")
+    scored = stage(predict(features, model, settings), f"{staging}/scored")
     recommendations = recommend(scored, features, settings.policy, settings.panel)
     return RunResult(
         features=features,
@@ -89,6 +91,6 @@ def run_from_csv(
     return {
         "model": result.model_path,
         "metrics": write_text(report_lines(result.metrics), f"{folder}/models/{variant}_evaluation_metrics"),
-        "forecast": write_forecast(result.scored, f"{folder}/predictions", settings.output),
-        "inventory": write_inventory(result.recommendations, f"{folder}/predictions", settings.output),
+        "forecast": write_forecast(result.scored, f"{folder}/predictions/{variant}", settings.output),
+        "inventory": write_inventory(result.recommendations, f"{folder}/predictions/{variant}", settings.output, settings.panel),
     }

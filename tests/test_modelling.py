@@ -171,6 +171,17 @@ def test_run_from_csv_writes_everything(spark, cleaned, tmp_path):
     assert "enhanced" in paths["model"]
 
 
+def test_variants_share_a_folder(cleaned, tmp_path):
+    raw = raw_rows(cleaned)
+    small = Settings(split=SplitParams(holdout_days=10), trees=TreeParams(n_estimators=1, max_depth=2))
+    fair, enhanced = (run(raw, str(tmp_path), small, use_baseline=b) for b in (False, True))
+    # The first result can still be read after the second run.
+    assert fair.recommendations.count() == enhanced.recommendations.count() == 4
+    assert fair.metrics.filter("scope = 'global'").first().total_rows == 120
+    assert fair.stockouts.count() == 2 and fair.summary.count() == 10
+    assert fair.model_path != enhanced.model_path
+
+
 def test_run_stops_on_a_repeated_day(cleaned, tmp_path):
     raw = raw_rows(cleaned)
     with pytest.raises(DuplicateGrainError):
