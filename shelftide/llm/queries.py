@@ -6,19 +6,39 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelftide.llm import decontamination, token_files
+from shelftide.llm import decontamination, line_runs, near_duplicates, piece_codec, token_files, toxicity
 from shelftide.llm.common import table
 from shelftide.sources.shared import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.find_groups(table(spark, folder, "documents"))
+
+
+def op5_piece_codec(spark: SparkSession, folder: str) -> DataFrame:
+    return piece_codec.codec_digests(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.drop("spans")
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op9_line_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    left = line_runs.delete_repeated_runs(docs, counts=("n_lines", "n_deleted"))
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    return left.select("doc_id", "n_lines", "n_deleted", digest.alias("text_sha256"))
+
+
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Written with production layout, then read back from the files."""
     coded = token_files.encode_documents(
@@ -31,7 +51,11 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op2_near_duplicates,
+        op5_piece_codec,
         op6_decontamination,
+        op8_toxicity,
+        op9_line_runs,
         op10_token_files,
     )
 }
@@ -71,3 +95,30 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
     coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN words_hit USING (rid) LEFT JOIN items_hit USING (rid)
 """
+
+SQL["op9_line_runs"] = r"""
+WITH d AS (
+    SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents
+), counted AS (
+    SELECT doc_id, l, list_transform(l, lambda x: len(regexp_extract_all(x, '[^\x20\x09-\x0D]+'))) AS w FROM d WHERE text IS NOT NULL
+), lines AS (
+    SELECT doc_id, l, k, sum(w[k]) OVER (PARTITION BY doc_id ORDER BY k) AS upto, w[k] AS own
+    FROM (SELECT doc_id, l, w, unnest(range(1, len(l) + 1)) AS k FROM counted)
+), runs AS (
+    SELECT a.doc_id, a.k, min(b.k) AS j
+    FROM lines a JOIN lines b ON a.doc_id = b.doc_id AND b.k >= a.k AND b.upto - a.upto + a.own >= 50
+    GROUP BY a.doc_id, a.k
+), named AS (
+    SELECT r.doc_id, r.k, r.j, array_to_string(d.l[r.k : r.j], chr(10)) AS run FROM runs r JOIN d USING (doc_id)
+), later AS (
+    SELECT doc_id, k, j FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, k) AS n FROM named) WHERE n > 1
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(k, j + 1)) AS k FROM later
+), left_over AS (
+    SELECT l.doc_id, count(g.k) AS n_deleted, string_agg(l.l[l.k], chr(10) ORDER BY l.k) FILTER (g.k IS NULL) AS text
+    FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.k = g.k GROUP BY l.doc_id
+)
+SELECT d.doc_id, CAST(coalesce(len(d.l), 0) AS BIGINT) AS n_lines, CAST(coalesce(n_deleted, 0) AS BIGINT) AS n_deleted,
+    sha256(coalesce(left_over.text, '')) AS text_sha256
+FROM d LEFT JOIN left_over ON d.doc_id = left_over.doc_id
+"""
