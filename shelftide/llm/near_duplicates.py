@@ -14,8 +14,8 @@ if their sets have a Jaccard similarity of 0.75 or more.
 4. Links confirmed on the full sets go through union-find (in each task, then star
    contraction over tasks). A bucket whose members then have several components is
    compared further, block by block: its pairs from different components whose
-   signatures agree well enough are verified as well. So no candidate pair is left out unless both are
-   in one component already.
+   signatures agree well enough are verified as well, inside the task. So no candidate pair is left
+   out unless both are in one component already.
 
 With 32 bands of 4 rows, a pair at the threshold shares no bucket with probability 5e-6, and the
 signature estimate of a linked pair falls below the floor of step 4 with less than 1e-6.
@@ -45,7 +45,7 @@ SIMILARITY_PERCENT = 75
 # Least share of equal signature components for a pair that is compared outside the pivots.
 ESTIMATE_FLOOR = 0.5
 # Members of a bucket that are compared with each other in one task.
-BLOCK = 1000
+BLOCK = 500
 # Bits of a signature value below its rank.
 _FRACTION_BITS = 24
 
@@ -137,7 +137,8 @@ def _sign(docs: DataFrame, length: int) -> DataFrame:
 
 def _sets_of(docs: DataFrame) -> DataFrame:
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [s.view(np.int64) for s in shingle_sets(part.column("data").to_pylist())]
+        # Sorted as signed numbers, since that is how the column reads them.
+        sets = [np.sort(s.view(np.int64)) for s in shingle_sets(part.column("data").to_pylist())]
         offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
         values = np.concatenate(sets) if sets else np.empty(0, np.int64)
         return pa.RecordBatch.from_arrays(
@@ -213,33 +214,53 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return counted.where(100 * F.col("common") >= percent * (F.col("total") - F.col("common"))).select("u", "v")
 
 
-def _close_pairs(members: DataFrame, length: int, floor: float) -> DataFrame:
-    """(u, v) of one bucket and different components whose signatures agree in a share of
-    ``floor`` or more. ``members``: bucket, node, component, signature, blocks."""
+def _links_in_blocks(members: DataFrame, bands: int, rows: int, percent: int, floor: float) -> DataFrame:
+    """Confirmed links (u, v) between different components of one bucket.
+
+    ``members``: bucket, band, node, component, blocks, signature, shingles. A large bucket is cut into
+    blocks and every two blocks meet in a task of their own, so a task holds two blocks at
+    most. A pair of nodes is looked at only in the first band that they share, and only if its
+    signatures agree in a share of ``floor`` or more; it is confirmed on the full sets there, so no
+    unconfirmed pair becomes a row.
+    """
     dealt = (
         members.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "component", "signature"
-        )
+        .withColumn("low", F.least("own", "other"))
+        .withColumn("high", F.greatest("own", "other"))
+        .select("bucket", "band", "low", "high", "own", "node", "component", "signature", "shingles")
     )
 
     def compare(block: pd.DataFrame) -> pd.DataFrame:
-        signed = np.frombuffer(b"".join(block["signature"]), np.uint32).reshape(len(block), length)
-        node, component = block["node"].to_numpy(), block["component"].to_numpy()
-        own = block["own"].to_numpy()
-        low, high = block["low"].iat[0], block["high"].iat[0]
-        rows, columns = np.flatnonzero(own == low), np.flatnonzero(own == high)
+        signed = np.frombuffer(b"".join(block["signature"]), np.uint32).reshape(len(block), bands, rows)
+        node, component, own = (block[c].to_numpy() for c in ("node", "component", "own"))
+        sets = block["shingles"].to_list()
+        sizes = np.array([len(s) for s in sets])
+        low, high, band = block["low"].iat[0], block["high"].iat[0], int(block["band"].iat[0])
+        left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
         found = []
-        for k in rows:
-            others = columns if low != high else columns[columns > k]
-            others = others[component[others] != component[k]]
-            if len(others):
-                close = others[(signed[others] == signed[k]).sum(axis=1) >= floor * length]
-                found += [(max(node[k], x), min(node[k], x)) for x in node[close]]
+        for k in left:
+            others = right if low != high else right[right > k]
+            others = others[(component[others] != component[k]) & (node[others] != node[k])]
+            # Sizes alone rule out a pair whose smaller set is too small a part of the larger one.
+            fits = 100 * np.minimum(sizes[others], sizes[k]) >= percent * np.maximum(sizes[others], sizes[k])
+            others = others[fits]
+            if not len(others):
+                continue
+            equal = signed[others] == signed[k]
+            first_here = equal.all(axis=2).argmax(axis=1) == band
+            others = others[first_here & (equal.sum(axis=(1, 2)) >= floor * bands * rows)]
+            if not len(others):
+                continue
+            mine = sets[k]
+            flat = np.concatenate([sets[x] for x in others])
+            at = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
+            common = np.add.reduceat(mine[at] == flat, np.concatenate([[0], np.cumsum(sizes[others])[:-1]]), dtype=np.int64)
+            linked = others[100 * common >= percent * (sizes[others] + sizes[k] - common)]
+            found += [(max(node[k], x), min(node[k], x)) for x in node[linked]]
         return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
 
-    return dealt.groupBy("bucket", "low", "high").applyInPandas(compare, "u long, v long").distinct()
+    return dealt.groupBy("bucket", "low", "high").applyInPandas(compare, "u long, v long")
 
 
 def find_groups(
@@ -264,10 +285,10 @@ def find_groups(
 
     width = 4 * rows
     keys = F.array(*[F.xxhash64(F.lit(b), F.substring("signature", 1 + b * width, width)) for b in range(bands)])
-    placed = nodes.select("node", F.explode(keys).alias("bucket"))
+    placed = nodes.select("node", F.posexplode(keys).alias("band", "bucket"))
     pivots = placed.groupBy("bucket").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot <> last")
     pivots = stage(pivots.select("bucket", "pivot"), "buckets")
-    shared = stage(placed.join(pivots, "bucket").select("bucket", "node", "pivot"), "bucketed")
+    shared = stage(placed.join(pivots, "bucket").select("bucket", "band", "node", "pivot"), "bucketed")
     first = shared.where("node <> pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
     first = stage(first, "pairs")
 
@@ -277,12 +298,11 @@ def find_groups(
 
     found = components(links)
     labelled = shared.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    labelled = stage(labelled.select("bucket", "node", "component"), "labelled")
+    labelled = stage(labelled.select("bucket", "band", "node", "component"), "labelled")
     mixed = labelled.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("a"), F.max("component").alias("b"))
     mixed = stage(mixed.where("a <> b").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
-    rest = labelled.join(mixed, "bucket").join(nodes, "node")
-    close = _close_pairs(rest, length, ESTIMATE_FLOOR).join(first, ["u", "v"], "left_anti")
-    more = _verified(close, sets, percent)
+    rest = labelled.join(mixed, "bucket").join(nodes, "node").join(sets, "node")
+    more = _links_in_blocks(rest, bands, rows, percent, ESTIMATE_FLOOR)
     all_links = found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more).unionByName(same_id)
     final = components(all_links).withColumnRenamed("node", "doc_id")
     joined = signed.select("doc_id", "n_shingles").join(final, "doc_id", "left")
