@@ -8,17 +8,30 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelftide.llm import decontamination, line_runs, near_duplicates, piece_codec, token_files, toxicity
+from shelftide.llm import decontamination, fertility, line_runs, near_duplicates, ordinal_quality, piece_codec, token_files, toxicity
 from shelftide.llm.common import table
 from shelftide.sources.shared import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_fertility(spark: SparkSession, folder: str) -> DataFrame:
+    """A piece vocabulary with byte fallback, and a byte-level one for many languages."""
+    vocabularies = (
+        fertility.Vocabulary("piece", "piece", public_tokenizers.path("piece_bpe_32k.model")),
+        fertility.Vocabulary("multi", "ranks", public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN),
+    )
+    return fertility.judge(table(spark, folder, "documents"), vocabularies)
+
+
 def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.find_groups(table(spark, folder, "documents"))
 
 
+def op4_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return ordinal_quality.grade_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op5_piece_codec(spark: SparkSession, folder: str) -> DataFrame:
     return piece_codec.codec_digests(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -51,7 +64,9 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_fertility,
         op2_near_duplicates,
+        op4_ordinal_quality,
         op5_piece_codec,
         op6_decontamination,
         op8_toxicity,

@@ -46,7 +46,8 @@ class PUParams:
     unlabelled: int = 8000
     calibration: int = 8000
     features: int = 1024
-    least_z: float = 4.5
+    least_z: float = 5.5
+    least_texts: int = 3
     steps: int = 300
     rate: float = 0.1
     ridge: float = 1e-4
@@ -103,7 +104,7 @@ def _selected(positive: list[np.ndarray], unlabelled: list[np.ndarray], params:
     n, m = max(len(positive), 1), max(len(unlabelled), 1)
     pooled = (seen[0] + seen[1] + 1) / (n + m + 2)
     z = (seen[0] / n - seen[1] / m) / np.sqrt(pooled * (1 - np.minimum(pooled, 1 - 1e-9)) * (1 / n + 1 / m))
-    z[seen[0] < 2] = 0
+    z[seen[0] < params.least_texts] = 0
     found = np.flatnonzero(z >= params.least_z)
     return np.sort(found[np.argsort(-z[found], kind="stable")[: params.features]])
 
@@ -175,7 +176,9 @@ def train(
     base = float(np.log(prior / (1 - prior)))
     if not confirmed or not background:
         return ToxicityModel(bias=base)
-    features = _selected(confirmed, background, params)
+    # Copies of one toxic text would make all its words look toxic.
+    different = list({x.tobytes(): x for x in confirmed}.values())
+    features = _selected(different, background, params)
     if not len(features):
         return ToxicityModel(bias=base)
     weights, bias = fit_pu(_design(confirmed, features), _design(background, features), prior, params)
