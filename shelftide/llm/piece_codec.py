@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelftide.llm.common import id_and_text, map_slices, text_slices, unused_name
 
@@ -256,7 +257,7 @@ def encode_column(docs: DataFrame, model_file: str, text_col: str = "text", ids_
     kept = [c for c in docs.columns if c.lower() != ids_col.lower() or c == text_col]
     data = unused_name([*kept, ids_col], "data")
     source = docs.select(*kept, F.col(text_col).cast("binary").alias(data))
-    schema = source.drop(data).schema.add(ids_col, "array<int>")
+    schema = T.StructType([*source.drop(data).schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = piece_codec(model_file)
@@ -278,7 +279,7 @@ def decode_column(rows: DataFrame, model_file: str, ids_col: str = "ids", text_c
 
     kept = [c for c in rows.columns if c.lower() != text_col.lower() or c == ids_col]
     source = rows.select(*kept)
-    schema = source.schema.add(text_col, "string")
+    schema = T.StructType([*source.schema.fields, T.StructField(text_col, T.StringType())])
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = piece_codec(model_file)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelftide.llm import decontamination, fertility, line_runs, near_duplicates, ordinal_quality, piece_codec, token_files, toxicity
+from shelftide.llm import decontamination, fertility, license_classifier, line_runs, near_duplicates, ordinal_quality, pii_pseudonyms, piece_codec, token_files, toxicity
 from shelftide.llm.common import table
 from shelftide.sources.shared import fresh_path
 
@@ -28,6 +28,10 @@ def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.find_groups(table(spark, folder, "documents"))
 
 
+def op3_license_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return license_classifier.scan_documents(table(spark, folder, "documents"))
+
+
 def op4_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
     return ordinal_quality.grade_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -41,6 +45,11 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("spans")
 
 
+def op7_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pii_pseudonyms.pseudonymise(docs, count_col="n_values")
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -66,9 +75,11 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_fertility,
         op2_near_duplicates,
+        op3_license_classifier,
         op4_ordinal_quality,
         op5_piece_codec,
         op6_decontamination,
+        op7_pii_pseudonyms,
         op8_toxicity,
         op9_line_runs,
         op10_token_files,
