@@ -53,15 +53,28 @@ def rolling_columns(
 SUMS = ("count", "sum", "squares")
 
 
-def running_sums(panel: PanelColumns) -> dict[str, Column]:
-    """``__running_*``: the sums from the start of the series to the row, in 64 bits."""
+# Squares of 32-bit numbers and sums of them, exactly.
+EXACT = "decimal(38,0)"
+
+
+def needed_sums(stats: Sequence[str]) -> tuple[str, ...]:
+    """A mean alone needs no squares."""
+    return SUMS if "std" in stats else SUMS[:2]
+
+
+def running_sums(panel: PanelColumns, stats: Sequence[str] = ("mean", "std")) -> dict[str, Column]:
+    """``__running_*``: the sums from the start of the series to the row. Counts and sums of
+    32-bit numbers fit 64 bits for any series of days; squares are added as decimals."""
     w = by_date(panel).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     value = F.col(panel.target).cast("bigint")
-    sums = (F.count(value), F.sum(value), F.sum(value * value))
-    return {f"__running_{name}": F.coalesce(c.over(w), F.lit(0)) for name, c in zip(SUMS, sums)}
+    sums = {"count": F.count(value), "sum": F.sum(value), "squares": F.sum((value * value).cast("decimal(20,0)"))}
+    whole = {"count": "bigint", "sum": "bigint", "squares": EXACT}
+    return {f"__running_{name}": F.coalesce(sums[name].over(w), F.lit(0)).cast(whole[name]) for name in needed_sums(stats)}
 
 
-def frame_sums(panel: PanelColumns, sizes: Sequence[int], include_current: bool = True) -> dict[str, Column]:
+def frame_sums(
+    panel: PanelColumns, sizes: Sequence[int], include_current: bool = True, stats: Sequence[str] = ("mean", "std")
+) -> dict[str, Column]:
     """``__frame_*_N``: the sums over a frame of N rows, which are the running sums at its end
     less those before its start. The work per row does not grow with the frame."""
     w = by_date(panel)
@@ -72,7 +85,7 @@ def frame_sums(panel: PanelColumns, sizes: Sequence[int], include_current: bool
         return F.coalesce(F.lag(running, rows_back).over(w), F.lit(0)) if rows_back else running
 
     return {
-        f"__frame_{name}_{n}": upto(name, skipped) - upto(name, skipped + n) for n in sizes for name in SUMS
+        f"__frame_{name}_{n}": upto(name, skipped) - upto(name, skipped + n) for n in sizes for name in needed_sums(stats)
     }
 
 
@@ -81,10 +94,12 @@ def rolling_from_sums(sizes: Sequence[int], stats: Sequence[str] = ("mean", "std
     found = {}
     for size in sizes:
         n, total, squares = (F.col(f"__frame_{name}_{size}") for name in SUMS)
-        figures = {
-            "mean": F.when(n > 0, total / n),
-            "std": F.when(n > 1, F.sqrt((n * squares - total * total) / (n * (n - 1)))),
-        }
+        figures = {"mean": F.when(n > 0, total / n)}
+        if "std" in stats:
+            # Both products are whole numbers below 10^28, and their difference is exact.
+            exact_n, exact_total = n.cast("decimal(9,0)"), total.cast("decimal(18,0)")
+            spread = (exact_n * squares.cast("decimal(28,0)")).cast(EXACT) - (exact_total * exact_total).cast(EXACT)
+            figures["std"] = F.when(n > 1, F.sqrt(spread.cast("double") / (n * (n - 1))))
         found |= {f"rolling_{stat}_{size}": figures[stat] for stat in stats}
     return found
 

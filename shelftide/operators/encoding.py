@@ -118,20 +118,24 @@ def id_dimensions(
 
 
 def encode_ids(df: DataFrame, dimensions: Mapping[str, IdDimension]) -> DataFrame:
-    """Adds the labels; every row stays, an unseen id has a NULL label.
+    """Adds the labels; every row stays, an unseen or NULL id has a NULL label and leaves the
+    label of the other id alone.
 
     Small dimensions are broadcast. For the others the labels are first joined to the
-    distinct id combinations, and those to the rows on the whole entity key: no single hot
-    id decides the size of a task, and the shuffle is the one the series windows need.
+    distinct id combinations (those with NULLs too), and those to the rows on the whole entity key,
+    null-safely: no single hot id decides the size of a task, and the labels do not depend on the way.
     """
     original = df.columns
     large = [d for d in dimensions.values() if not d.small]
     if large:
         keys = list(dimensions)
-        entities = df.select(*keys).dropna().distinct()
+        known = {k: f"__key_{k}" for k in keys}
+        entities = df.select(*keys).distinct()
         for d in large:
             entities = entities.join(d.frame, d.column, "left")
-        df = df.join(entities, keys, "left")
+        entities = entities.withColumnsRenamed(known)
+        same = [F.col(k).eqNullSafe(F.col(alias)) for k, alias in known.items()]
+        df = df.join(entities, same, "left").drop(*known.values())
     for d in dimensions.values():
         if d.small:
             df = df.join(F.broadcast(d.frame), d.column, "left")
@@ -143,6 +147,7 @@ def encode(
     params: EncodingParams = EncodingParams(),
     dimensions: Mapping[str, IdDimension] | None = None,
 ) -> DataFrame:
-    """Adds one label column per nominal and id column; the originals stay."""
+    """Adds one label column per nominal and id column; the originals stay. Without
+    ``dimensions`` they are built here, which runs two jobs at once."""
     known = id_dimensions(df, params) if dimensions is None else dimensions
     return encode_ids(encode_labels(df, params), known)

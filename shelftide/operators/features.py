@@ -20,7 +20,7 @@ def _require_series(df: DataFrame, panel: PanelColumns, step: str) -> None:
 
 
 def _whole_number(df: DataFrame, column: str) -> bool:
-    """Integers of up to 32 bits: their squares add up in 64 bits without loss."""
+    """Integers of up to 32 bits, whose sums and squares are added exactly."""
     return isinstance(df.schema[column].dataType, (T.ByteType, T.ShortType, T.IntegerType))
 
 
@@ -29,16 +29,14 @@ def _with_rolling(
 ) -> DataFrame:
     """Adds ``others`` and the rolling columns over one shuffle and one sort.
 
-    Mean and std of whole numbers come from running sums. A series whose squares add up to
-    more than 64 bits (a daily series of a century at 15 million units a day) fails the job
-    under ANSI mode; ``FeatureParams(running_sums=False)`` has no such limit. Everything
-    else aggregates the rows of each frame.
+    Mean and std of whole numbers come from exact running sums, for any value of 32 bits.
+    Everything else aggregates the rows of each frame.
     """
     sizes, last_row = params.rolling, params.include_current
     if params.running_sums and {*stats} <= {"mean", "std"} and _whole_number(df, panel.target):
         return (
-            df.withColumns(series.running_sums(panel))
-            .withColumns({**others, **series.frame_sums(panel, sizes, last_row)})
+            df.withColumns(series.running_sums(panel, stats))
+            .withColumns({**others, **series.frame_sums(panel, sizes, last_row, stats)})
             .withColumns(series.rolling_from_sums(sizes, stats))
             .select(*df.columns, *others, *[f"rolling_{stat}_{n}" for n in sizes for stat in stats])
         )

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelftide.functions.stock import policy_columns, service_level_percent
-from shelftide.operators.checks import DuplicateGrainError, latest_ties, require_columns, unmatched_entities
+from shelftide.operators.checks import require_columns, unmatched_entities
 from shelftide.params import PanelColumns, PolicyParams
 from shelftide.schemas import RECOMMENDATION_MEASURES
 
@@ -18,8 +18,8 @@ def demand_stats(scored: DataFrame, panel: PanelColumns = PanelColumns()) -> Dat
 
     The rows are aggregated with category and region as keys: only numbers are aggregated
     then, so Spark hashes where it would have to sort the rows to carry strings along. The
-    few resulting groups of an entity are merged by their counts, means and squared
-    deviations.
+    few resulting groups of an entity are merged around the entity's mean, which loses no digits
+    however large the forecasts are.
     """
     require_columns(scored, [*panel.grain, panel.category, panel.region, panel.prediction], "demand statistics")
     forecast, day = F.col(panel.prediction), F.col(panel.date)
@@ -33,31 +33,49 @@ def demand_stats(scored: DataFrame, panel: PanelColumns = PanelColumns()) -> Dat
             F.min(day).alias("first_day"),
         )
     )
+    # A window over the groups of an entity (its categories and regions), on the partitioning
+    # that the aggregate below needs anyway.
+    own = Window.partitionBy(*panel.entity)
+    overall = F.sum(F.col("n") * F.col("mean")).over(own) / F.nullif(F.sum("n").over(own), F.lit(0))
+    one_group = F.count("mean").over(own) <= 1
+    groups = groups.withColumn("overall", F.when(one_group, F.max("mean").over(own)).otherwise(overall))
 
     def first(column: str) -> Column:
         return F.min_by(column, F.when(F.col(column).isNotNull(), F.col("first_day"))).alias(column)
 
-    n, total = F.sum("n"), F.sum(F.col("n") * F.col("mean"))
-    between = F.sum(F.col("n") * F.col("mean") * F.col("mean")) - total * total / n
-    squares = F.sum("within") + F.when(F.count("mean") > 1, F.greatest(between, F.lit(0.0))).otherwise(0.0)
+    n, off = F.sum("n"), F.col("mean") - F.col("overall")
+    squares = F.sum(F.col("within") + F.col("n") * off * off)
     return groups.groupBy(*panel.entity).agg(
         first(panel.category),
         first(panel.region),
-        F.when(n > 0, F.when(F.count("mean") > 1, total / n).otherwise(F.max("mean"))).alias("avg_daily_demand"),
+        F.max("overall").alias("avg_daily_demand"),
         F.when(n > 1, F.sqrt(squares / (n - 1))).otherwise(0.0).alias("demand_std_dev"),
     )
 
 
-def latest_stock(df: DataFrame, panel: PanelColumns = PanelColumns()) -> DataFrame:
+def latest_stock(df: DataFrame, panel: PanelColumns = PanelColumns(), check_ties: bool = False) -> DataFrame:
     """Stock on the latest date of each entity. An aggregate, so rows are reduced before
     the shuffle and nothing is sorted; ``latest_ties`` reports entities for which it is
-    not defined."""
+    not defined. With ``check_ties`` the job fails for an entity whose latest rows differ in
+    stock, which the same aggregate sees."""
     require_columns(df, [*panel.grain, panel.stock], "latest stock")
-    return (
+    stock, day = F.col(panel.stock), F.unix_date(panel.date).cast("double")
+    # On numbers alone: the latest date with the largest and with the smallest stock.
+    wide = F.lit(2.0**31)
+    found = (
         df.dropna(subset=list(panel.entity))
         .groupBy(*panel.entity)
-        .agg(F.max_by(panel.stock, panel.date).alias(panel.stock))
+        .agg(
+            F.max_by(panel.stock, panel.date).alias(panel.stock),
+            *([F.max_by(stock, day * wide + stock).alias("__most"), F.max_by(stock, day * wide - stock).alias("__least")] if check_ties else []),
+        )
     )
+    if not check_ties:
+        return found
+    message = F.concat(F.lit("more than one latest stock row, for example "), F.concat_ws(", ", *[F.col(c).cast("string") for c in panel.entity]))
+    ambiguous = F.col("__most") != F.col("__least")
+    checked = F.when(ambiguous, F.raise_error(message).cast(found.schema[panel.stock].dataType)).otherwise(F.col(panel.stock))
+    return found.select(*panel.entity, checked.alias(panel.stock))
 
 
 def apply_policy(entities: DataFrame, policy: PolicyParams = PolicyParams()) -> DataFrame:
@@ -77,18 +95,14 @@ def recommend(
     features: DataFrame,
     policy: PolicyParams = PolicyParams(),
     panel: PanelColumns = PanelColumns(),
-    check_ties: bool = False,
+    check_ties: bool = True,
 ) -> DataFrame:
     """One row per entity that has both forecasts and stock, in key order.
 
     Both sides are grouped by the entity, so their join needs no further shuffle. With
-    ``check_ties`` an entity with two rows on its latest date raises, at the cost of a job.
+    ``check_ties`` the job that reads the advice fails if the latest rows of an entity differ in stock.
     """
-    if check_ties:
-        tie = latest_ties(features, panel).take(1)
-        if tie:
-            raise DuplicateGrainError(f"more than one latest stock row, for example {tie[0].asDict()}")
-    entities = demand_stats(scored, panel).join(latest_stock(features, panel), list(panel.entity), "inner")
+    entities = demand_stats(scored, panel).join(latest_stock(features, panel, check_ties), list(panel.entity), "inner")
     return (
         apply_policy(entities.withColumnRenamed(panel.stock, "current_inventory_level"), policy)
         .select(*panel.entity, panel.category, panel.region, *RECOMMENDATION_MEASURES)
@@ -106,9 +120,12 @@ def run_summary(
     recommendations: DataFrame,
     policy: PolicyParams = PolicyParams(),
     panel: PanelColumns = PanelColumns(),
+    unmatched: DataFrame | None = None,
 ) -> DataFrame:
     """Figures of a run as (subject, measure, value): rows per category, range and mean of
-    the forecasts, means over the entities, flagged entities, service level."""
+    the forecasts, means over the entities, flagged entities, service level, and, given the row of
+    ``unmatched_count``, the entities without stock. The forecasts are read once: they are
+    added up per category, and those few rows for the whole."""
 
     def lines(one_row: DataFrame, subject: str, measures: dict[str, Column]) -> DataFrame:
         counted = one_row.agg(*[c.cast("double").alias(m) for m, c in measures.items()])
@@ -116,20 +133,28 @@ def run_summary(
         return counted.select(F.lit(subject).alias("subject"), F.inline(F.array(*cells)))
 
     flagged = F.count_if("reorder_recommendation")
-    categories = (
+    forecast = F.col(panel.prediction)
+    groups = (
         scored.groupBy(F.col(panel.category).alias("measure"))
-        .agg(F.count(F.lit(1)).cast("double").alias("value"))
-        .select(F.lit("category_rows").alias("subject"), "measure", "value")
+        .agg(F.count(F.lit(1)).alias("rows"), F.min(forecast).alias("least"), F.max(forecast).alias("most"), F.sum(forecast).alias("total"), F.count(forecast).alias("n"))
     )
-    forecasts = lines(
-        scored,
-        "forecast",
-        {
-            "min": F.min(panel.prediction),
-            "max": F.max(panel.prediction),
-            "mean": F.avg(panel.prediction),
-        },
+    # One row per category, folded into one row: its lines come out of a single pass.
+    folded = groups.agg(
+        F.collect_list(F.struct("measure", F.col("rows").cast("double").alias("value"))).alias("categories"),
+        F.min("least").alias("least"),
+        F.max("most").alias("most"),
+        F.try_divide(F.sum("total"), F.sum("n")).alias("mean"),
+    )
+    whole = F.array(
+        *[
+            F.struct(F.lit("forecast").alias("subject"), F.lit(m).alias("measure"), F.col(c).cast("double").alias("value"))
+            for m, c in (("min", "least"), ("max", "most"), ("mean", "mean"))
+        ]
+    )
+    by_category = F.transform(
+        "categories", lambda c: F.struct(F.lit("category_rows").alias("subject"), c["measure"].alias("measure"), c["value"].alias("value"))
     )
+    forecasts = folded.select(F.inline(F.concat(by_category, whole)))
     entities = lines(
         recommendations,
         "entities",
@@ -142,4 +167,7 @@ def run_summary(
             "service_level_pct": F.max(F.lit(service_level_percent(policy.service_level_z))),
         },
     )
-    return categories.unionByName(forecasts).unionByName(entities)
+    found = forecasts.unionByName(entities)
+    if unmatched is None:
+        return found
+    return found.unionByName(lines(unmatched, "entities", {"without_stock": F.max("unmatched")}))

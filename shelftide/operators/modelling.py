@@ -14,14 +14,13 @@ from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from shelftide.operators.checks import require_columns
 from shelftide.operators.encoding import IdDimension
 from shelftide.operators.splitting import split_counts
 from shelftide.params import FeatureParams, PanelColumns, Settings
-from shelftide.schemas import PREDICTION_KEYS
 from shelftide.sources.shared import shared_folder
 from shelftide.sources.sinks import write_json, write_parquet
 
@@ -78,7 +77,7 @@ def project(
     panel: PanelColumns = PanelColumns(),
 ) -> DataFrame:
     """Keys and features, each column once at its first place."""
-    wanted = list(dict.fromkeys([*PREDICTION_KEYS, *feature_columns(use_baseline, params, panel)]))
+    wanted = list(dict.fromkeys([*prediction_keys(panel), *feature_columns(use_baseline, params, panel)]))
     require_columns(df, wanted, "model input")
     return df.select(*wanted)
 
@@ -129,6 +128,7 @@ class DemandModel:
     pipeline: PipelineModel
     features: tuple[str, ...]
     use_baseline: bool
+    panel: PanelColumns
     # One row; see ``training_metadata``.
     metadata: DataFrame
     # One row per tree: (iteration, validation_rmse); no rows without a holdout.
@@ -146,7 +146,9 @@ def training_metadata(
     counts are part of the plan."""
     features = feature_columns(use_baseline, settings.features, settings.panel)
     tree = asdict(settings.trees)
-    ignored = ["reg_alpha", "reg_lambda"]
+    # Spark ML has no penalties and one way to grow a tree, measures squared error, and draws the
+    # share of columns for every node instead of every tree.
+    ignored = ["reg_alpha", "reg_lambda", "tree_method", "eval_metric", "colsample_bytree (per node)"]
     return split_counts(df, settings.split, settings.panel).select(
         "cutoff_date",
         F.lit(settings.split.rule).alias("split_rule"),
@@ -201,7 +203,7 @@ def train(df: DataFrame, settings: Settings = Settings(), use_baseline: bool = F
     validation = spark.createDataFrame(
         [(i + 1, float(mse) ** 0.5) for i, mse in enumerate(errors)], "iteration int, validation_rmse double"
     )
-    return DemandModel(fitted, tuple(features), use_baseline, metadata, validation)
+    return DemandModel(fitted, tuple(features), use_baseline, panel, metadata, validation)
 
 
 def clip_prediction(df: DataFrame, raw: str = "raw_prediction", prediction: str = "predicted_units_sold") -> DataFrame:
@@ -209,13 +211,19 @@ def clip_prediction(df: DataFrame, raw: str = "raw_prediction", prediction: str
     return df.withColumn(prediction, F.when(F.col(raw) < 0, 0.0).otherwise(F.col(raw)))
 
 
-def predict(
-    df: DataFrame, model: DemandModel, settings: Settings = Settings()
-) -> DataFrame:
-    """All rows scored: the key columns and the forecast, 0 or more. Lazy."""
-    wanted = project(df, model.use_baseline, settings.features, settings.panel)
-    scored = clip_prediction(model.pipeline.transform(wanted), prediction=settings.panel.prediction)
-    return scored.select(*PREDICTION_KEYS, settings.panel.prediction)
+def prediction_keys(panel: PanelColumns) -> tuple[str, ...]:
+    """The key columns of a forecast under the names of the panel."""
+    return (*panel.grain, panel.category, panel.region, panel.target, panel.baseline)
+
+
+def predict(df: DataFrame, model: DemandModel) -> DataFrame:
+    """All rows scored: the key columns and the forecast, 0 or more. Lazy. Features and column
+    names are those the model was trained with."""
+    keys = prediction_keys(model.panel)
+    wanted = list(dict.fromkeys([*keys, *model.features]))
+    require_columns(df, wanted, "predict")
+    scored = clip_prediction(model.pipeline.transform(df.select(*wanted)), prediction=model.panel.prediction)
+    return scored.select(*keys, model.panel.prediction)
 
 
 def stamp(df: DataFrame, run_id: str, model_version: str) -> DataFrame:
@@ -242,8 +250,10 @@ def save_model(
     write_json(model.metadata, f"{path}/metadata")
     write_parquet(model.metadata, f"{path}/metadata_table")
     write_parquet(model.validation, f"{path}/validation")
+    names = {k: list(v) if isinstance(v, tuple) else v for k, v in asdict(model.panel).items()}
+    write_parquet(model.metadata.sparkSession.createDataFrame([Row(**names)]), f"{path}/panel")
     for d in (dimensions or {}).values():
-        write_parquet(d.frame, f"{path}/ids/{d.column}")
+        write_parquet(d.frame.withColumn("small", F.lit(d.small)), f"{path}/ids/{d.column}")
     return path
 
 
@@ -255,7 +265,9 @@ def load_model(spark: SparkSession, folder: str, use_baseline: bool = False) ->
     except AnalysisException as problem:
         raise FileNotFoundError(f"no trained model at {path}; train and save one first") from problem
     features = tuple(metadata.select("feature_columns").first()[0])
-    return DemandModel(PipelineModel.load(f"{path}/pipeline"), features, use_baseline, metadata, validation)
+    names = spark.read.parquet(f"{path}/panel").first().asDict()
+    panel = PanelColumns(**{k: tuple(v) if isinstance(v, list) else v for k, v in names.items()})
+    return DemandModel(PipelineModel.load(f"{path}/pipeline"), features, use_baseline, panel, metadata, validation)
 
 
 def load_id_dimensions(
@@ -265,6 +277,8 @@ def load_id_dimensions(
     path = model_path(folder, use_baseline)
     found = {}
     for column, output in settings.encoding.id_outputs.items():
-        frame = spark.read.parquet(f"{path}/ids/{column}")
-        found[column] = IdDimension(column, output, frame, frame.count() <= settings.encoding.broadcast_ids)
+        saved = spark.read.parquet(f"{path}/ids/{column}")
+        # The size check of training decides here too.
+        checked = saved.select("small").first()
+        found[column] = IdDimension(column, output, saved.drop("small"), checked is None or checked["small"])
     return found

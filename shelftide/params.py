@@ -88,7 +88,7 @@ class FeatureParams:
     # True: the frame ends on the current row, so the target of the day is part of its
     # own rolling features. False: the frame ends on the row before (leak-free).
     include_current: bool = True
-    # Rolling mean and std of whole numbers from running sums instead of from each frame.
+    # Rolling mean and std of whole numbers from exact running sums instead of from each frame.
     running_sums: bool = True
     calendar: bool = True
     price: bool = True
@@ -118,8 +118,8 @@ class SplitParams:
 class TreeParams:
     """Boosted-tree settings under their usual names.
 
-    ``reg_alpha`` and ``reg_lambda`` have no counterpart in Spark ML; they are kept so
-    that the training metadata can say they were not applied.
+    ``reg_alpha``, ``reg_lambda``, ``tree_method`` and ``eval_metric`` have no counterpart in Spark
+    ML; they are kept so that the training metadata can say they were not applied.
     """
 
     n_estimators: int = 300
@@ -156,6 +156,14 @@ class OutputParams:
     write_csv: bool = True
 
 
+def _known(section: str, values: Mapping[str, Any], kind: type) -> Mapping[str, Any]:
+    """``values``, if every key is a setting of ``kind``."""
+    unknown = sorted(set(values) - {f.name for f in fields(kind)})
+    if unknown:
+        raise ValueError(f"unknown settings in section {section}: {unknown}")
+    return values
+
+
 @dataclass(frozen=True)
 class Settings:
     panel: PanelColumns = field(default_factory=PanelColumns)
@@ -173,8 +181,8 @@ class Settings:
         feature = config.get("feature_engineering", {})
         training = config.get("training", {})
         output = config.get("output", {})
-        known_tree = {f.name for f in fields(TreeParams)}
-        tree = config.get("model", {}).get("xgboost", {})
+        tree = _known("model.xgboost", config.get("model", {}).get("xgboost", {}), TreeParams)
+        policy = _known("inventory", config.get("inventory", {}), PolicyParams)
         defaults = FeatureParams()
         return cls(
             encoding=EncodingParams()
@@ -191,8 +199,8 @@ class Settings:
                 rule=training.get("split_rule", "days"),
                 seed=int(training.get("random_seed", 42)),
             ),
-            trees=TreeParams(**{k: v for k, v in tree.items() if k in known_tree}),
-            policy=PolicyParams(**config.get("inventory", {})),
+            trees=TreeParams(**tree),
+            policy=PolicyParams(**policy),
             output=OutputParams(
                 forecast_name=output.get("forecast_filename", "demand_forecast"),
                 inventory_name=output.get("inventory_filename", "inventory_recommendations"),

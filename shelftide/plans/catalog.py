@@ -11,18 +11,20 @@ that can: the shipped forecast floored at 0, or the target seven rows earlier.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelftide.operators import checks, cleaning, encoding, evaluation, features, inventory, modelling, splitting
 from shelftide.params import FeatureParams, Settings, SplitParams, TreeParams
-from shelftide.plans.full_run import run
+from shelftide.plans.full_run import run_from_csv
 from shelftide.schemas import CLEAN_SCHEMA, PREDICTION_COLUMNS
 from shelftide.sources import sinks
-from shelftide.sources.sales_csv import read_sales_csv
+from shelftide.sources.sales_csv import read_sales_csv, read_sales_csv_quarantined
 from shelftide.sources.shared import fresh_path
-from shelftide.sources.star_tables import STAR_ENCODING, raw_panel, sale_lines
+from shelftide.sources.star_tables import STAR_ENCODING, many_series_panel, raw_panel, sale_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,6 +81,19 @@ def scan_csv(spark: SparkSession, folder: str) -> DataFrame:
     return read_sales_csv(spark, path)
 
 
+def scan_csv_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows with a discount of 7 are written with a word for the discount; rows and rejected
+    lines come back apart."""
+    panel = raw_panel(spark, folder)
+    broken = F.when(F.col("Discount") == 7, "seven").otherwise(F.col("Discount").cast("string"))
+    path = sinks.write_csv(panel.withColumn("Discount", broken), fresh_path(spark, "raw_csv"))
+    rows, lines = read_sales_csv_quarantined(spark, path)
+    good = rows.select(F.lit("row").alias("kind"), F.col("Date").cast("string").alias("date"), F.col("Store ID").alias("store_id"), F.col("Product ID").alias("product_id"))
+    fields = F.split("line", ",")
+    bad = lines.select(F.lit("reject").alias("kind"), fields[0].alias("date"), fields[1].alias("store_id"), fields[2].alias("product_id"))
+    return good.unionByName(bad)
+
+
 def load_audit(spark: SparkSession, folder: str) -> DataFrame:
     return checks.load_audit(raw_panel(spark, folder))
 
@@ -188,6 +203,17 @@ def encode_dynamic_ranges(spark: SparkSession, folder: str) -> DataFrame:
     return encoding.encode_ids(totals, encoding.id_dimensions(totals, params))
 
 
+def encode_null_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """The path for many ids on lines that lack the store, the product or both."""
+    params = encoding.EncodingParams(labels=STAR_ENCODING.labels, broadcast_ids=0)
+    units = F.col("units_ordered")
+    lines = sale_lines(spark, folder).withColumns(
+        {"store_id": F.when(units % 7 != 0, F.col("store_id")), "product_id": F.when(units % 3 != 0, F.col("product_id"))}
+    )
+    totals = lines.groupBy("store_id", "product_id").agg(F.count(F.lit(1)).alias("line_count"))
+    return encoding.encode_ids(totals, encoding.id_dimensions(totals, params))
+
+
 def one_hot(spark: SparkSession, folder: str) -> DataFrame:
     df = encoding.one_hot(cleaned(spark, folder), STAR_ENCODING.labels)
     return df.select(*KEYS, *[c for c in df.columns if "_is_" in c])
@@ -208,6 +234,13 @@ def rolling_features(spark: SparkSession, folder: str) -> DataFrame:
     return rounded_like(_with_keys(features.add_rolling(cleaned(spark, folder)), "rolling_"), "rolling_")
 
 
+def rolling_large(spark: SparkSession, folder: str) -> DataFrame:
+    """Targets of up to two thousand million, whose squares do not add up in 64 bits."""
+    large = (F.col("units_sold").cast("bigint") * 7919000 % 2000000000 + 100000000).cast("int")
+    df = features.add_rolling(cleaned(spark, folder).withColumn("units_sold", large))
+    return rounded_like(_with_keys(df, "rolling_"), "rolling_", digits=3)
+
+
 def rolling_past(spark: SparkSession, folder: str) -> DataFrame:
     df = features.add_rolling(cleaned(spark, folder), FeatureParams(include_current=False))
     return rounded_like(_with_keys(df, "rolling_"), "rolling_")
@@ -287,12 +320,35 @@ def predict_gbt(spark: SparkSession, folder: str) -> DataFrame:
     staged = _staged_features(spark, folder)
     models = fresh_path(spark, "models")
     modelling.save_model(modelling.train(staged, MODEL_SETTINGS), models)
-    return modelling.predict(staged, modelling.load_model(spark, models), MODEL_SETTINGS)
+    return modelling.predict(staged, modelling.load_model(spark, models))
+
+
+def fit_stump(spark: SparkSession, folder: str) -> DataFrame:
+    """One tree of one split on the discount, without subsampling: saved, loaded and applied. The
+    best split and the two means can be computed in SQL."""
+    trees = TreeParams(n_estimators=1, max_depth=1, learning_rate=1.0, subsample=1.0, colsample_bytree=1.0, min_child_weight=1)
+    rows = sinks.stage(cleaned(spark, folder).select("discount", "units_sold"), fresh_path(spark, "stump_rows"))
+    path = fresh_path(spark, "stump")
+    modelling.estimator(["discount"], Settings(trees=trees)).fit(rows).write().save(path)
+    scored = PipelineModel.load(path).transform(rows)
+    return rounded(scored.select("discount", F.col("raw_prediction").alias("prediction")).distinct(), ["prediction"])
 
 
 def full_run(spark: SparkSession, folder: str) -> DataFrame:
-    """Every step on the raw rows with a trained model; returns the reorder advice."""
-    return run(raw_panel(spark, folder), fresh_path(spark, "run"), MODEL_SETTINGS, use_baseline=True).recommendations
+    """Every step from a CSV file to all written outputs, with a trained model; returns the rows that
+    are in the files of each output."""
+    source = sinks.write_csv(raw_panel(spark, folder), fresh_path(spark, "raw_csv"))
+    paths = run_from_csv(spark, source, fresh_path(spark, "run"), MODEL_SETTINGS, use_baseline=True, run_id="catalog")
+    files = {
+        "forecast_csv": spark.read.option("header", True).csv(paths["forecast"]["csv"]),
+        "forecast_parquet": spark.read.parquet(paths["forecast"]["parquet"]),
+        "inventory_csv": spark.read.option("header", True).csv(paths["inventory"]["csv"]),
+        "inventory_parquet": spark.read.parquet(paths["inventory"]["parquet"]),
+        "metrics": spark.read.text(paths["metrics"]),
+        **{name: spark.read.parquet(paths[name]) for name in ("errors", "stockouts", "summary")},
+    }
+    counts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("artefact"), "row_count") for name, df in files.items()]
+    return reduce(DataFrame.unionByName, counts)
 
 
 # Evaluation and inventory
@@ -343,6 +399,57 @@ def run_summary(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(summary, ["value"])
 
 
+def demand_stats_moving(spark: SparkSession, folder: str) -> DataFrame:
+    """Large forecasts of entities that change their category and region every month."""
+    turn = F.month("date") % 3
+    moved = scored_baseline(spark, folder).withColumns(
+        {
+            "category": F.concat("category", turn.cast("string")),
+            "region": F.concat("region", (turn % 2).cast("string")),
+            "predicted_units_sold": F.col("predicted_units_sold") + 1e8,
+        }
+    )
+    return rounded(inventory.demand_stats(moved), ["avg_daily_demand", "demand_std_dev"], 3)
+
+
+# The same operators over a series per store and part
+
+
+def many_series(spark: SparkSession, folder: str) -> DataFrame:
+    return sinks.stage(many_series_panel(spark, folder), fresh_path(spark, "many_series"))
+
+
+def _scored_many(panel: DataFrame) -> DataFrame:
+    return modelling.clip_prediction(panel, raw="demand_forecast").select(*PREDICTION_COLUMNS)
+
+
+def lag_many_series(spark: SparkSession, folder: str) -> DataFrame:
+    return _with_keys(features.add_lags(many_series(spark, folder)), "lag_", "units_sold")
+
+
+def rolling_many_series(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded_like(_with_keys(features.add_rolling(many_series(spark, folder)), "rolling_"), "rolling_")
+
+
+def demand_stats_many_series(spark: SparkSession, folder: str) -> DataFrame:
+    stats = inventory.demand_stats(_scored_many(many_series(spark, folder)))
+    return rounded(stats, ["avg_daily_demand", "demand_std_dev"])
+
+
+def latest_inventory_many_series(spark: SparkSession, folder: str) -> DataFrame:
+    return inventory.latest_stock(many_series(spark, folder))
+
+
+def recommend_many_series(spark: SparkSession, folder: str) -> DataFrame:
+    panel = many_series(spark, folder)
+    return rounded(inventory.recommend(_scored_many(panel), panel), ["avg_daily_demand", "demand_std_dev"])
+
+
+def encode_many_series(spark: SparkSession, folder: str) -> DataFrame:
+    panel = many_series(spark, folder)
+    return encoding.encode_ids(panel, encoding.id_dimensions(panel, STAR_ENCODING)).select(*KEYS, *STAR_ENCODING.id_outputs.values())
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -393,6 +500,17 @@ QUERIES: dict[str, Query] = {
         inventory_policy,
         recommend,
         run_summary,
+        scan_csv_quarantine,
+        encode_null_ids,
+        rolling_large,
+        fit_stump,
+        demand_stats_moving,
+        lag_many_series,
+        rolling_many_series,
+        demand_stats_many_series,
+        latest_inventory_many_series,
+        recommend_many_series,
+        encode_many_series,
     )
 }
 QUERIES |= {"clean": cleaned, "encode": encoded}

@@ -14,13 +14,13 @@ from shelftide.operators.checks import (
 )
 from shelftide.operators.cleaning import clean
 from shelftide.operators.encoding import id_dimensions
-from shelftide.operators.evaluation import evaluate, report_lines, stockout_rate
+from shelftide.operators.evaluation import evaluate, forecast_errors, report_lines, stockout_rate
 from shelftide.operators.features import feature_table
-from shelftide.operators.inventory import recommend, run_summary
-from shelftide.operators.modelling import DemandModel, predict, save_model, train, variant_name
+from shelftide.operators.inventory import recommend, run_summary, unmatched_count
+from shelftide.operators.modelling import DemandModel, predict, save_model, stamp, train, variant_name
 from shelftide.params import Settings
 from shelftide.sources.sales_csv import read_sales_csv
-from shelftide.sources.sinks import stage, write_forecast, write_inventory, write_text
+from shelftide.sources.sinks import stage, write_forecast, write_inventory, write_parquet, write_text
 
 
 @dataclass(frozen=True)
@@ -64,8 +64,10 @@ def run(
     features = stage(table, f"{staging}/features")
     model = train(features, settings, use_baseline)
     saved = save_model(model, f"{folder}/models", dimensions)
-    scored = stage(predict(features, model, settings), f"{staging}/scored")
-    recommendations = recommend(scored, features, settings.policy, settings.panel)
+    scored = stage(predict(features, model), f"{staging}/scored")
+    advice = recommend(scored, features, settings.policy, settings.panel)
+    recommendations = stage(advice, f"{staging}/recommendations").orderBy(*settings.panel.entity)
+    unmatched = unmatched_count(scored, features, settings.panel)
     return RunResult(
         features=features,
         model=model,
@@ -74,7 +76,7 @@ def run(
         metrics=evaluate(scored, settings.panel),
         stockouts=stockout_rate(scored, settings.panel),
         recommendations=recommendations,
-        summary=run_summary(scored, recommendations, settings.policy, settings.panel),
+        summary=run_summary(scored, recommendations, settings.policy, settings.panel, unmatched),
     )
 
 
@@ -84,13 +86,24 @@ def run_from_csv(
     folder: str,
     settings: Settings = Settings(),
     use_baseline: bool = False,
+    run_id: str | None = None,
+    model_version: str = "1",
 ) -> dict[str, str | dict[str, str]]:
-    """Reads the sales file, runs every step and writes the outputs; returns their paths."""
+    """Reads the sales file, runs every step and writes the outputs; returns their paths.
+
+    With a ``run_id`` the forecast errors (under their published names) and the summary carry the
+    run, the model version and the time of writing.
+    """
     result = run(read_sales_csv(spark, source), folder, settings, use_baseline)
     variant = result.model.variant
+    stamped = (lambda df: stamp(df, run_id, model_version)) if run_id else (lambda df: df)
+    predictions = f"{folder}/predictions/{variant}"
     return {
         "model": result.model_path,
         "metrics": write_text(report_lines(result.metrics), f"{folder}/models/{variant}_evaluation_metrics"),
-        "forecast": write_forecast(result.scored, f"{folder}/predictions/{variant}", settings.output),
-        "inventory": write_inventory(result.recommendations, f"{folder}/predictions/{variant}", settings.output, settings.panel),
+        "forecast": write_forecast(result.scored, predictions, settings.output),
+        "inventory": write_inventory(result.recommendations, predictions, settings.output, settings.panel),
+        "errors": write_parquet(stamped(forecast_errors(result.scored, settings.panel)), f"{predictions}/forecast_errors"),
+        "stockouts": write_parquet(result.stockouts, f"{predictions}/stockout_rates"),
+        "summary": write_parquet(stamped(result.summary), f"{predictions}/run_summary"),
     }

@@ -2,13 +2,66 @@
 
 from __future__ import annotations
 
-from dataclasses import asdict
-
-from shelftide.functions.stock import service_level_percent
-from shelftide.operators.modelling import feature_columns
-from shelftide.params import LABEL_VALUES, VALUE_RANGES, PolicyParams, TreeParams
-from shelftide.schemas import CLEAN_SCHEMA, PREDICTION_COLUMNS, RAW_TO_CLEAN
-from shelftide.sources.star_tables import STAR_ENCODING
+# Fixed values, spelled out here and not taken from the code under test.
+LABEL_ORDER = {
+    "category": ("Clothing", "Electronics", "Furniture", "Groceries", "Toys"),
+    "region": ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"),
+    "weather_condition": ("Sunny", "Cloudy", "Rainy", "Snowy"),
+    "seasonality": ("Spring", "Summer", "Autumn", "Winter"),
+}
+DEFAULT_REGIONS = ("East", "North", "South", "West")
+LABEL_NAMES = {
+    "category": "category_encoded",
+    "region": "region_encoded",
+    "weather_condition": "weather_encoded",
+    "seasonality": "seasonality_encoded",
+}
+ID_NAMES = {"store_id": "store_id_encoded", "product_id": "product_id_encoded"}
+RANGES = {
+    "inventory_level": (50, 500),
+    "units_sold": (0, 499),
+    "units_ordered": (20, 200),
+    "demand_forecast": (-9.99, 518.55),
+    "price": (10.0, 100.0),
+    "discount": (0, 20),
+    "competitor_pricing": (5.03, 104.94),
+}
+RAW_NAMES_OF = {
+    "Date": "date",
+    "Store ID": "store_id",
+    "Product ID": "product_id",
+    "Category": "category",
+    "Region": "region",
+    "Inventory Level": "inventory_level",
+    "Units Sold": "units_sold",
+    "Units Ordered": "units_ordered",
+    "Demand Forecast": "demand_forecast",
+    "Price": "price",
+    "Discount": "discount",
+    "Weather Condition": "weather_condition",
+    "Holiday/Promotion": "is_holiday_or_promo",
+    "Competitor Pricing": "competitor_pricing",
+    "Seasonality": "seasonality",
+}
+CLEAN_NAMES = (
+    "date store_id product_id category region inventory_level units_sold units_ordered demand_forecast "
+    "is_forecast_anomaly price discount weather_condition is_holiday_or_promo competitor_pricing seasonality"
+).split()
+PREDICTION_NAMES = "date store_id product_id category region units_sold demand_forecast predicted_units_sold".split()
+# 32 model inputs of the enhanced variant, in training order.
+MODEL_INPUTS = (
+    "inventory_level units_ordered price discount competitor_pricing effective_price price_to_competitor_ratio "
+    "has_discount is_holiday_or_promo day_of_week month week_of_year quarter day_of_month is_weekend "
+    "category_encoded region_encoded weather_encoded seasonality_encoded store_id_encoded product_id_encoded "
+    "lag_1 lag_7 lag_14 lag_28 rolling_mean_7 rolling_std_7 rolling_mean_14 rolling_std_14 rolling_mean_28 "
+    "rolling_std_28 demand_forecast"
+).split()
+TREE_TEXT = (
+    "checkpoint_interval=10,colsample_bytree=0.8,eval_metric=rmse,learning_rate=0.05,max_bins=256,max_depth=6,"
+    "min_child_weight=5,n_estimators=300,objective=reg:squarederror,reg_alpha=0.1,reg_lambda=1.0,subsample=0.8,tree_method=hist"
+)
+NOT_APPLIED = "reg_alpha,reg_lambda,tree_method,eval_metric,colsample_bytree (per node)"
+LEAD_DAYS, CYCLE_DAYS, SERVICE_Z = 7, 30, 1.65
 
 PANEL = """
 panel AS (
@@ -75,8 +128,8 @@ def rank_label(column: str) -> str:
     return f"CAST(dense_rank() OVER (ORDER BY {column}) - 1 AS INTEGER)"
 
 
-LABELS = ", ".join(f"{label(c, STAR_ENCODING.labels[c])} AS {out}" for c, out in STAR_ENCODING.label_outputs.items())
-IDS = ", ".join(f"{rank_label(c)} AS {out}" for c, out in STAR_ENCODING.id_outputs.items())
+LABELS = ", ".join(f"{label(c, LABEL_ORDER[c])} AS {out}" for c, out in LABEL_NAMES.items())
+IDS = ", ".join(f"{rank_label(c)} AS {out}" for c, out in ID_NAMES.items())
 LAG = ", ".join(f"CAST(lag(units_sold, {n}) OVER ({BY_DATE}) AS DOUBLE) AS lag_{n}" for n in LAGS)
 
 AGGREGATES = {"mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
@@ -115,7 +168,7 @@ PRICES = """price * (CAST(1 AS DOUBLE) - discount / CAST(100 AS DOUBLE)) AS effe
   discount > 0 AS has_discount"""
 ONE_HOT = ", ".join(
     f"CAST({c} = '{v}' AS INTEGER) AS {c}_is_{v.lower().replace(' ', '_')}"
-    for c, values in STAR_ENCODING.labels.items()
+    for c, values in LABEL_ORDER.items()
     for v in values[:-1]
 )
 FEATURES = CLEANED + f""",
@@ -144,13 +197,12 @@ def round4(value: str) -> str:
     return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 17)), 4) AS DOUBLE)"
 
 
-POLICY = PolicyParams()
-SAFETY = f"demand_std_dev * ({POLICY.service_level_z!r}::DOUBLE * sqrt(CAST({POLICY.lead_time_days} AS DOUBLE)))"
-TRIGGER = f"(avg_daily_demand * {POLICY.lead_time_days} + {SAFETY})"
-TARGET = f"(avg_daily_demand * {POLICY.order_cycle_days} + {SAFETY})"
-POLICY_COLUMNS = f"""CAST({POLICY.lead_time_days} AS INTEGER) AS lead_time_days,
-  CAST({POLICY.order_cycle_days} AS INTEGER) AS order_cycle_days,
-  CAST({POLICY.service_level_z} AS DOUBLE) AS service_level_z,
+SAFETY = f"demand_std_dev * ({SERVICE_Z!r}::DOUBLE * sqrt(CAST({LEAD_DAYS} AS DOUBLE)))"
+TRIGGER = f"(avg_daily_demand * {LEAD_DAYS} + {SAFETY})"
+TARGET = f"(avg_daily_demand * {CYCLE_DAYS} + {SAFETY})"
+POLICY_COLUMNS = f"""CAST({LEAD_DAYS} AS INTEGER) AS lead_time_days,
+  CAST({CYCLE_DAYS} AS INTEGER) AS order_cycle_days,
+  CAST({SERVICE_Z} AS DOUBLE) AS service_level_z,
   {round4(SAFETY)} AS safety_stock, {round4(TRIGGER)} AS reorder_point,
   {round4(TARGET)} AS target_stock_level,
   {round4(f"greatest({TARGET} - current_inventory_level, CAST(0 AS DOUBLE))")} AS recommended_order_qty,
@@ -207,13 +259,13 @@ metrics AS (
 
 QUALITY = " UNION ALL ".join(
     [
-        f"SELECT '{f.name}' AS column_name, 'not_null' AS check_name, "
-        f"count(*) FILTER (WHERE {f.name} IS NULL) AS violations, count(*) AS total_rows FROM cleaned"
-        for f in CLEAN_SCHEMA.fields
+        f"SELECT '{name}' AS column_name, 'not_null' AS check_name, "
+        f"count(*) FILTER (WHERE {name} IS NULL) AS violations, count(*) AS total_rows FROM cleaned"
+        for name in CLEAN_NAMES
     ]
     + [
         f"SELECT '{c}', 'in_range', count(*) FILTER (WHERE {c} NOT BETWEEN {low!r}::DOUBLE AND {high!r}::DOUBLE), count(*) FROM cleaned"
-        for c, (low, high) in VALUE_RANGES.items()
+        for c, (low, high) in RANGES.items()
     ]
 )
 
@@ -225,7 +277,7 @@ def _list(values: tuple[str, ...]) -> str:
 DOMAINS = " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, {c} AS value, count(*) AS violations FROM cleaned "
     f"WHERE {c} NOT IN ({_list(values)}) GROUP BY {c}"
-    for c, values in LABEL_VALUES.items()
+    for c, values in {**LABEL_ORDER, "region": DEFAULT_REGIONS}.items()
 )
 
 SUMMARY = ADVICE + f""",
@@ -240,7 +292,7 @@ summary AS (
   UNION ALL SELECT 'entities', 'reorder_flagged', count(*) FILTER (WHERE reorder_recommendation) FROM advice
   UNION ALL SELECT 'entities', 'reorder_flagged_pct',
     CAST(100 AS DOUBLE) * count(*) FILTER (WHERE reorder_recommendation) / count(*) FROM advice
-  UNION ALL SELECT 'entities', 'service_level_pct', CAST({service_level_percent(POLICY.service_level_z)!r} AS DOUBLE)
+  UNION ALL SELECT 'entities', 'service_level_pct', round(CAST(95.05285319663519 AS DOUBLE), 6)
 )"""
 
 CUTOFF = "(SELECT max(date) - 90 FROM cleaned)"
@@ -255,24 +307,111 @@ def split_counts(cutoff: str) -> str:
       FROM cleaned, cut"""
 
 
-RAW_NAMES = ", ".join(f'{clean} AS "{raw}"' for raw, clean in RAW_TO_CLEAN.items())
-PREDICTIONS = ", ".join(PREDICTION_COLUMNS)
-ENHANCED = feature_columns(use_baseline=True)
-PROJECTION = ", ".join(dict.fromkeys([*PREDICTION_COLUMNS[:-1], *ENHANCED]))
-TREE_TEXT = ",".join(sorted(f"{k}={v}" for k, v in asdict(TreeParams()).items()))
+RAW_NAMES = ", ".join(f'{clean} AS "{raw}"' for raw, clean in RAW_NAMES_OF.items())
+PREDICTIONS = ", ".join(PREDICTION_NAMES)
+PROJECTION = ", ".join(dict.fromkeys([*PREDICTION_NAMES[:-1], *MODEL_INPUTS]))
 
 METADATA = f"""WITH {CLEANED}
 SELECT max(date) - 90 AS cutoff_date, 'days' AS split_rule, CAST(90 AS INTEGER) AS holdout_days,
   count(*) FILTER (WHERE date <= {CUTOFF}) AS train_row_count, count(*) FILTER (WHERE date > {CUTOFF}) AS val_row_count,
-  CAST({len(ENHANCED)} AS INTEGER) AS feature_count, '{",".join(ENHANCED)}' AS feature_columns,
-  'units_sold' AS target_column, '{TREE_TEXT}' AS model_parameters, 'reg_alpha,reg_lambda' AS parameters_not_applied,
+  CAST({len(MODEL_INPUTS)} AS INTEGER) AS feature_count, '{",".join(MODEL_INPUTS)}' AS feature_columns,
+  'units_sold' AS target_column, '{TREE_TEXT}' AS model_parameters, '{NOT_APPLIED}' AS parameters_not_applied,
   CAST(42 AS INTEGER) AS random_seed, 'enhanced' AS model_variant, TRUE AS use_baseline_feature
 FROM cleaned"""
 
+MANY = """
+many AS (
+  SELECT date, 'S' || lpad(CAST(n_regionkey + 1 AS VARCHAR), 3, '0') AS store_id,
+    'P' || lpad(CAST(l_partkey AS VARCHAR), 12, '0') AS product_id,
+    CASE l_partkey % 5 WHEN 0 THEN 'Clothing' WHEN 1 THEN 'Electronics' WHEN 2 THEN 'Furniture'
+      WHEN 3 THEN 'Groceries' ELSE 'Toys' END AS category,
+    r_name AS region, CAST(50 + order_keys % 451 AS INTEGER) AS inventory_level,
+    CAST(sold AS INTEGER) AS units_sold, round(planned - CAST(3 AS DOUBLE), 2) AS demand_forecast
+  FROM (
+    SELECT CAST(l_shipdate AS DATE) AS date, n_regionkey, r_name, l_partkey, sum(l_orderkey) AS order_keys,
+      sum(CASE WHEN l_returnflag = 'R' THEN CAST(0 AS DOUBLE) ELSE l_quantity END) AS sold,
+      sum(l_quantity * (CAST(1 AS DOUBLE) + l_tax - l_discount)) AS planned
+    FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+      JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+    GROUP BY ALL)
+), scored AS (
+  SELECT *, greatest(demand_forecast, CAST(0 AS DOUBLE)) AS predicted_units_sold FROM many
+)"""
+MANY_ADVICE = MANY + DEMAND + f""",
+stock AS (
+  SELECT store_id, product_id, inventory_level AS current_inventory_level FROM many
+  QUALIFY rank() OVER (PARTITION BY store_id, product_id ORDER BY date DESC) = 1
+), advice AS (
+  SELECT store_id, product_id, category, region, avg_daily_demand, demand_std_dev, current_inventory_level,
+    {POLICY_COLUMNS}
+  FROM demand JOIN stock USING (store_id, product_id)
+)"""
+
+
+def exact_rolling(n: int) -> str:
+    """Mean and deviation from whole sums of 128 bits."""
+    w = f"OVER ({BY_DATE} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    count, total = f"count(large) {w}", f"sum(CAST(large AS HUGEINT)) {w}"
+    squares = f"sum(CAST(large AS HUGEINT) * large) {w}"
+    spread = f"CAST({count} * {squares} - {total} * {total} AS DOUBLE) / ({count} * ({count} - 1))"
+    return (
+        f"round(CAST({total} AS DOUBLE) / {count}, 3) AS rolling_mean_{n}, "
+        f"CASE WHEN {count} > 1 THEN round(sqrt({spread}), 3) END AS rolling_std_{n}"
+    )
+
+
+def null_rank(column: str) -> str:
+    return f"CAST(CASE WHEN {column} IS NOT NULL THEN dense_rank() OVER (ORDER BY {column} NULLS LAST) - 1 END AS INTEGER)"
+
+
+STUMP = f"""WITH {CLEANED}, per AS (
+  SELECT discount, count(*) AS n, sum(units_sold) AS s FROM cleaned GROUP BY discount
+), cuts AS (
+  SELECT c.discount AS cut, sum(n) FILTER (p.discount <= c.discount) AS ln, sum(s) FILTER (p.discount <= c.discount) AS ls,
+    sum(n) FILTER (p.discount > c.discount) AS rn, sum(s) FILTER (p.discount > c.discount) AS rs
+  FROM per p, (SELECT discount FROM per) c GROUP BY c.discount HAVING count(*) FILTER (p.discount > c.discount) > 0
+), best AS (
+  SELECT * FROM cuts ORDER BY CAST(ls AS DOUBLE) * ls / ln + CAST(rs AS DOUBLE) * rs / rn DESC, cut LIMIT 1
+)
+SELECT discount, round(CASE WHEN discount <= cut THEN CAST(ls AS DOUBLE) / ln ELSE CAST(rs AS DOUBLE) / rn END, 6) AS prediction
+FROM per, best"""
+FULL_RUN = f"""WITH {CLEANED}, n AS (
+  SELECT count(*) AS n_rows, count(DISTINCT (store_id, product_id)) AS n_entities, count(DISTINCT category) AS n_categories FROM cleaned
+)
+SELECT unnest(['forecast_csv', 'forecast_parquet', 'inventory_csv', 'inventory_parquet', 'metrics', 'errors', 'stockouts', 'summary']) AS artefact,
+  unnest([n_rows, n_rows, n_entities, n_entities, n_categories + 1, n_rows, n_categories + 1, n_categories + 10]) AS row_count FROM n"""
+
 SQL: dict[str, str] = {
+    "scan_csv_quarantine": f"""WITH {PANEL} SELECT CASE WHEN discount = 7 THEN 'reject' ELSE 'row' END AS kind,
+      CAST(date AS VARCHAR) AS date, store_id, product_id FROM panel""",
+    "encode_null_ids": f"""WITH {LINES}, gaps AS (
+      SELECT CASE WHEN units_ordered % 7 <> 0 THEN store_id END AS store_id,
+        CASE WHEN units_ordered % 3 <> 0 THEN product_id END AS product_id FROM lines),
+      coded AS (SELECT *, {null_rank('store_id')} AS store_id_encoded, {null_rank('product_id')} AS product_id_encoded FROM gaps)
+      SELECT store_id, product_id, store_id_encoded, product_id_encoded, count(*) AS line_count FROM coded GROUP BY ALL""",
+    "rolling_large": f"""WITH {CLEANED}, big AS (
+      SELECT *, CAST(CAST(units_sold AS BIGINT) * 7919000 % 2000000000 + 100000000 AS INTEGER) AS large FROM cleaned)
+      SELECT {KEYS}, {", ".join(exact_rolling(n) for n in SIZES)} FROM big""",
+    "fit_stump": STUMP,
+    "full_run": FULL_RUN,
+    "demand_stats_moving": f"""WITH {SCORED_BASELINE}, moved AS (
+      SELECT * REPLACE (category || CAST(month(date) % 3 AS VARCHAR) AS category,
+        region || CAST(month(date) % 3 % 2 AS VARCHAR) AS region,
+        predicted_units_sold + CAST(100000000 AS DOUBLE) AS predicted_units_sold) FROM scored)
+      SELECT store_id, product_id, arg_min(category, date) AS category, arg_min(region, date) AS region,
+        round(avg(predicted_units_sold), 3) AS avg_daily_demand,
+        round(coalesce(stddev_samp(predicted_units_sold), CAST(0 AS DOUBLE)), 3) AS demand_std_dev
+      FROM moved GROUP BY store_id, product_id""",
+    "lag_many_series": f"WITH {MANY} SELECT {KEYS}, units_sold, {LAG} FROM many",
+    "rolling_many_series": f"WITH {MANY} SELECT {KEYS}, {rolling(('mean', 'std'))} FROM many",
+    "demand_stats_many_series": f"WITH {MANY}{DEMAND} SELECT * REPLACE ({POLICY_INPUT}) FROM demand",
+    "latest_inventory_many_series": f"""WITH {MANY} SELECT store_id, product_id, inventory_level FROM many
+      QUALIFY rank() OVER (PARTITION BY store_id, product_id ORDER BY date DESC) = 1""",
+    "recommend_many_series": f"WITH {MANY_ADVICE} SELECT * REPLACE ({POLICY_INPUT}) FROM advice",
+    "encode_many_series": f"WITH {MANY} SELECT {KEYS}, {IDS} FROM many",
     "scan_csv": f"WITH {PANEL} SELECT {RAW_NAMES} FROM panel",
-    "load_audit": f"""WITH {PANEL} SELECT count(*) AS total_rows, CAST({len(RAW_TO_CLEAN)} AS INTEGER) AS column_count,
-      '{",".join(RAW_TO_CLEAN)}' AS column_names FROM panel""",
+    "load_audit": f"""WITH {PANEL} SELECT count(*) AS total_rows, CAST({len(RAW_NAMES_OF)} AS INTEGER) AS column_count,
+      '{",".join(RAW_NAMES_OF)}' AS column_names FROM panel""",
     "sink_parquet": f"WITH {CLEANED} SELECT * FROM cleaned",
     "sink_csv": f"WITH {CLEANED} SELECT * FROM cleaned",
     "write_forecast": f"WITH {SCORED_BASELINE} SELECT {PREDICTIONS} FROM scored",
@@ -295,7 +434,7 @@ SQL: dict[str, str] = {
       GROUP BY store_id, product_id HAVING count(*) > 1""",
     "unmatched_entities": f"""WITH {LINES} SELECT store_id, product_id FROM lines GROUP BY store_id, product_id
       HAVING min(date) > (SELECT max(date) - 90 FROM lines)""",
-    "encode_fixed": f"WITH {CLEANED} SELECT {KEYS}, {', '.join(STAR_ENCODING.label_outputs)}, {LABELS} FROM cleaned",
+    "encode_fixed": f"WITH {CLEANED} SELECT {KEYS}, {', '.join(LABEL_NAMES)}, {LABELS} FROM cleaned",
     "encode_dynamic": f"WITH {CLEANED} SELECT {KEYS}, {IDS} FROM cleaned",
     "encode_dynamic_ranges": f"""WITH {LINES}, coded AS (SELECT *, {IDS} FROM lines)
       SELECT store_id, product_id, store_id_encoded, product_id_encoded, count(*) AS line_count,

@@ -29,10 +29,12 @@ def read_sales_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SC
 def read_sales_csv_quarantined(
     spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows, malformed lines): the same scan, with malformed rows set apart as text."""
+    """(rows, malformed lines): the same scan, with malformed rows set apart as text. A header
+    that differs from the schema fails the job here as well."""
     marked = (
         spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)]))
         .option("header", True)
+        .option("enforceSchema", False)
         .option("dateFormat", DATE_FORMAT)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)

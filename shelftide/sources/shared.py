@@ -7,6 +7,9 @@ are then the same machine.
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -14,15 +17,18 @@ from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder, which is also where checkpoints go from here on."""
+    """The folder of ``spark.checkpoint.dir``, else the one that the context checkpoints to. If
+    the context has none, checkpoints go to this folder from here on; settings stay as they are."""
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    set_before = context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or set_before
     if not folder:
-        if not context.master.startswith("local"):
+        if not re.match(r"local(\[|$)", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
         folder = tempfile.mkdtemp(prefix="shelftide-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if context.getCheckpointDir() is None:
+        # The folder goes with the session that needed it.
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    if set_before is None:
         context.setCheckpointDir(folder)
     return folder
 

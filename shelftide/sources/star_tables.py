@@ -114,6 +114,29 @@ def retail_panel(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def many_series_panel(spark: SparkSession, folder: str) -> DataFrame:
+    """A panel with every part as a product, so that the number of series grows with the
+    tables: one row per day, store and part, with the columns that series, demand and stock need."""
+    quantity = F.col("l_quantity")
+    lines = _with_store(table(spark, folder, "lineitem"), spark, folder)
+    grouped = lines.groupBy(F.col("l_shipdate").cast("date").alias("date"), "n_regionkey", "l_partkey").agg(
+        F.sum("l_orderkey").alias("order_keys"),
+        F.sum(F.when(F.col("l_returnflag") == "R", 0.0).otherwise(quantity)).alias("sold"),
+        F.sum(quantity * (1 + F.col("l_tax") - F.col("l_discount"))).alias("planned"),
+    )
+    named = grouped.join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return named.select(
+        "date",
+        _code("S", F.col("n_regionkey") + 1, 3).alias("store_id"),
+        _code("P", F.col("l_partkey"), 12).alias("product_id"),
+        _pick(CATEGORIES, F.col("l_partkey") % len(CATEGORIES)).alias("category"),
+        F.col("r_name").alias("region"),
+        (50 + F.col("order_keys") % 451).cast("int").alias("inventory_level"),
+        F.col("sold").cast("int").alias("units_sold"),
+        F.round(F.col("planned") - 3.0, 2).alias("demand_forecast"),
+    )
+
+
 def raw_panel(spark: SparkSession, folder: str) -> DataFrame:
     """The panel under the column names of the raw file."""
     return retail_panel(spark, folder).withColumnsRenamed({v: k for k, v in RAW_TO_CLEAN.items()})

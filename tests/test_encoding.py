@@ -41,6 +41,18 @@ def test_both_id_paths_agree(cleaned):
     assert few.exceptAll(many).isEmpty() and many.exceptAll(few).isEmpty()
 
 
+def test_a_null_id_leaves_the_other_label_alone_on_both_paths(cleaned):
+    df = cleaned({"store_id": "S1"}, {"store_id": "S2", "product_id": "P2"})
+    gaps = df.selectExpr("*").withColumns(
+        {"store_id": F.when(F.col("product_id") != "P2", F.col("store_id")), "product_id": F.when(F.col("store_id") != "S1", F.col("product_id"))}
+    )
+    gaps = gaps.unionByName(df)
+    few, many = encoding.encode(gaps), encoding.encode(gaps, MANY)
+    assert few.exceptAll(many).isEmpty() and many.exceptAll(few).isEmpty()
+    got = {(r.store_id, r.product_id): (r.store_id_encoded, r.product_id_encoded) for r in many.collect()}
+    assert got["S1", None] == (0, None) and got[None, "P2"] == (None, 1)
+
+
 @pytest.mark.parametrize("params", [EncodingParams(), MANY], ids=["few", "many"])
 def test_unseen_id_keeps_its_row_without_a_label(cleaned, params):
     known = encoding.id_dimensions(cleaned({}), params)
@@ -77,7 +89,7 @@ def test_settings_from_a_config_mapping():
     got = Settings.from_mapping({
         "feature_engineering": {"lag_windows": [2], "rolling_windows": [3], "enable_price_features": False},
         "training": {"holdout_days": 5, "random_seed": 1},
-        "model": {"xgboost": {"n_estimators": 9, "max_depth": 2, "verbosity": 0}},
+        "model": {"xgboost": {"n_estimators": 9, "max_depth": 2}},
         "inventory": {"lead_time_days": 1, "order_cycle_days": 2, "service_level_z": 1.28},
         "output": {"write_csv": False},
     })

@@ -74,12 +74,16 @@ def test_running_sums_equal_frames(cleaned, include_current):
                 assert a[name] == (None if b[name] is None else pytest.approx(b[name], rel=1e-12, abs=1e-6)), name
 
 
-def test_sums_beyond_64_bits_fail_loudly_or_take_the_frames(cleaned):
-    df = cleaned(*[{"date": day(i), "units_sold": 2**31 - 1} for i in range(4)])
-    with pytest.raises(Exception, match="ARITHMETIC_OVERFLOW|overflow"):
-        features.add_rolling(df, SMALL).collect()
-    plain = features.add_rolling(df, FeatureParams(rolling=(7,), running_sums=False))
-    assert by_date(plain)[3].rolling_mean_7 == float(2**31 - 1)
+@pytest.mark.parametrize("value, days", [(2_000_000_000, 4), (110_000_000, 28), (2**31 - 1, 40), (-(2**31), 40)])
+def test_rolling_of_any_32_bit_value(cleaned, value, days):
+    """Squares and products beyond 64 bits: exact, like the statistics module."""
+    values = [value - (i % 3) * (1 if value > 0 else -1) for i in range(days)]
+    df = cleaned(*[{"date": day(i), "units_sold": v} for i, v in enumerate(values)])
+    rows = by_date(features.add_rolling(df, FeatureParams(rolling=(28,))))
+    for i in (1, days - 1):
+        frame = values[max(0, i - 27) : i + 1]
+        assert rows[i].rolling_mean_28 == pytest.approx(statistics.mean(frame), rel=1e-15)
+        assert rows[i].rolling_std_28 == pytest.approx(statistics.stdev(frame), rel=1e-12)
 
 
 def test_days_equal_rows_only_without_gaps(cleaned):

@@ -5,7 +5,6 @@ from conftest import day
 
 from shelftide.functions.stock import service_level_percent
 from shelftide.operators import inventory
-from shelftide.operators.checks import DuplicateGrainError
 from shelftide.params import PolicyParams
 
 
@@ -80,8 +79,18 @@ def test_recommend_orders_by_entity(scored, cleaned):
 
 def test_two_latest_rows_raise(scored, cleaned):
     forecasts = scored(("Toys", 1, 1.0, 4.0))
-    with pytest.raises(DuplicateGrainError):
-        inventory.recommend(forecasts, cleaned({}, {"inventory_level": 5}), check_ties=True)
+    tied = cleaned({}, {"inventory_level": 5})
+    with pytest.raises(Exception, match="more than one latest stock row, for example S001"):
+        inventory.recommend(forecasts, tied).collect()
+    assert inventory.recommend(forecasts, tied, check_ties=False).count() == 1
+
+
+def test_deviation_of_large_forecasts_over_two_categories(scored):
+    values = [1e8 + x for x in (0.0, 0.5, 1.0, 1.5, 0.25, 0.75, 1.25, 0.1, 0.9, 1.4)]
+    rows = scored(*[("Toys" if i % 2 else "Books", 1, 1.0, v) for i, v in enumerate(values)])
+    got = inventory.demand_stats(rows).first()
+    assert got.demand_std_dev == pytest.approx(statistics.stdev(values), rel=1e-6)
+    assert got.avg_daily_demand == pytest.approx(statistics.mean(values), rel=1e-12)
 
 
 def test_missing_column_is_named(scored, cleaned):

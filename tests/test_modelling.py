@@ -8,7 +8,7 @@ from shelftide.operators import modelling, splitting
 from shelftide.operators.checks import DuplicateGrainError
 from shelftide.operators.encoding import encode, id_dimensions
 from shelftide.operators.features import build_features
-from shelftide.params import Settings, SplitParams, TreeParams
+from shelftide.params import FeatureParams, PanelColumns, Settings, SplitParams, TreeParams
 from shelftide.plans.full_run import run, run_from_csv
 from shelftide.schemas import PREDICTION_COLUMNS, RAW_TO_CLEAN
 from shelftide.sources import sinks
@@ -98,11 +98,11 @@ def test_training_reports_each_tree(fair):
     facts = fair.metadata.first()
     assert (facts.train_row_count, facts.val_row_count, facts.feature_count) == (160, 40, 31)
     assert facts.model_parameters["n_estimators"] == "4" and facts.model_variant == "fair"
-    assert facts.parameters_not_applied == ["reg_alpha", "reg_lambda"]
+    assert facts.parameters_not_applied == ["reg_alpha", "reg_lambda", "tree_method", "eval_metric", "colsample_bytree (per node)"]
 
 
 def test_prediction_covers_every_row_and_is_not_negative(feature_frame, fair):
-    out = modelling.predict(feature_frame, fair, SETTINGS)
+    out = modelling.predict(feature_frame, fair)
     assert tuple(out.columns) == PREDICTION_COLUMNS
     assert out.count() == 200
     assert out.filter("predicted_units_sold IS NULL OR predicted_units_sold < 0").isEmpty()
@@ -119,12 +119,29 @@ def test_saved_model_predicts_the_same(spark, feature_frame, fair, tmp_path):
     back = modelling.load_model(spark, str(tmp_path))
     assert back.features == fair.features
     assert back.metadata.first().cutoff_date == day(39)
-    before, after = modelling.predict(feature_frame, fair, SETTINGS), modelling.predict(feature_frame, back, SETTINGS)
+    before, after = modelling.predict(feature_frame, fair), modelling.predict(feature_frame, back)
     assert before.exceptAll(after).isEmpty()
     again = modelling.load_id_dimensions(spark, str(tmp_path), False)
     assert sorted(map(tuple, again["store_id"].frame.collect())) == [("S001", 0), ("S002", 1)]
 
 
+def test_a_model_is_applied_by_its_own_features_and_names(spark, feature_frame, tmp_path):
+    """Other lags than the default, on renamed columns, after saving and loading."""
+    panel = PanelColumns(target="sold", prediction="expected")
+    renamed = feature_frame.withColumnRenamed("units_sold", "sold")
+    own = Settings(panel=panel, features=FeatureParams(lags=(7,), rolling=(7,)), split=SplitParams(holdout_days=10), trees=TreeParams(n_estimators=1, max_depth=2))
+    modelling.save_model(modelling.train(renamed, own), str(tmp_path))
+    out = modelling.predict(renamed, modelling.load_model(spark, str(tmp_path)))
+    assert out.columns[-3:] == ["sold", "demand_forecast", "expected"] and out.count() == 200
+
+
+def test_unknown_settings_are_named():
+    with pytest.raises(ValueError, match="gamma"):
+        Settings.from_mapping({"model": {"xgboost": {"gamma": 1}}})
+    with pytest.raises(ValueError, match="lead"):
+        Settings.from_mapping({"inventory": {"lead": 1}})
+
+
 def test_missing_model_is_a_clear_error(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="no trained model"):
         modelling.load_model(spark, str(tmp_path / "none"))
@@ -145,7 +162,7 @@ def test_absent_features_are_scored(feature_frame, fair):
 
     unknown = feature_frame.withColumns({"lag_1": F.lit(None).cast("double"), "store_id_encoded": F.lit(None).cast("int"),
                                          "rolling_mean_7": F.lit(math.nan)})
-    assert modelling.predict(unknown, fair, SETTINGS).filter("predicted_units_sold IS NULL").isEmpty()
+    assert modelling.predict(unknown, fair).filter("predicted_units_sold IS NULL").isEmpty()
 
 
 def test_stamp(scored):
@@ -163,7 +180,7 @@ def raw_rows(cleaned):
 def test_run_from_csv_writes_everything(spark, cleaned, tmp_path):
     source = sinks.write_csv(raw_rows(cleaned), str(tmp_path / "raw"))
     paths = run_from_csv(spark, source, str(tmp_path / "out"), SETTINGS, use_baseline=True)
-    assert set(paths) == {"model", "metrics", "forecast", "inventory"}
+    assert set(paths) == {"model", "metrics", "forecast", "inventory", "errors", "stockouts", "summary"}
     assert spark.read.parquet(paths["forecast"]["parquet"]).count() == 120
     advice = spark.read.parquet(paths["inventory"]["parquet"])
     assert advice.count() == 4 and len(advice.columns) == 16
@@ -178,7 +195,7 @@ def test_variants_share_a_folder(cleaned, tmp_path):
     # The first result can still be read after the second run.
     assert fair.recommendations.count() == enhanced.recommendations.count() == 4
     assert fair.metrics.filter("scope = 'global'").first().total_rows == 120
-    assert fair.stockouts.count() == 2 and fair.summary.count() == 10
+    assert fair.stockouts.count() == 2 and fair.summary.count() == 11
     assert fair.model_path != enhanced.model_path
 
 

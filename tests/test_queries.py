@@ -29,7 +29,7 @@ def test_same_result_as_sql(spark, con, name):
 
 
 def test_only_tree_models_lack_sql():
-    assert set(QUERIES) - set(SQL) == {"train_gbt", "predict_gbt", "full_run"}
+    assert set(QUERIES) - set(SQL) == {"train_gbt", "predict_gbt"}
 
 
 def test_entry(spark):
@@ -37,7 +37,7 @@ def test_entry(spark):
     assert entry_module.queries().keys() >= entry_module.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name, rows", [("predict_gbt", 5910), ("full_run", 100)])
+@pytest.mark.parametrize("name, rows", [("predict_gbt", 5910), ("full_run", 8)])
 def test_model_queries(spark, name, rows):
     assert QUERIES[name](spark, FOLDER).count() == rows
 
@@ -84,7 +84,8 @@ def test_many_ids_share_the_shuffle_of_the_windows(spark, staged):
         dims = encoding.id_dimensions(staged, MANY)
         with_ids = features.feature_table(staged, MANY, dimensions=dims)
         ids_alone = encoding.encode_ids(staged, dims)
-        assert len(shuffles(with_ids)) == len(shuffles(ids_alone))
+        # Labels are joined null-safely, on other keys than the windows: one shuffle more.
+        assert len(shuffles(with_ids)) == len(shuffles(ids_alone)) + 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

@@ -57,6 +57,13 @@ def test_quarantine_keeps_good_rows_and_shows_bad_lines(spark, tmp_path):
     assert rows.select("Region").count() == malformed.count() == 1
 
 
+def test_quarantine_refuses_a_header_in_another_order(spark, tmp_path):
+    names = list(RAW_SCHEMA.names)
+    names[6], names[7] = names[7], names[6]
+    with pytest.raises(Exception, match="header|Header"):
+        read_sales_csv_quarantined(spark, write(tmp_path / "a.csv", LINE, header=names))[0].collect()
+
+
 def test_missing_file(spark, tmp_path):
     with pytest.raises(PySparkException):
         read_sales_csv(spark, str(tmp_path / "none.csv")).count()
