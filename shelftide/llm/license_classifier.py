@@ -108,8 +108,10 @@ def _grams(words: Column) -> Column:
 
 
 def _templates(spark: SparkSession) -> DataFrame:
-    rows = [(family, text) for family, texts in TEMPLATES.items() for text in texts]
-    return spark.createDataFrame(rows, "family string, paragraph string").select("family", _words(F.col("paragraph")).alias("words"))
+    """The templates as rows, written into the plan: one row of literals, exploded."""
+    rows = [F.struct(F.lit(family).alias("family"), F.lit(text).alias("paragraph")) for family, texts in TEMPLATES.items() for text in texts]
+    listed = spark.range(1).select(F.explode(F.array(*rows)).alias("t"))
+    return listed.select("t.family", _words(F.col("t.paragraph")).alias("words"))
 
 
 def _paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
