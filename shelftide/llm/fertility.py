@@ -235,7 +235,8 @@ def judge(
         ]
     quartiles = [F.percentile_approx(c, [0.25, 0.75], 1000).alias(f"q_{c}") for c, _, _ in bands]
     passed = rows.where(~F.col("base_failed"))
-    own = passed.groupBy("band_group").agg(F.count(F.lit(1)).alias("band_documents"), *quartiles)
+    # Staged, so that its size decides how it is joined and a hot language is no single task.
+    own = stage(passed.groupBy("band_group").agg(F.count(F.lit(1)).alias("band_documents"), *quartiles), "bands")
     # One row for all documents; groups are few, and both are aggregated before the shuffle.
     every = passed.agg(*[q.alias(f"all_{c}") for q, (c, _, _) in zip(quartiles, bands, strict=True)])
     joined = rows.join(own, "band_group", "left").join(F.broadcast(every), F.lit(True), "left")
