@@ -223,8 +223,8 @@ def decontaminate(
     blocks = list(_blocks(benchmark, "item_id", "text", block_bytes)) or [[]]
     out = docs.withColumn(text, F.col(text_col).cast("binary"))
     session = docs.sparkSession
-    # One narrow pass per block, without a shuffle: spans are cut where they are found. A cut
-    # leaves a separator, so the words around it can't form a window that was not there.
+    # One narrow pass per block, without a shuffle: spans are cut where they are found, and again
+    # where the words around a cut form a window, until none is left.
     keep = unused_name([*columns, text], "share_left")
     out = out.withColumn(keep, F.lit(1.0))
     for items in blocks:
@@ -237,9 +237,12 @@ def decontaminate(
                     texts, shares = part.column(text).to_pylist(), part.column(keep).to_pylist()
                     split = [words_of(data) for data in texts]
                     for k, hits in enumerate(index.value.hits(split)):
-                        if hits:
-                            texts[k], left = cut_spans(texts[k], split[k], _merged([h[:2] for h in hits]))
+                        words = split[k]
+                        while hits:
+                            texts[k], left = cut_spans(texts[k], words, _merged([h[:2] for h in hits]))
                             shares[k] *= left
+                            words = words_of(texts[k])
+                            hits = index.value.hits([words])[0]
                     names = part.schema.names
                     arrays = list(part.columns)
                     arrays[names.index(text)] = pa.array(texts, part.column(text).type)

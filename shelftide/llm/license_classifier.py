@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelftide.llm.common import stage
+from shelftide.llm.labelled_sample import sample_ids, with_texts
 
 UNKNOWN = "unknown"
 
@@ -128,12 +129,12 @@ def train(docs: DataFrame, params: LicenseParams = LicenseParams(), id_col: str
     )
     known = templates.unionByName(cuts).where(F.size("words") > 0)
     # Which documents are sampled depends on a hash of their id; one paragraph of each, by a hash too.
-    chosen = docs.where(F.col(id_col).isNotNull()).orderBy(F.xxhash64(id_col)).limit(params.background).select(id_col, text_col)
-    lines = F.filter(F.split(text_col, "\n"), lambda x: F.trim(x) != "")
-    picked = chosen.select(id_col, lines.alias("lines")).where(F.size("lines") > 0)
+    chosen = with_texts(sample_ids(docs.select(id_col), id_col, params.background), docs, id_col, text_col)
+    lines = F.filter(F.split(F.col("data").cast("string"), "\n"), lambda x: F.trim(x) != "")
+    picked = chosen.select("sample_id", lines.alias("lines")).where(F.size("lines") > 0)
     one = picked.select(
-        (F.pmod(F.xxhash64(id_col, F.lit(1)), F.lit(2)) == 0).alias("training"),
-        _words(F.element_at("lines", (F.pmod(F.xxhash64(id_col, F.lit(2)), F.size("lines")) + 1).cast("int"))).alias("words"),
+        (F.pmod(F.xxhash64("sample_id", F.lit(1)), F.lit(2)) == 0).alias("training"),
+        _words(F.element_at("lines", (F.pmod(F.xxhash64("sample_id", F.lit(2)), F.size("lines")) + 1).cast("int"))).alias("words"),
     )
     # A sampled paragraph that is a template itself is no example of unknown text.
     plain = one.join(F.broadcast(templates.select("words").distinct()), "words", "left_anti")

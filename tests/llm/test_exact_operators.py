@@ -114,6 +114,12 @@ def test_short_items_and_cut_texts(spark, make_docs):
     assert left == {1: "x y \n z u v w q", 2: "alpha beta", 3: None}
 
 
+def test_a_cut_that_joins_a_window_is_cut_again(spark, make_docs):
+    items = spark.createDataFrame([(1, "a b c")], "item_id bigint, text string")
+    left = decontamination.decontaminate(make_docs([(1, "k1 k2 k3 k4 k5 a a b c b c k6 k7 k8")]), items).first()["text"]
+    assert decontamination.words_of(left.encode()) == [b"k1", b"k2", b"k3", b"k4", b"k5", b"k6", b"k7", b"k8"]
+
+
 def test_line_runs_like_brute_force(spark, folder, texts):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     got = {r["doc_id"]: r["text"] for r in line_runs.delete_repeated_runs(docs).collect()}
