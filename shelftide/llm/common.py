@@ -36,6 +36,27 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables that one operator stages for itself. ``finish`` writes the result and deletes all
+    others, so that the shared folder does not fill up."""
+
+    def __init__(self, session: SparkSession, name: str) -> None:
+        self.session, self.folder, self.count = session, fresh_path(session, name), 0
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        self.count += 1
+        path = f"{self.folder}/work/{self.count:03d}_{name}"
+        df.write.parquet(path)
+        return self.session.read.schema(df.schema).parquet(path)
+
+    def finish(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/result"
+        df.write.parquet(path)
+        work = self.session._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/work")
+        work.getFileSystem(self.session._jsc.hadoopConfiguration()).delete(work, True)
+        return self.session.read.schema(df.schema).parquet(path)
+
+
 def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the two columns that an operator needs, as ``doc_id`` and UTF-8 bytes ``data``."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("data"))

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelftide.llm.common import hash_words, id_and_text, map_slices, mix, stage, unused_name, window_hashes
+from shelftide.llm.common import Scratch, hash_words, id_and_text, map_slices, mix, unused_name, window_hashes
 
 SHINGLE = 5
 BANDS = 32
@@ -175,7 +175,7 @@ def _local_forest(links: DataFrame) -> DataFrame:
     return links.mapInArrow(unite, "u long, v long")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, component) of every node with a link (u, v); the component is its smallest node.
 
     Each round contracts by union-find inside the tasks, then hangs all neighbours of a node on the
@@ -183,17 +183,17 @@ def components(links: DataFrame) -> DataFrame:
     Ends when a round changes nothing. The rounds grow with the logarithm of a component.
     """
     pairs = links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    edges = stage(_local_forest(pairs.distinct()).distinct(), "links")
+    edges = scratch.stage(_local_forest(pairs.distinct()).distinct(), "links")
     before = None
     while True:
         # Dealt anew after the minimum, so that a node with very many neighbours can be split.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).repartition("m")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stage(_local_forest(large.where("u <> v").distinct()).distinct(), "links")
+        large = scratch.stage(_local_forest(large.where("u <> v").distinct()).distinct(), "links")
         least = large.groupBy("u").agg(F.min("v").alias("m")).repartition("m")
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        edges = stage(small.select("e.u", "e.v").where("u <> v").distinct(), "links")
+        edges = scratch.stage(small.select("e.u", "e.v").where("u <> v").distinct(), "links")
         # Order-free digest of the edges; two numbers reach the driver.
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before or not state[0]:
@@ -272,14 +272,14 @@ def find_groups(
     percent: int = SIMILARITY_PERCENT,
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept (it is the smallest)."""
-    length = bands * rows
+    length, scratch = bands * rows, Scratch(docs.sparkSession, "near_duplicates")
     source = id_and_text(docs, id_col, text_col)
-    signed = stage(_sign(source, length), "signatures")
+    signed = scratch.stage(_sign(source, length), "signatures")
     linked = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = linked.groupBy("set_high", "set_low").agg(F.min("doc_id").alias("node"))
-    member = stage(classes.repartition("node"), "classes")
+    member = scratch.stage(classes.repartition("node"), "classes")
     # Rows that share a doc_id are one document, so their classes are linked.
-    of_class = stage(linked.select("doc_id", "set_high", "set_low").join(member, ["set_high", "set_low"]).select("doc_id", "node").distinct(), "members")
+    of_class = scratch.stage(linked.select("doc_id", "set_high", "set_low").join(member, ["set_high", "set_low"]).select("doc_id", "node").distinct(), "members")
     same_id = of_class.where("doc_id <> node").select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
     nodes = linked.join(of_class.where("doc_id = node").select("doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "signature")
 
@@ -287,28 +287,29 @@ def find_groups(
     keys = F.array(*[F.xxhash64(F.lit(b), F.substring("signature", 1 + b * width, width)) for b in range(bands)])
     placed = nodes.select("node", F.posexplode(keys).alias("band", "bucket"))
     pivots = placed.groupBy("bucket").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot <> last")
-    pivots = stage(pivots.select("bucket", "pivot"), "buckets")
-    shared = stage(placed.join(pivots, "bucket").select("bucket", "band", "node", "pivot"), "bucketed")
+    pivots = scratch.stage(pivots.select("bucket", "pivot"), "buckets")
+    shared = scratch.stage(placed.join(pivots, "bucket").select("bucket", "band", "node", "pivot"), "bucketed")
     first = shared.where("node <> pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
-    first = stage(first, "pairs")
+    first = scratch.stage(first, "pairs")
 
     needed = shared.select(F.col("node").alias("doc_id")).distinct()
-    sets = stage(_sets_of(source.join(needed, "doc_id", "left_semi")), "sets")
-    links = stage(_verified(first, sets, percent), "confirmed")
+    sets = scratch.stage(_sets_of(source.join(needed, "doc_id", "left_semi")), "sets")
+    links = scratch.stage(_verified(first, sets, percent), "confirmed")
 
-    found = components(links)
+    found = components(links, scratch)
     labelled = shared.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    labelled = stage(labelled.select("bucket", "band", "node", "component"), "labelled")
+    labelled = scratch.stage(labelled.select("bucket", "band", "node", "component"), "labelled")
     mixed = labelled.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("a"), F.max("component").alias("b"))
-    mixed = stage(mixed.where("a <> b").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
+    mixed = scratch.stage(mixed.where("a <> b").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
     rest = labelled.join(mixed, "bucket").join(nodes, "node").join(sets, "node")
     more = _links_in_blocks(rest, bands, rows, percent, ESTIMATE_FLOOR)
     all_links = found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more).unionByName(same_id)
-    final = components(all_links).withColumnRenamed("node", "doc_id")
+    final = components(all_links, scratch).withColumnRenamed("node", "doc_id")
     joined = signed.select("doc_id", "n_shingles").join(final, "doc_id", "left")
     component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "doc_id"))
     kept = F.col("doc_id").isNull() | (component == F.col("doc_id"))
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(kept, F.lit(True)).alias("kept"))
+    result = joined.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(kept, F.lit(True)).alias("kept"))
+    return scratch.finish(result)
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings: int) -> DataFrame:
