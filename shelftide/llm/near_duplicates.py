@@ -185,13 +185,15 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     pairs = links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     edges = scratch.stage(_local_forest(pairs.distinct()).distinct(), "links")
     before = None
+    # Dealt round robin after each minimum, so that the join shuffles both sides itself and a node with
+    # very many neighbours can be split there.
+    count = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     while True:
-        # Dealt anew after the minimum, so that a node with very many neighbours can be split.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).repartition("m")
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).repartition(count)
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = scratch.stage(_local_forest(large.where("u <> v").distinct()).distinct(), "links")
-        least = large.groupBy("u").agg(F.min("v").alias("m")).repartition("m")
+        least = large.groupBy("u").agg(F.min("v").alias("m")).repartition(count)
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         edges = scratch.stage(small.select("e.u", "e.v").where("u <> v").distinct(), "links")
         # Order-free digest of the edges; two numbers reach the driver.
