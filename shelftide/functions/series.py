@@ -65,7 +65,10 @@ def needed_sums(stats: Sequence[str]) -> tuple[str, ...]:
 def running_sums(panel: PanelColumns, stats: Sequence[str] = ("mean", "std")) -> dict[str, Column]:
     """``__running_*``: the sums from the start of the series to the row. Counts and sums of
     32-bit numbers fit 64 bits for any series of days; squares are added as decimals."""
-    w = by_date(panel).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return _running(panel, by_date(panel).rowsBetween(Window.unboundedPreceding, Window.currentRow), stats)
+
+
+def _running(panel: PanelColumns, w: WindowSpec, stats: Sequence[str]) -> dict[str, Column]:
     value = F.col(panel.target).cast("bigint")
     sums = {"count": F.count(value), "sum": F.sum(value), "squares": F.sum((value * value).cast("decimal(20,0)"))}
     whole = {"count": "bigint", "sum": "bigint", "squares": EXACT}
@@ -89,8 +92,34 @@ def frame_sums(
     }
 
 
-def rolling_from_sums(sizes: Sequence[int], stats: Sequence[str] = ("mean", "std")) -> dict[str, Column]:
-    """The mean and std columns of ``rolling_columns`` from the columns of ``frame_sums``."""
+def calendar_running_sums(panel: PanelColumns, stats: Sequence[str] = ("mean", "std")) -> dict[str, Column]:
+    """``__running_*`` up to the day of the row, all rows of that day included."""
+    return _running(panel, by_day_number(panel).rangeBetween(Window.unboundedPreceding, Window.currentRow), stats)
+
+
+def calendar_frame_sums(
+    panel: PanelColumns, sizes: Sequence[int], include_current: bool = True, stats: Sequence[str] = ("mean", "std")
+) -> dict[str, Column]:
+    """``__frame_*_N`` over N days: the running sums of the last day of the frame less those of the last
+    day before it. Frames that start with the series grow by a row at a time, so the work per
+    row does not grow with N."""
+    w = by_day_number(panel)
+    skipped = 0 if include_current else 1
+
+    def upto(name: str, days_back: int) -> Column:
+        running = F.col(f"__running_{name}")
+        return F.coalesce(F.last(running).over(w.rangeBetween(Window.unboundedPreceding, -days_back)), F.lit(0)) if days_back else running
+
+    return {
+        f"__frame_{name}_{n}": upto(name, skipped) - upto(name, skipped + n) for n in sizes for name in needed_sums(stats)
+    }
+
+
+def rolling_from_sums(
+    sizes: Sequence[int], stats: Sequence[str] = ("mean", "std"), unit: str = ""
+) -> dict[str, Column]:
+    """The mean and std columns of ``rolling_columns`` (with ``unit`` d of ``calendar_rolling_columns``)
+    from the columns of ``frame_sums``."""
     found = {}
     for size in sizes:
         n, total, squares = (F.col(f"__frame_{name}_{size}") for name in SUMS)
@@ -100,7 +129,7 @@ def rolling_from_sums(sizes: Sequence[int], stats: Sequence[str] = ("mean", "std
             exact_n, exact_total = n.cast("decimal(9,0)"), total.cast("decimal(18,0)")
             spread = (exact_n * squares.cast("decimal(28,0)")).cast(EXACT) - (exact_total * exact_total).cast(EXACT)
             figures["std"] = F.when(n > 1, F.sqrt(spread.cast("double") / (n * (n - 1))))
-        found |= {f"rolling_{stat}_{size}": figures[stat] for stat in stats}
+        found |= {f"rolling_{stat}_{size}{unit}": figures[stat] for stat in stats}
     return found
 
 

@@ -77,9 +77,20 @@ def add_calendar_rolling(
     panel: PanelColumns = PanelColumns(),
     stats: Sequence[str] = ("mean", "std"),
 ) -> DataFrame:
-    """``rolling_STAT_Nd`` over N days, for series with missing days."""
+    """``rolling_STAT_Nd`` over N days, for series with missing days. Mean and std of whole numbers
+    come from running sums here too."""
     _require_series(df, panel, "calendar rolling features")
-    return df.withColumns(series.calendar_rolling_columns(panel, params.rolling, stats, params.include_current))
+    sizes, last = params.rolling, params.include_current
+    summed = [s for s in stats if s in ("mean", "std")]
+    if not (params.running_sums and summed and _whole_number(df, panel.target)):
+        return df.withColumns(series.calendar_rolling_columns(panel, sizes, stats, last))
+    framed = [s for s in stats if s not in summed]
+    return (
+        df.withColumns(series.calendar_running_sums(panel, summed))
+        .withColumns({**series.calendar_rolling_columns(panel, sizes, framed, last), **series.calendar_frame_sums(panel, sizes, last, summed)})
+        .withColumns(series.rolling_from_sums(sizes, summed, "d"))
+        .select(*df.columns, *[f"rolling_{stat}_{n}d" for n in sizes for stat in stats])
+    )
 
 
 def add_calendar(df: DataFrame, panel: PanelColumns = PanelColumns()) -> DataFrame:

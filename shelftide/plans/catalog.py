@@ -43,6 +43,15 @@ def rounded_like(df: DataFrame, *prefixes: str, digits: int = 6) -> DataFrame:
     return rounded(df, [c for c in df.columns if c.startswith(prefixes)], digits)
 
 
+# Means of two-decimal numbers over a power-of-two count of rows lie exactly between two six-place
+# numbers, where the order of addition would decide. Added before rounding, here and in the SQL.
+OFF_TIES = 3.3e-8
+
+
+def rounded_demand(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.round(F.col(c) + OFF_TIES, 6) for c in ("avg_daily_demand", "demand_std_dev")})
+
+
 # Inputs shared by the queries
 
 
@@ -115,7 +124,7 @@ def write_forecast(spark: SparkSession, folder: str) -> DataFrame:
 
 def write_inventory(spark: SparkSession, folder: str) -> DataFrame:
     written = sinks.write_inventory(recommendations(spark, folder), fresh_path(spark, "predictions"))
-    return rounded(spark.read.parquet(written["parquet"]), ["avg_daily_demand", "demand_std_dev"])
+    return rounded_demand(spark.read.parquet(written["parquet"]))
 
 
 def metrics_json(spark: SparkSession, folder: str) -> DataFrame:
@@ -372,7 +381,7 @@ def forecast_errors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def demand_stats(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(inventory.demand_stats(scored_baseline(spark, folder)), ["avg_daily_demand", "demand_std_dev"])
+    return rounded_demand(inventory.demand_stats(scored_baseline(spark, folder)))
 
 
 def latest_inventory(spark: SparkSession, folder: str) -> DataFrame:
@@ -387,11 +396,11 @@ def inventory_policy(spark: SparkSession, folder: str) -> DataFrame:
         F.coalesce("rolling_std_28", F.lit(0.0)).alias("demand_std_dev"),
         F.col("inventory_level").alias("current_inventory_level"),
     )
-    return rounded(inventory.apply_policy(df), ["avg_daily_demand", "demand_std_dev"])
+    return rounded_demand(inventory.apply_policy(df))
 
 
 def recommend(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(recommendations(spark, folder), ["avg_daily_demand", "demand_std_dev"])
+    return rounded_demand(recommendations(spark, folder))
 
 
 def run_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -433,7 +442,7 @@ def rolling_many_series(spark: SparkSession, folder: str) -> DataFrame:
 
 def demand_stats_many_series(spark: SparkSession, folder: str) -> DataFrame:
     stats = inventory.demand_stats(_scored_many(many_series(spark, folder)))
-    return rounded(stats, ["avg_daily_demand", "demand_std_dev"])
+    return rounded_demand(stats)
 
 
 def latest_inventory_many_series(spark: SparkSession, folder: str) -> DataFrame:
@@ -442,7 +451,7 @@ def latest_inventory_many_series(spark: SparkSession, folder: str) -> DataFrame:
 
 def recommend_many_series(spark: SparkSession, folder: str) -> DataFrame:
     panel = many_series(spark, folder)
-    return rounded(inventory.recommend(_scored_many(panel), panel), ["avg_daily_demand", "demand_std_dev"])
+    return rounded_demand(inventory.recommend(_scored_many(panel), panel))
 
 
 def encode_many_series(spark: SparkSession, folder: str) -> DataFrame:

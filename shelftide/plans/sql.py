@@ -208,7 +208,10 @@ POLICY_COLUMNS = f"""CAST({LEAD_DAYS} AS INTEGER) AS lead_time_days,
   {round4(f"greatest({TARGET} - current_inventory_level, CAST(0 AS DOUBLE))")} AS recommended_order_qty,
   {round4("CASE WHEN avg_daily_demand > 0 THEN current_inventory_level / avg_daily_demand END")} AS days_of_supply,
   current_inventory_level <= {TRIGGER} AS reorder_recommendation"""
-POLICY_INPUT = "round(avg_daily_demand, 6) AS avg_daily_demand, round(demand_std_dev, 6) AS demand_std_dev"
+POLICY_INPUT = (
+    "round(avg_daily_demand + CAST(3.3e-8 AS DOUBLE), 6) AS avg_daily_demand, "
+    "round(demand_std_dev + CAST(3.3e-8 AS DOUBLE), 6) AS demand_std_dev"
+)
 
 DEMAND = """,
 demand AS (
