@@ -32,8 +32,10 @@ from pyspark.sql import types as T
 from shelftide.llm.common import id_and_text, map_slices, text_slices, unused_name
 
 BLANK = "▁"
-STORE_WORDS = 400_000
-PAIR_STORE = 400_000
+STORE_WORDS = 250_000
+PAIR_STORE = 200_000
+# Rows of ids that are decoded before they are passed on.
+DECODED_ROWS = 256
 # Fixed value: what the library prints for the unknown id.
 UNKNOWN_TEXT = " ⁇ "
 
@@ -251,13 +253,18 @@ def piece_codec(path: str) -> PieceCodec:
     return _LOADED[path]
 
 
-def encode_column(docs: DataFrame, model_file: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """``docs`` with a column of ids, the end id last. A NULL text is encoded like an empty
-    one. An existing column of the name ``ids_col`` is replaced."""
-    kept = [c for c in docs.columns if c.lower() != ids_col.lower() or c == text_col]
-    data = unused_name([*kept, ids_col], "data")
+def encode_column(
+    docs: DataFrame, model_file: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None
+) -> DataFrame:
+    """``docs`` with a column of ids, the end id last; with ``decoded_col`` also the text decoded from
+    them in the same pass. A NULL text is encoded like an empty one. Existing columns of these names are
+    replaced."""
+    added = {c.lower() for c in (ids_col, decoded_col) if c}
+    kept = [c for c in docs.columns if c.lower() not in added or c == text_col]
+    data = unused_name([*kept, *added], "data")
     source = docs.select(*kept, F.col(text_col).cast("binary").alias(data))
-    schema = T.StructType([*source.drop(data).schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
+    fields = [*source.drop(data).schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()))]
+    schema = T.StructType([*fields, T.StructField(decoded_col, T.StringType())] if decoded_col else fields)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = piece_codec(model_file)
@@ -269,7 +276,8 @@ def encode_column(docs: DataFrame, model_file: str, text_col: str = "text", ids_
                 values = np.concatenate(coded) if coded else np.empty(0, "<i4")
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
                 arrays = [a for a, name in zip(part.columns, part.schema.names, strict=True) if name != data]
-                yield pa.RecordBatch.from_arrays([*arrays, lists], schema.names)
+                decoded = [pa.array([codec.decode(c) for c in coded], pa.string())] if decoded_col else []
+                yield pa.RecordBatch.from_arrays([*arrays, lists, *decoded], schema.names)
 
     return source.mapInArrow(encode, schema)
 
@@ -284,8 +292,12 @@ def decode_column(rows: DataFrame, model_file: str, ids_col: str = "ids", text_c
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = piece_codec(model_file)
         for batch in batches:
-            texts = [None if x is None else codec.decode(x) for x in batch.column(ids_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], schema.names)
+            # A row at a time from the flat ids: as Python numbers those of a batch would not fit.
+            for start in range(0, batch.num_rows, DECODED_ROWS):
+                part = batch.slice(start, DECODED_ROWS)
+                lists = part.column(ids_col)
+                texts = [codec.decode(np.asarray(v.values)) if v.is_valid else None for v in lists]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], schema.names)
 
     return source.mapInArrow(decode, schema)
 

@@ -148,3 +148,29 @@ SELECT d.doc_id, CAST(coalesce(len(d.l), 0) AS BIGINT) AS n_lines, CAST(coalesce
     sha256(coalesce(left_over.text, '')) AS text_sha256
 FROM d LEFT JOIN left_over ON d.doc_id = left_over.doc_id
 """
+
+# Brute force: every pair of documents that share a shingle is counted.
+SQL["op2_near_duplicates"] = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT DISTINCT doc_id, array_to_string(w[k : k + least(5, len(w)) - 1], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS k FROM d WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), links AS (
+    SELECT u, v FROM (
+        SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+    ) JOIN sizes x ON u = x.doc_id JOIN sizes y ON v = y.doc_id WHERE 100 * c >= 75 * (x.n + y.n - c)
+), reached AS (
+    SELECT doc_id, doc_id AS other FROM d
+    UNION
+    SELECT r.doc_id, l.v FROM reached r JOIN links l ON r.other = l.u
+), groups AS (
+    SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, component_id = d.doc_id AS kept
+FROM d LEFT JOIN sizes ON d.doc_id = sizes.doc_id JOIN groups ON d.doc_id = groups.doc_id
+"""
