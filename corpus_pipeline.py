@@ -41,8 +41,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The columns of documents, the ids of the text, and the text decoded from them."""
-    model = public_tokenizers.path("piece_bpe_32k.model")
-    return piece_codec.decode_column(piece_codec.encode_column(docs, model), model)
+    return piece_codec.encode_column(docs, public_tokenizers.path("piece_bpe_32k.model"), decoded_col="decoded")
 
 
 STAGES = [
