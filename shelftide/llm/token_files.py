@@ -55,8 +55,9 @@ def encode_documents(
 ) -> DataFrame:
     """Documents as rows of the file format, in ascending order of id over the shards.
 
-    The texts are dealt by ranges of ids (a third of all rows with one id still is one id, but
-    ids of documents differ) and encoded where they land; tokens are never shuffled.
+    The texts are dealt by ranges of ids, and of a hash of the text where ids repeat, and encoded
+    where they land; tokens are never shuffled. ``shards`` is the number of files to come, by default
+    the session's shuffle partitions: choose it so that a shard holds some 100 MB of text.
     """
     frame = id_and_text(docs, id_col, text_col)
     count = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))

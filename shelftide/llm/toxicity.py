@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -82,19 +83,24 @@ def text_features(data: bytes | None) -> np.ndarray:
     return np.unique(np.array([f for w in set(words_of(data)) for f in word_features(w)], np.int64))
 
 
-def _collected(sample: DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
-    """Feature lists and labels of a bounded sample, in the order of the ids."""
+def _collected(sample: DataFrame) -> dict[str, tuple[list[np.ndarray], np.ndarray]]:
+    """Feature lists and labels of a bounded sample by role, in the order of the ids."""
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         lists = [text_features(x).astype(np.int32).tobytes() for x in part.column("data").to_pylist()]
         return pa.RecordBatch.from_arrays(
-            [part.column("sample_id"), part.column("label"), pa.array(lists, pa.binary())], ["sample_id", "label", "features"]
+            [part.column("sample_id"), part.column("role"), part.column("label"), pa.array(lists, pa.binary())],
+            ["sample_id", "role", "label", "features"],
         )
 
-    source = sample.select("sample_id", F.col("label").cast("int").alias("label"), "data")
-    rows = map_slices(source, work, "sample_id long, label int, features binary").collect()
+    source = sample.select("sample_id", "role", F.col("label").cast("int").alias("label"), "data")
+    rows = map_slices(source, work, "sample_id long, role string, label int, features binary").collect()
     rows.sort(key=lambda r: (r["sample_id"], bytes(r["features"])))
-    return [np.frombuffer(bytes(r["features"]), np.int32) for r in rows], np.array([r["label"] for r in rows], float)
+    found = {}
+    for role in ("confirmed", "background", "graded"):
+        own = [r for r in rows if r["role"] == role]
+        found[role] = [np.frombuffer(bytes(r["features"]), np.int32) for r in own], np.array([r["label"] for r in own], float)
+    return found
 
 
 def _selected(positive: list[np.ndarray], unlabelled: list[np.ndarray], params: PUParams) -> np.ndarray:
@@ -166,11 +172,15 @@ def train(
 ) -> ToxicityModel:
     known = labels.where(F.col(label_col).isNotNull() & ~held_out(F.col(id_col))).select(id_col, F.col(label_col).cast("int").alias("label"))
     unknown = docs.where(~held_out(F.col(id_col))).select(id_col)
-    confirmed, _ = _collected(with_texts(sample_ids(known.where("label = 1"), id_col, params.positives, ["label"]), docs, id_col, text_col))
-    background, _ = _collected(
-        with_texts(sample_ids(unknown, id_col, params.unlabelled), docs, id_col, text_col).withColumn("label", F.lit(0))
-    )
-    graded, truth = _collected(with_texts(sample_ids(known, id_col, params.calibration, ["label"]), docs, id_col, text_col))
+    # All samples are bounded, so one scan of the texts serves the three of them.
+    samples = {
+        "confirmed": sample_ids(known.where("label = 1"), id_col, params.positives, ["label"]),
+        "background": sample_ids(unknown, id_col, params.unlabelled).withColumn("label", F.lit(0)),
+        "graded": sample_ids(known, id_col, params.calibration, ["label"]),
+    }
+    chosen = [ids.select(id_col, "label", F.lit(role).alias("role")) for role, ids in samples.items()]
+    found = _collected(with_texts(reduce(DataFrame.unionByName, chosen), docs, id_col, text_col))
+    (confirmed, _), (background, _), (graded, truth) = found["confirmed"], found["background"], found["graded"]
     share = (truth.sum() + 0.5) / (len(truth) + 1.0)
     prior = float(np.clip(share, 1e-3, 0.999))
     base = float(np.log(prior / (1 - prior)))
