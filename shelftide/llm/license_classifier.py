@@ -5,9 +5,12 @@ vocabulary taken from licence templates, and a multinomial logistic regression g
 each family, and the class ``unknown``, a probability. It is trained on the templates, on cuts of them, and
 on a bounded sample of paragraphs of the corpus as ``unknown``.
 
-The unknown class is calibrated on other sampled paragraphs: a family must be likelier than
-``unknown_quantile`` of them are for any family. A prediction counts only if a template of the predicted family
-confirms it: enough of the template's word pairs (or of the paragraph's) are in the other.
+A prediction counts only if a template of the predicted family confirms it: enough of the template's
+word pairs are in the paragraph. Paragraphs that a template of any family confirms are no examples of unknown text:
+they are left out of the background and of the calibration.
+
+The unknown class is calibrated on all other paragraphs of the corpus: a family must be likelier than
+``unknown_quantile`` of them are for any family (the rank is exact to 1 in 100,000).
 
 Defined results: NULL and empty texts have no paragraphs and no licence; a paragraph without
 any word of the vocabulary is unknown; rows that share a doc_id are one document, and each
@@ -16,7 +19,8 @@ of them gets its row. Without any corpus paragraph the threshold is one half.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import re
+from dataclasses import dataclass, replace
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
@@ -79,7 +83,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 
 @dataclass(frozen=True)
 class LicenseParams:
-    """``background`` bounds the sampled corpus paragraphs (half train, half calibrate)."""
+    """``background`` bounds the sampled documents; one paragraph of each second one is trained on."""
 
     background: int = 4000
     unknown_quantile: float = 0.999
@@ -101,11 +105,35 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "[^0-9a-z]+"), lambda w: w != "")
 
 
-def _grams(words: Column) -> Column:
-    pairs = F.when(
+def _pairs(words: Column) -> Column:
+    return F.when(
         F.size(words) > 1, F.zip_with(F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words) - 1), lambda a, b: F.concat(a, F.lit(" "), b))
     ).otherwise(F.array().cast("array<string>"))
-    return F.concat(words, pairs)
+
+
+def _grams(words: Column) -> Column:
+    return F.concat(words, _pairs(words))
+
+
+def _template_pairs(text: str) -> list[str]:
+    words = re.findall("[0-9a-z]+", text.lower())
+    return sorted({f"{a} {b}" for a, b in zip(words, words[1:], strict=False)})
+
+
+def _confirmed_families(pairs: Column, params: LicenseParams) -> Column:
+    """The families with a template that confirms a paragraph of these word pairs."""
+    listed = [(family, _template_pairs(text)) for family, texts in TEMPLATES.items() for text in texts]
+    known = sorted({g for _, template in listed for g in template})
+    templates = F.array(*[F.struct(F.lit(f).alias("family"), F.array(*map(F.lit, t)).alias("pairs")) for f, t in listed])
+    least = min(params.confirmed_share * len(t) for _, t in listed)
+
+    def confirming(mine: Column) -> Column:
+        enough = F.filter(templates, lambda t: F.size(F.array_intersect(mine, t["pairs"])) / F.size(t["pairs"]) >= params.confirmed_share)
+        return F.when(F.size(mine) >= least, F.array_distinct(F.transform(enough, lambda t: t["family"]))).otherwise(F.array().cast("array<string>"))
+
+    # In an array of one, so that the pairs are looked up once and not for each template.
+    mine = F.array(F.filter(F.array_distinct(pairs), lambda g: g.isin(known)))
+    return F.transform(mine, confirming)[0]
 
 
 def _templates(spark: SparkSession) -> DataFrame:
@@ -120,7 +148,8 @@ def _paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return split.where("trim(paragraph) <> ''")
 
 
-def train(docs: DataFrame, params: LicenseParams = LicenseParams(), id_col: str = "doc_id", text_col: str = "text") -> LicenseModel:
+def _fit(docs: DataFrame, params: LicenseParams, id_col: str, text_col: str) -> LicenseModel:
+    """The model before its calibration."""
     spark = docs.sparkSession
     templates = _templates(spark)
     # Cuts: every template without each one of its words, so single words decide less.
@@ -136,53 +165,64 @@ def train(docs: DataFrame, params: LicenseParams = LicenseParams(), id_col: str
         (F.pmod(F.xxhash64("sample_id", F.lit(1)), F.lit(2)) == 0).alias("training"),
         _words(F.element_at("lines", (F.pmod(F.xxhash64("sample_id", F.lit(2)), F.size("lines")) + 1).cast("int"))).alias("words"),
     )
-    # A sampled paragraph that is a template itself is no example of unknown text.
-    plain = one.join(F.broadcast(templates.select("words").distinct()), "words", "left_anti")
-    background = stage(plain, "background")
+    # A sampled paragraph that a template confirms is no example of unknown text.
+    plain = one.where("training").where(F.size(_confirmed_families(_pairs(F.col("words")), params)) == 0)
+    background = stage(plain.select("words"), "background")
 
     vocabulary = CountVectorizer(inputCol="grams", outputCol="counts", binary=True, minDF=1.0).fit(known.select(_grams(F.col("words")).alias("grams")))
     families = [*TEMPLATES, UNKNOWN]
     label = F.element_at(F.create_map(*[x for k, f in enumerate(families) for x in (F.lit(f), F.lit(float(k)))]), F.col("family"))
-    examples = known.unionByName(background.where("training").select(F.lit(UNKNOWN).alias("family"), "words"))
+    examples = known.unionByName(background.select(F.lit(UNKNOWN).alias("family"), "words"))
     examples = vocabulary.transform(examples.select(label.alias("label"), _grams(F.col("words")).alias("grams")))
     regression = LogisticRegression(featuresCol="counts", family="multinomial", regParam=params.ridge, maxIter=params.iterations).fit(examples)
-    rest = background.where("NOT training")
-    scored = regression.transform(vocabulary.transform(rest.select(_grams(F.col("words")).alias("grams"))))
-    likeliest = F.array_max(F.slice(vector_to_array("probability"), 1, len(families) - 1)) if regression.numClasses == len(families) else F.lit(0.0)
-    quantile = scored.agg(F.percentile(likeliest, F.lit(params.unknown_quantile))).first()[0]
-    return LicenseModel(vocabulary, regression, families, max(params.least_probability, quantile or 0.0))
+    return LicenseModel(vocabulary, regression, families, params.least_probability)
+
+
+def _scored(docs: DataFrame, model: LicenseModel, params: LicenseParams, id_col: str, text_col: str) -> DataFrame:
+    """One row per paragraph: the predicted family, the probability of the likeliest family, and the
+    families that a template confirms. Place and text are there only for those with one."""
+    words = _paragraphs(docs, id_col, text_col).withColumn("words", _words(F.col("paragraph"))).withColumn("grams", _grams(F.col("words")))
+    scored = model.regression.transform(model.vocabulary.transform(words)).withColumn("p", vector_to_array("probability"))
+    names = F.array(*[F.lit(f) for f in model.families])
+    family = F.element_at(names, F.col("prediction").cast("int") + 1)
+    likeliest = F.array_max(F.slice("p", 1, len(model.families) - 1))
+    rows = scored.select("doc_id", "line", "paragraph", family.alias("family"), likeliest.alias("probability"), _confirmed_families(_pairs(F.col("words")), params).alias("confirmed"))
+    shown = F.size("confirmed") > 0
+    return rows.select(*[F.when(shown, F.col(c)).alias(c) for c in ("doc_id", "line", "paragraph")], "family", "probability", "confirmed")
+
+
+def _calibrated(scored: DataFrame, model: LicenseModel, params: LicenseParams) -> LicenseModel:
+    """The model with the threshold from all paragraphs that no template confirms."""
+    if model.regression.numClasses < len(model.families):
+        return model
+    quantile = scored.where(F.size("confirmed") == 0).agg(F.percentile_approx("probability", params.unknown_quantile, 100_000)).first()[0]
+    return replace(model, threshold=max(params.least_probability, quantile or 0.0))
+
+
+def _accepted(scored: DataFrame, model: LicenseModel) -> DataFrame:
+    accepted = F.array_contains("confirmed", F.col("family")) & (F.col("probability") > model.threshold)
+    return scored.where(accepted).select("doc_id", "line", "paragraph", "family", "probability")
+
+
+def train(docs: DataFrame, params: LicenseParams = LicenseParams(), id_col: str = "doc_id", text_col: str = "text") -> LicenseModel:
+    model = _fit(docs, params, id_col, text_col)
+    return _calibrated(_scored(docs, model, params, id_col, text_col), model, params)
 
 
 def scan(
     docs: DataFrame, model: LicenseModel, params: LicenseParams = LicenseParams(), id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Licence paragraphs: doc_id, line (from 0), paragraph, family, probability."""
-    grams = _paragraphs(docs, id_col, text_col).withColumn("words", _words(F.col("paragraph"))).withColumn("grams", _grams(F.col("words")))
-    scored = model.regression.transform(model.vocabulary.transform(grams))
-    probability = vector_to_array("probability")
-    scored = scored.withColumn("p", probability)
-    names = F.array(*[F.lit(f) for f in model.families])
-    family = F.element_at(names, F.col("prediction").cast("int") + 1)
-    likely = scored.select("doc_id", "line", "paragraph", "grams", family.alias("family"), F.array_max("p").alias("probability"))
-    likely = likely.where((F.col("family") != UNKNOWN) & (F.col("probability") > model.threshold))
-    # The templates are a list of this module, so they are written into the plan.
-    spark = docs.sparkSession
-    templates = _templates(spark).select("family", _grams(F.col("words")).alias("template"))
-    listed = F.broadcast(templates.groupBy("family").agg(F.collect_list("template").alias("templates")))
-    pairs = lambda x: F.filter(F.array_distinct(x), lambda g: F.instr(g, " ") > 0)
-    mine = pairs(F.col("grams"))
-    shares = F.transform(
-        "templates",
-        lambda t: F.size(F.array_intersect(mine, pairs(t))) / F.greatest(F.size(pairs(t)), F.lit(1)),
-    )
-    confirmed = likely.join(listed, "family").where(F.array_max(shares) >= params.confirmed_share)
-    return confirmed.select("doc_id", "line", "paragraph", "family", "probability")
+    return _accepted(_scored(docs, model, params, id_col, text_col), model)
 
 
 def scan_documents(docs: DataFrame, params: LicenseParams = LicenseParams()) -> DataFrame:
     """One row per document: doc_id, families (sorted, comma-joined, empty for none) and
-    n_license_paragraphs. Only found paragraphs are shuffled."""
-    found = scan(docs, train(docs, params), params)
+    n_license_paragraphs. Only found paragraphs are shuffled. The scores are staged: they are read for the
+    threshold and again for the verdict, and paragraphs are scored once."""
+    model = _fit(docs, params, "doc_id", "text")
+    scored = stage(_scored(docs, model, params, "doc_id", "text"), "license_scores")
+    found = _accepted(scored, _calibrated(scored, model, params))
     grouped = found.groupBy("doc_id").agg(
         F.array_join(F.array_sort(F.collect_set("family")), ",").alias("families"), F.countDistinct("line").alias("n_license_paragraphs")
     )
