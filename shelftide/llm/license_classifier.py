@@ -1,12 +1,15 @@
 """Licence scan: a trained paragraph classifier, confirmed by templates. JVM work only.
 
-A paragraph is a line with words. Its lower-cased words and word pairs are counted against a
+A paragraph is what stands between lines without words (wrapped lines are joined); a line in it that
+has enough of a template by itself is a paragraph of its own. Its lower-cased words and word pairs are counted against a
 vocabulary taken from licence templates, and a multinomial logistic regression gives
 each family, and the class ``unknown``, a probability. It is trained on the templates, on cuts of them, and
 on a bounded sample of paragraphs of the corpus as ``unknown``.
 
 A prediction counts only if a template of the predicted family confirms it: enough of the template's
-word pairs are in the paragraph. Paragraphs that a template of any family confirms are no examples of unknown text:
+word pairs are in the paragraph, or enough of the paragraph's (``least_pairs`` or more) in the template. Single
+lines of a joined paragraph are scored too, since a notice may stand in the middle of other text; they count if
+the joined lines are no licence. Paragraphs that a template of any family confirms are no examples of unknown text:
 they are left out of the background and of the calibration.
 
 The unknown class is calibrated on all other paragraphs of the corpus: a family must be likelier than
@@ -14,7 +17,7 @@ The unknown class is calibrated on all other paragraphs of the corpus: a family
 
 Defined results: NULL and empty texts have no paragraphs and no licence; a paragraph without
 any word of the vocabulary is unknown; rows that share a doc_id are one document, and each
-of them gets its row. Without any corpus paragraph the threshold is one half.
+of them gets its row; a family counts once in a paragraph. Without any corpus paragraph the threshold is one half.
 """
 
 from __future__ import annotations
@@ -53,6 +56,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "LGPL": (
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation.",
     ),
     "BSD": (
         "Licensed under the BSD 3-Clause License.",
@@ -89,6 +93,7 @@ class LicenseParams:
     unknown_quantile: float = 0.999
     least_probability: float = 0.5
     confirmed_share: float = 0.6
+    least_pairs: int = 8
     iterations: int = 60
     ridge: float = 1e-3
 
@@ -120,20 +125,28 @@ def _template_pairs(text: str) -> list[str]:
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:], strict=False)})
 
 
-def _confirmed_families(pairs: Column, params: LicenseParams) -> Column:
-    """The families with a template that confirms a paragraph of these word pairs."""
+def _known_pairs(words: Column) -> Column:
+    """The distinct word pairs that some template has, and the number of all distinct pairs. In an
+    array of one, so that each is worked out once."""
+    known = sorted({g for texts in TEMPLATES.values() for text in texts for g in _template_pairs(text)})
+    found = lambda d: F.struct(F.filter(d, lambda g: g.isin(known)).alias("mine"), F.size(d).alias("n_pairs"))
+    return F.transform(F.array(F.array_distinct(_pairs(words))), found)[0]
+
+
+def _confirmed_families(known: Column, params: LicenseParams, as_part: bool = True) -> Column:
+    """The families with a template that confirms a paragraph of these ``_known_pairs``; with ``as_part``
+    False only those whose template is in the paragraph, not the other way round."""
     listed = [(family, _template_pairs(text)) for family, texts in TEMPLATES.items() for text in texts]
-    known = sorted({g for _, template in listed for g in template})
     templates = F.array(*[F.struct(F.lit(f).alias("family"), F.array(*map(F.lit, t)).alias("pairs")) for f, t in listed])
     least = min(params.confirmed_share * len(t) for _, t in listed)
 
-    def confirming(mine: Column) -> Column:
-        enough = F.filter(templates, lambda t: F.size(F.array_intersect(mine, t["pairs"])) / F.size(t["pairs"]) >= params.confirmed_share)
-        return F.when(F.size(mine) >= least, F.array_distinct(F.transform(enough, lambda t: t["family"]))).otherwise(F.array().cast("array<string>"))
+    def confirms(t: Column) -> Column:
+        common = F.size(F.array_intersect(known["mine"], t["pairs"]))
+        whole = common / F.size(t["pairs"]) >= params.confirmed_share
+        return whole | ((common >= params.least_pairs) & (common >= params.confirmed_share * known["n_pairs"])) if as_part else whole
 
-    # In an array of one, so that the pairs are looked up once and not for each template.
-    mine = F.array(F.filter(F.array_distinct(pairs), lambda g: g.isin(known)))
-    return F.transform(mine, confirming)[0]
+    families = F.array_distinct(F.transform(F.filter(templates, confirms), lambda t: t["family"]))
+    return F.when(F.size(known["mine"]) >= min(least, params.least_pairs), families).otherwise(F.array().cast("array<string>"))
 
 
 def _templates(spark: SparkSession) -> DataFrame:
@@ -143,9 +156,37 @@ def _templates(spark: SparkSession) -> DataFrame:
     return listed.select("t.family", _words(F.col("t.paragraph")).alias("words"))
 
 
-def _paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    split = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(text_col, "\n")).alias("line", "paragraph"))
-    return split.where("trim(paragraph) <> ''")
+# Kinds of scored text: a line with a template of its own, the joined other lines of a paragraph, one of these.
+OWN, JOINED, PART = 0, 1, 2
+
+
+def _paragraphs(docs: DataFrame, params: LicenseParams, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, block (stretches between lines without words, from 0), kind, paragraph, words, known."""
+    # Cut before every line without words, so that one stretch ends there.
+    blocks = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(text_col, "\n(?=[^0-9A-Za-z\n]*(?:\n|$))")).alias("block", "stretch"))
+    lines = F.filter(F.split("stretch", "\n"), lambda x: F.trim(x) != "")
+
+    def described(kind: Column, text: Column, words: Column) -> Column:
+        return F.struct(kind.alias("kind"), text.alias("paragraph"), words.alias("words"), _known_pairs(words).alias("known"))
+
+    def line(text: Column) -> Column:
+        part = F.transform(F.array(_words(text)), lambda w: described(F.lit(PART), text, w))[0]
+        own = F.size(_confirmed_families(part["known"], params, as_part=False)) > 0
+        return part.withField("kind", F.when(own, F.lit(OWN)).otherwise(F.lit(PART)))
+
+    def joined(rest: Column) -> Column:
+        words = F.flatten(F.transform(rest, lambda x: x["words"]))
+        text = F.array_join(F.transform(rest, lambda x: x["paragraph"]), "\n")
+        alone = F.transform(rest, lambda x: x.withField("kind", F.lit(JOINED)))
+        return F.when(F.size(rest) > 1, F.concat(rest, F.transform(F.array(words), lambda w: described(F.lit(JOINED), text, w)))).otherwise(alone)
+
+    def all_of(each: Column) -> Column:
+        rest = F.filter(each, lambda x: x["kind"] == PART)
+        return F.concat(F.filter(each, lambda x: x["kind"] == OWN), F.flatten(F.transform(F.array(rest), joined)))
+
+    # The arrays of one hold what is used more than once.
+    units = F.flatten(F.transform(F.array(F.transform(lines, line)), all_of))
+    return blocks.select("doc_id", "block", F.explode(units).alias("u")).select("doc_id", "block", "u.*")
 
 
 def _fit(docs: DataFrame, params: LicenseParams, id_col: str, text_col: str) -> LicenseModel:
@@ -166,7 +207,7 @@ def _fit(docs: DataFrame, params: LicenseParams, id_col: str, text_col: str) ->
         _words(F.element_at("lines", (F.pmod(F.xxhash64("sample_id", F.lit(2)), F.size("lines")) + 1).cast("int"))).alias("words"),
     )
     # A sampled paragraph that a template confirms is no example of unknown text.
-    plain = one.where("training").where(F.size(_confirmed_families(_pairs(F.col("words")), params)) == 0)
+    plain = one.where("training").where(F.size(_confirmed_families(_known_pairs(F.col("words")), params)) == 0)
     background = stage(plain.select("words"), "background")
 
     vocabulary = CountVectorizer(inputCol="grams", outputCol="counts", binary=True, minDF=1.0).fit(known.select(_grams(F.col("words")).alias("grams")))
@@ -181,14 +222,15 @@ def _fit(docs: DataFrame, params: LicenseParams, id_col: str, text_col: str) ->
 def _scored(docs: DataFrame, model: LicenseModel, params: LicenseParams, id_col: str, text_col: str) -> DataFrame:
     """One row per paragraph: the predicted family, the probability of the likeliest family, and the
     families that a template confirms. Place and text are there only for those with one."""
-    words = _paragraphs(docs, id_col, text_col).withColumn("words", _words(F.col("paragraph"))).withColumn("grams", _grams(F.col("words")))
+    words = _paragraphs(docs, params, id_col, text_col).withColumn("grams", _grams(F.col("words")))
     scored = model.regression.transform(model.vocabulary.transform(words)).withColumn("p", vector_to_array("probability"))
     names = F.array(*[F.lit(f) for f in model.families])
     family = F.element_at(names, F.col("prediction").cast("int") + 1)
     likeliest = F.array_max(F.slice("p", 1, len(model.families) - 1))
-    rows = scored.select("doc_id", "line", "paragraph", family.alias("family"), likeliest.alias("probability"), _confirmed_families(_pairs(F.col("words")), params).alias("confirmed"))
+    confirmed = _confirmed_families(F.col("known"), params).alias("confirmed")
+    rows = scored.select("doc_id", "block", "kind", "paragraph", family.alias("family"), likeliest.alias("probability"), confirmed)
     shown = F.size("confirmed") > 0
-    return rows.select(*[F.when(shown, F.col(c)).alias(c) for c in ("doc_id", "line", "paragraph")], "family", "probability", "confirmed")
+    return rows.select(*[F.when(shown, F.col(c)).alias(c) for c in ("doc_id", "block", "kind", "paragraph")], "family", "probability", "confirmed")
 
 
 def _calibrated(scored: DataFrame, model: LicenseModel, params: LicenseParams) -> LicenseModel:
@@ -200,8 +242,15 @@ def _calibrated(scored: DataFrame, model: LicenseModel, params: LicenseParams) -
 
 
 def _accepted(scored: DataFrame, model: LicenseModel) -> DataFrame:
+    """One row per paragraph and family. Single lines count only if the joined ones are no licence."""
     accepted = F.array_contains("confirmed", F.col("family")) & (F.col("probability") > model.threshold)
-    return scored.where(accepted).select("doc_id", "line", "paragraph", "family", "probability")
+    best = F.max(F.struct("probability", "paragraph")).alias("best")
+    rows = scored.where(accepted).groupBy("doc_id", "block", "family", "kind").agg(best)
+    blocks = rows.groupBy("doc_id", "block").agg(F.collect_list(F.struct("kind", "family", "best")).alias("found"))
+    whole = F.exists("found", lambda x: x["kind"] == JOINED)
+    counted = F.filter("found", lambda x: ~whole | (x["kind"] != PART))
+    each = blocks.select("doc_id", "block", F.explode(counted).alias("f")).groupBy("doc_id", "block", F.col("f.family").alias("family"))
+    return each.agg(F.max("f.best").alias("best")).select("doc_id", "block", "best.paragraph", "family", "best.probability")
 
 
 def train(docs: DataFrame, params: LicenseParams = LicenseParams(), id_col: str = "doc_id", text_col: str = "text") -> LicenseModel:
@@ -212,7 +261,7 @@ def train(docs: DataFrame, params: LicenseParams = LicenseParams(), id_col: str
 def scan(
     docs: DataFrame, model: LicenseModel, params: LicenseParams = LicenseParams(), id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Licence paragraphs: doc_id, line (from 0), paragraph, family, probability."""
+    """Licence paragraphs: doc_id, block (stretches between lines without words, from 0), paragraph, family, probability."""
     return _accepted(_scored(docs, model, params, id_col, text_col), model)
 
 
@@ -224,7 +273,7 @@ def scan_documents(docs: DataFrame, params: LicenseParams = LicenseParams()) ->
     scored = stage(_scored(docs, model, params, "doc_id", "text"), "license_scores")
     found = _accepted(scored, _calibrated(scored, model, params))
     grouped = found.groupBy("doc_id").agg(
-        F.array_join(F.array_sort(F.collect_set("family")), ",").alias("families"), F.countDistinct("line").alias("n_license_paragraphs")
+        F.array_join(F.array_sort(F.collect_set("family")), ",").alias("families"), F.count("family").alias("n_license_paragraphs")
     )
     ids = docs.select("doc_id")
     joined = ids.join(grouped.withColumnRenamed("doc_id", "found_id"), F.col("doc_id").eqNullSafe(F.col("found_id")), "left")

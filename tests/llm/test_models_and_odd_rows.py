@@ -116,6 +116,25 @@ def test_unlisted_licence_wordings_do_not_raise_the_threshold(make_docs):
     assert got == {k: "Apache-2.0" if k % 100 == 7 else "" for k, _ in rows}
 
 
+def test_wrapped_licence_headers(make_docs):
+    """Real headers at 70 to 80 columns, in comment signs, with a line of another licence, inside other text."""
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights"
+    gpl = "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version."
+    lgpl = gpl.replace("program", "library").replace("General", "Lesser General")
+    bsd = " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions\n * are met:"
+    first = "Permission is hereby granted, free of charge, to any person obtaining a copy"
+    rng = random.Random(9)
+    prose = lambda: "\n".join(" ".join(f"w{rng.randrange(500)}" for _ in range(12)) for _ in range(3))
+    rows = [(k, prose()) for k in range(600)]
+    want = {1000: (mit, "MIT", 1), 1001: (gpl, "GPL", 1), 1002: (lgpl, "LGPL", 1), 1003: (bsd, "BSD", 1), 1004: (first, "MIT", 1)}
+    want |= {1005: (f"{prose()}\n{bsd}\n{prose()}", "BSD", 1), 1006: (f"{prose()}\n{first}\n{prose()}", "MIT", 1)}
+    want |= {1007: (f"{mit}\nAll rights reserved.\n#\n{gpl}", "GPL,MIT,proprietary", 3), 1008: ("you may redistribute it to any person\nfree of cost", "", 0)}
+    rows += [(k, text) for k, (text, _, _) in want.items()]
+    got = {r["doc_id"]: tuple(r)[1:] for r in license_classifier.scan_documents(make_docs(rows)).collect()}
+    assert {k: got[k] for k in want} == {k: x[1:] for k, x in want.items()}
+    assert all(got[k] == ("", 0) for k in range(600))
+
+
 def test_pseudonyms_keep_formats_and_links(make_docs):
     docs = make_docs(
         [
