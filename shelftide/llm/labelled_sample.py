@@ -25,7 +25,9 @@ def sample_ids(rows: DataFrame, id_col: str, size: int, kept: list[str] = []) ->
 
 def with_texts(sample: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The sampled rows with the bytes of their documents. The sample is bounded by its size, so
-    it is what is broadcast; texts are not shuffled."""
+    it is what is broadcast; only sampled texts are shuffled, to keep one of each id (of several texts the one with
+    the smallest hash), so the result has as many rows as the sample at most."""
     texts = docs.select(F.col(id_col).cast("long").alias("sample_id"), F.col(text_col).cast("binary").alias("data"))
     named = sample.withColumnRenamed(id_col, "sample_id").withColumn("sample_id", F.col("sample_id").cast("long"))
-    return texts.join(F.broadcast(named), "sample_id")
+    joined = texts.join(F.broadcast(named), "sample_id")
+    return joined.groupBy(*named.columns).agg(F.min_by("data", F.struct(F.xxhash64("data"), "data")).alias("data"))

@@ -283,7 +283,9 @@ def find_groups(
     # Rows that share a doc_id are one document, so their classes are linked.
     of_class = scratch.stage(linked.select("doc_id", "set_high", "set_low").join(member, ["set_high", "set_low"]).select("doc_id", "node").distinct(), "members")
     same_id = of_class.where("doc_id <> node").select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
-    nodes = linked.join(of_class.where("doc_id = node").select("doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "signature")
+    nodes = linked.join(of_class.where("doc_id = node").select("doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "signature", "set_high", "set_low")
+    # One row per document and set: rows that share a doc_id may have several sets.
+    nodes = scratch.stage(nodes.dropDuplicates(["node", "set_high", "set_low"]).select("node", "signature"), "nodes")
 
     width = 4 * rows
     keys = F.array(*[F.xxhash64(F.lit(b), F.substring("signature", 1 + b * width, width)) for b in range(bands)])
@@ -295,7 +297,12 @@ def find_groups(
     first = scratch.stage(first, "pairs")
 
     needed = shared.select(F.col("node").alias("doc_id")).distinct()
-    sets = scratch.stage(_sets_of(source.join(needed, "doc_id", "left_semi")), "sets")
+    # Only ids with several rows can repeat a set, so only their sets are shuffled to be kept once.
+    several = scratch.stage(linked.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "several")
+    alone = _sets_of(source.join(needed.join(several, "doc_id", "left_anti"), "doc_id", "left_semi"))
+    repeated = _sets_of(source.join(needed.join(several, "doc_id", "left_semi"), "doc_id", "left_semi"))
+    repeated = repeated.withColumn("digest", F.xxhash64("shingles")).dropDuplicates(["node", "digest"]).drop("digest")
+    sets = scratch.stage(alone.unionByName(repeated), "sets")
     links = scratch.stage(_verified(first, sets, percent), "confirmed")
 
     found = components(links, scratch)

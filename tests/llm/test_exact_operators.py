@@ -10,7 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from shelftide.llm import decontamination, fertility, line_runs, near_duplicates, piece_codec, queries, token_files
+from shelftide.llm import decontamination, fertility, labelled_sample, line_runs, near_duplicates, piece_codec, queries, token_files
 from shelftide.llm.common import table
 from tests.llm import brute
 
@@ -134,6 +134,23 @@ def test_line_runs_of_short_lines_need_several_doublings(make_docs):
     assert got[2] == "new\nend" and got[3] == rows[2][1]
 
 
+@pytest.mark.parametrize("same_id", [None, 5])
+def test_a_thousand_equal_rows_are_one_document(spark, make_docs, same_id):
+    """The lines staged, the sets staged and the sampled rows do not grow with the copies."""
+    text = "\n".join(" ".join(f"w{10 * k + j}" for j in range(10)) for k in range(20))
+    docs = make_docs([(same_id, text)] * 1000 + [(9, text), (10, text.replace("w7 ", "x7 "))])
+    got = line_runs.delete_repeated_runs(docs).collect()
+    assert sum(r["text"] == text for r in got) == 1000 and len(got) == 1002
+    spans = line_runs.repeated_spans(docs).collect()
+    assert sum(r["doc"] not in (9, 10) for r in spans) == 0
+    assert all(len(r["spans"]) == len(set(map(tuple, r["spans"]))) for r in spans) and len(spans) == 2
+    groups = near_duplicates.find_groups(docs).collect()
+    assert len(groups) == 1002 and {r["component_id"] for r in groups if r["doc_id"] is not None} == {same_id or 9}
+    sample = labelled_sample.sample_ids(docs.select("doc_id"), "doc_id", 10)
+    sampled = labelled_sample.with_texts(sample, docs, "doc_id", "text").collect()
+    assert sorted(r["sample_id"] for r in sampled) == sorted({same_id or 9, 9, 10})
+
+
 @pytest.mark.parametrize("dictionary", [True, False])
 def test_token_files_round_trip(spark, folder, texts, tmp_path, dictionary):
     from tokenizers import Tokenizer
