@@ -30,8 +30,13 @@ ROUNDS = 8
 FIRST_DAY = "1900-01-01"
 DAYS = 73049
 
-CARD = r"(?<![0-9A-Za-z.+-])[0-9]{4}(?:[ -]?[0-9]{4}){3}(?![0-9A-Za-z])"
-PHONE = r"\+[0-9]{1,3} \([0-9]{3}\) [0-9]{3}-[0-9]{4}(?![0-9])"
+CARD = (
+    r"(?<![0-9A-Za-z.+-])(?:[0-9]{4}(?:[ -]?[0-9]{4}){3}(?![0-9A-Za-z])|(?:[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}|[0-9]{13,19})(?![0-9A-Za-z]))"
+)
+# With a country code; the separator is the same between all groups, or there is none.
+ABROAD = r"\+[0-9]{1,3}(?: \([0-9]{3}\) [0-9]{3}-[0-9]{4}(?![0-9])|(?: (?:\([0-9]{1,4}\)|[0-9]{1,4})(?: [0-9]{2,8}){1,4}|-[0-9]{1,4}(?:-[0-9]{2,8}){1,4}|[.][0-9]{1,4}(?:[.][0-9]{2,8}){1,4}|[0-9]{6,12})(?![0-9A-Za-z]|[./-][0-9]))"
+NATIONAL = r"(?<![0-9A-Za-z.+-])(?:\([0-9]{3}\) ?[0-9]{3}[ .-]|[0-9]{3}-[0-9]{3}-|[0-9]{3}[.][0-9]{3}[.])[0-9]{4}(?![0-9A-Za-z]|[./-][0-9])"
+PHONE = f"{ABROAD}|{NATIONAL}"
 ADDRESS = r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z])(?!\.[0-9])"
 DATE = (
     r"(?<![0-9A-Za-z./-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}[.][0-9]{2}[.](?:19|20)[0-9]{2}|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2})"
@@ -52,7 +57,7 @@ class PseudonymParams:
 def feistel(number: Column, left_size: int, right_size: int, params: PseudonymParams, kind: str, forward: bool = True) -> Column:
     """The keyed permutation of numbers below ``left_size`` * ``right_size``. Even rounds change
     the left part, odd rounds the right one; backwards the rounds run in reverse with subtraction."""
-    state = F.struct(((number - number % right_size) / F.lit(right_size)).cast("long").alias("l"), (number % right_size).alias("r"))
+    state = F.struct(F.rint((number - number % right_size) / F.lit(right_size)).cast("long").alias("l"), (number % right_size).alias("r"))
     turns = F.array(*[F.lit(t) for t in (range(params.rounds) if forward else reversed(range(params.rounds)))])
     sign = 1 if forward else -1
 
@@ -94,20 +99,30 @@ def _refilled(value: Column, digits: Column) -> Column:
     return step
 
 
+def _moved(digits: Column, params: PseudonymParams, kind: str, forward: bool) -> Column:
+    """The permutation of all numbers of as many digits (18 at most)."""
+    tens = F.array(*[F.lit(10**k).cast("long") for k in range(10)])
+    power = lambda k: F.element_at(tens, (k + 1).cast("int"))
+    n = F.length(digits)
+    left, right = power(F.floor(n / 2)), power(F.ceil(n / 2))
+    return F.lpad(feistel(digits.cast("long"), left, right, params, kind, forward).cast("string"), n, F.lit("0"))
+
+
 def _card(value: Column, params: PseudonymParams, forward: bool) -> Column:
     digits = _digits(value)
-    body = F.substring(digits, 1, 15).cast("long")
-    moved = F.lpad(feistel(body, 10**7, 10**8, params, "card", forward).cast("string"), 15, "0")
+    moved = _moved(F.substring(digits, F.lit(1), F.length(digits) - 1), params, "card", forward)
     check = ((10 - _luhn_sum(moved, True) % 10) % 10).cast("string")
     return F.when(_luhn_sum(digits, False) % 10 == 0, _refilled(value, F.concat(moved, check))).otherwise(value)
 
 
 def _phone(value: Column, params: PseudonymParams, forward: bool) -> Column:
-    """The ten digits after the country code."""
-    start = F.length(F.substring_index(value, " ", 1))
-    rest = F.substring(value, start + 1, F.length(value))
-    moved = F.lpad(feistel(_digits(rest).cast("long"), 10**5, 10**5, params, "phone", forward).cast("string"), 10, "0")
-    return F.concat(F.substring(value, F.lit(1), start), _refilled(rest, moved))
+    """The digits after the country code; without a separator the first two stay, without a code none."""
+    code = F.length(F.regexp_extract(value, "^(?:[+][0-9]{1,3}(?=[ .-])|[+][0-9]{2}|)", 0))
+    rest = F.substring(value, code + 1, F.length(value))
+    digits = _digits(rest)
+    # More digits than a number has: the first 18 move.
+    moved = F.concat(_moved(F.substring(digits, 1, 18), params, "phone", forward), F.substring(digits, F.lit(19), F.length(digits)))
+    return F.concat(F.substring(value, F.lit(1), code), _refilled(rest, moved))
 
 
 def _address(value: Column, params: PseudonymParams, forward: bool) -> Column:
@@ -179,7 +194,7 @@ def pseudonym(value: Column, params: PseudonymParams = PseudonymParams(), forwar
     """The pseudonym of one found value, by its kind; with ``forward`` False the value of a pseudonym."""
     return (
         F.when(value.contains("@"), _mail(value, params, forward))
-        .when(value.startswith("+"), _phone(value, params, forward))
+        .when(value.startswith("+") | value.rlike(f"^(?:{NATIONAL})$"), _phone(value, params, forward))
         .when(value.rlike(f"^(?:{DATE})$"), _date(value, params, forward))
         .when(value.rlike(f"^(?:{ADDRESS})$"), _address(value, params, forward))
         .otherwise(_card(value, params, forward))

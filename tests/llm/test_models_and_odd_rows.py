@@ -157,6 +157,20 @@ def test_pseudonyms_keep_formats_and_links(make_docs):
     assert back == {r["doc_id"]: r["text"] for r in docs.collect()}
 
 
+def test_pseudonyms_of_other_cards_and_phones(make_docs):
+    values = ["(555) 123-4567", "555-123-4567", "+44 20 7946 0958", "+49 30 1234567", "+442079460958", "3782 822463 10005", "378282246310005"]
+    values += ["4222222222222", "30569309025904", "6304000000000000000", "4111 1111 1111 1111"]
+    docs = make_docs([(k, f"call {v}, then 2021x") for k, v in enumerate(values)])
+    out = pii_pseudonyms.pseudonymise(docs, count_col="n")
+    rows = {r["doc_id"]: r for r in out.collect()}
+    shape = lambda text: "".join("0" if c.isdigit() else c for c in text)
+    for k, v in enumerate(values):
+        text = rows[k]["text"]
+        assert rows[k]["n"] == 1 and v not in text and shape(text) == shape(f"call {v}, then 2021x") and text.endswith("2021x")
+    back = {r["doc_id"]: r["text"] for r in pii_pseudonyms.pseudonymise(out, forward=False).collect()}
+    assert back == {r["doc_id"]: r["text"] for r in docs.collect()}
+
+
 def test_feistel_is_a_permutation(spark):
     params = pii_pseudonyms.PseudonymParams()
     moved = spark.range(600).select(pii_pseudonyms.feistel(F.col("id"), 20, 30, params, "test").alias("m")).collect()
