@@ -81,7 +81,10 @@ class _Encoder:
             # A token that is a part of a character stands for a byte, as in byte fallback.
             self.is_byte = np.zeros(max(ranks.values()) + 1, bool)
             for text, number in ranks.items():
-                self.is_byte[number] = len(text) == 1 and text[0] >= 128
+                try:
+                    text.decode()
+                except UnicodeDecodeError:
+                    self.is_byte[number] = True
             self.encode = lambda words: [model.encode_ordinary(" " + w) for w in words]
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import random
 import zlib
@@ -31,6 +32,15 @@ def test_entropy_of_two_equal_tokens_is_one_bit():
     assert fertility.entropies(np.array([5, 5, 6, 6, 9]), np.array([0, 4, 4, 5])).tolist() == [1.0, 0.0, 0.0]
 
 
+def test_parts_of_characters_count_as_bytes():
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoder = fertility._Encoder(fertility.Vocabulary("multi", "ranks", path, public_tokenizers.PATTERN))
+    with open(path, "rb") as lines:
+        entries = {int(b): base64.b64decode(a) for a, b in map(bytes.split, lines)}
+    whole = [entries[k].decode(errors="replace").encode() == entries[k] for k in sorted(entries)]
+    assert encoder.is_byte[sorted(entries)].tolist() == [not w for w in whole]
+
+
 def test_near_duplicates_like_all_pairs(spark, folder, texts):
     got = {r["doc_id"]: (r["component_id"], r["n_shingles"]) for r in queries.op2_near_duplicates(spark, folder).collect()}
     assert {i: c for i, (c, _) in got.items()} == brute.groups(texts)
