@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelftide.llm import decontamination, fertility, license_classifier, line_runs, near_duplicates, ordinal_quality, pii_pseudonyms, piece_codec, token_files, toxicity
+from shelftide.llm import (
+    conversation_trie,
+    decontamination,
+    fertility,
+    license_classifier,
+    line_runs,
+    near_duplicates,
+    ordinal_quality,
+    pii_pseudonyms,
+    piece_codec,
+    term_fingerprints,
+    token_files,
+    toxicity,
+    whitening,
+)
 from shelftide.llm.common import table
 from shelftide.sources.shared import fresh_path
 
@@ -70,6 +84,18 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.with_checksums(token_files.read_tokens(spark, path))
 
 
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie.prefix_trie(table(spark, folder, "conversations"))
+
+
+def op12_term_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return term_fingerprints.fingerprint_documents(table(spark, folder, "documents"))
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -83,6 +109,9 @@ QUERIES: dict[str, Query] = {
         op8_toxicity,
         op9_line_runs,
         op10_token_files,
+        op11_conversation_trie,
+        op12_term_fingerprints,
+        op13_whitening,
     )
 }
 
@@ -174,3 +203,46 @@ WITH RECURSIVE d AS (
 SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, component_id = d.doc_id AS kept
 FROM d LEFT JOIN sizes ON d.doc_id = sizes.doc_id JOIN groups ON d.doc_id = groups.doc_id
 """
+
+# CRC-32 bit by bit over the decimal digits; subtree figures by walking every node's prefixes.
+SQL["op11_conversation_trie"] = r"""
+WITH given AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k
+    FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+    SELECT DISTINCT conv_id,
+        xor(list_reduce(
+            list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT)),
+            lambda crc, b: list_reduce([0, 1, 2, 3, 4, 5, 6, 7],
+                lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, xor(crc, b)),
+            4294967295), 4294967295) % 6 AS h
+    FROM given
+), turns AS (
+    SELECT i.conv_id, g.k, g.role, g.text FROM ids i JOIN given g ON g.conv_id = i.conv_id - i.conv_id % 100 AND g.k <= i.h
+    UNION ALL
+    SELECT i.conv_id, g.k + 100, g.role, g.text FROM ids i JOIN given g ON g.conv_id = i.conv_id AND g.k > i.h
+), built AS (
+    SELECT i.conv_id, coalesce(s.path, []) AS path FROM ids i LEFT JOIN (
+        SELECT conv_id, list({'role': role, 'text': text} ORDER BY k) AS path FROM turns GROUP BY conv_id
+    ) s ON i.conv_id = s.conv_id
+), prefixes AS (
+    SELECT conv_id, len(path) AS own, d, path[1 : d] AS p FROM (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS d FROM built)
+), nodes AS (
+    SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+        string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (own = d) AS ends
+    FROM prefixes GROUP BY p, d
+), valued AS (
+    SELECT n.*, u.conv_id AS parent_conv_id, CASE WHEN n.d > 0 THEN (n.n_convs - 1) * length(n.p[-1].text) ELSE 0 END AS saved,
+        (SELECT count(*) FROM nodes c WHERE c.d = n.d + 1 AND c.p[1 : n.d] = n.p) AS n_children
+    FROM nodes n LEFT JOIN nodes u ON u.d = n.d - 1 AND u.p = n.p[1 : n.d - 1]
+), below AS (
+    SELECT a.p, a.d, sum(b.saved) AS saved_tokens, count(*) FILTER (b.n_children = 0) AS n_leaves
+    FROM (SELECT p, d, saved, n_children, unnest(range(0, d + 1)) AS at FROM valued) b JOIN nodes a ON a.d = b.at AND a.p = b.p[1 : b.at]
+    GROUP BY a.p, a.d
+)
+SELECT CAST(v.conv_id AS BIGINT) AS conv_id, CAST(v.d AS BIGINT) AS depth, CAST(v.parent_conv_id AS BIGINT) AS parent_conv_id,
+    CAST(v.n_convs AS BIGINT) AS n_convs, CAST(v.n_children AS BIGINT) AS n_children, CAST(b.n_leaves AS BIGINT) AS n_leaves,
+    CAST(b.saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(v.ends, '')) AS ends_sha256
+FROM valued v JOIN below b ON v.p = b.p AND v.d = b.d
+"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -79,3 +80,30 @@ def left_lines(docs, min_words=50):
                     seen.add(run)
                     break
     return {i: None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i]) for i, t in docs}
+
+
+def trie(rows, span=100, most=6):
+    """Node rows of the rebuilt conversations, every subtree walked. ``rows``: (conv_id, turn, role, text)."""
+    own = {}
+    first = lambda x: (x is not None, x or 0)
+    for c, turn, role, text in sorted(rows, key=lambda r: (first(r[1]), r[2] or "", r[3] or "")):
+        if c is not None:
+            own.setdefault(c, []).append((role or "", text or ""))
+    built = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % most
+        built[c] = own.get(c - c % span, [])[:h] + turns[h:]
+    members = {}
+    for c, turns in sorted(built.items()):
+        for d in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:d]), []).append(c)
+    below = {p: [q for q in members if q[: len(p)] == p] for p in members}
+    out = []
+    for p, found in members.items():
+        children = [q for q in below[p] if len(q) == len(p) + 1]
+        leaves = sum(len(below[q]) == 1 for q in below[p])
+        saved = sum((len(members[q]) - 1) * len(q[-1][1]) for q in below[p] if q)
+        ends = ",".join(str(c) for c in found if len(built[c]) == len(p))
+        parent = members[p[:-1]][0] if p else None
+        out.append((found[0], len(p), parent, len(found), len(children), leaves, saved, hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=lambda r: (r[0], r[1]))
