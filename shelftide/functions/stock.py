@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shelftide.functions.exact import round_binary
 from shelftide.params import PolicyParams
 
 DECIMALS = 4
@@ -28,13 +29,13 @@ def policy_columns(
     target = mean * policy.order_cycle_days + buffer
     shortfall = target - on_hand
     return {
-        "safety_stock": F.round(buffer, DECIMALS),
-        "reorder_point": F.round(trigger, DECIMALS),
-        "target_stock_level": F.round(target, DECIMALS),
-        "recommended_order_qty": F.round(
+        "safety_stock": round_binary(buffer, DECIMALS),
+        "reorder_point": round_binary(trigger, DECIMALS),
+        "target_stock_level": round_binary(target, DECIMALS),
+        "recommended_order_qty": round_binary(
             F.when(shortfall.isNotNull(), F.greatest(shortfall, F.lit(0.0))), DECIMALS
         ),
-        "days_of_supply": F.round(F.when(mean > 0, on_hand / mean), DECIMALS),
+        "days_of_supply": round_binary(F.when(mean > 0, on_hand / mean), DECIMALS),
         "reorder_recommendation": on_hand <= trigger,
     }
 

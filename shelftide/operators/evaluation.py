@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelftide.functions.errors import error_sums, improvement, mae, mape, rmse
+from shelftide.functions.errors import error_sums, improvement, mae, mape, rmse, with_totals
 from shelftide.operators.checks import require_columns
 from shelftide.params import PanelColumns
 
@@ -46,7 +46,8 @@ def evaluate(scored: DataFrame, panel: PanelColumns = PanelColumns()) -> DataFra
         **error_sums("model", actual, F.col(panel.prediction)),
         **error_sums("baseline", actual, F.col(panel.baseline), valid),
     }
-    figures = _sums_by_scope(scored, panel, sums).select(
+    totals = with_totals(_sums_by_scope(scored, panel, sums), ("model", "baseline"))
+    figures = totals.select(
         "scope",
         "category",
         "total_rows",
@@ -137,3 +138,32 @@ def report_lines(metrics: DataFrame) -> DataFrame:
         group("", "_delta").alias("improvement"),
     )
     return metrics.select(F.to_json(document, {"ignoreNullFields": "false"}).alias("value"))
+
+
+ROW_COUNTS = (
+    "total_rows",
+    "model_eval_rows",
+    "baseline_eval_rows",
+    "baseline_anomaly_rows",
+    "mape_excluded_rows_model",
+    "mape_excluded_rows_baseline",
+)
+
+
+def report_document(metrics: DataFrame) -> DataFrame:
+    """One row of JSON text for the whole report: the time, the counts and figures over all rows, and under
+    ``by_category`` those of every category in order. Categories are few and configured; each is one row here."""
+
+    def figures() -> list[Column]:
+        parts = (("model", "model_", ""), ("baseline", "baseline_", ""), ("improvement", "", "_delta"))
+        return [F.struct(*[F.col(f"{before}{m}{after}").alias(f"{m}{after}") for m in MEASURES]).alias(name) for name, before, after in parts]
+
+    whole = F.col("scope") == "global"
+    group = F.struct(*ROW_COUNTS, *figures())
+    folded = metrics.agg(
+        F.max(F.when(whole, F.struct(*ROW_COUNTS))).alias("row_counts"),
+        F.max(F.when(whole, F.struct(*figures()))).alias("global"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.when(~whole, F.struct("category", group.alias("group")))))).alias("by_category"),
+    )
+    time = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("evaluation_timestamp")
+    return folded.select(F.to_json(F.struct(time, "row_counts", "global", "by_category"), {"ignoreNullFields": "false"}).alias("value"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelftide.functions.exact import deviation_of, mean_of, merged, moments
 from shelftide.functions.stock import policy_columns, service_level_percent
 from shelftide.operators.checks import require_columns, unmatched_entities
 from shelftide.params import PanelColumns, PolicyParams
@@ -16,40 +17,31 @@ def demand_stats(scored: DataFrame, panel: PanelColumns = PanelColumns()) -> Dat
     row), with its first category and region in date order. Entities with a NULL key are
     left out.
 
-    The rows are aggregated with category and region as keys: only numbers are aggregated
-    then, so Spark hashes where it would have to sort the rows to carry strings along. The
-    few resulting groups of an entity are merged around the entity's mean, which loses no digits
-    however large the forecasts are.
+    Forecasts count in whole millionths, whose sums and sums of squares are exact: the figures are the same for any
+    partitioning, and large forecasts lose no digits. The rows are aggregated with category and region as
+    keys: only numbers are aggregated then, so Spark hashes where it would have to sort the rows to carry strings
+    along. The few resulting groups of an entity add up.
     """
     require_columns(scored, [*panel.grain, panel.category, panel.region, panel.prediction], "demand statistics")
-    forecast, day = F.col(panel.prediction), F.col(panel.date)
+    parts = moments(F.col(panel.prediction))
     groups = (
         scored.dropna(subset=list(panel.entity))
         .groupBy(*panel.entity, panel.category, panel.region)
-        .agg(
-            F.count(forecast).alias("n"),
-            F.avg(forecast).alias("mean"),
-            (F.var_pop(forecast) * F.count(forecast)).alias("within"),
-            F.min(day).alias("first_day"),
-        )
+        .agg(*[c.alias(name) for name, c in parts.items()], F.min(panel.date).alias("first_day"))
     )
-    # A window over the groups of an entity (its categories and regions), on the partitioning
-    # that the aggregate below needs anyway.
-    own = Window.partitionBy(*panel.entity)
-    overall = F.sum(F.col("n") * F.col("mean")).over(own) / F.nullif(F.sum("n").over(own), F.lit(0))
-    one_group = F.count("mean").over(own) <= 1
-    groups = groups.withColumn("overall", F.when(one_group, F.max("mean").over(own)).otherwise(overall))
 
     def first(column: str) -> Column:
         return F.min_by(column, F.when(F.col(column).isNotNull(), F.col("first_day"))).alias(column)
 
-    n, off = F.sum("n"), F.col("mean") - F.col("overall")
-    squares = F.sum(F.col("within") + F.col("n") * off * off)
-    return groups.groupBy(*panel.entity).agg(
-        first(panel.category),
-        first(panel.region),
-        F.max("overall").alias("avg_daily_demand"),
-        F.when(n > 1, F.sqrt(squares / (n - 1))).otherwise(0.0).alias("demand_std_dev"),
+    entities = groups.groupBy(*panel.entity).agg(
+        first(panel.category), first(panel.region), *[c.alias(name) for name, c in merged().items()]
+    )
+    return entities.select(
+        *panel.entity,
+        panel.category,
+        panel.region,
+        mean_of().alias("avg_daily_demand"),
+        F.when(F.col("n") > 1, deviation_of()).otherwise(0.0).alias("demand_std_dev"),
     )
 
 
@@ -125,10 +117,13 @@ def run_summary(
     """Figures of a run as (subject, measure, value): rows per category, range and mean of
     the forecasts, means over the entities, flagged entities, service level, and, given the row of
     ``unmatched_count``, the entities without stock. The forecasts are read once: they are
-    added up per category, and those few rows for the whole."""
+    added up per category, and those few rows for the whole. Means come from exact sums."""
 
-    def lines(one_row: DataFrame, subject: str, measures: dict[str, Column]) -> DataFrame:
-        counted = one_row.agg(*[c.cast("double").alias(m) for m, c in measures.items()])
+    def lines(rows: DataFrame, subject: str, measures: dict[str, Column], means: dict[str, str] = {}) -> DataFrame:  # noqa: B006
+        sums = [c.alias(name) for m, column in means.items() for name, c in moments(F.col(column), prefix=f"{m}_").items()]
+        counted = rows.agg(*[c.cast("double").alias(m) for m, c in measures.items()], *sums)
+        measures = {**measures, **means}
+        counted = counted.withColumns({m: mean_of(f"{m}_") for m in means}) if means else counted
         cells = [F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in measures]
         return counted.select(F.lit(subject).alias("subject"), F.inline(F.array(*cells)))
 
@@ -136,15 +131,15 @@ def run_summary(
     forecast = F.col(panel.prediction)
     groups = (
         scored.groupBy(F.col(panel.category).alias("measure"))
-        .agg(F.count(F.lit(1)).alias("rows"), F.min(forecast).alias("least"), F.max(forecast).alias("most"), F.sum(forecast).alias("total"), F.count(forecast).alias("n"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.min(forecast).alias("least"), F.max(forecast).alias("most"), *[c.alias(name) for name, c in moments(forecast).items()])
     )
     # One row per category, folded into one row: its lines come out of a single pass.
     folded = groups.agg(
         F.collect_list(F.struct("measure", F.col("rows").cast("double").alias("value"))).alias("categories"),
         F.min("least").alias("least"),
         F.max("most").alias("most"),
-        F.try_divide(F.sum("total"), F.sum("n")).alias("mean"),
-    )
+        *[c.alias(name) for name, c in merged().items()],
+    ).withColumn("mean", mean_of())
     whole = F.array(
         *[
             F.struct(F.lit("forecast").alias("subject"), F.lit(m).alias("measure"), F.col(c).cast("double").alias("value"))
@@ -160,12 +155,11 @@ def run_summary(
         "entities",
         {
             "count": F.count(F.lit(1)),
-            "mean_daily_demand": F.avg("avg_daily_demand"),
-            "mean_demand_std_dev": F.avg("demand_std_dev"),
             "reorder_flagged": flagged,
             "reorder_flagged_pct": 100 * F.try_divide(flagged, F.count(F.lit(1))),
             "service_level_pct": F.max(F.lit(service_level_percent(policy.service_level_z))),
         },
+        {"mean_daily_demand": "avg_daily_demand", "mean_demand_std_dev": "demand_std_dev"},
     )
     found = forecasts.unionByName(entities)
     if unmatched is None:

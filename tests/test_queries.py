@@ -101,4 +101,4 @@ def test_stock_and_demand_are_aggregated_before_the_shuffle_without_sorting_rows
     assert "SortAggregate" not in text and "partial_max_by" in text
     # Rows go through a hash aggregate; only the few groups per entity are sorted.
     below = plan(inventory.demand_stats(scored)).split("SortAggregate")[-1]
-    assert "partial_avg(predicted_units_sold" in below
+    assert "HashAggregate" in below and "partial_sum(" in below
