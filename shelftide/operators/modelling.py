@@ -1,7 +1,9 @@
 """Boosted-tree demand model: training, metadata, scoring, storage.
 
-Training and scoring are Spark ML jobs. The driver sees the cutoff date, row counts and
-one validation error per tree.
+Trees grow by second-order histograms (``boosting``): absent values have a learned side, leaves are penalised, columns
+are drawn for each tree. The driver sees the cutoff date, row counts, the best cuts of a level and one validation
+error per tree. Scoring is a column expression. ``estimator`` is the pipeline of Spark ML's own trees, which has none of
+the three and remains for comparison.
 """
 
 from __future__ import annotations
@@ -11,12 +13,13 @@ from dataclasses import asdict, dataclass
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from shelftide.operators import boosting
 from shelftide.operators.checks import require_columns
 from shelftide.operators.encoding import IdDimension
 from shelftide.operators.splitting import split_counts
@@ -97,7 +100,7 @@ def _may_be_absent(feature: str) -> bool:
 
 
 def estimator(features: Sequence[str], settings: Settings = Settings()) -> Pipeline:
-    """Filling, assembling and boosting as one ML pipeline, so that they are saved together."""
+    """Spark ML's trees: filling, assembling and boosting as one pipeline, so that they are saved together."""
     trees, panel = settings.trees, settings.panel
     inputs = [f"x_{c}" for c in features] + [f"absent_{c}" for c in features if _may_be_absent(c)]
     return Pipeline(
@@ -125,7 +128,7 @@ def estimator(features: Sequence[str], settings: Settings = Settings()) -> Pipel
 
 @dataclass(frozen=True)
 class DemandModel:
-    pipeline: PipelineModel
+    ensemble: boosting.Ensemble
     features: tuple[str, ...]
     use_baseline: bool
     panel: PanelColumns
@@ -146,9 +149,6 @@ def training_metadata(
     counts are part of the plan."""
     features = feature_columns(use_baseline, settings.features, settings.panel)
     tree = asdict(settings.trees)
-    # Spark ML has no penalties and one way to grow a tree, measures squared error, and draws the
-    # share of columns for every node instead of every tree.
-    ignored = ["reg_alpha", "reg_lambda", "tree_method", "eval_metric", "colsample_bytree (per node)"]
     return split_counts(df, settings.split, settings.panel).select(
         "cutoff_date",
         F.lit(settings.split.rule).alias("split_rule"),
@@ -159,7 +159,7 @@ def training_metadata(
         F.array(*[F.lit(c) for c in features]).alias("feature_columns"),
         F.lit(settings.panel.target).alias("target_column"),
         F.create_map(*[F.lit(x) for k, v in tree.items() for x in (k, str(v))]).alias("model_parameters"),
-        F.array(*[F.lit(c) for c in ignored]).alias("parameters_not_applied"),
+        F.array().cast("array<string>").alias("parameters_not_applied"),
         F.lit(settings.split.seed).alias("random_seed"),
         F.lit(variant_name(use_baseline)).alias("model_variant"),
         F.lit(use_baseline).alias("use_baseline_feature"),
@@ -173,8 +173,8 @@ def _spark_day(value: date):
 def train(df: DataFrame, settings: Settings = Settings(), use_baseline: bool = False) -> DemandModel:
     """Fits on the rows up to the cutoff and measures each tree on the rows after it.
 
-    Boosting reads its input several times: pass a staged table, not a plan that would
-    compute the windows again each time.
+    Rows without a target are left out. The input is read twice or three times: pass a staged table, not a plan that
+    would compute the windows again each time.
     """
     panel = settings.panel
     features = feature_columns(use_baseline, settings.features, panel)
@@ -193,17 +193,16 @@ def train(df: DataFrame, settings: Settings = Settings(), use_baseline: bool = F
 
     # The cutoff is a value here, so the date filter reaches the scan of a staged table.
     cutoff = _spark_day(known["cutoff_date"])
-    inputs = df.select(panel.date, panel.target, *[c for c in features if c not in (panel.date, panel.target)])
-    fitted = estimator(features, settings).fit(inputs.filter(F.col(panel.date) <= cutoff))
-
-    errors: list[float] = []
-    if known["val_row_count"]:
-        prepared = PipelineModel(fitted.stages[:-1]).transform(inputs.filter(F.col(panel.date) > cutoff))
-        errors = fitted.stages[-1].evaluateEachIteration(prepared, "squared")
+    wanted = dict.fromkeys([*panel.grain, panel.target, *features])
+    inputs = df.select(*wanted)
+    after = inputs.filter(F.col(panel.date) > cutoff) if known["val_row_count"] else None
+    ensemble, errors = boosting.boost(
+        inputs.filter(F.col(panel.date) <= cutoff), after, features, panel.target, panel.grain, settings.trees, settings.split.seed
+    )
     validation = spark.createDataFrame(
         [(i + 1, float(mse) ** 0.5) for i, mse in enumerate(errors)], "iteration int, validation_rmse double"
     )
-    return DemandModel(fitted, tuple(features), use_baseline, panel, metadata, validation)
+    return DemandModel(ensemble, tuple(features), use_baseline, panel, metadata, validation)
 
 
 def clip_prediction(df: DataFrame, raw: str = "raw_prediction", prediction: str = "predicted_units_sold") -> DataFrame:
@@ -217,12 +216,13 @@ def prediction_keys(panel: PanelColumns) -> tuple[str, ...]:
 
 
 def predict(df: DataFrame, model: DemandModel) -> DataFrame:
-    """All rows scored: the key columns and the forecast, 0 or more. Lazy. Features and column
-    names are those the model was trained with."""
+    """All rows scored: the key columns and the forecast, 0 or more. Lazy, and one narrow projection: the trees are a
+    column expression. Features and column names are those the model was trained with."""
     keys = prediction_keys(model.panel)
     wanted = list(dict.fromkeys([*keys, *model.features]))
     require_columns(df, wanted, "predict")
-    scored = clip_prediction(model.pipeline.transform(df.select(*wanted)), prediction=model.panel.prediction)
+    raw = boosting.scored(df.select(*wanted), model.ensemble, "raw_prediction")
+    scored = clip_prediction(raw, prediction=model.panel.prediction)
     return scored.select(*keys, model.panel.prediction)
 
 
@@ -244,9 +244,9 @@ def model_path(folder: str, use_baseline: bool) -> str:
 def save_model(
     model: DemandModel, folder: str, dimensions: Mapping[str, IdDimension] | None = None
 ) -> str:
-    """Writes the ML pipeline, its metadata and validation errors, and the id dimensions."""
+    """Writes the nodes of the trees, their metadata and validation errors, and the id dimensions."""
     path = model_path(folder, model.use_baseline)
-    model.pipeline.write().overwrite().save(f"{path}/pipeline")
+    write_parquet(boosting.node_table(model.metadata.sparkSession, model.ensemble), f"{path}/trees")
     write_json(model.metadata, f"{path}/metadata")
     write_parquet(model.metadata, f"{path}/metadata_table")
     write_parquet(model.validation, f"{path}/validation")
@@ -267,7 +267,8 @@ def load_model(spark: SparkSession, folder: str, use_baseline: bool = False) ->
     features = tuple(metadata.select("feature_columns").first()[0])
     names = spark.read.parquet(f"{path}/panel").first().asDict()
     panel = PanelColumns(**{k: tuple(v) if isinstance(v, list) else v for k, v in names.items()})
-    return DemandModel(PipelineModel.load(f"{path}/pipeline"), features, use_baseline, panel, metadata, validation)
+    ensemble = boosting.from_nodes(spark.read.parquet(f"{path}/trees"), features)
+    return DemandModel(ensemble, features, use_baseline, panel, metadata, validation)
 
 
 def load_id_dimensions(

@@ -118,8 +118,8 @@ class SplitParams:
 class TreeParams:
     """Boosted-tree settings under their usual names.
 
-    ``reg_alpha``, ``reg_lambda``, ``tree_method`` and ``eval_metric`` have no counterpart in Spark
-    ML; they are kept so that the training metadata can say they were not applied.
+    ``max_bins`` counts the bin of absent values and is 256 at most. After every ``checkpoint_interval`` trees the
+    forecasts so far are staged.
     """
 
     n_estimators: int = 300
@@ -139,6 +139,10 @@ class TreeParams:
     def __post_init__(self) -> None:
         if self.objective != "reg:squarederror":
             raise ValueError(f"only squared-error regression is supported, got {self.objective}")
+        if (self.tree_method, self.eval_metric) != ("hist", "rmse"):
+            raise ValueError(f"only hist trees measured by rmse are supported, got {self.tree_method} and {self.eval_metric}")
+        if not 3 <= self.max_bins <= 256:
+            raise ValueError(f"max_bins must be 3 to 256, got {self.max_bins}")
 
 
 @dataclass(frozen=True)

@@ -17,7 +17,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelftide.operators import checks, cleaning, encoding, evaluation, features, inventory, modelling, splitting
+from shelftide.operators import boosting, checks, cleaning, encoding, evaluation, features, inventory, modelling, splitting
 from shelftide.params import FeatureParams, Settings, SplitParams, TreeParams
 from shelftide.plans.full_run import run_from_csv
 from shelftide.schemas import CLEAN_SCHEMA, PREDICTION_COLUMNS
@@ -28,8 +28,8 @@ from shelftide.sources.star_tables import STAR_ENCODING, many_series_panel, raw_
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Few and shallow trees: enough to exercise training. The library default is 300 of depth 6.
-SMALL_TREES = TreeParams(n_estimators=10, max_depth=5, learning_rate=0.2)
+# Few trees, of the published depth and settings otherwise. The library default is 300; the README has a run of those.
+SMALL_TREES = TreeParams(n_estimators=10, learning_rate=0.2)
 MODEL_SETTINGS = Settings(encoding=STAR_ENCODING, trees=SMALL_TREES)
 KEYS = ("date", "store_id", "product_id")
 ROLLING_28 = FeatureParams(rolling=(28,))
@@ -43,15 +43,6 @@ def rounded_like(df: DataFrame, *prefixes: str, digits: int = 6) -> DataFrame:
     return rounded(df, [c for c in df.columns if c.startswith(prefixes)], digits)
 
 
-# Means of two-decimal numbers over a power-of-two count of rows lie exactly between two six-place
-# numbers, where the order of addition would decide. Added before rounding, here and in the SQL.
-OFF_TIES = 3.3e-8
-
-
-def rounded_demand(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(c) + OFF_TIES, 6) for c in ("avg_daily_demand", "demand_std_dev")})
-
-
 # Inputs shared by the queries
 
 
@@ -124,7 +115,7 @@ def write_forecast(spark: SparkSession, folder: str) -> DataFrame:
 
 def write_inventory(spark: SparkSession, folder: str) -> DataFrame:
     written = sinks.write_inventory(recommendations(spark, folder), fresh_path(spark, "predictions"))
-    return rounded_demand(spark.read.parquet(written["parquet"]))
+    return spark.read.parquet(written["parquet"])
 
 
 def metrics_json(spark: SparkSession, folder: str) -> DataFrame:
@@ -343,6 +334,21 @@ def fit_stump(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(scored.select("discount", F.col("raw_prediction").alias("prediction")).distinct(), ["prediction"])
 
 
+def fit_trees(spark: SparkSession, folder: str) -> DataFrame:
+    """Two trees of two levels with both penalties over features of few values, two of them absent in places: trained, saved,
+    loaded, compiled and applied to all rows. Every step can be written in SQL."""
+    trees = TreeParams(n_estimators=2, max_depth=2, learning_rate=0.3, subsample=1.0, colsample_bytree=1.0, min_child_weight=5)
+    rows = feature_frame(spark, folder).select(
+        *KEYS, "units_sold", "discount", "month", F.floor(F.col("lag_28") / 25).alias("lag_band"), F.floor("price_to_competitor_ratio").alias("ratio_band")
+    )
+    rows = sinks.stage(rows, fresh_path(spark, "tree_rows"))
+    names = ("discount", "month", "lag_band", "ratio_band")
+    model, _ = boosting.boost(rows, None, names, "units_sold", KEYS, trees, seed=1)
+    path = sinks.write_parquet(boosting.node_table(spark, model), fresh_path(spark, "trees"))
+    raw = boosting.scored(rows, boosting.from_nodes(spark.read.parquet(path), names), "raw_prediction")
+    return modelling.clip_prediction(raw).select(*KEYS, "predicted_units_sold")
+
+
 def full_run(spark: SparkSession, folder: str) -> DataFrame:
     """Every step from a CSV file to all written outputs, with a trained model; returns the rows that
     are in the files of each output."""
@@ -381,7 +387,7 @@ def forecast_errors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def demand_stats(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded_demand(inventory.demand_stats(scored_baseline(spark, folder)))
+    return inventory.demand_stats(scored_baseline(spark, folder))
 
 
 def latest_inventory(spark: SparkSession, folder: str) -> DataFrame:
@@ -396,16 +402,15 @@ def inventory_policy(spark: SparkSession, folder: str) -> DataFrame:
         F.coalesce("rolling_std_28", F.lit(0.0)).alias("demand_std_dev"),
         F.col("inventory_level").alias("current_inventory_level"),
     )
-    return rounded_demand(inventory.apply_policy(df))
+    return inventory.apply_policy(df)
 
 
 def recommend(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded_demand(recommendations(spark, folder))
+    return recommendations(spark, folder)
 
 
 def run_summary(spark: SparkSession, folder: str) -> DataFrame:
-    summary = inventory.run_summary(scored_baseline(spark, folder), recommendations(spark, folder))
-    return rounded(summary, ["value"])
+    return inventory.run_summary(scored_baseline(spark, folder), recommendations(spark, folder))
 
 
 def demand_stats_moving(spark: SparkSession, folder: str) -> DataFrame:
@@ -418,7 +423,7 @@ def demand_stats_moving(spark: SparkSession, folder: str) -> DataFrame:
             "predicted_units_sold": F.col("predicted_units_sold") + 1e8,
         }
     )
-    return rounded(inventory.demand_stats(moved), ["avg_daily_demand", "demand_std_dev"], 3)
+    return inventory.demand_stats(moved)
 
 
 # The same operators over a series per store and part
@@ -442,7 +447,7 @@ def rolling_many_series(spark: SparkSession, folder: str) -> DataFrame:
 
 def demand_stats_many_series(spark: SparkSession, folder: str) -> DataFrame:
     stats = inventory.demand_stats(_scored_many(many_series(spark, folder)))
-    return rounded_demand(stats)
+    return stats
 
 
 def latest_inventory_many_series(spark: SparkSession, folder: str) -> DataFrame:
@@ -451,7 +456,7 @@ def latest_inventory_many_series(spark: SparkSession, folder: str) -> DataFrame:
 
 def recommend_many_series(spark: SparkSession, folder: str) -> DataFrame:
     panel = many_series(spark, folder)
-    return rounded_demand(inventory.recommend(_scored_many(panel), panel))
+    return inventory.recommend(_scored_many(panel), panel)
 
 
 def encode_many_series(spark: SparkSession, folder: str) -> DataFrame:
@@ -513,6 +518,7 @@ QUERIES: dict[str, Query] = {
         encode_null_ids,
         rolling_large,
         fit_stump,
+        fit_trees,
         demand_stats_moving,
         lag_many_series,
         rolling_many_series,

@@ -14,7 +14,7 @@ from shelftide.operators.checks import (
 )
 from shelftide.operators.cleaning import clean
 from shelftide.operators.encoding import id_dimensions
-from shelftide.operators.evaluation import evaluate, forecast_errors, report_lines, stockout_rate
+from shelftide.operators.evaluation import evaluate, forecast_errors, report_document, stockout_rate
 from shelftide.operators.features import feature_table
 from shelftide.operators.inventory import recommend, run_summary, unmatched_count
 from shelftide.operators.modelling import DemandModel, predict, save_model, stamp, train, variant_name
@@ -100,7 +100,7 @@ def run_from_csv(
     predictions = f"{folder}/predictions/{variant}"
     return {
         "model": result.model_path,
-        "metrics": write_text(report_lines(result.metrics), f"{folder}/models/{variant}_evaluation_metrics"),
+        "metrics": write_text(report_document(result.metrics), f"{folder}/models/{variant}_evaluation_metrics"),
         "forecast": write_forecast(result.scored, predictions, settings.output),
         "inventory": write_inventory(result.recommendations, predictions, settings.output, settings.panel),
         "errors": write_parquet(stamped(forecast_errors(result.scored, settings.panel)), f"{predictions}/forecast_errors"),

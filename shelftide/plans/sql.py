@@ -60,7 +60,7 @@ TREE_TEXT = (
     "checkpoint_interval=10,colsample_bytree=0.8,eval_metric=rmse,learning_rate=0.05,max_bins=256,max_depth=6,"
     "min_child_weight=5,n_estimators=300,objective=reg:squarederror,reg_alpha=0.1,reg_lambda=1.0,subsample=0.8,tree_method=hist"
 )
-NOT_APPLIED = "reg_alpha,reg_lambda,tree_method,eval_metric,colsample_bytree (per node)"
+NOT_APPLIED = ""
 LEAD_DAYS, CYCLE_DAYS, SERVICE_Z = 7, 30, 1.65
 
 PANEL = """
@@ -192,9 +192,8 @@ scored AS (
 
 
 def round4(value: str) -> str:
-    """Half-up rounding of the decimal text of a double. DuckDB's own ``round`` multiplies
-    the double first, which lifts 29.331249999999997 to a tie."""
-    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 17)), 4) AS DOUBLE)"
+    """The binary value to four places, ties to even: the text of a double is formatted from its exact value."""
+    return f"CAST(format('{{:.4f}}', CAST({value} AS DOUBLE)) AS DOUBLE)"
 
 
 SAFETY = f"demand_std_dev * ({SERVICE_Z!r}::DOUBLE * sqrt(CAST({LEAD_DAYS} AS DOUBLE)))"
@@ -208,18 +207,33 @@ POLICY_COLUMNS = f"""CAST({LEAD_DAYS} AS INTEGER) AS lead_time_days,
   {round4(f"greatest({TARGET} - current_inventory_level, CAST(0 AS DOUBLE))")} AS recommended_order_qty,
   {round4("CASE WHEN avg_daily_demand > 0 THEN current_inventory_level / avg_daily_demand END")} AS days_of_supply,
   current_inventory_level <= {TRIGGER} AS reorder_recommendation"""
-POLICY_INPUT = (
-    "round(avg_daily_demand + CAST(3.3e-8 AS DOUBLE), 6) AS avg_daily_demand, "
-    "round(demand_std_dev + CAST(3.3e-8 AS DOUBLE), 6) AS demand_std_dev"
-)
 
-DEMAND = """,
+
+def millionths(value: str) -> str:
+    return f"CAST(round_even({value} * CAST(1000000 AS DOUBLE), 0) AS HUGEINT)"
+
+
+def exact_mean(value: str) -> str:
+    return f"CAST(sum({millionths(value)}) AS DOUBLE) / CAST(count({value}) * 1000000 AS DOUBLE)"
+
+
+def demand(source: str) -> str:
+    """Mean and deviation from whole sums of millionths, without rounding."""
+    return f"""
+whole AS (
+  SELECT store_id, product_id, arg_min(category, date) AS category, arg_min(region, date) AS region, count(y) AS n,
+    sum(y) AS s, sum(y * y) AS squares, sum(y) // count(y) AS q, sum(y) - sum(y) // count(y) * count(y) AS r
+  FROM (SELECT *, {millionths('predicted_units_sold')} AS y FROM {source}) GROUP BY store_id, product_id
+),
 demand AS (
-  SELECT store_id, product_id, arg_min(category, date) AS category, arg_min(region, date) AS region,
-    avg(predicted_units_sold) AS avg_daily_demand,
-    coalesce(stddev_samp(predicted_units_sold), CAST(0 AS DOUBLE)) AS demand_std_dev
-  FROM scored GROUP BY store_id, product_id
+  SELECT store_id, product_id, category, region, CAST(s AS DOUBLE) / CAST(n * 1000000 AS DOUBLE) AS avg_daily_demand,
+    CASE WHEN n > 1 THEN sqrt((CAST(squares - q * q * n - 2 * q * r AS DOUBLE) - CAST(r * r AS DOUBLE) / n) / (n - 1))
+      / CAST(1000000 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS demand_std_dev
+  FROM whole
 )"""
+
+
+DEMAND = "," + demand("scored")
 ADVICE = SCORED_BASELINE + DEMAND + f""",
 stock AS (
   SELECT store_id, product_id, inventory_level AS current_inventory_level FROM cleaned
@@ -230,7 +244,7 @@ advice AS (
     {POLICY_COLUMNS}
   FROM demand JOIN stock USING (store_id, product_id)
 )"""
-RECOMMEND = f"WITH {ADVICE} SELECT * REPLACE ({POLICY_INPUT}) FROM advice"
+RECOMMEND = f"WITH {ADVICE} SELECT * FROM advice"
 
 
 def _measures(side: str, forecast: str) -> str:
@@ -288,14 +302,14 @@ summary AS (
   SELECT 'category_rows' AS subject, category AS measure, CAST(count(*) AS DOUBLE) AS value FROM scored GROUP BY category
   UNION ALL SELECT 'forecast', 'min', min(predicted_units_sold) FROM scored
   UNION ALL SELECT 'forecast', 'max', max(predicted_units_sold) FROM scored
-  UNION ALL SELECT 'forecast', 'mean', avg(predicted_units_sold) FROM scored
+  UNION ALL SELECT 'forecast', 'mean', {exact_mean('predicted_units_sold')} FROM scored
   UNION ALL SELECT 'entities', 'count', count(*) FROM advice
-  UNION ALL SELECT 'entities', 'mean_daily_demand', avg(avg_daily_demand) FROM advice
-  UNION ALL SELECT 'entities', 'mean_demand_std_dev', avg(demand_std_dev) FROM advice
+  UNION ALL SELECT 'entities', 'mean_daily_demand', {exact_mean('avg_daily_demand')} FROM advice
+  UNION ALL SELECT 'entities', 'mean_demand_std_dev', {exact_mean('demand_std_dev')} FROM advice
   UNION ALL SELECT 'entities', 'reorder_flagged', count(*) FILTER (WHERE reorder_recommendation) FROM advice
   UNION ALL SELECT 'entities', 'reorder_flagged_pct',
     CAST(100 AS DOUBLE) * count(*) FILTER (WHERE reorder_recommendation) / count(*) FROM advice
-  UNION ALL SELECT 'entities', 'service_level_pct', round(CAST(95.05285319663519 AS DOUBLE), 6)
+  UNION ALL SELECT 'entities', 'service_level_pct', CAST(95.05285319663519 AS DOUBLE)
 )"""
 
 CUTOFF = "(SELECT max(date) - 90 FROM cleaned)"
@@ -378,11 +392,84 @@ STUMP = f"""WITH {CLEANED}, per AS (
 )
 SELECT discount, round(CASE WHEN discount <= cut THEN CAST(ls AS DOUBLE) / ln ELSE CAST(rs AS DOUBLE) / rn END, 6) AS prediction
 FROM per, best"""
+
+
+def _score(gradient: str, rows: str) -> str:
+    """Squared gradient, less the first penalty, over rows and the second one."""
+    t = f"(sign({gradient}) * greatest(abs({gradient}) - CAST(0.1 AS DOUBLE), CAST(0 AS DOUBLE)))"
+    return f"({t} * {t} / ({rows} + CAST(1 AS DOUBLE)))"
+
+
+def _leaf(gradient: str, rows: str, rate: float) -> str:
+    t = f"(sign({gradient}) * greatest(abs({gradient}) - CAST(0.1 AS DOUBLE), CAST(0 AS DOUBLE)))"
+    return f"(-{t} / ({rows} + CAST(1 AS DOUBLE))) * CAST({rate!r} AS DOUBLE)"
+
+
+def boosted(source: str, features: tuple[str, ...], trees: int, depth: int, rate: float, least_rows: int) -> str:
+    """Trees over features of few values, step by step: every cut at every value, absent values on either side. The last
+    relation is ``grown``, with the forecast in ``forecast``."""
+    listed = ", ".join(f"{f}" for f in features)
+    values = ", ".join(f"CAST({f} AS DOUBLE)" for f in features)
+    steps = [f"""
+fit_0 AS MATERIALIZED (
+  SELECT *, (SELECT {exact_mean('units_sold')} FROM {source}) AS forecast FROM {source}
+), unit AS MATERIALIZED (
+  SELECT power(CAST(2 AS DOUBLE), 30 - ceil(log2(greatest(max(units_sold) - max(forecast), max(forecast) - min(units_sold))))) AS scale FROM fit_0
+)"""]
+    for t in range(trees):
+        steps.append(f"""
+at_{t}_0 AS MATERIALIZED (
+  SELECT *, round_even((forecast - units_sold) * (SELECT scale FROM unit), 0) AS gradient, 0 AS node, TRUE AS live FROM fit_{t}
+)""")
+        for d in range(depth):
+            name = f"{t}_{d}"
+            steps.append(f"""
+cells_{name} AS MATERIALIZED (
+  SELECT node, feature, v, CAST(sum(gradient) AS DOUBLE) AS g, count(*) AS h
+  FROM (SELECT node, gradient, unnest(range({len(features)})) AS feature, unnest([{values}]) AS v FROM at_{name} WHERE live)
+  GROUP BY node, feature, v
+), sides_{name} AS (
+  SELECT node, feature, v, sum(g) FILTER (v IS NOT NULL) OVER upto AS lg, sum(h) FILTER (v IS NOT NULL) OVER upto AS lh,
+    coalesce(sum(g) FILTER (v IS NULL) OVER whole, 0) AS ng, coalesce(sum(h) FILTER (v IS NULL) OVER whole, 0) AS nh,
+    sum(g) OVER whole AS g, sum(h) OVER whole AS h
+  FROM cells_{name} WINDOW whole AS (PARTITION BY node, feature), upto AS (PARTITION BY node, feature ORDER BY v NULLS LAST)
+), tried_{name} AS (
+  SELECT node, feature, v, side, lg + side * ng AS lg, lh + side * nh AS lh, g, h, (SELECT scale FROM unit) AS scale
+  FROM sides_{name}, (SELECT unnest([0, 1]) AS side) WHERE v IS NOT NULL
+), gained_{name} AS (
+  SELECT *, CAST(0.5 AS DOUBLE) * (({_score('lg / scale', 'lh')} + {_score('(g - lg) / scale', '(h - lh)')}) - {_score('g / scale', 'h')}) AS gain
+  FROM tried_{name} WHERE lh >= {least_rows} AND h - lh >= {least_rows}
+), best_{name} AS MATERIALIZED (
+  SELECT * FROM gained_{name} WHERE gain > CAST(1e-6 AS DOUBLE)
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, feature, side, v) = 1
+), at_{t}_{d + 1} AS MATERIALIZED (
+  SELECT a.* REPLACE (CASE WHEN b.node IS NULL THEN a.node
+      ELSE 2 * a.node + CASE WHEN coalesce([{values}][b.feature + 1] <= b.v, b.side = 1) THEN 1 ELSE 2 END END AS node,
+    a.live AND b.node IS NOT NULL AS live)
+  FROM at_{name} a LEFT JOIN best_{name} b ON a.live AND a.node = b.node
+)""")
+        steps.append(f"""
+worth_{t} AS MATERIALIZED (
+  SELECT node, {_leaf('g', 'h', rate)} AS leaf FROM (
+    SELECT node, CAST(sum(gradient) AS DOUBLE) / (SELECT scale FROM unit) AS g, count(*) AS h FROM at_{t}_{depth} GROUP BY node)
+), fit_{t + 1} AS MATERIALIZED (
+  SELECT {KEYS}, units_sold, {listed}, forecast + leaf AS forecast FROM at_{t}_{depth} JOIN worth_{t} USING (node)
+)""")
+    steps.append(f"\ngrown AS (SELECT * FROM fit_{trees})")
+    return ",".join(steps)
+
+
+# Features of few values; two of them are absent in places.
+TREE_ROWS = f"""WITH {FEATURES}, rows AS (
+  SELECT {KEYS}, units_sold, discount, month, floor(lag_28 / 25) AS lag_band, floor(price_to_competitor_ratio) AS ratio_band FROM features
+)"""
+FIT_TREES = f"""{TREE_ROWS},{boosted("rows", ("discount", "month", "lag_band", "ratio_band"), 2, 2, 0.3, 5)}
+SELECT {KEYS}, greatest(forecast, CAST(0 AS DOUBLE)) AS predicted_units_sold FROM grown"""
 FULL_RUN = f"""WITH {CLEANED}, n AS (
   SELECT count(*) AS n_rows, count(DISTINCT (store_id, product_id)) AS n_entities, count(DISTINCT category) AS n_categories FROM cleaned
 )
 SELECT unnest(['forecast_csv', 'forecast_parquet', 'inventory_csv', 'inventory_parquet', 'metrics', 'errors', 'stockouts', 'summary']) AS artefact,
-  unnest([n_rows, n_rows, n_entities, n_entities, n_categories + 1, n_rows, n_categories + 1, n_categories + 10]) AS row_count FROM n"""
+  unnest([n_rows, n_rows, n_entities, n_entities, 1, n_rows, n_categories + 1, n_categories + 10]) AS row_count FROM n"""
 
 SQL: dict[str, str] = {
     "scan_csv_quarantine": f"""WITH {PANEL} SELECT CASE WHEN discount = 7 THEN 'reject' ELSE 'row' END AS kind,
@@ -396,21 +483,19 @@ SQL: dict[str, str] = {
       SELECT *, CAST(CAST(units_sold AS BIGINT) * 7919000 % 2000000000 + 100000000 AS INTEGER) AS large FROM cleaned)
       SELECT {KEYS}, {", ".join(exact_rolling(n) for n in SIZES)} FROM big""",
     "fit_stump": STUMP,
+    "fit_trees": FIT_TREES,
     "full_run": FULL_RUN,
     "demand_stats_moving": f"""WITH {SCORED_BASELINE}, moved AS (
       SELECT * REPLACE (category || CAST(month(date) % 3 AS VARCHAR) AS category,
         region || CAST(month(date) % 3 % 2 AS VARCHAR) AS region,
-        predicted_units_sold + CAST(100000000 AS DOUBLE) AS predicted_units_sold) FROM scored)
-      SELECT store_id, product_id, arg_min(category, date) AS category, arg_min(region, date) AS region,
-        round(avg(predicted_units_sold), 3) AS avg_daily_demand,
-        round(coalesce(stddev_samp(predicted_units_sold), CAST(0 AS DOUBLE)), 3) AS demand_std_dev
-      FROM moved GROUP BY store_id, product_id""",
+        predicted_units_sold + CAST(100000000 AS DOUBLE) AS predicted_units_sold) FROM scored),{demand("moved")}
+      SELECT * FROM demand""",
     "lag_many_series": f"WITH {MANY} SELECT {KEYS}, units_sold, {LAG} FROM many",
     "rolling_many_series": f"WITH {MANY} SELECT {KEYS}, {rolling(('mean', 'std'))} FROM many",
-    "demand_stats_many_series": f"WITH {MANY}{DEMAND} SELECT * REPLACE ({POLICY_INPUT}) FROM demand",
+    "demand_stats_many_series": f"WITH {MANY}{DEMAND} SELECT * FROM demand",
     "latest_inventory_many_series": f"""WITH {MANY} SELECT store_id, product_id, inventory_level FROM many
       QUALIFY rank() OVER (PARTITION BY store_id, product_id ORDER BY date DESC) = 1""",
-    "recommend_many_series": f"WITH {MANY_ADVICE} SELECT * REPLACE ({POLICY_INPUT}) FROM advice",
+    "recommend_many_series": f"WITH {MANY_ADVICE} SELECT * FROM advice",
     "encode_many_series": f"WITH {MANY} SELECT {KEYS}, {IDS} FROM many",
     "scan_csv": f"WITH {PANEL} SELECT {RAW_NAMES} FROM panel",
     "load_audit": f"""WITH {PANEL} SELECT count(*) AS total_rows, CAST({len(RAW_NAMES_OF)} AS INTEGER) AS column_count,
@@ -478,16 +563,17 @@ SQL: dict[str, str] = {
       demand_forecast AS dataset_demand_forecast,
       round(abs(predicted_units_sold - units_sold), 6) AS model_absolute_error,
       round(abs(demand_forecast - units_sold), 6) AS baseline_absolute_error FROM scored""",
-    "demand_stats": f"WITH {SCORED_BASELINE}{DEMAND} SELECT * REPLACE ({POLICY_INPUT}) FROM demand",
+    "demand_stats": f"WITH {SCORED_BASELINE}{DEMAND} SELECT * FROM demand",
     "latest_inventory": f"""WITH {CLEANED} SELECT store_id, product_id, inventory_level FROM cleaned
       QUALIFY rank() OVER (PARTITION BY store_id, product_id ORDER BY date DESC) = 1""",
-    "inventory_policy": f"""WITH {CLEANED}, recent AS (
-      SELECT {KEYS}, avg(CAST(units_sold AS DOUBLE)) OVER w AS avg_daily_demand,
-        coalesce(stddev_samp(CAST(units_sold AS DOUBLE)) OVER w, CAST(0 AS DOUBLE)) AS demand_std_dev,
-        inventory_level AS current_inventory_level
+    "inventory_policy": f"""WITH {CLEANED}, sums AS (
+      SELECT {KEYS}, count(units_sold) OVER w AS n, sum(CAST(units_sold AS HUGEINT)) OVER w AS s,
+        sum(CAST(units_sold AS HUGEINT) * units_sold) OVER w AS squares, inventory_level AS current_inventory_level
       FROM cleaned WINDOW w AS ({BY_DATE} ROWS BETWEEN 27 PRECEDING AND CURRENT ROW)),
-      advised AS (SELECT *, {POLICY_COLUMNS} FROM recent)
-      SELECT * REPLACE ({POLICY_INPUT}) FROM advised""",
+      recent AS (SELECT {KEYS}, CAST(s AS DOUBLE) / n AS avg_daily_demand, CASE WHEN n > 1
+        THEN sqrt(CAST(n * squares - s * s AS DOUBLE) / (n * (n - 1))) ELSE CAST(0 AS DOUBLE) END AS demand_std_dev,
+        current_inventory_level FROM sums)
+      SELECT *, {POLICY_COLUMNS} FROM recent""",
     "recommend": RECOMMEND,
-    "run_summary": f"WITH {SUMMARY} SELECT subject, measure, round(value, 6) AS value FROM summary",
+    "run_summary": f"WITH {SUMMARY} SELECT subject, measure, value FROM summary",
 }
