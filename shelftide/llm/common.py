@@ -39,23 +39,36 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 class Scratch:
-    """Tables that one operator stages for itself. ``finish`` writes the result and deletes all
-    others, so that the shared folder does not fill up."""
+    """Tables that one operator stages for itself. ``drop`` deletes those that nothing reads any more, ``finish`` writes
+    the result and deletes all others, so that the shared folder does not fill up."""
 
     def __init__(self, session: SparkSession, name: str) -> None:
         self.session, self.folder, self.count = session, fresh_path(session, name), 0
+        self.held: list[tuple[DataFrame, str]] = []
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         self.count += 1
         path = f"{self.folder}/work/{self.count:03d}_{name}"
         df.write.parquet(path)
-        return self.session.read.schema(df.schema).parquet(path)
+        staged = self.session.read.schema(df.schema).parquet(path)
+        self.held.append((staged, path))
+        return staged
+
+    def _delete(self, path: str) -> None:
+        work = self.session._jvm.org.apache.hadoop.fs.Path(path)
+        work.getFileSystem(self.session._jsc.hadoopConfiguration()).delete(work, True)
+
+    def drop(self, *frames: DataFrame) -> None:
+        """Deletes staged frames. Call it only when all that was computed from them is staged itself."""
+        for frame, path in self.held:
+            if any(frame is f for f in frames):
+                self._delete(path)
+        self.held = [h for h in self.held if not any(h[0] is f for f in frames)]
 
     def finish(self, df: DataFrame) -> DataFrame:
         path = f"{self.folder}/result"
         df.write.parquet(path)
-        work = self.session._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/work")
-        work.getFileSystem(self.session._jsc.hadoopConfiguration()).delete(work, True)
+        self._delete(f"{self.folder}/work")
         return self.session.read.schema(df.schema).parquet(path)
 
 
@@ -116,6 +129,34 @@ def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mix(found)
 
 
+# Bits of a key filter: 1 MB, however many keys there are.
+FILTER_BITS = 23
+
+
+def key_filter(codes: DataFrame) -> DataFrame:
+    """A Bloom filter (two bits a key) of the 64-bit hashes in column ``code``, as one row ``words``. Its size is fixed; with
+    very many keys it lets everything pass, and what is decided behind it stays right."""
+    size = 1 << (FILTER_BITS - 6)
+    mask = (1 << FILTER_BITS) - 1
+    marks = codes.select(F.expr(f"explode(array(code & {mask}L, shiftrightunsigned(code, 32) & {mask}L)) AS at"))
+    marks = marks.select(F.expr("CAST(shiftright(at, 6) AS INT) AS word"), F.expr("shiftleft(1L, CAST(at & 63 AS INT)) AS bits"))
+    empty = codes.sparkSession.range(size).select(F.col("id").cast("int").alias("word"), F.lit(0).cast("long").alias("bits"))
+    words = marks.unionByName(empty).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    # One row per word of the filter, a fixed number.
+    return words.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda w: w["bits"]).alias("words"))
+
+
+def may_hold(filter_row: DataFrame, code: Column) -> Column:
+    """False for hashes that the filter does not hold. A scalar subquery: no row carries the filter."""
+    words, mask = filter_row.scalar(), F.lit((1 << FILTER_BITS) - 1).cast("long")
+
+    def bit(at: Column) -> Column:
+        word = F.element_at(words, (F.shiftright(at, 6) + 1).cast("int"))
+        return F.getbit(word, at.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+    return bit(code.bitwiseAND(mask)) & bit(F.shiftrightunsigned(code, 32).bitwiseAND(mask))
+
+
 def unused_name(taken: list[str], wanted: str) -> str:
     """``wanted``, with underscores in front until no column (in any case) has that name."""
     lower = {c.lower() for c in taken}

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelftide.llm.common import Scratch, map_slices, text_slices, unused_name
+from shelftide.llm.common import Scratch, key_filter, map_slices, may_hold, text_slices, unused_name
 
 MIN_WORDS = 50
 _NO_ID = -(1 << 63)
@@ -83,12 +83,15 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataF
 
 
 def _ranked(pairs: DataFrame, name: str, scratch: Scratch) -> DataFrame:
-    """Rows of pairs (a, b) that occur more than once, with the rank of the pair. The rank numbers
+    """Rows of staged pairs (a, b) that occur more than once, with the rank of the pair. The rank numbers
     the sorted distinct pairs: partitions are ranges in order, so the running row ids ascend with
-    the pairs. Staged at once, since a second run might cut other ranges."""
+    the pairs. Staged at once, since a second run might cut other ranges. The pairs are deleted."""
     repeated = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a", "b")
     ranks = repeated.repartitionByRange("a", "b").sortWithinPartitions("a", "b").withColumn("rank", F.monotonically_increasing_id())
-    return scratch.stage(pairs.join(scratch.stage(ranks, f"{name}_ranks"), ["a", "b"]).select("doc", "tie", "line", "need", "rank"), name)
+    ranks = scratch.stage(ranks, f"{name}_ranks")
+    ranked = scratch.stage(pairs.join(ranks, ["a", "b"]).select("doc", "tie", "line", "need", "rank"), name)
+    scratch.drop(pairs, ranks)
+    return ranked
 
 
 def _shifted(ranked: DataFrame, by: Column) -> DataFrame:
@@ -101,9 +104,14 @@ def _shifted(ranked: DataFrame, by: Column) -> DataFrame:
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """(doc, tie, spans): for each document with later copies, the line spans (start, lines)."""
     scratch = Scratch(docs.sparkSession, "line_runs")
-    # Rows that repeat doc_id and text have the same lines at the same places: each is kept once.
-    lines = _lines(docs, id_col, text_col, min_words).dropDuplicates(["doc", "tie", "line"])
-    ranked = _ranked(scratch.stage(lines, "lines"), "level_0", scratch)
+    # Rows that repeat doc_id and text have the same lines at the same places: each is kept once. Only
+    # documents with several rows are shuffled for that.
+    several = docs.groupBy(_doc(F.col(id_col)).alias("doc"), F.xxhash64(text_col).alias("tie")).agg(F.count(F.lit(1)).alias("n"))
+    several = scratch.stage(several.where("n > 1").select("doc", "tie"), "several")
+    lines = _lines(docs, id_col, text_col, min_words)
+    once = lines.join(several, ["doc", "tie"], "left_semi").dropDuplicates(["doc", "tie", "line"])
+    lines = scratch.stage(lines.join(several, ["doc", "tie"], "left_anti").unionByName(once), "lines")
+    ranked = _ranked(lines, "level_0", scratch)
     level, named = 0, None
     while True:
         size = 1 << level
@@ -111,13 +119,14 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         # The later half of the run may start at any repeated line.
         ahead = ranked.select("doc", "tie", F.col("line").alias("at"), F.col("rank").alias("b"))
         runs = ready.withColumn("at", F.col("line") + F.col("need") - size).join(ahead, ["doc", "tie", "at"])
-        runs = runs.select("doc", "tie", "line", "need", F.col("rank").alias("a"), "b")
+        runs = scratch.stage(runs.select("doc", "tie", "line", "need", F.col("rank").alias("a"), "b"), "runs")
         named = runs if named is None else named.unionByName(runs)
         if ranked.where(F.col("need") >= 2 * size).isEmpty():
             break
         level += 1
-        ranked = _ranked(_shifted(ranked, F.lit(size)).select("doc", "tie", "line", "need", "a", "b"), f"level_{level}", scratch)
-    named = scratch.stage(named, "runs")
+        pairs = scratch.stage(_shifted(ranked, F.lit(size)).select("doc", "tie", "line", "need", "a", "b"), f"pairs_{level}")
+        scratch.drop(ranked)
+        ranked = _ranked(pairs, f"level_{level}", scratch)
     place = F.struct("doc", "tie", "line")
     interval = ["need", "a", "b"]
     # Which lines a name stands for depends on its length too: levels differ by ``need``.
@@ -141,14 +150,21 @@ def delete_repeated_runs(
     ``counts`` names two long columns to add, the number of lines and of deleted lines (0 for
     NULL). ``drop_emptied`` removes a document that had words and has none left.
     """
-    columns = docs.columns
-    names = {c: unused_name(columns, c) for c in ("run_doc", "run_tie", "run_spans", "n_lines", "n_deleted", "emptied")}
-    spans = repeated_spans(docs, id_col, text_col, min_words).select(
-        F.col("doc").alias(names["run_doc"]), F.col("tie").alias(names["run_tie"]), F.col("spans").alias(names["run_spans"])
-    )
+    names = {c: unused_name(docs.columns, c) for c in ("run_doc", "run_tie", "run_spans", "n_lines", "n_deleted", "emptied")}
+    spans = repeated_spans(docs, id_col, text_col, min_words)
+    passes = key_filter(spans.select(F.xxhash64("doc", "tie").alias("code")))
+    passes = Scratch(docs.sparkSession, "line_filter").finish(passes)
+    spans = spans.select(F.col("doc").alias(names["run_doc"]), F.col("tie").alias(names["run_tie"]), F.col("spans").alias(names["run_spans"]))
     keyed = docs.withColumn(text_col, F.col(text_col).cast("string"))
-    match = (_doc(keyed[id_col]) == spans[names["run_doc"]]) & (F.xxhash64(keyed[text_col]) == spans[names["run_tie"]])
-    joined = keyed.join(spans, match, "left").drop(names["run_doc"], names["run_tie"])
+    doc, tie = _doc(F.col(id_col)), F.xxhash64(F.col(text_col))
+    # Only texts with a deleted line (and the few that the filter lets through besides) are shuffled to meet their
+    # spans; all others stay where they are.
+    touched = may_hold(passes, F.xxhash64(doc, tie))
+    zero = F.lit(0).cast("long")
+    count = F.when(F.col(text_col).isNull(), zero).otherwise((F.length(text_col) - F.length(F.replace(text_col, F.lit("\n"), F.lit(""))) + 1).cast("long"))
+    others = keyed.where(~touched).withColumn(names["n_lines"], count).withColumn(names["n_deleted"], zero).withColumn(names["emptied"], F.lit(False))
+    match = (doc == spans[names["run_doc"]]) & (tie == spans[names["run_tie"]])
+    joined = keyed.where(touched).join(spans, match, "left").drop(names["run_doc"], names["run_tie"])
     joined = joined.withColumn(text_col, F.col(text_col).cast("binary"))
     wanted = joined.drop(names["run_spans"]).schema
     for c, kind in ((names["n_lines"], "long"), (names["n_deleted"], "long"), (names["emptied"], "boolean")):
@@ -173,11 +189,13 @@ def delete_repeated_runs(
                 added = [pa.array(counts, pa.int64()), pa.array(deleted, pa.int64()), pa.array(emptied, pa.bool_())]
                 yield pa.RecordBatch.from_arrays([*arrays, *added], wanted.names)
 
-    out = joined.mapInArrow(rewrite, wanted).withColumn(text_col, F.col(text_col).cast("string"))
+    out = joined.mapInArrow(rewrite, wanted).withColumn(text_col, F.col(text_col).cast("string")).unionByName(others)
     if drop_emptied:
         out = out.where(~F.col(names["emptied"]))
     extra = [F.col(names[c]).alias(n) for c, n in zip(("n_lines", "n_deleted"), counts, strict=True)] if counts else []
-    return out.select(*columns, *extra)
+    # A column of the input that has the name of a count gives way to it.
+    kept = [c for c in docs.columns if c.lower() not in {n.lower() for n in counts or ()}]
+    return out.select(*kept, *extra)
 
 
 def without_lines(data: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int]:
