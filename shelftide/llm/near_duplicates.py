@@ -10,15 +10,17 @@ if their sets have a Jaccard similarity of 0.75 or more.
    below k+1 no later rank can win: the loop over ranks stops there.
 2. Equal sets are one class, found by a digest of the set; all else is on class representatives.
 3. Banding: representatives that share all rows of a band meet in a bucket. Each is compared
-   with the smallest of its bucket only, never all with all.
+   with the smallest of its bucket only, never all with all. A byte of each signature value
+   (128 bytes a document) estimates the similarity first; full sets are made and moved only for documents in a pair
+   above a floor, whose texts a key filter picks out of the scan.
 4. Links confirmed on the full sets go through union-find (in each task, then star
    contraction over tasks). A bucket whose members then have several components is
-   compared further, block by block: its pairs from different components whose
-   signatures agree well enough are verified as well, inside the task. So no candidate pair is left
-   out unless both are in one component already.
+   compared further, block by block: bytes of the signatures say which members have a partner in
+   another component above the floor; only those come again with their sets, and their pairs are
+   verified inside the task. So no candidate pair is left out unless both are in one component already.
 
 With 32 bands of 4 rows, a pair at the threshold shares no bucket with probability 5e-6, and the
-signature estimate of a linked pair falls below the floor of step 4 with less than 1e-6.
+signature estimate of a linked pair falls below the floor with less than 1e-6.
 
 Defined results: a NULL or wordless text has an empty set, is linked with nothing and stays. Rows
 with one doc_id are one document (component ids are doc_ids). Rows without doc_id
@@ -36,13 +38,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelftide.llm.common import Scratch, hash_words, id_and_text, map_slices, mix, unused_name, window_hashes
+from shelftide.llm.common import Scratch, hash_words, id_and_text, key_filter, map_slices, may_hold, mix, unused_name, window_hashes
 
 SHINGLE = 5
 BANDS = 32
 ROWS = 4
 SIMILARITY_PERCENT = 75
-# Least share of equal signature components for a pair that is compared outside the pivots.
+# Least share of equal signature components (of their lowest bytes) for a pair that is compared on full sets.
 ESTIMATE_FLOOR = 0.5
 # Members of a bucket that are compared with each other in one task.
 BLOCK = 500
@@ -112,7 +114,7 @@ def _signed_in_parts(sets: list[np.ndarray], length: int, limit: int = 100_000)
     return result
 
 
-_SIGNED = "doc_id long, n_shingles long, set_high long, set_low long, signature binary"
+_SIGNED = "doc_id long, n_shingles long, set_high long, set_low long, signature binary, sketch binary"
 
 
 def _sign(docs: DataFrame, length: int) -> DataFrame:
@@ -128,8 +130,9 @@ def _sign(docs: DataFrame, length: int) -> DataFrame:
                 pa.array([signed_64(d >> 64) for d in digests], pa.int64()),
                 pa.array([signed_64(d & (1 << 64) - 1) for d in digests], pa.int64()),
                 pa.array([s.tobytes() for s in signed], pa.binary()),
+                pa.array([s.tobytes() for s in signed.astype(np.uint8)], pa.binary()),
             ],
-            ["doc_id", "n_shingles", "set_high", "set_low", "signature"],
+            ["doc_id", "n_shingles", "set_high", "set_low", "signature", "sketch"],
         )
 
     return map_slices(docs, work, _SIGNED)
@@ -216,42 +219,79 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return counted.where(100 * F.col("common") >= percent * (F.col("total") - F.col("common"))).select("u", "v")
 
 
-def _links_in_blocks(members: DataFrame, bands: int, rows: int, percent: int, floor: float) -> DataFrame:
-    """Confirmed links (u, v) between different components of one bucket.
+def _alike(pairs: DataFrame, nodes: DataFrame, length: int, floor: float) -> DataFrame:
+    """The pairs (u, v) whose sketches agree in a share of ``floor`` or more."""
+    left, right = (nodes.select(F.col("node").alias(n), F.col("sketch").alias(f"sketch_{n}")) for n in "uv")
 
-    ``members``: bucket, band, node, component, blocks, signature, shingles. A large bucket is cut into
-    blocks and every two blocks meet in a task of their own, so a task holds two blocks at
-    most. A pair of nodes is looked at only in the first band that they share, and only if its
-    signatures agree in a share of ``floor`` or more; it is confirmed on the full sets there, so no
-    unconfirmed pair becomes a row.
-    """
-    dealt = (
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = (np.frombuffer(b"".join(batch.column(f"sketch_{n}").to_pylist()), np.uint8).reshape(-1, length) for n in "uv")
+            fits = pa.array((one == two).sum(axis=1) >= floor * length)
+            yield batch.select(["u", "v"]).filter(fits)
+
+    # A pivot of very many pairs is a skewed key of the first join; each pair is alone in the second.
+    return pairs.join(right, "v").join(left, "u").mapInArrow(work, "u long, v long").distinct()
+
+
+def _dealt(members: DataFrame, columns: list[str]) -> DataFrame:
+    """Members of large buckets in blocks, every two blocks of a bucket in a group of their own."""
+    return (
         members.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("low", F.least("own", "other"))
-        .withColumn("high", F.greatest("own", "other"))
-        .select("bucket", "band", "low", "high", "own", "node", "component", "signature", "shingles")
+        .select("bucket", "band", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "component", *columns)
     )
 
+
+def _candidates(block: pd.DataFrame, signed: np.ndarray, floor: float) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row of the lower block the rows of the other one that are in another component, first meet it
+    in this band, and agree with it in a share of ``floor`` of ``signed`` (rows x bands x rows of a band)."""
+    node, component, own = (block[c].to_numpy() for c in ("node", "component", "own"))
+    low, high, band = block["low"].iat[0], block["high"].iat[0], int(block["band"].iat[0])
+    left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
+    for k in left:
+        others = right if low != high else right[right > k]
+        others = others[(component[others] != component[k]) & (node[others] != node[k])]
+        if len(others):
+            equal = signed[others] == signed[k]
+            first_here = equal.all(axis=2).argmax(axis=1) == band
+            others = others[first_here & (equal.mean(axis=(1, 2)) >= floor)]
+        if len(others):
+            yield k, others
+
+
+def _open_members(members: DataFrame, bands: int, rows: int, floor: float) -> DataFrame:
+    """(bucket, low, high, node): members of a bucket that have a candidate partner in the blocks of that group.
+
+    ``members``: bucket, band, node, component, blocks, signature. A task holds the signatures of two blocks at most."""
+
+    def look(block: pd.DataFrame) -> pd.DataFrame:
+        signed = np.frombuffer(b"".join(block["signature"]), np.uint32).reshape(len(block), bands, rows)
+        found: set[int] = set()
+        for k, others in _candidates(block, signed, floor):
+            found.add(k)
+            found.update(others.tolist())
+        at = np.array(sorted(found), np.int64)
+        first = block.iloc[:1]
+        return pd.DataFrame({c: np.repeat(first[c].to_numpy(), len(at)) for c in ("bucket", "low", "high")} | {"node": block["node"].to_numpy()[at]})
+
+    return _dealt(members, ["signature"]).groupBy("bucket", "low", "high").applyInPandas(look, "bucket long, low int, high int, node long")
+
+
+def _links_in_blocks(members: DataFrame, bands: int, rows: int, percent: int, floor: float) -> DataFrame:
+    """Confirmed links (u, v) between different components of one bucket.
+
+    ``members``: bucket, low, high, band, own, node, component, signature, shingles, the members with a candidate partner. A
+    pair is confirmed on the full sets in the task, so no unconfirmed pair becomes a row.
+    """
+
     def compare(block: pd.DataFrame) -> pd.DataFrame:
         signed = np.frombuffer(b"".join(block["signature"]), np.uint32).reshape(len(block), bands, rows)
-        node, component, own = (block[c].to_numpy() for c in ("node", "component", "own"))
-        sets = block["shingles"].to_list()
+        node, sets = block["node"].to_numpy(), block["shingles"].to_list()
         sizes = np.array([len(s) for s in sets])
-        low, high, band = block["low"].iat[0], block["high"].iat[0], int(block["band"].iat[0])
-        left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
         found = []
-        for k in left:
-            others = right if low != high else right[right > k]
-            others = others[(component[others] != component[k]) & (node[others] != node[k])]
+        for k, others in _candidates(block, signed, floor):
             # Sizes alone rule out a pair whose smaller set is too small a part of the larger one.
-            fits = 100 * np.minimum(sizes[others], sizes[k]) >= percent * np.maximum(sizes[others], sizes[k])
-            others = others[fits]
-            if not len(others):
-                continue
-            equal = signed[others] == signed[k]
-            first_here = equal.all(axis=2).argmax(axis=1) == band
-            others = others[first_here & (equal.sum(axis=(1, 2)) >= floor * bands * rows)]
+            others = others[100 * np.minimum(sizes[others], sizes[k]) >= percent * np.maximum(sizes[others], sizes[k])]
             if not len(others):
                 continue
             mine = sets[k]
@@ -262,7 +302,22 @@ def _links_in_blocks(members: DataFrame, bands: int, rows: int, percent: int, fl
             found += [(max(node[k], x), min(node[k], x)) for x in node[linked]]
         return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
 
-    return dealt.groupBy("bucket", "low", "high").applyInPandas(compare, "u long, v long")
+    return members.groupBy("bucket", "low", "high").applyInPandas(compare, "u long, v long")
+
+
+def _sets_for(needed: DataFrame, source: DataFrame, several: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, shingles) of the documents in ``needed`` (doc_id). A key filter picks their texts out of the scan, so the
+    others are not shuffled to find out. Only ids of several rows can repeat a set; they alone are kept once."""
+    passes = scratch.stage(key_filter(needed.select(F.xxhash64("doc_id").alias("code"))), "filter")
+    texts = source.where(may_hold(passes, F.xxhash64("doc_id"))).join(needed, "doc_id", "left_semi")
+    tagged = texts.join(several.withColumn("several", F.lit(True)), "doc_id", "left").select(F.col("doc_id"), "data", F.coalesce("several", F.lit(False)).alias("several"))
+    tagged = scratch.stage(tagged, "texts")
+    alone = _sets_of(tagged.where("NOT several").select("doc_id", "data"))
+    repeated = _sets_of(tagged.where("several").select("doc_id", "data"))
+    repeated = repeated.withColumn("digest", F.xxhash64("shingles")).dropDuplicates(["node", "digest"]).drop("digest")
+    sets = scratch.stage(alone.unionByName(repeated), "sets")
+    scratch.drop(tagged, passes)
+    return sets
 
 
 def find_groups(
@@ -283,9 +338,11 @@ def find_groups(
     # Rows that share a doc_id are one document, so their classes are linked.
     of_class = scratch.stage(linked.select("doc_id", "set_high", "set_low").join(member, ["set_high", "set_low"]).select("doc_id", "node").distinct(), "members")
     same_id = of_class.where("doc_id <> node").select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
-    nodes = linked.join(of_class.where("doc_id = node").select("doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "signature", "set_high", "set_low")
+    nodes = linked.join(of_class.where("doc_id = node").select("doc_id"), "doc_id", "left_semi")
+    nodes = nodes.select(F.col("doc_id").alias("node"), "signature", "sketch", "set_high", "set_low")
     # One row per document and set: rows that share a doc_id may have several sets.
-    nodes = scratch.stage(nodes.dropDuplicates(["node", "set_high", "set_low"]).select("node", "signature"), "nodes")
+    nodes = scratch.stage(nodes.dropDuplicates(["node", "set_high", "set_low"]).select("node", "signature", "sketch"), "nodes")
+    several = scratch.stage(linked.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "several")
 
     width = 4 * rows
     keys = F.array(*[F.xxhash64(F.lit(b), F.substring("signature", 1 + b * width, width)) for b in range(bands)])
@@ -294,24 +351,26 @@ def find_groups(
     pivots = scratch.stage(pivots.select("bucket", "pivot"), "buckets")
     shared = scratch.stage(placed.join(pivots, "bucket").select("bucket", "band", "node", "pivot"), "bucketed")
     first = shared.where("node <> pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
-    first = scratch.stage(first, "pairs")
-
-    needed = shared.select(F.col("node").alias("doc_id")).distinct()
-    # Only ids with several rows can repeat a set, so only their sets are shuffled to be kept once.
-    several = scratch.stage(linked.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "several")
-    alone = _sets_of(source.join(needed.join(several, "doc_id", "left_anti"), "doc_id", "left_semi"))
-    repeated = _sets_of(source.join(needed.join(several, "doc_id", "left_semi"), "doc_id", "left_semi"))
-    repeated = repeated.withColumn("digest", F.xxhash64("shingles")).dropDuplicates(["node", "digest"]).drop("digest")
-    sets = scratch.stage(alone.unionByName(repeated), "sets")
+    first = scratch.stage(_alike(first, nodes, length, ESTIMATE_FLOOR), "pairs")
+    needed = scratch.stage(first.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), "needed")
+    sets = _sets_for(needed, source, several, scratch)
     links = scratch.stage(_verified(first, sets, percent), "confirmed")
+    scratch.drop(sets, needed)
 
     found = components(links, scratch)
+    # Pairs with the pivot are decided; what may be open is among three members or more.
     labelled = shared.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     labelled = scratch.stage(labelled.select("bucket", "band", "node", "component"), "labelled")
+    scratch.drop(shared)
     mixed = labelled.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("a"), F.max("component").alias("b"))
-    mixed = scratch.stage(mixed.where("a <> b").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
-    rest = labelled.join(mixed, "bucket").join(nodes, "node").join(sets, "node")
-    more = _links_in_blocks(rest, bands, rows, percent, ESTIMATE_FLOOR)
+    mixed = scratch.stage(mixed.where("a <> b AND n > 2").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
+    rest = scratch.stage(labelled.join(mixed, "bucket"), "rest")
+    signature = nodes.select("node", "signature")
+    still_open = scratch.stage(_open_members(rest.join(signature, "node"), bands, rows, ESTIMATE_FLOOR), "open")
+    needed = scratch.stage(still_open.select(F.col("node").alias("doc_id")).distinct(), "needed")
+    sets = _sets_for(needed, source, several, scratch)
+    again = _dealt(rest, []).join(still_open.distinct(), ["bucket", "low", "high", "node"])
+    more = _links_in_blocks(again.join(signature, "node").join(sets, "node"), bands, rows, percent, ESTIMATE_FLOOR)
     all_links = found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more).unionByName(same_id)
     final = components(all_links, scratch).withColumnRenamed("node", "doc_id")
     joined = signed.select("doc_id", "n_shingles").join(final, "doc_id", "left")
