@@ -370,7 +370,9 @@ def find_groups(
     needed = scratch.stage(still_open.select(F.col("node").alias("doc_id")).distinct(), "needed")
     sets = _sets_for(needed, source, several, scratch)
     again = _dealt(rest, []).join(still_open.distinct(), ["bucket", "low", "high", "node"])
-    more = _links_in_blocks(again.join(signature, "node").join(sets, "node"), bands, rows, percent, ESTIMATE_FLOOR)
+    # Signature and set come together once for a document, not once for every group that it is in.
+    described = scratch.stage(sets.join(signature, "node"), "described")
+    more = _links_in_blocks(again.join(described, "node"), bands, rows, percent, ESTIMATE_FLOOR)
     all_links = found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more).unionByName(same_id)
     final = components(all_links, scratch).withColumnRenamed("node", "doc_id")
     joined = signed.select("doc_id", "n_shingles").join(final, "doc_id", "left")
