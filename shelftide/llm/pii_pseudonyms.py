@@ -1,7 +1,7 @@
 """Format-preserving pseudonyms of personal data, in DataFrame functions only.
 
-Card numbers (validated by their check digit), phone numbers, IPv4 addresses, e-mail addresses and
-dates are found in the text and replaced by values of the same format. A value's digits
+Card and account numbers (validated by their check digits), social security numbers, phone numbers, IPv4
+addresses, e-mail addresses and dates are found in the text and replaced by values of the same format. A value's digits
 are permuted by a keyed Feistel network: the digits are cut in two halves, and every round adds
 a keyed hash of one half to the other, modulo a power of ten. That is a bijection of all numbers
 of that length, so equal values get equal pseudonyms in every document (links stay), different values
@@ -13,7 +13,9 @@ Separators, the country code and everything else stay. The hash is SHA-256 over
 the round and the half.
 
 Defined results: NULL and empty texts stay as they are; a number that fails validation stays; the
-same value is replaced wherever it stands, also in repeated documents. Very long texts are one pass each.
+same value is replaced wherever it stands, also in repeated documents. Very long texts are one pass each; a mail
+domain has at most 127 labels, so no text makes the patterns recurse deeper than that. A column of the input that has
+the name of the count gives way to it.
 """
 
 from __future__ import annotations
@@ -42,8 +44,13 @@ DATE = (
     r"(?<![0-9A-Za-z./-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}[.][0-9]{2}[.](?:19|20)[0-9]{2}|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2})"
     r"(?![0-9A-Za-z])(?![./-][0-9])"
 )
-MAIL = r"(?<![0-9A-Za-z._%+-])[0-9A-Za-z][0-9A-Za-z._%+-]{0,63}@[0-9A-Za-z](?:[0-9A-Za-z-]{0,62}\.)+[A-Za-z]{2,24}(?![0-9A-Za-z])"
-FOUND = "|".join((MAIL, PHONE, DATE, ADDRESS, CARD))
+MAIL = r"(?<![0-9A-Za-z._%+-])[0-9A-Za-z][0-9A-Za-z._%+-]{0,63}@[0-9A-Za-z](?:[0-9A-Za-z-]{0,62}\.){1,126}[A-Za-z]{2,24}(?![0-9A-Za-z])"
+# Social security numbers (American), and international account numbers: solid, or in fours with blanks between.
+SOCIAL = r"(?<![0-9A-Za-z.+-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|[./-][0-9])"
+ACCOUNT = r"(?<![0-9A-Za-z.+-])[A-Z]{2}[0-9]{2}(?:[0-9A-Z]{11,30}|(?: [0-9A-Z]{4}){2,7}(?: [0-9A-Z]{1,3})?)(?![0-9A-Za-z])"
+FOUND = "|".join((MAIL, PHONE, DATE, ADDRESS, SOCIAL, ACCOUNT, CARD))
+# Areas that no social security number has, beside 900 and above.
+NO_AREAS = (0, 666)
 
 
 @dataclass(frozen=True)
@@ -157,18 +164,16 @@ def _date(value: Column, params: PseudonymParams, forward: bool) -> Column:
     return F.when(day.isNull() | (rank < 0) | (rank >= DAYS), value).otherwise(shown(after))
 
 
-def _mail(value: Column, params: PseudonymParams, forward: bool) -> Column:
-    """A Feistel network over the two halves of the name: every round shifts the characters of one half
-    inside their class (small letter, capital, digit) by a keyed hash of the other. The domain stays."""
-    name = F.substring_index(value, "@", 1)
-    domain = F.substring(value, F.length(name) + 1, F.length(value))
+def _characters(name: Column, context: Column, params: PseudonymParams, kind: str, forward: bool) -> Column:
+    """A Feistel network over the two halves of ``name``: every round shifts the characters of one half inside
+    their class (small letter, capital, digit) by a keyed hash of the other and of ``context``."""
     cut = ((F.length(name) + 1) / 2).cast("int")
     state = F.struct(F.substring(name, F.lit(1), cut).alias("l"), F.substring(name, cut + 1, F.length(name)).alias("r"))
     turns = F.array(*[F.lit(t) for t in (range(params.rounds) if forward else reversed(range(params.rounds)))])
     sign = 1 if forward else -1
 
     def shifted(half: Column, other: Column, t: Column) -> Column:
-        digest = F.sha2(F.concat(F.lit(f"{params.key}|mail|"), t.cast("string"), F.lit("|"), other, domain), 256)
+        digest = F.sha2(F.concat(F.lit(f"{params.key}|{kind}|"), t.cast("string"), F.lit("|"), other, context), 256)
 
         def place(k: Column) -> Column:
             c = F.substring(half, k, F.lit(1))
@@ -187,13 +192,57 @@ def _mail(value: Column, params: PseudonymParams, forward: bool) -> Column:
             F.when(t % 2 == 1, shifted(s["r"], s["l"], t)).otherwise(s["r"]).alias("r"),
         )
 
-    return F.concat(F.aggregate(turns, state, turn, lambda s: F.concat(s["l"], s["r"])), domain)
+    return F.aggregate(turns, state, turn, lambda s: F.concat(s["l"], s["r"]))
+
+
+def _mail(value: Column, params: PseudonymParams, forward: bool) -> Column:
+    """The name moves; the domain stays."""
+    name = F.substring_index(value, "@", 1)
+    domain = F.substring(value, F.length(name) + 1, F.length(value))
+    return F.concat(_characters(name, domain, params, "mail", forward), domain)
+
+
+def _social(value: Column, params: PseudonymParams, forward: bool) -> Column:
+    """Valid numbers are permuted by rank: 898 areas, 99 groups, 9,999 serials."""
+    area, group, serial = (F.split_part(value, F.lit("-"), F.lit(k)).cast("long") for k in (1, 2, 3))
+    valid = ~area.isin(*NO_AREAS) & (area < 900) & (group > 0) & (serial > 0)
+    # Areas by rank: those above the one that is left out move down by one.
+    place = area - 1 - (area > NO_AREAS[1]).cast("long")
+    rank = (place * 99 + group - 1) * 9999 + serial - 1
+    moved = feistel(rank, 898 * 99, 9999, params, "social", forward)
+    # Division of whole numbers without a way through doubles.
+    upper = ((moved - moved % 9999) / 9999).cast("long")
+    new_place = ((upper - upper % 99) / 99).cast("long")
+    new_area = new_place + 1 + (new_place >= NO_AREAS[1] - 1).cast("long")
+    shown = lambda n, width: F.lpad(n.cast("string"), width, "0")
+    return F.when(valid, F.concat_ws("-", shown(new_area, 3), shown(upper % 99 + 1, 2), shown(moved % 9999 + 1, 4))).otherwise(value)
+
+
+def _remainder(characters: Column) -> Column:
+    """The remainder by 97 of a number in which letters stand for 10 to 35."""
+    step = lambda r, c: F.when(c.between("0", "9"), (r * 10 + c.cast("int")) % 97).otherwise((r * 100 + F.ascii(c) - 55) % 97)
+    return F.aggregate(F.filter(F.split(characters, ""), lambda c: c != ""), F.lit(0), step)
+
+
+def _account(value: Column, params: PseudonymParams, forward: bool) -> Column:
+    """Accounts whose check digits are right: the country stays, the characters after the check digits move inside
+    their class, the check digits are computed anew, the blanks stay where they were."""
+    solid = F.replace(value, F.lit(" "), F.lit(""))
+    country, rest = F.substring(solid, 1, 2), F.substring(solid, F.lit(5), F.length(solid))
+    valid = _remainder(F.concat(rest, F.substring(solid, 1, 4))) == 1
+    moved = _characters(rest, country, params, "account", forward)
+    check = F.lpad((98 - _remainder(F.concat(moved, country, F.lit("00")))).cast("string"), 2, "0")
+    new = F.concat(country, check, moved)
+    fours = F.trim(F.regexp_replace(new, "(.{4})", "$1 "))
+    return F.when(valid, F.when(value.contains(" "), fours).otherwise(new)).otherwise(value)
 
 
 def pseudonym(value: Column, params: PseudonymParams = PseudonymParams(), forward: bool = True) -> Column:
     """The pseudonym of one found value, by its kind; with ``forward`` False the value of a pseudonym."""
     return (
         F.when(value.contains("@"), _mail(value, params, forward))
+        .when(value.rlike(f"^(?:{SOCIAL})$"), _social(value, params, forward))
+        .when(value.rlike(f"^(?:{ACCOUNT})$"), _account(value, params, forward))
         .when(value.startswith("+") | value.rlike(f"^(?:{NATIONAL})$"), _phone(value, params, forward))
         .when(value.rlike(f"^(?:{DATE})$"), _date(value, params, forward))
         .when(value.rlike(f"^(?:{ADDRESS})$"), _address(value, params, forward))
@@ -220,4 +269,5 @@ def pseudonymise(
     count = F.size(F.filter(F.zip_with(values, changed, lambda a, b: a != b), lambda x: x)).cast("long")
     counted = [F.coalesce(F.when(F.col(values).isNotNull(), count), F.lit(0).cast("long")).alias(count_col)] if count_col else []
     replaced = F.when(F.col(values).isNull(), text).otherwise(joined).alias(text_col)
-    return out.select(*[replaced if c == text_col else F.col(c) for c in columns], *counted)
+    kept = [c for c in columns if not count_col or c.lower() != count_col.lower()]
+    return out.select(*[replaced if c == text_col else F.col(c) for c in kept], *counted)
