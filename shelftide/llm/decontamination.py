@@ -7,26 +7,29 @@ items' windows, a match is confirmed on the words themselves, and all its words
 
 The items are a stated query set. Their windows are broadcast in blocks of at most
 ``block_bytes`` of item text; with more items than one block holds, the documents are scanned
-once for each block and the spans of a document are merged afterwards, so what is
-broadcast never grows beyond the bound.
+once for each block, one block after the other, and the spans of a document are merged afterwards, so what the
+driver and the tasks hold never grows beyond the bound. The results do not depend on the blocks: texts are cut by the
+spans of all blocks at once, and scanned again until no block has a hit.
 
 Defined results: a NULL or empty text has no words and no hits; a NULL item text has no
 windows; items with equal texts are found together; repeated documents each get their own
-row; items without an id are listed
-together under the name null.
+row; items without an id are listed together under the name null; without items, or without documents, nothing is hit.
+Texts of any length are scanned whole, a few megabytes of documents at a time. Other columns of the documents, whatever
+their names, stay as they are.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelftide.llm.common import hash_words, map_slices, row_key, text_slices, unused_name, window_hashes
+from shelftide.llm.common import Scratch, hash_words, key_filter, map_slices, may_hold, row_key, text_slices, unused_name, window_hashes
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
@@ -101,15 +104,18 @@ _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 _ITEMS = pa.list_(pa.string())
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[list]:
-    """The items, block by block; each block comes to the driver alone and within the bound
-    (twice the mean, since items are dealt by hash)."""
+def _block_count(benchmark: DataFrame, text_col: str, block_bytes: int) -> int:
+    """Blocks hold half the bound on average, since items are dealt by hash."""
+    total = benchmark.agg(F.sum(F.length(F.col(text_col).cast("binary")))).first()[0] or 0
+    return max(1, -(-2 * total // block_bytes)) if total > block_bytes else 1
+
+
+def _index(benchmark: DataFrame, item_col: str, text_col: str, count: int, block: int, size: int) -> Broadcast:
+    """The windows of one block's items; only these items come to the driver."""
     items = benchmark.select(F.col(item_col).alias("item_id"), F.col(text_col).cast("binary").alias("data"))
-    total = items.agg(F.sum(F.length("data"))).first()[0] or 0
-    count = max(1, -(-2 * total // block_bytes)) if total > block_bytes else 1
-    for k in range(count):
-        part = items.where(F.pmod(F.xxhash64("item_id", "data"), F.lit(count)) == k)
-        yield [(r["item_id"], bytes(r["data"]) if r["data"] is not None else None) for r in part.collect()]
+    part = items.where(F.pmod(F.xxhash64("item_id", "data"), F.lit(count)) == block).collect()
+    held = [(r["item_id"], bytes(r["data"]) if r["data"] is not None else None) for r in part]
+    return benchmark.sparkSession.sparkContext.broadcast(WindowIndex(held, size))
 
 
 def find_contamination(
@@ -126,15 +132,12 @@ def find_contamination(
 
     ``spans`` are the hit word ranges, merged. ``items_sha256`` digests the sorted ids of the items found.
     """
-    session = docs.sparkSession
     frame = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("data"))
     kind = frame.schema["doc_id"].dataType.simpleString()
-    blocks = list(_blocks(benchmark, item_col, item_text_col, block_bytes)) or [[]]
-    parts = []
-    for items in blocks:
-        index = session.sparkContext.broadcast(WindowIndex(items, size))
+    schema = f"doc_id {kind}, n_words long, spans array<struct<start:int,end:int>>, held array<string>"
 
-        def scan(batch: pa.RecordBatch, index=index) -> pa.RecordBatch:
+    def scanner(index: Broadcast) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+        def scan(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = [words_of(data) for data in batch.column("data").to_pylist()]
             counts, spans, held = [len(words) for words in texts], [], []
             for hits in index.value.hits(texts):
@@ -145,13 +148,19 @@ def find_contamination(
                 ["doc_id", "n_words", "spans", "held"],
             )
 
-        schema = f"doc_id {kind}, n_words long, spans array<struct<start:int,end:int>>, held array<string>"
-        if len(blocks) > 1:
-            schema, source = schema + ", row string", frame.withColumn("row", row_key(F.col("doc_id"), F.col("data")))
-            parts.append(_with_row(source, scan, schema))
-        else:
-            parts.append(map_slices(frame, scan, schema))
-    return _summary(parts[0] if len(parts) == 1 else _joined(parts))
+        return scan
+
+    count = _block_count(benchmark, item_text_col, block_bytes)
+    if count == 1:
+        return _summary(map_slices(frame, scanner(_index(benchmark, item_col, item_text_col, 1, 0, size)), schema))
+    scratch, parts = Scratch(docs.sparkSession, "contamination"), []
+    keyed = frame.withColumn("row", row_key(F.col("doc_id"), F.col("data")))
+    for block in range(count):
+        index = _index(benchmark, item_col, item_text_col, count, block, size)
+        # Staged at once: the next block comes only when this one is done with.
+        parts.append(scratch.stage(_with_row(keyed, scanner(index), f"{schema}, row string"), f"block_{block}"))
+        index.destroy()
+    return _summary(_joined(parts))
 
 
 def _with_row(source: DataFrame, scan, schema: str) -> DataFrame:
@@ -220,40 +229,96 @@ def decontaminate(
     """
     columns = docs.columns
     text = unused_name(columns, "new_text")
-    blocks = list(_blocks(benchmark, "item_id", "text", block_bytes)) or [[]]
-    out = docs.withColumn(text, F.col(text_col).cast("binary"))
-    session = docs.sparkSession
-    # One narrow pass per block, without a shuffle: spans are cut where they are found, and again
-    # where the words around a cut form a window, until none is left.
     keep = unused_name([*columns, text], "share_left")
-    out = out.withColumn(keep, F.lit(1.0))
-    for items in blocks:
-        index = session.sparkContext.broadcast(WindowIndex(items, size))
-        schema = out.schema
-
-        def cut(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for part in text_slices(batch, text):
-                    texts, shares = part.column(text).to_pylist(), part.column(keep).to_pylist()
-                    split = [words_of(data) for data in texts]
-                    for k, hits in enumerate(index.value.hits(split)):
-                        words = split[k]
-                        while hits:
-                            texts[k], left = cut_spans(texts[k], words, _merged([h[:2] for h in hits]))
-                            shares[k] *= left
-                            words = words_of(texts[k])
-                            hits = index.value.hits([words])[0]
-                    names = part.schema.names
-                    arrays = list(part.columns)
-                    arrays[names.index(text)] = pa.array(texts, part.column(text).type)
-                    arrays[names.index(keep)] = pa.array(shares, pa.float64())
-                    yield pa.RecordBatch.from_arrays(arrays, names)
-
-        out = out.mapInArrow(cut, schema)
+    out = docs.withColumn(text, F.col(text_col).cast("binary")).withColumn(keep, F.lit(1.0))
+    count = _block_count(benchmark, "text", block_bytes)
+    if count == 1:
+        out = _cut_in_place(out, _index(benchmark, "item_id", "text", 1, 0, size), text, keep)
+    else:
+        out = _cut_by_rounds(out, benchmark, count, size, id_col, text, keep)
     left = out.where(F.col(keep) >= 1.0 - max_hit_share)
     return left.withColumn(text_col, F.col(text).cast("string")).select(*columns)
 
 
+def _cut_in_place(docs: DataFrame, index: Broadcast, text: str, keep: str) -> DataFrame:
+    """One narrow pass, without a shuffle: spans are cut where they are found, and again where the words around
+    a cut form a window, until none is left."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, text):
+                texts, shares = part.column(text).to_pylist(), part.column(keep).to_pylist()
+                split = [words_of(data) for data in texts]
+                for k, hits in enumerate(index.value.hits(split)):
+                    words = split[k]
+                    while hits:
+                        texts[k], left = cut_spans(texts[k], words, _merged([h[:2] for h in hits]))
+                        shares[k] *= left
+                        words = words_of(texts[k])
+                        hits = index.value.hits([words])[0]
+                yield _with_columns(part, {text: texts, keep: shares})
+
+    return docs.mapInArrow(cut, docs.schema)
+
+
+def _with_columns(part: pa.RecordBatch, new: dict[str, list]) -> pa.RecordBatch:
+    arrays = [pa.array(new[n], part.schema.field(n).type) if n in new else part.column(n) for n in part.schema.names]
+    return pa.RecordBatch.from_arrays(arrays, part.schema.names)
+
+
+def _cut_by_rounds(docs: DataFrame, benchmark: DataFrame, count: int, size: int, id_col: str, text: str, keep: str) -> DataFrame:
+    """The same for items of several blocks. A round takes the spans of every block, staged one after the other, and
+    then cuts each text once by all of them; only texts that were cut are looked at again. Few texts are cut, and a
+    key filter picks them out, so the others are not shuffled."""
+    scratch, done = Scratch(docs.sparkSession, "cuts"), []
+    row, held = (unused_name(docs.columns, n) for n in ("row", "cut_spans"))
+    looked_at = docs.withColumn(row, row_key(F.col(id_col), F.col(text)))
+
+    def finder(index: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in text_slices(batch, "data"):
+                    hits = index.value.hits([words_of(data) for data in part.column("data").to_pylist()])
+                    spans = [[{"start": a, "end": b} for a, b in _merged([h[:2] for h in found])] for found in hits]
+                    rows = pa.RecordBatch.from_arrays([part.column("row"), pa.array(spans, _SPANS)], ["row", "spans"])
+                    yield rows.filter(pa.array([bool(s) for s in spans], pa.bool_()))
+
+        return find
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, text):
+                texts, shares = part.column(text).to_pylist(), part.column(keep).to_pylist()
+                for k, spans in enumerate(part.column(held).to_pylist()):
+                    texts[k], left = cut_spans(texts[k], words_of(texts[k]), _merged([(s["start"], s["end"]) for s in spans]))
+                    shares[k] *= left
+                rows = _with_columns(part, {text: texts, keep: shares})
+                yield rows.select([n for n in rows.schema.names if n != held])
+
+    while True:
+        seen, parts = looked_at.select(F.col(row).alias("row"), F.col(text).alias("data")), None
+        for block in range(count):
+            index = _index(benchmark, "item_id", "text", count, block, size)
+            found = scratch.stage(seen.mapInArrow(finder(index), "row string, spans array<struct<start:int,end:int>>"), f"block_{block}")
+            index.destroy()
+            parts = found if parts is None else parts.unionByName(found)
+        # Rows that repeat id and text have the same spans; a text has at most as many as words.
+        spans = scratch.stage(parts.groupBy("row").agg(F.array_distinct(F.flatten(F.collect_set("spans"))).alias("spans")), "spans")
+        if spans.isEmpty():
+            done.append(looked_at.drop(row))
+            break
+        passes = scratch.stage(key_filter(spans.select(F.xxhash64("row").alias("code"))), "filter")
+        named = spans.select(F.col("row").alias(row), F.col("spans").alias(held))
+        maybe, sure = looked_at.where(may_hold(passes, F.xxhash64(row))), looked_at.where(~may_hold(passes, F.xxhash64(row)))
+        done += [sure.drop(row), maybe.join(named, row, "left_anti").select(*looked_at.columns).drop(row)]
+        hit = maybe.join(named, row).select(*looked_at.columns, held)
+        looked_at = scratch.stage(hit.mapInArrow(cut, looked_at.schema), "cut")
+    out = done[0]
+    for rows in done[1:]:
+        out = out.unionByName(rows)
+    return scratch.finish(out)
+
+
 def cut_spans(data: bytes, words: list[bytes], spans: list[tuple[int, int]]) -> tuple[bytes, float]:
     """The text without the words of ``spans``, and the share of words that stay. Each cut
     becomes one line break."""

@@ -18,8 +18,9 @@ def held_out(id_column: Column) -> Column:
 
 
 def sample_ids(rows: DataFrame, id_col: str, size: int, kept: list[str] = []) -> DataFrame:  # noqa: B006
-    """``size`` rows at most, those with the smallest hash of the id; one row per id."""
-    once = rows.where(F.col(id_col).isNotNull()).select(id_col, *kept).dropDuplicates([id_col])
+    """``size`` rows at most, those with the smallest hash of the id; one row per id. Of values that contradict each
+    other under one id the largest counts, in whatever order the rows come."""
+    once = rows.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(*[F.max(c).alias(c) for c in kept], F.count(F.lit(1)).alias("_n")).drop("_n")
     return once.orderBy(F.xxhash64(id_col), id_col).limit(size)
 
 
