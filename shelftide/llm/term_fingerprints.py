@@ -78,12 +78,13 @@ def with_fingerprint(rows: DataFrame, text_col: str, out_col: str, table: DataFr
     ``table`` is the lexicon's one row. It is a scalar subquery in a column that one expression uses, so the optimizer puts it
     in that expression's place and no row ever holds it. The terms of a cell stand together once they are sorted, and one
     pass over them folds each cell to its hash."""
-    pairs, kept, base, held = (f"{out_col}_{c}" for c in ("pairs", "kept", "base", "table"))
-    out = rows.withColumn(pairs, F.transform(terms(F.col(text_col)), lambda t: F.xxhash64(t))).withColumn(held, table.scalar())
-    out = out.withColumn(kept, F.filter(pairs, lambda c: F.array_contains(F.element_at(F.col(held), _bucket(c)), c)))
-    # Texts of hardly any lexicon terms are known by all their terms.
-    out = out.withColumn(base, F.array_sort(F.when(F.size(kept) >= FEWEST, F.col(kept)).otherwise(F.col(pairs))))
-    return out.withColumn(out_col, F.concat_ws(",", _short(F.xxhash64(base), 8), *[_cells(F.col(base), layer) for layer in range(LAYERS)])).drop(pairs, kept, base, held)
+    kept, base, held = (f"{out_col}_{c}" for c in ("kept", "base", "table"))
+    codes = F.transform(terms(F.col(text_col)), lambda t: F.xxhash64(t))
+    out = rows.withColumn(held, table.scalar())
+    out = out.withColumn(kept, F.filter(codes, lambda c: F.array_contains(F.element_at(F.col(held), _bucket(c)), c)))
+    # Texts of hardly any lexicon terms are known by all their terms; only for them are the terms taken again.
+    out = out.withColumn(base, F.array_sort(F.when(F.size(kept) >= FEWEST, F.col(kept)).otherwise(codes)))
+    return out.withColumn(out_col, F.concat_ws(",", _short(F.xxhash64(base), 8), *[_cells(F.col(base), layer) for layer in range(LAYERS)])).drop(kept, base, held)
 
 
 def _short(code: Column, digits: int = 4) -> Column:
