@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from shelftide.params import PanelColumns
@@ -155,3 +155,61 @@ def calendar_rolling_columns(
         for n in sizes
         for stat in stats
     }
+
+
+# Extremes over long frames
+
+# Frames longer than this have their extremes from blocks; shorter ones walk their rows.
+WALKED = 64
+EXTREMES = {"min": (F.min, F.least), "max": (F.max, F.greatest)}
+
+
+def with_block_extremes(
+    df: DataFrame, panel: PanelColumns, sizes: Sequence[int], stats: Sequence[str], by_days: bool = False, include_current: bool = True
+) -> DataFrame:
+    """Adds the ``min`` and ``max`` columns of ``rolling_columns`` (``by_days``: of ``calendar_rolling_columns`` with the current
+    day) without walking the frames.
+
+    A series is cut into blocks of N rows (or days). A frame of N covers the end of one block and the beginning of the
+    next: its extreme is that of a suffix of the one and a prefix of the other. Both are running extremes, so a row costs
+    the same for any N; each N takes two sorts inside the partitions of the series.
+    """
+    if by_days and not include_current:
+        raise ValueError("day frames that end the day before are walked")
+    unit = "d" if by_days else ""
+    value = F.col(panel.target).cast("double")
+    w = by_day_number(panel) if by_days else by_date(panel)
+    place = F.unix_date(panel.date) if by_days else F.row_number().over(w) - 1
+    out = df.withColumn("__place", place)
+    out = out.withColumns({f"__block_{n}": F.floor(F.col("__place") / n) for n in sizes})
+    for n in sizes:
+        block = Window.partitionBy(*panel.entity, f"__block_{n}")
+        up, down = block.orderBy("__place"), block.orderBy(F.col("__place").desc())
+        # Rows of one day belong to the same frames.
+        running = (lambda o: o.rangeBetween(Window.unboundedPreceding, 0)) if by_days else (lambda o: o.rowsBetween(Window.unboundedPreceding, 0))
+        out = out.withColumns({f"__prefix_{s}_{n}": EXTREMES[s][0](value).over(running(up)) for s in stats})
+        out = out.withColumns({f"__suffix_{s}_{n}": EXTREMES[s][0](value).over(running(down)) for s in stats})
+    ordered = Window.partitionBy(*panel.entity).orderBy("__place")
+    both = lambda s, a, b: EXTREMES[s][1](a, b)
+    if by_days:
+        marks = {f"__next_{s}_{n}": F.lead(f"__suffix_{s}_{n}").over(ordered) for s in stats for n in sizes}
+        out = out.withColumns(marks | {f"__next_block_{n}": F.lead(f"__block_{n}").over(ordered) for n in sizes})
+        found = {}
+        for n in sizes:
+            # The first row of the frame follows the last one before it; without such a row it is the first of the series.
+            before = ordered.rangeBetween(Window.unboundedPreceding, -n)
+            start = ordered.rangeBetween(Window.unboundedPreceding, 0)
+            some = F.count(F.lit(1)).over(before) > 0
+            first_block = F.when(some, F.last(f"__next_block_{n}").over(before)).otherwise(F.first(f"__block_{n}").over(start))
+            for s in stats:
+                suffix = F.when(some, F.last(f"__next_{s}_{n}").over(before)).otherwise(F.first(f"__suffix_{s}_{n}").over(start))
+                earlier = F.when(first_block < F.col(f"__block_{n}"), suffix)
+                found[f"rolling_{s}_{n}{unit}"] = both(s, F.col(f"__prefix_{s}_{n}"), earlier)
+    else:
+        found = {
+            f"rolling_{s}_{n}": both(s, F.col(f"__prefix_{s}_{n}"), F.lag(f"__suffix_{s}_{n}", n - 1).over(ordered)) for n in sizes for s in stats
+        }
+    out = out.withColumns(found)
+    if not include_current:
+        out = out.withColumns({c: F.lag(c).over(ordered) for c in found})
+    return out.select(*df.columns, *found)

@@ -153,7 +153,9 @@ def thresholded(gradient: np.ndarray, alpha: float) -> np.ndarray:
 
 def _score(gradient: np.ndarray, hessian: np.ndarray, params: TreeParams) -> np.ndarray:
     t = thresholded(gradient, params.reg_alpha)
-    return t * t / (hessian + params.reg_lambda)
+    weight = hessian + params.reg_lambda
+    # A side without rows has no gradient either.
+    return t * t / np.where(weight > 0, weight, 1.0)
 
 
 def best_cuts(gradients: np.ndarray, counts: np.ndarray, scale: float, params: TreeParams) -> list[tuple]:

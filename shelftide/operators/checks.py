@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,13 +57,21 @@ def quality_report(
 ) -> DataFrame:
     """NULLs per column declared non-null and values outside the accepted range, counted in
     one pass: (column_name, check_name, violations, total_rows), one row per check."""
-    tests = [(f.name, "not_null", F.col(f.name).isNull()) for f in schema.fields if not f.nullable]
-    tests += [(c, "in_range", ~F.col(c).between(low, high)) for c, (low, high) in ranges.items()]
+    tests = _tests(schema, ranges)
     require_columns(df, [c for c, _, _ in tests], "quality report")
-    counted = df.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        *[F.count_if(broken).alias(f"test_{i}") for i, (_, _, broken) in enumerate(tests)],
-    )
+    return _report(df.agg(*_counts(tests)), tests)
+
+
+def _tests(schema: T.StructType, ranges: Mapping[str, tuple[float, float]]) -> list[tuple[str, str, Column]]:
+    tests = [(f.name, "not_null", F.col(f.name).isNull()) for f in schema.fields if not f.nullable]
+    return tests + [(c, "in_range", ~F.col(c).between(low, high)) for c, (low, high) in ranges.items()]
+
+
+def _counts(tests: Sequence[tuple[str, str, Column]]) -> list[Column]:
+    return [F.count(F.lit(1)).alias("total_rows"), *[F.count_if(broken).alias(f"test_{i}") for i, (_, _, broken) in enumerate(tests)]]
+
+
+def _report(counted: DataFrame, tests: Sequence[tuple[str, str, Column]]) -> DataFrame:
     lines = [
         F.struct(
             F.lit(column).alias("column_name"),
@@ -75,6 +84,46 @@ def quality_report(
     return counted.select(F.inline(F.array(*lines)))
 
 
+@dataclass(frozen=True)
+class ObservedRows:
+    """What was counted while rows were written: the load audit, the anomaly count and the quality report without a pass of
+    their own. Read them only after the write.
+
+    The counts belong to the tasks that write. A task that is tried again, or run twice, counts once, since only the
+    first success of each task is taken; for that no shuffle may come between the observed rows and the write.
+    """
+
+    observation: Observation
+    columns: tuple[str, ...]
+    tests: tuple[tuple[str, str, Column], ...]
+    spark: SparkSession
+
+    def _row(self) -> DataFrame:
+        found = {k: int(v) for k, v in self.observation.get.items()}
+        return self.spark.createDataFrame([tuple(found.values())], ", ".join(f"{c} long" for c in found))
+
+    def load_audit(self) -> DataFrame:
+        names = F.lit(",".join(self.columns)).alias("column_names")
+        return self._row().select("total_rows", F.lit(len(self.columns)).alias("column_count"), names)
+
+    def anomaly_count(self) -> DataFrame:
+        return self._row().select("total_rows", "anomaly_rows")
+
+    def quality_report(self) -> DataFrame:
+        return _report(self._row(), self.tests)
+
+
+def observe_rows(
+    cleaned: DataFrame, schema: T.StructType = CLEAN_SCHEMA, ranges: Mapping[str, tuple[float, float]] = VALUE_RANGES
+) -> tuple[DataFrame, ObservedRows]:
+    """The rows to be written, and the counts that their write will have taken."""
+    tests = _tests(schema, ranges)
+    require_columns(cleaned, ["is_forecast_anomaly", *[c for c, _, _ in tests]], "observed rows")
+    observation = Observation()
+    watched = cleaned.observe(observation, *_counts(tests), F.count_if("is_forecast_anomaly").alias("anomaly_rows"))
+    return watched, ObservedRows(observation, tuple(cleaned.columns), tuple(tests), cleaned.sparkSession)
+
+
 def require_quality(report: DataFrame) -> None:
     """Raises with the failed checks. The report has one row per check, so it is small."""
     failed = report.filter("violations > 0").collect()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
@@ -60,7 +61,16 @@ def add_rolling(
     """``rolling_STAT_N`` over N rows. By default the row's own target is in its frame; for
     features known before the day use ``FeatureParams(include_current=False)``."""
     _require_series(df, panel, "rolling features")
-    return _with_rolling(df, params, panel, stats, {})
+    extremes = [s for s in stats if s in series.EXTREMES]
+    long = [n for n in params.rolling if n > series.WALKED]
+    if not (extremes and long):
+        return _with_rolling(df, params, panel, stats, {})
+    out = series.with_block_extremes(df, panel, long, extremes, include_current=params.include_current)
+    short = replace(params, rolling=tuple(n for n in params.rolling if n not in long))
+    out = _with_rolling(out, short, panel, extremes, {}) if short.rolling else out
+    others = [s for s in stats if s not in extremes]
+    out = _with_rolling(out, params, panel, others, {}) if others else out
+    return out.select(*df.columns, *[f"rolling_{stat}_{n}" for n in params.rolling for stat in stats])
 
 
 def add_calendar_lags(
@@ -78,9 +88,18 @@ def add_calendar_rolling(
     stats: Sequence[str] = ("mean", "std"),
 ) -> DataFrame:
     """``rolling_STAT_Nd`` over N days, for series with missing days. Mean and std of whole numbers
-    come from running sums here too."""
+    come from running sums here too, and extremes of long frames from blocks."""
     _require_series(df, panel, "calendar rolling features")
     sizes, last = params.rolling, params.include_current
+    extremes = [s for s in stats if s in series.EXTREMES]
+    long = [n for n in sizes if n > series.WALKED]
+    if extremes and long and last:
+        out = series.with_block_extremes(df, panel, long, extremes, by_days=True)
+        short = replace(params, rolling=tuple(n for n in sizes if n not in long))
+        out = add_calendar_rolling(out, short, panel, extremes) if short.rolling else out
+        others = [s for s in stats if s not in extremes]
+        out = add_calendar_rolling(out, params, panel, others) if others else out
+        return out.select(*df.columns, *[f"rolling_{stat}_{n}d" for n in sizes for stat in stats])
     summed = [s for s in stats if s in ("mean", "std")]
     if not (params.running_sums and summed and _whole_number(df, panel.target)):
         return df.withColumns(series.calendar_rolling_columns(panel, sizes, stats, last))

@@ -4,7 +4,7 @@ import random
 import pytest
 from conftest import day
 
-from shelftide.operators import modelling, splitting
+from shelftide.operators import boosting, modelling, splitting
 from shelftide.operators.checks import DuplicateGrainError
 from shelftide.operators.encoding import encode, id_dimensions
 from shelftide.operators.features import build_features
@@ -180,7 +180,7 @@ def raw_rows(cleaned):
 def test_run_from_csv_writes_everything(spark, cleaned, tmp_path):
     source = sinks.write_csv(raw_rows(cleaned), str(tmp_path / "raw"))
     paths = run_from_csv(spark, source, str(tmp_path / "out"), SETTINGS, use_baseline=True)
-    assert set(paths) == {"model", "metrics", "forecast", "inventory", "errors", "stockouts", "summary"}
+    assert set(paths) == {"model", "metrics", "forecast", "inventory", "errors", "stockouts", "summary", "quality"}
     assert spark.read.parquet(paths["forecast"]["parquet"]).count() == 120
     advice = spark.read.parquet(paths["inventory"]["parquet"])
     assert advice.count() == 4 and len(advice.columns) == 16
@@ -203,3 +203,87 @@ def test_run_stops_on_a_repeated_day(cleaned, tmp_path):
     raw = raw_rows(cleaned)
     with pytest.raises(DuplicateGrainError):
         run(raw.unionAll(raw.limit(1)), str(tmp_path), SETTINGS)
+
+
+# Histogram trees
+
+
+def tree_frame(spark, rows, features=("a", "b")):
+    return spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "k int, " + ", ".join(f"{f} double" for f in features) + ", y double")
+
+
+def boosted(df, features=("a", "b"), holdout=None, **more):
+    settings = {"n_estimators": 1, "max_depth": 1, "learning_rate": 1.0, "subsample": 1.0, "colsample_bytree": 1.0, "min_child_weight": 1, "reg_alpha": 0.0, "reg_lambda": 0.0, **more}
+    return boosting.boost(df, holdout, features, "y", ["k"], TreeParams(**settings), seed=3)
+
+
+def predictions(df, model):
+    return [r.p for r in boosting.scored(df, model, "p").orderBy("k").collect()]
+
+
+def test_absent_values_go_where_they_gain_more(spark):
+    rows = [(1.0, None, 0.0), (2.0, None, 0.0), (3.0, None, 10.0), (4.0, None, 10.0), (None, None, 10.0), (math.nan, None, 10.0)]
+    df = tree_frame(spark, rows)
+    model, _ = boosted(df)
+    assert predictions(df, model) == pytest.approx([0, 0, 10, 10, 10, 10], abs=1e-6)
+    low = tree_frame(spark, [(a, b, 10.0 - y if a is not None and not math.isnan(a) else 10.0) for a, b, y in rows])
+    model, _ = boosted(low)
+    assert predictions(low, model) == pytest.approx([10, 10, 0, 0, 10, 10], abs=1e-6)
+
+
+def test_penalties_shrink_the_leaves(spark):
+    df = tree_frame(spark, [(0.0, 0.0, 0.0), (0.0, 0.0, 0.0), (1.0, 0.0, 12.0), (1.0, 0.0, 12.0)])
+    assert predictions(df, boosted(df)[0]) == pytest.approx([0, 0, 12, 12], abs=1e-6)
+    # Gradients of 12 a side, two rows: (12 - 3) / (2 + 1).
+    assert predictions(df, boosted(df, reg_alpha=3.0, reg_lambda=1.0)[0]) == pytest.approx([3, 3, 9, 9])
+    assert predictions(df, boosted(df, min_child_weight=3)[0]) == pytest.approx([6, 6, 6, 6])
+
+
+def test_trees_do_not_depend_on_the_partitioning(spark):
+    pick = random.Random(8)
+    rows = [(a := pick.random(), pick.choice([None, 1.0, 2.0]), pick.gauss(20 * a, 3)) for _ in range(3000)]
+    df = tree_frame(spark, rows)
+    found = set()
+    for p in (1, 7, 50):
+        model, errors = boosted(df.repartition(p), holdout=df.where("k % 5 = 0"), n_estimators=3, max_depth=3, subsample=0.7, colsample_bytree=0.5, max_bins=20)
+        found.add(str([(t.feature.tolist(), t.bin.tolist(), t.absent_left.tolist(), t.value.tolist()) for t in model.trees]))
+        assert len(errors) == 3 and errors[2] < errors[0]
+    assert len(found) == 1
+
+
+def test_saved_trees_and_their_sql_predict_the_same(spark, tmp_path):
+    import duckdb
+
+    pick = random.Random(4)
+    df = tree_frame(spark, [(pick.choice([None, *map(float, range(9))]), pick.random(), pick.gauss(0, 9)) for _ in range(500)])
+    model, _ = boosted(df, n_estimators=12, max_depth=4, learning_rate=0.3, checkpoint_interval=5)
+    path = sinks.write_parquet(boosting.node_table(spark, model), str(tmp_path / "trees"))
+    back = boosting.from_nodes(spark.read.parquet(path), model.features)
+    want = predictions(df, model)
+    assert predictions(df, back) == want
+    table = df.toPandas()  # noqa: F841
+    con = duckdb.connect()
+    con.register("rows", table)
+    got = con.execute(f"SELECT {boosting.ensemble_sql(back)} FROM rows ORDER BY k").fetchall()
+    assert [r[0] for r in got] == want
+
+
+def test_trees_without_rows_targets_or_spread(spark):
+    empty = tree_frame(spark, [])
+    model, errors = boosted(empty, holdout=empty)
+    assert model.trees == () and errors == [] and predictions(tree_frame(spark, [(1.0, 1.0, None)]), model) == [0.0]
+    flat = tree_frame(spark, [(1.0, 2.0, 4.0), (2.0, 1.0, 4.0), (2.0, 1.0, None)])
+    assert predictions(flat, boosted(flat)[0]) == [4.0, 4.0, 4.0]
+
+
+def test_many_values_have_quantile_cuts(spark):
+    df = tree_frame(spark, [(float(k), float(k % 3), float(k)) for k in range(2000)])
+    cuts = boosting.find_cuts(df, ["a", "b"], 32)
+    assert len(cuts[0]) == 30 and cuts[0][-1] == 1999 and cuts[1].tolist() == [0, 1, 2]
+    assert abs(cuts[0][14] - 1000) < 30
+
+
+def test_unknown_tree_settings_are_errors():
+    for wrong in ({"objective": "count:poisson"}, {"tree_method": "exact"}, {"eval_metric": "mae"}, {"max_bins": 500}):
+        with pytest.raises(ValueError):
+            TreeParams(**wrong)
