@@ -20,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelftide.llm.common import id_and_text, text_slices
@@ -99,21 +99,9 @@ def read_tokens(spark: SparkSession, path: str, where: Column | None = None, tok
     of each shard comes from the number columns alone: one row per shard."""
     rows = spark.read.schema(FILE_SCHEMA).parquet(path)
     sizes = rows.groupBy("shard").agg(F.sum("n_tokens").alias("size"))
-    # A shard is one task of the writer, so this list has as many entries as it had tasks.
-    listed = sizes.agg(F.array_sort(F.collect_list(F.struct("shard", "size"))).alias("sizes"))
-    bases = listed.select(
-        F.explode(
-            F.transform(
-                "sizes",
-                lambda s: F.struct(
-                    s["shard"].alias("shard"),
-                    F.aggregate(
-                        F.filter("sizes", lambda o: o["shard"] < s["shard"]), F.lit(0).cast("long"), lambda a, o: a + o["size"]
-                    ).alias("base"),
-                ),
-            )
-        ).alias("b")
-    ).select("b.shard", "b.base")
+    # A shard is one task of the writer, so the window runs over as many rows as it had tasks.
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sizes.select("shard", F.coalesce(F.sum("size").over(before), F.lit(0)).cast("long").alias("base"))
     if where is not None:
         rows = rows.where(where)
     joined = rows.join(F.broadcast(bases), "shard").withColumn("start", F.col("base") + F.col("shard_start"))
