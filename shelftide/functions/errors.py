@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelftide.functions.exact import limb_names, limb_sums, limb_total, round_binary
+from shelftide.functions.exact import limb_sums, limb_totals
 
 SUMS = ("sq", "abs", "pct")
 DECIMALS = 4
@@ -36,24 +36,23 @@ def error_sums(prefix: str, actual: Column, forecast: Column, valid: Column | No
 
 def with_totals(sums: DataFrame, prefixes: Sequence[str]) -> DataFrame:
     """The limbs put together: ``<prefix>_sq``, ``_abs`` and ``_pct``."""
-    names = [f"{p}_{s}" for p in prefixes for s in SUMS]
-    return sums.withColumns({n: limb_total(n) for n in names}).drop(*[part for n in names for part in limb_names(n)])
+    return limb_totals(sums, [f"{p}_{s}" for p in prefixes for s in SUMS])
 
 
 def rmse(prefix: str) -> Column:
-    return round_binary(F.sqrt(F.try_divide(f"{prefix}_sq", f"{prefix}_rows")), DECIMALS)
+    return F.sqrt(F.try_divide(f"{prefix}_sq", f"{prefix}_rows"))
 
 
 def mae(prefix: str) -> Column:
-    return round_binary(F.try_divide(f"{prefix}_abs", f"{prefix}_rows"), DECIMALS)
+    return F.try_divide(f"{prefix}_abs", f"{prefix}_rows")
 
 
 def mape(prefix: str) -> Column:
     """Percent, over the rows whose actual is not 0; NULL if there is none."""
     used = F.col(f"{prefix}_rows") - F.col(f"{prefix}_zero")
-    return round_binary(100 * F.try_divide(F.col(f"{prefix}_pct"), used), DECIMALS)
+    return 100 * F.try_divide(F.col(f"{prefix}_pct"), used)
 
 
 def improvement(measure: str) -> Column:
     """Baseline minus model, both already rounded: positive means the model is better."""
-    return round_binary(F.col(f"baseline_{measure}") - F.col(f"model_{measure}"), DECIMALS)
+    return F.col(f"baseline_{measure}") - F.col(f"model_{measure}")

@@ -11,7 +11,9 @@ Two ways to add up doubles exactly, both plain aggregates whose parts merge over
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PLACES = 6
@@ -89,40 +91,50 @@ def limb_names(name: str) -> list[str]:
     return [*(f"{name}_{k}" for k in range(len(_POWERS))), f"{name}_odd"]
 
 
-def limb_total(name: str) -> Column:
-    """The sum as a double, for values that are not negative; the same for any order of addition. NULL without values."""
+def limb_totals(sums: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The sums as doubles under their names, instead of the limbs; for values that are not negative. The same for any order
+    of addition. NULL without values.
+
+    One small projection for each limb, from the lowest: what a step uses twice is a column of the step before."""
     low = F.lit((1 << _BITS) - 1).cast("bigint")
-    carry, fraction = F.lit(0).cast("bigint"), F.lit(0.0)
+    out = sums.withColumns({f"__carry_{n}": F.lit(0).cast("bigint") for n in names} | {f"__part_{n}": F.lit(0.0) for n in names})
     for k in reversed(range(1, len(_POWERS))):
-        digit = F.col(f"{name}_{k}") + carry
-        carry = F.shiftright(digit, _BITS)
-        fraction = (digit.bitwiseAND(low).cast("double") + fraction) * 2.0**-_BITS
-    total = ((F.col(f"{name}_0") + carry).cast("double") + fraction) * 2.0 ** (_BITS * _POWERS[0])
-    odd = F.col(f"{name}_odd")
-    return F.when(odd.isNull(), total).otherwise(odd + F.coalesce(total, F.lit(0.0)))
+        out = out.withColumns({f"{n}_{k}": F.col(f"{n}_{k}") + F.col(f"__carry_{n}") for n in names})
+        carries = {f"__carry_{n}": F.shiftright(f"{n}_{k}", _BITS) for n in names}
+        parts = {f"__part_{n}": (F.col(f"{n}_{k}").bitwiseAND(low).cast("double") + F.col(f"__part_{n}")) * 2.0**-_BITS for n in names}
+        out = out.withColumns(carries | parts)
+    whole = 2.0 ** (_BITS * _POWERS[0])
+    out = out.withColumns({n: ((F.col(f"{n}_0") + F.col(f"__carry_{n}")).cast("double") + F.col(f"__part_{n}")) * whole for n in names})
+    odd = lambda n: F.col(f"{n}_odd")
+    out = out.withColumns({n: F.when(odd(n).isNull(), F.col(n)).otherwise(odd(n) + F.coalesce(n, F.lit(0.0))) for n in names})
+    gone = [part for n in names for part in (*limb_names(n), f"__carry_{n}", f"__part_{n}")]
+    return out.drop(*gone)
 
 
 # Rounding
 
 
-def round_binary(value: Column, places: int = 4) -> Column:
-    """``value`` rounded as the binary number that it is, ties to even: 0.00015 is a little less than that and becomes
-    0.0001. (``round`` of SQL rounds its shortest decimal text instead.) For ``places`` up to 8; numbers so large that
-    ``places`` more digits leave 53 bits stay as they are.
+def round_columns(df: DataFrame, names: Sequence[str], places: int = 4) -> DataFrame:
+    """The columns rounded as the binary numbers that they are, ties to even: 0.00015 is a little less than that and
+    becomes 0.0001. (``round`` of SQL rounds its shortest decimal text instead.) For ``places`` up to 8; numbers so large
+    that ``places`` more digits leave 53 bits stay as they are.
 
     The product with the power of ten is taken in two parts, its rounded value and the exact rest, so the comparison with
-    one half is exact."""
-    size, scale = F.abs(value), float(10**places)
+    one half is exact. What a step uses several times is a column of the step before, which keeps the generated code short."""
+    scale = float(10**places)
+    part = lambda kind, n: F.col(f"__{kind}_{n}")
+    step = lambda frame, kind, make: frame.withColumns({f"__{kind}_{n}": make(n) for n in names})
+    out = step(df, "size", lambda n: F.abs(n))
+    out = step(out, "product", lambda n: part("size", n) * scale)
     # The upper half of the bits, so that both partial products with the power of ten are exact.
-    upper = size * 134217729.0
-    head = upper - (upper - size)
-    product = size * scale
-    rest = (head * scale - product) + (size - head) * scale
-    inside = F.abs(product) < 2.0**53
-    down = F.floor(F.when(inside, product)).cast("double")
-    over = (product - down) - 0.5
-    up = (over > -rest) | ((over == -rest) & (down % 2 == 1))
-    # A rest below zero next to a whole number: the number lies under it, nearer than one half.
-    rounded = (down + F.when(up, 1.0).otherwise(0.0)) / scale
-    signed = F.when(value < 0, -rounded).otherwise(rounded)
-    return F.when(inside, signed).otherwise(value)
+    out = step(out, "upper", lambda n: part("size", n) * 134217729.0)
+    out = step(out, "head", lambda n: part("upper", n) - (part("upper", n) - part("size", n)))
+    out = step(out, "rest", lambda n: (part("head", n) * scale - part("product", n)) + (part("size", n) - part("head", n)) * scale)
+    out = step(out, "down", lambda n: F.floor(F.when(part("product", n) < 2.0**53, part("product", n))).cast("double"))
+    out = step(out, "over", lambda n: (part("product", n) - part("down", n)) - 0.5)
+    odd = lambda n: part("down", n) % 2 == 1
+    out = step(out, "up", lambda n: F.when(part("over", n) > -part("rest", n), 1.0).when((part("over", n) == -part("rest", n)) & odd(n), 1.0).otherwise(0.0))
+    out = step(out, "near", lambda n: (part("down", n) + part("up", n)) / scale)
+    signed = {n: F.when(part("near", n).isNull(), F.col(n)).when(F.col(n) < 0, -part("near", n)).otherwise(part("near", n)) for n in names}
+    kinds = ("size", "product", "upper", "head", "rest", "down", "over", "up", "near")
+    return out.withColumns(signed).drop(*[f"__{kind}_{n}" for kind in kinds for n in names])

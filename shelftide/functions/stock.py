@@ -7,10 +7,10 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelftide.functions.exact import round_binary
 from shelftide.params import PolicyParams
 
 DECIMALS = 4
+ROUNDED = ("safety_stock", "reorder_point", "target_stock_level", "recommended_order_qty", "days_of_supply")
 
 
 def policy_columns(
@@ -19,9 +19,9 @@ def policy_columns(
     demand_std: str = "demand_std_dev",
     stock: str = "current_inventory_level",
 ) -> dict[str, Column]:
-    """Safety stock, reorder point, target level, order quantity, days of supply, flag.
+    """Safety stock, reorder point, target level, order quantity, days of supply, flag; not rounded.
 
-    The flag compares unrounded numbers. Days of supply is NULL without demand.
+    Days of supply is NULL without demand.
     """
     mean, on_hand = F.col(mean_demand), F.col(stock)
     buffer = F.col(demand_std) * (policy.service_level_z * math.sqrt(policy.lead_time_days))
@@ -29,13 +29,11 @@ def policy_columns(
     target = mean * policy.order_cycle_days + buffer
     shortfall = target - on_hand
     return {
-        "safety_stock": round_binary(buffer, DECIMALS),
-        "reorder_point": round_binary(trigger, DECIMALS),
-        "target_stock_level": round_binary(target, DECIMALS),
-        "recommended_order_qty": round_binary(
-            F.when(shortfall.isNotNull(), F.greatest(shortfall, F.lit(0.0))), DECIMALS
-        ),
-        "days_of_supply": round_binary(F.when(mean > 0, on_hand / mean), DECIMALS),
+        "safety_stock": buffer,
+        "reorder_point": trigger,
+        "target_stock_level": target,
+        "recommended_order_qty": F.when(shortfall.isNotNull(), F.greatest(shortfall, F.lit(0.0))),
+        "days_of_supply": F.when(mean > 0, on_hand / mean),
         "reorder_recommendation": on_hand <= trigger,
     }
 

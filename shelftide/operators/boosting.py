@@ -39,6 +39,8 @@ ABSENT_BIN = 255
 LEAST_GAIN = 1e-6
 # Features of this many values or fewer have a cut at each of them.
 MOST_CUTS = 254
+# Rows that one task adds up, some tens of milliseconds; fewer would cost more to start than to run.
+TASK_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -182,7 +184,7 @@ def best_cuts(gradients: np.ndarray, counts: np.ndarray, scale: float, params: T
 _BEST = "feature int, node int, gain double, bin int, absent_left boolean, left long, left_rows long, total long, rows long"
 
 
-def _level(data: DataFrame, recent: list[Tree], tree: Tree, depth: int, columns: np.ndarray, draw: tuple[float, int], scale: float, width: int, params: TreeParams) -> list:
+def _level(data: DataFrame, recent: list[Tree], tree: Tree, depth: int, columns: np.ndarray, draw: tuple[float, int], scale: float, width: int, params: TreeParams, tasks: int) -> list:
     """The best cut of every node of a level for every drawn column."""
     nodes, first = 1 << depth, (1 << depth) - 1
 
@@ -213,18 +215,21 @@ def _level(data: DataFrame, recent: list[Tree], tree: Tree, depth: int, columns:
         kinds = [pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.bool_(), *[pa.int64()] * 4]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names)
 
-    parts = min(len(columns), int(data.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    if tasks == 1:
+        # Nothing to bring together.
+        return data.mapInArrow(lambda batches: search(histogram(batches)), _BEST).collect()
+    parts = min(len(columns), tasks, int(data.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return data.mapInArrow(histogram, "feature int, sums binary").repartition(parts, "feature").mapInArrow(search, _BEST).collect()
 
 
-def _grow(data: DataFrame, recent: list[Tree], cuts: list[np.ndarray], columns: np.ndarray, draw: tuple[float, int], scale: float, params: TreeParams) -> Tree:
+def _grow(data: DataFrame, recent: list[Tree], cuts: list[np.ndarray], columns: np.ndarray, draw: tuple[float, int], scale: float, params: TreeParams, tasks: int) -> Tree:
     size = (1 << (params.max_depth + 1)) - 1
     tree = Tree(np.full(size, -1), np.zeros(size, np.int64), np.zeros(size), np.zeros(size, bool), np.zeros(size))
     sums: dict[int, tuple[int, int]] = {}
     for depth in range(params.max_depth):
         first, split = (1 << depth) - 1, False
         found: dict[int, tuple] = {}
-        for r in _level(data, recent, tree, depth, columns, draw, scale, len(cuts), params):
+        for r in _level(data, recent, tree, depth, columns, draw, scale, len(cuts), params, tasks):
             node = first + r["node"]
             if not r["rows"]:
                 continue
@@ -294,7 +299,9 @@ def boost(rows: DataFrame, holdout: DataFrame | None, features: Sequence[str], t
     cuts = find_cuts(known, features, params.max_bins)
     width = len(cuts)
     folder = fresh_path(spark, "boosting")
-    start = lambda df, name: stage(binned(df, features, cuts, target, keys).withColumn("forecast", F.lit(base)), f"{folder}/{name}_0")
+    tasks = math.ceil(facts["n"] / TASK_ROWS)
+    packed = lambda df, name: stage(df, f"{folder}/{name}").coalesce(tasks)
+    start = lambda df, name: packed(binned(df, features, cuts, target, keys).withColumn("forecast", F.lit(base)), f"{name}_0")
     data = {"train": start(rows, "train")} | ({"holdout": start(holdout, "holdout")} if holdout is not None else {})
     # Whole numbers of 30 bits for the largest gradient, of fewer where so many rows would leave 63 bits.
     spread = max(float(facts["most"]) - base, base - float(facts["least"]), 1e-9)
@@ -307,7 +314,7 @@ def boost(rows: DataFrame, holdout: DataFrame | None, features: Sequence[str], t
     errors: list[float] = []
     for number in range(params.n_estimators):
         columns = np.sort(pick.permutation(width)[:taken])
-        tree = _grow(data["train"], recent, cuts, columns, (params.subsample, seed * 1_000_003 + number + 1), scale, params)
+        tree = _grow(data["train"], recent, cuts, columns, (params.subsample, seed * 1_000_003 + number + 1), scale, params, tasks)
         trees.append(tree)
         recent.append(tree)
         last = number + 1 == params.n_estimators
@@ -315,7 +322,7 @@ def boost(rows: DataFrame, holdout: DataFrame | None, features: Sequence[str], t
             if "holdout" in data:
                 errors += _errors(data["holdout"], recent, params.max_depth, width)
             if not last:
-                data = {name: stage(_advanced(df, recent, params.max_depth, width), f"{folder}/{name}_{number + 1}") for name, df in data.items()}
+                data = {name: packed(_advanced(df, recent, params.max_depth, width), f"{name}_{number + 1}") for name, df in data.items()}
             recent = []
     _delete(spark, folder)
     return Ensemble(tuple(features), base, tuple(trees)), errors

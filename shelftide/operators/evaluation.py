@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelftide.functions.errors import error_sums, improvement, mae, mape, rmse, with_totals
+from shelftide.functions.errors import DECIMALS, error_sums, improvement, mae, mape, rmse, with_totals
+from shelftide.functions.exact import round_columns
 from shelftide.operators.checks import require_columns
 from shelftide.params import PanelColumns
 
@@ -62,7 +63,9 @@ def evaluate(scored: DataFrame, panel: PanelColumns = PanelColumns()) -> DataFra
             for name, measure in zip(MEASURES, (rmse, mae, mape))
         ],
     )
-    return figures.withColumns({f"{m}_delta": improvement(m) for m in MEASURES})
+    figures = round_columns(figures, [f"{side}_{m}" for side in ("model", "baseline") for m in MEASURES], DECIMALS)
+    deltas = figures.withColumns({f"{m}_delta": improvement(m) for m in MEASURES})
+    return round_columns(deltas, [f"{m}_delta" for m in MEASURES], DECIMALS)
 
 
 def evaluate_by_category(scored: DataFrame, panel: PanelColumns = PanelColumns()) -> DataFrame:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelftide.functions.exact import deviation_of, mean_of, merged, moments
-from shelftide.functions.stock import policy_columns, service_level_percent
+from shelftide.functions.exact import deviation_of, mean_of, merged, moments, round_columns
+from shelftide.functions.stock import DECIMALS, ROUNDED, policy_columns, service_level_percent
 from shelftide.operators.checks import require_columns, unmatched_entities
 from shelftide.params import PanelColumns, PolicyParams
 from shelftide.schemas import RECOMMENDATION_MEASURES
@@ -71,8 +71,8 @@ def latest_stock(df: DataFrame, panel: PanelColumns = PanelColumns(), check_ties
 
 
 def apply_policy(entities: DataFrame, policy: PolicyParams = PolicyParams()) -> DataFrame:
-    """Policy figures, with the policy values themselves for audit."""
-    return entities.withColumns(
+    """Policy figures to four places, with the policy values themselves for audit. The flag compares unrounded numbers."""
+    figures = entities.withColumns(
         {
             "lead_time_days": F.lit(policy.lead_time_days),
             "order_cycle_days": F.lit(policy.order_cycle_days),
@@ -80,6 +80,7 @@ def apply_policy(entities: DataFrame, policy: PolicyParams = PolicyParams()) ->
             **policy_columns(policy),
         }
     )
+    return round_columns(figures, ROUNDED, DECIMALS)
 
 
 def recommend(

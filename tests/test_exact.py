@@ -24,7 +24,7 @@ def values_frame(spark, values):
 
 def limb_sum(df):
     parts = exact.limb_sums("x", F.col("v"))
-    return df.agg(*[c.alias(n) for n, c in parts.items()]).select(exact.limb_total("x").alias("t")).first().t
+    return exact.limb_totals(df.agg(*[c.alias(n) for n, c in parts.items()]), ["x"]).first().x
 
 
 def test_limbs_add_up_exactly(spark):
@@ -77,19 +77,19 @@ def test_moments_of_few_and_negative_values(spark):
 @settings(max_examples=30, deadline=None)
 @given(st.lists(numbers | numbers.map(lambda x: -x), min_size=1, max_size=40))
 def test_rounding_of_any_number(spark, values):
-    got = values_frame(spark, values).orderBy("k").select(exact.round_binary(F.col("v")).alias("r")).collect()
+    got = exact.round_columns(values_frame(spark, values).orderBy("k"), ["v"]).collect()
     # Numbers whose product with the power of ten has no fraction in 53 bits stay as they are.
-    assert [r.r for r in got] == [round(v, 4) if abs(v) * 1e4 < 2**53 else v for v in values]
+    assert [r.v for r in got] == [round(v, 4) if abs(v) * 1e4 < 2**53 else v for v in values]
 
 
 def test_rounding_of_ties_and_near_ties(spark):
     ties = [0.00015, 0.00025, 0.03125, 0.09375, 2.5, 1.00005, 29.331249999999997, -0.00015, -0.03125, 0.0, 1234567.00005]
     ties += [k / 2**5 + 1e-4 for k in range(64)] + [(2 * k + 1) / 20000 for k in range(400)]
-    got = values_frame(spark, ties).orderBy("k").select(exact.round_binary(F.col("v")).alias("r")).collect()
-    assert [r.r for r in got] == [round(v, 4) for v in ties]
-    assert got[0].r == 0.0001
+    got = exact.round_columns(values_frame(spark, ties).orderBy("k"), ["v"]).collect()
+    assert [r.v for r in got] == [round(v, 4) for v in ties]
+    assert got[0].v == 0.0001
     con = duckdb.connect()
-    assert [r.r for r in got] == [con.execute(f"SELECT CAST(format('{{:.4f}}', CAST({v!r} AS DOUBLE)) AS DOUBLE)").fetchone()[0] for v in ties]
+    assert [r.v for r in got] == [con.execute(f"SELECT CAST(format('{{:.4f}}', CAST({v!r} AS DOUBLE)) AS DOUBLE)").fetchone()[0] for v in ties]
 
 
 def test_figures_have_the_same_digits_for_any_partitioning(scored):
@@ -101,6 +101,20 @@ def test_figures_have_the_same_digits_for_any_partitioning(scored):
     assert len(reports) == len(stats) == 1
 
 
+def test_figures_compile(spark, scored, cleaned):
+    """No generated method grows too long, which would leave the figures to interpreted expressions."""
+    df = scored(("Toys", 0, 1.0, 2.0), ("Books", 4, 5.0, 2.0))
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    spark.conf.set("spark.sql.codegen.factoryMode", "CODEGEN_ONLY")
+    try:
+        assert evaluation.evaluate(df).count() == 3 and len(evaluation.evaluate(df).collect()) == 3
+        advice = inventory.recommend(df, cleaned({}))
+        assert len(advice.collect()) == 1 and len(inventory.run_summary(df, advice).collect()) > 5
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
+        spark.conf.unset("spark.sql.codegen.factoryMode")
+
+
 def test_one_nested_report(scored):
     df = scored(("Toys", 0, 1.0, 2.0), ("Books", 4, 5.0, 2.0), (None, 1, 1.0, 1.0))
     (row,) = evaluation.report_document(evaluation.evaluate(df)).collect()
