@@ -68,20 +68,24 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright Free Software Foundation, Inc. Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed.",
         "You should have received a copy of the GNU General Public License along with this program.",
         "Released under the GPLv3. Licensed under the GPL, version 2.",
-        "SPDX-License-Identifier: GPL-3.0-or-later GPL-2.0-only",
+        "SPDX-License-Identifier: GPL-3.0-or-later",
+        "SPDX-License-Identifier: GPL-2.0-only",
     ),
     "LGPL": (
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License.",
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
         "You should have received a copy of the GNU Lesser General Public License along with this library.",
-        "SPDX-License-Identifier: LGPL-2.1-or-later LGPL-3.0-only",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
+        "SPDX-License-Identifier: LGPL-3.0-only",
     ),
     "AGPL": (
         "Licensed under the GNU Affero General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
         "You should have received a copy of the GNU Affero General Public License along with this program.",
-        "SPDX-License-Identifier: AGPL-3.0-or-later AGPL-3.0-only",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+        "SPDX-License-Identifier: AGPL-3.0-only",
     ),
     "BSD": (
         "Licensed under the BSD 3-Clause License.",
@@ -194,6 +198,10 @@ KNOWN_WORDS = sorted({w for text in _TEXTS for w in _template_words(text)})
 KNOWN_PAIRS = sorted({g for text in _TEXTS for g in _template_pairs(text)})
 
 
+# Words of a piece of a long template.
+PIECE = 10
+
+
 def _own_words() -> list[str]:
     """The words that templates of one family alone have."""
     holders: dict[str, set[str]] = {}
@@ -300,7 +308,10 @@ def _fit(docs: DataFrame, params: LicenseParams, id_col: str, text_col: str) ->
     cuts = templates.select("family", F.explode(F.sequence(F.lit(1), F.size("words"))).alias("k"), "words").where(~at.isin(own_words))
     cuts = cuts.select("family", F.concat(F.slice("words", F.lit(1), F.col("k") - 1), F.slice("words", F.col("k") + 1, F.size("words"))).alias("words"))
     cuts = cuts.join(F.broadcast(templates.select("words")), "words", "left_anti").select("family", "words")
-    known = templates.unionByName(cuts).where(F.size("words") > 0)
+    # Pieces of long templates, as wrapped lines show them.
+    long = templates.where(F.size("words") > 2 * PIECE).select("family", F.explode(F.expr(f"sequence(1, size(words) - {PIECE}, {PIECE} div 2)")).alias("k"), "words")
+    pieces = long.select("family", F.slice("words", F.col("k"), F.lit(PIECE)).alias("words"))
+    known = templates.unionByName(cuts).unionByName(pieces).where(F.size("words") > 0)
     # Which documents are sampled depends on a hash of their id; one paragraph of each, by a hash too.
     chosen = with_texts(sample_ids(docs.select(id_col), id_col, params.background), docs, id_col, text_col)
     lines = F.filter(F.split(F.col("data").cast("string"), "\n"), lambda x: F.trim(x) != "")
