@@ -107,3 +107,30 @@ def trie(rows, span=100, most=6):
         parent = members[p[:-1]][0] if p else None
         out.append((found[0], len(p), parent, len(found), len(children), leaves, saved, hashlib.sha256(ends.encode()).hexdigest()))
     return sorted(out, key=lambda r: (r[0], r[1]))
+
+
+def cut_text(text, items, size=10):
+    """The text without hit words, round after round, and the share of words that stay."""
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    low = lambda w: re.sub("[A-Z]", lambda m: m[0].lower(), w)
+    windows = set()
+    for _, item in items:
+        words = word.findall(low(item or ""))
+        n = min(size, len(words))
+        windows |= {tuple(words[k : k + n]) for k in range(len(words) - n + 1) if n}
+    share = 1.0
+    while text is not None:
+        flat = low(text)
+        places = [(m.start(), m.end()) for m in word.finditer(flat)]
+        words = [flat[a:b] for a, b in places]
+        hit = sorted({p for n in {len(w) for w in windows} for k in range(len(words) - n + 1) if tuple(words[k : k + n]) in windows for p in range(k, k + n)})
+        if not hit:
+            break
+        pieces, last = [], 0
+        for at, p in enumerate(hit):
+            if at == 0 or hit[at - 1] != p - 1:
+                pieces.append(text[last : places[p][0]])
+            last = places[p][1]
+        share *= 1 - len(hit) / len(words)
+        text = "\n".join([*pieces, text[last:]])
+    return text, share

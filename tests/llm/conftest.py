@@ -5,7 +5,7 @@ import pytest
 SMALLEST = "/root/testdata/sf0.001"
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 # Names that operators use inside; as extra columns of the input they must not disturb.
-CLASHES = ("data", "node", "score", "spans", "tie", "line", "new_text", "share_left", "run_spans", "toxic_score", "gone_id", "found_values")
+CLASHES = ("data", "node", "score", "spans", "tie", "line", "new_text", "share_left", "run_spans", "toxic_score", "gone_id", "found_values", "row", "code", "words")
 
 
 @pytest.fixture(scope="session")

@@ -26,6 +26,7 @@ from shelftide.llm import (
     toxicity,
 )
 from shelftide.llm.common import table
+from tests.llm.wordings import WORDINGS
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 SMALL = fertility.Vocabulary("piece", "piece", PIECES)
@@ -177,7 +178,7 @@ def test_feistel_is_a_permutation(spark):
     assert sorted(r["m"] for r in moved) == list(range(600))
 
 
-NATIVE = ("op3_license_classifier", "op7_pii_pseudonyms")
+NATIVE = ("op3_license_classifier", "op7_pii_pseudonyms", "op12_term_fingerprints")
 
 
 @pytest.mark.parametrize("name", NATIVE)
@@ -210,7 +211,8 @@ def test_odd_rows(spark, clashing, name):
     labels = spark.createDataFrame([(1, 1, 0), (4, 0, 0), (None, None, None), (5, 1, None)], "doc_id bigint, quality int, toxic int")
     items = spark.createDataFrame([(1, "nothing like it at all"), (None, "w1 w2 w3 w900"), (2, None)], "item_id bigint, text string")
     out = OPERATORS[name](clashing, labels, items)
-    assert out.count() == clashing.count() - DROPPED.get(name, 0)
+    # Collected, so that every column of every row is worked out.
+    assert len(out.collect()) == clashing.count() - DROPPED.get(name, 0)
     if name in ("near", "decontaminate", "pseudonyms", "toxicity", "lines"):
         assert out.columns == clashing.columns
         assert out.where("tie <> 'own tie' OR new_text <> 'own new_text'").isEmpty()
@@ -220,7 +222,7 @@ def test_odd_rows(spark, clashing, name):
 def test_empty_tables(spark, make_docs, name):
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     items = spark.createDataFrame([], "item_id bigint, text string")
-    assert OPERATORS[name](make_docs([]), labels, items).count() == 0
+    assert OPERATORS[name](make_docs([]), labels, items).collect() == []
 
 
 def test_pipeline_stages(spark, folder):
@@ -238,5 +240,18 @@ def test_pipeline_stages(spark, folder):
 
 def test_every_operator_is_registered():
     names = __spark_entry__.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
     assert set(__spark_entry__.oracle_sql()) <= set(names)
+
+
+def test_unlisted_licence_wordings(spark, folder):
+    """At least nine of ten are found, none under a wrong family, and nothing in other sentences."""
+    wordings = spark.createDataFrame([(-1 - k, text) for k, (_, text) in enumerate(WORDINGS)], "doc_id bigint, text string")
+    docs = table(spark, folder, "documents").select("doc_id", "text").unionByName(wordings)
+    got = {r["doc_id"]: r["families"] for r in license_classifier.scan_documents(docs).where("doc_id < 0").collect()}
+    pairs = [(family or "", got[-1 - k]) for k, (family, _) in enumerate(WORDINGS)]
+    assert [(want, found) for want, found in pairs if found not in ("", want)] == []
+    licences = [(want, found) for want, found in pairs if want]
+    assert sum(want == found for want, found in licences) >= 0.9 * len(licences)
+    held = [license_classifier._template_words(t) for texts in license_classifier.TEMPLATES.values() for t in texts]
+    assert not any(license_classifier._template_words(text) in held for _, text in WORDINGS)

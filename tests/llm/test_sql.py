@@ -14,7 +14,7 @@ from shelftide.llm import queries
 @pytest.fixture(scope="module")
 def con(folder):
     connection = duckdb.connect()
-    for name in ("documents", "benchmark", "labels"):
+    for name in ("documents", "benchmark", "labels", "conversations"):
         connection.sql(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{os.path.join(folder, name)}.parquet')")
     return connection
 
