@@ -32,7 +32,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -242,11 +241,15 @@ def _dealt(members: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def _candidates(block: pd.DataFrame, signed: np.ndarray, floor: float) -> Iterator[tuple[int, np.ndarray]]:
+def _signed(block: pa.Table, bands: int, rows: int) -> np.ndarray:
+    return np.frombuffer(b"".join(block.column("signature").to_pylist()), np.uint32).reshape(block.num_rows, bands, rows)
+
+
+def _candidates(block: pa.Table, signed: np.ndarray, floor: float) -> Iterator[tuple[int, np.ndarray]]:
     """For each row of the lower block the rows of the other one that are in another component, first meet it
     in this band, and agree with it in a share of ``floor`` of ``signed`` (rows x bands x rows of a band)."""
-    node, component, own = (block[c].to_numpy() for c in ("node", "component", "own"))
-    low, high, band = block["low"].iat[0], block["high"].iat[0], int(block["band"].iat[0])
+    node, component, own = (block.column(c).to_numpy() for c in ("node", "component", "own"))
+    low, high, band = (block.column(c)[0].as_py() for c in ("low", "high", "band"))
     left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
     for k in left:
         others = right if low != high else right[right > k]
@@ -264,17 +267,14 @@ def _open_members(members: DataFrame, bands: int, rows: int, floor: float) -> Da
 
     ``members``: bucket, band, node, component, blocks, signature. A task holds the signatures of two blocks at most."""
 
-    def look(block: pd.DataFrame) -> pd.DataFrame:
-        signed = np.frombuffer(b"".join(block["signature"]), np.uint32).reshape(len(block), bands, rows)
+    def look(block: pa.Table) -> pa.Table:
         found: set[int] = set()
-        for k, others in _candidates(block, signed, floor):
-            found.add(k)
+        for k, others in _candidates(block, _signed(block, bands, rows), floor):
+            found.add(int(k))
             found.update(others.tolist())
-        at = np.array(sorted(found), np.int64)
-        first = block.iloc[:1]
-        return pd.DataFrame({c: np.repeat(first[c].to_numpy(), len(at)) for c in ("bucket", "low", "high")} | {"node": block["node"].to_numpy()[at]})
+        return block.select(["bucket", "low", "high", "node"]).take(pa.array(sorted(found), pa.int64()))
 
-    return _dealt(members, ["signature"]).groupBy("bucket", "low", "high").applyInPandas(look, "bucket long, low int, high int, node long")
+    return _dealt(members, ["signature"]).groupBy("bucket", "low", "high").applyInArrow(look, "bucket long, low int, high int, node long")
 
 
 def _links_in_blocks(members: DataFrame, bands: int, rows: int, percent: int, floor: float) -> DataFrame:
@@ -284,12 +284,14 @@ def _links_in_blocks(members: DataFrame, bands: int, rows: int, percent: int, fl
     pair is confirmed on the full sets in the task, so no unconfirmed pair becomes a row.
     """
 
-    def compare(block: pd.DataFrame) -> pd.DataFrame:
-        signed = np.frombuffer(b"".join(block["signature"]), np.uint32).reshape(len(block), bands, rows)
-        node, sets = block["node"].to_numpy(), block["shingles"].to_list()
-        sizes = np.array([len(s) for s in sets])
-        found = []
-        for k, others in _candidates(block, signed, floor):
+    def compare(block: pa.Table) -> pa.Table:
+        node, held = block.column("node").to_numpy(), block.column("shingles").combine_chunks()
+        ends = np.asarray(held.offsets)
+        values = np.asarray(held.values)
+        sets = [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        sizes = np.diff(ends)
+        found: list[tuple[int, int]] = []
+        for k, others in _candidates(block, _signed(block, bands, rows), floor):
             # Sizes alone rule out a pair whose smaller set is too small a part of the larger one.
             others = others[100 * np.minimum(sizes[others], sizes[k]) >= percent * np.maximum(sizes[others], sizes[k])]
             if not len(others):
@@ -300,9 +302,9 @@ def _links_in_blocks(members: DataFrame, bands: int, rows: int, percent: int, fl
             common = np.add.reduceat(mine[at] == flat, np.concatenate([[0], np.cumsum(sizes[others])[:-1]]), dtype=np.int64)
             linked = others[100 * common >= percent * (sizes[others] + sizes[k] - common)]
             found += [(max(node[k], x), min(node[k], x)) for x in node[linked]]
-        return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
+        return pa.table({n: pa.array([p[i] for p in found], pa.int64()) for i, n in enumerate("uv")})
 
-    return members.groupBy("bucket", "low", "high").applyInPandas(compare, "u long, v long")
+    return members.groupBy("bucket", "low", "high").applyInArrow(compare, "u long, v long")
 
 
 def _sets_for(needed: DataFrame, source: DataFrame, several: DataFrame, scratch: Scratch) -> DataFrame:

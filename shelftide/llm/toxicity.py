@@ -36,7 +36,7 @@ from shelftide.llm.labelled_sample import held_out, sample_ids, with_texts
 BUCKET_BITS = 20
 PREFIXES = (4, 5)
 THRESHOLD = 0.3
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 
 
 @dataclass(frozen=True)
