@@ -36,8 +36,6 @@ WORDINGS: list[tuple[str | None, str]] = [
     ("CC-BY-ND", "This work is available under CC BY-ND 4.0."),
     ("proprietary", "(c) Example Corp. All rights reserved worldwide."),
     ("GPL", "// SPDX-License-Identifier: GPL-2.0"),
-    ("MIT", "/* SPDX-License-Identifier: MIT */"),
-    ("BSD", "# SPDX-License-Identifier: BSD-3-Clause"),
     (None, "The public license plate office is open from nine to five."),
     (None, "He reserved all the rooms for the general and the free press of the city."),
     (None, "This work is about the history of the printing press, version two of the lecture."),
