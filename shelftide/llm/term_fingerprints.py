@@ -17,7 +17,8 @@ filled ones. Two fingerprints without any cell are 1 alike if equal, else 0.
 The lexicon reaches the tasks as a table of buckets of 64-bit hashes. Its size is bounded without regard to the number of
 documents: a document of m distinct terms adds m to the frequencies, so at most (mean m) / ``least`` terms have
 a share of ``least``; 2,000 times the mean here. What moves between tasks: each distinct term once per task for
-the counts; each text once, to meet the beginning of the text after it (a quarter of the texts); and the fingerprints.
+the counts; each text twice, to hand its beginning to the one before it and to meet that of the one after it (a quarter of
+the texts); and the fingerprints.
 
 Defined results: a NULL text is an empty one. Documents go by id (NULL first), equal ids by a hash of the text; rows that
 repeat id and text are one document and get the same values. A text of fewer than ``FEWEST`` lexicon terms is known by
@@ -159,7 +160,7 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     following = _in_order(keys, scratch)
     table = scratch.stage(lexicon_table(scratch.stage(lexicon(rows, least, most), "lexicon")), "table")
 
-    # What each document hands to the one before it. Its text is joined by the same key as below, so it moves once.
+    # What each document hands to the one before it.
     given = following.select(F.col("next_k").alias("k"), F.col("next_tie").alias("tie"), F.col("k").alias("to_k"), F.col("tie").alias("to_tie"), "need")
     heads = rows.join(given, ["k", "tie"]).select(
         F.col("to_k").alias("k"), F.col("to_tie").alias("tie"), F.col("k").alias("next_k"), F.col("tie").alias("next_tie"), "need",
