@@ -15,7 +15,9 @@ Bands come from all documents that pass the base rules: quartiles by language, a
 before the shuffle. A language of fewer than ``least_documents`` takes the bands of all documents.
 
 Defined results: a NULL or wordless text has zero counts and fails the base rule; documents without a
-language are one group; repeated rows each get a row.
+language are one group; repeated rows each get a row; no rows give no rows. Texts of any length are worked on whole, a few megabytes of
+documents at a time. Other columns of
+the documents, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ The unknown class is calibrated on all other paragraphs of the corpus: a family
 
 Defined results: NULL and empty texts have no paragraphs and no licence; a paragraph without
 any word of a template is unknown and counts as such in the calibration; rows that share a doc_id are one document, and each
-of them gets its row; a family counts once in a paragraph. Without any corpus paragraph the threshold is one half.
+of them gets its row; a family counts once in a paragraph; no rows give no rows; other columns are not read. Texts of any length
+are cut into their paragraphs whole. Without any corpus paragraph the threshold is one half.
 """
 
 from __future__ import annotations

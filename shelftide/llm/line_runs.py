@@ -19,7 +19,8 @@ Doubling goes on only while some repeated run is still shorter than ``min_words`
 Defined results: a NULL text stays NULL; an empty line counts as a line without words; runs
 repeated inside one document count too. Rows that repeat both doc_id and text are one document and
 are treated alike; rows that share a doc_id only are ordered by a hash of the text. Documents
-without doc_id come first.
+without doc_id come first; no rows give no rows. Texts of any length are cut whole, a few megabytes of documents at a time. Other
+columns stay as they are; one that has the name of a count column gives way to it.
 """
 
 from __future__ import annotations

@@ -24,7 +24,9 @@ signature estimate of a linked pair falls below the floor with less than 1e-6.
 
 Defined results: a NULL or wordless text has an empty set, is linked with nothing and stays. Rows
 with one doc_id are one document (component ids are doc_ids). Rows without doc_id
-are linked with nothing, have no component and stay.
+are linked with nothing, have no component and stay. Repeated rows have the same component. No rows give no rows. Texts of
+any length have their whole set; signatures are taken of 100,000 elements at a time. Other columns are kept by
+`drop_near_duplicates`, whatever their names.
 """
 
 from __future__ import annotations

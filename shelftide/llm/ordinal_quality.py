@@ -13,7 +13,10 @@ shares, so that a rare mark still counts. Weights and thresholds are fitted with
 bounded sample of graded rows (``OrdinalParams.sample``); labels of held-out ids are never read.
 
 Defined results: NULL and wordless texts have no features and get the grade probabilities of a
-zero score. Without graded rows, every grade is equally likely.
+zero score. Without graded rows, every grade is equally likely. Of labels that contradict each other under one id the
+largest counts; repeated rows each get a row; no rows give no rows. Texts of any length are worked on whole, a few megabytes of
+documents at a time.
+Other columns of the documents are not read.
 """
 
 from __future__ import annotations

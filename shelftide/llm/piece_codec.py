@@ -14,6 +14,9 @@ holds a blank behind another character, and around a line feed, if no piece hold
 ids of a cut piece are kept for its next occurrence, in a store of bounded size.
 
 Characters without a piece become the pieces of their bytes, or the unknown id.
+
+Defined results: a NULL text is an empty one; repeated rows each get a row; no rows give no rows. Texts of any length are worked on whole, a few megabytes of
+documents at a time, and long words in pieces that no merge crosses. Other columns stay as they are.
 """
 
 from __future__ import annotations

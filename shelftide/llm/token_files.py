@@ -8,7 +8,10 @@ Token lists are dictionary-encoded where a vocabulary is small against a page, e
 delta-encoded; the size of row groups and pages is set, not left to defaults.
 
 Defined results: a NULL or empty text is a document with the end id alone; documents that
-repeat an id stay, in the order of their text; documents without an id come first.
+repeat an id stay, in the order of their text; documents without an id come first; no rows give
+files without rows. Texts of any length are worked on whole, a few megabytes of
+documents at a time. Other columns of the documents are
+not read.
 """
 
 from __future__ import annotations

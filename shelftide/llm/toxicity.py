@@ -14,7 +14,9 @@ labelled rows (a fitted slope and offset).
 Labels of held-out ids (see ``labelled_sample``) are never read; language, source and ids are no inputs.
 
 Defined results: NULL and empty texts have the score of a text without any known word. Without
-any confirmed toxic row (or no rows at all) every score is the prior.
+any confirmed toxic row every score is the prior. Of labels that contradict each other under one id the largest counts;
+repeated rows each get a row, and all of them stay or go; no rows give no rows. Texts of any length are worked on whole, a few megabytes of
+documents at a time. `drop_toxic` keeps all other columns, whatever their names.
 """
 
 from __future__ import annotations
