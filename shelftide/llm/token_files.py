@@ -65,23 +65,21 @@ def encode_documents(
     frame = id_and_text(docs, id_col, text_col)
     count = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_rows = frame.repartitionByRange(count, "doc_id", F.xxhash64("data")).sortWithinPartitions("doc_id", F.xxhash64("data"))
-    end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, shard, start = cached_encoder(tokenizer_file), TaskContext.get().partitionId(), 0
         for batch in batches:
             for part in text_slices(batch):
-                coded = [encoder.encode(data) + end for data in part.column("data").to_pylist()]
-                sizes = np.array([len(c) // 4 for c in coded], np.int64)
+                ids, sizes = encoder.encode_texts(part.column("data").to_pylist(), end_id)
                 ends = np.cumsum(sizes)
                 offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
-                tokens = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(coded), "<i4")))
+                tokens = pa.ListArray.from_arrays(offsets, pa.array(ids.view(np.int32)))
                 starts = start + ends - sizes
                 start += int(ends[-1]) if len(ends) else 0
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
-                        pa.array(np.full(len(coded), shard, np.int32)),
+                        pa.array(np.full(len(sizes), shard, np.int32)),
                         pa.array(starts),
                         pa.array(sizes),
                         tokens,

@@ -31,12 +31,26 @@ def plain_spaces(data: bytes) -> bool:
     return data.isascii() or not _ODD.search(data)
 
 
+class _Numbers(dict[bytes, int]):
+    """Pieces numbered as they are met; ``fresh`` lists those whose ids are still to be found."""
+
+    def __init__(self) -> None:
+        self.fresh: list[bytes] = []
+
+    def __missing__(self, piece: bytes) -> int:
+        self[piece] = number = len(self)
+        self.fresh.append(piece)
+        return number
+
+
 class CachedEncoder:
-    """Ids of whole texts as little-endian 32-bit integers, equal to the library's.
+    """Ids of whole texts, equal to the library's.
 
-    The pieces of a text that are new go through the library in one call; its ids are dealt
-    back to the pieces by the number of bytes that each id stands for. The store is
-    emptied when it is full, so memory stays bounded.
+    Texts come in slices. Each piece is looked up once and stands for a number; the pieces of a slice that are
+    new go through the library in one call, and its ids are dealt back by the number of bytes that each id
+    stands for. A mark at the end of a word is cut off before: such a word is its word without the mark, and
+    the mark. When the store is full, pieces that were met once only leave it between slices, and beyond half
+    of it the rarest do, so memory stays bounded.
     """
 
     def __init__(self, path: str) -> None:
@@ -49,39 +63,110 @@ class CachedEncoder:
         self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for entry, number in vocabulary.items():
             self.n_bytes[number] = len(entry)
-        self.pieces: dict[bytes, bytes] = {}
+        # An added token that ends in a mark is never cut.
+        added = {t.content.encode()[-1:] for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.marks = {m: self._ids(m.decode()) for m in (b".", b",", b"!", b"?", b";", b":") if m not in added}
+        self.numbers = _Numbers()
+        self.numbers[b"\t"] = 0  # a text that starts with a space has nothing in front of it
+        self.pool, self.starts, self.sizes = np.empty(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.met = np.zeros(1, np.int64)
+
+    def _thin_out(self) -> None:
+        least = max(2, int(np.partition(self.met, -CACHE_WORDS // 2)[-CACHE_WORDS // 2]) + 1)
+        kept = self.met >= least
+        kept[0] = True
+        pieces = [p for p, k in zip(self.numbers, kept.tolist(), strict=True) if k]
+        self.numbers = _Numbers()
+        self.numbers.update(zip(pieces, range(len(pieces)), strict=True))
+        at = np.flatnonzero(kept)
+        self.pool, self.sizes, self.met = self._gather(at), self.sizes[at], self.met[at] // 2
+        self.starts = np.cumsum(self.sizes) - self.sizes
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-
-    def whole(self, data: bytes) -> bytes:
-        return self._ids(data.decode()).tobytes()
-
-    def _learn(self, fresh: list[bytes]) -> None:
-        if len(self.pieces) + len(fresh) > CACHE_WORDS:
-            self.pieces.clear()
-        joined = b"".join(p if p[:1] == b"\n" else b" " + p for p in fresh)
-        ids = self._ids(joined.decode())
-        ends = np.cumsum([len(p) + (p[:1] != b"\n") for p in fresh])
-        cuts = (np.searchsorted(np.cumsum(self.n_bytes[ids]), ends) + 1).tolist()
-        coded, start = ids.tobytes(), 0
-        for piece, cut in zip(fresh, cuts, strict=True):
-            self.pieces[piece] = coded[4 * start : 4 * cut]
-            start = cut
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
+    def _learn(self) -> None:
+        """Ids of all pieces that are numbered but not known. A piece starts with a line feed, with a tab at the
+        start of a text, and with its first character where a blank stands in front of it."""
+        numbers, coded, marked = self.numbers, [], []
+        fresh, numbers.fresh = numbers.fresh, []
+        for piece in fresh:
+            if piece[-1:] in self.marks and piece[-2:-1].isalpha():
+                marked.append((numbers[piece], numbers[piece[:-1]], piece[-1:]))
+            else:
+                coded.append(piece)
+        coded += numbers.fresh  # words that had not been met without their mark
+        numbers.fresh = []
+        grown = len(numbers) - len(self.starts)
+        self.starts = np.concatenate([self.starts, np.zeros(grown, np.int64)])
+        self.sizes = np.concatenate([self.sizes, np.zeros(grown, np.int64)])
+        self.met = np.concatenate([self.met, np.zeros(grown, np.int64)])
+        if coded:
+            # What starts a text is encoded behind a line feed, whose id is left out.
+            shown = [p if p[:1] == b"\n" else b"\n" + p[1:] if p[:1] == b"\t" else b" " + p for p in coded]
+            ids = self._ids(b"".join(shown).decode())
+            cuts = np.searchsorted(np.cumsum(self.n_bytes[ids]), np.cumsum([len(p) for p in shown])) + 1
+            before = np.concatenate([[0], cuts[:-1]]) + np.array([p[:1] == b"\t" for p in coded], np.int64)
+            at = np.array([numbers[p] for p in coded])
+            self.starts[at], self.sizes[at] = len(self.pool) + before, cuts - before
+            self.pool = np.concatenate([self.pool, ids])
+        if marked:
+            at, bodies = np.array([m[0] for m in marked]), np.array([m[1] for m in marked])
+            ends = [self.marks[m[2]] for m in marked]
+            sizes = self.sizes[bodies] + np.array([len(e) for e in ends])
+            firsts = len(self.pool) + np.cumsum(sizes) - sizes
+            ids = np.empty(int(sizes.sum()), np.uint32)
+            of_mark = np.ones(len(ids), bool)
+            of_mark[_spread(firsts - len(self.pool), self.sizes[bodies])] = False
+            ids[~of_mark], ids[of_mark] = self._gather(bodies), np.concatenate(ends)
+            self.starts[at], self.sizes[at] = firsts, sizes
+            self.pool = np.concatenate([self.pool, ids])
+
+    def _gather(self, numbers: np.ndarray) -> np.ndarray:
+        return self.pool[_spread(self.starts[numbers], self.sizes[numbers])]
+
+    def encode_texts(self, texts: list[bytes | None], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, ``end`` behind each, and the number of ids of each text."""
+        if len(self.numbers) > CACHE_WORDS:
+            self._thin_out()
+        found, whole, number_of = [], [], self.numbers.__getitem__
+        for data in texts:
+            if not data:
+                found.append(np.empty(0, np.int64))
+            elif plain_spaces(data):
+                pieces = data.replace(b"\n", b" \n").split(b" ")
+                pieces[0] = b"\t" + pieces[0]
+                found.append(np.fromiter(map(number_of, pieces), np.int64, len(pieces)))
+            else:
+                whole.append(self._ids(data.decode()))
+                found.append(np.array([-len(whole)]))
+        if self.numbers.fresh:
+            self._learn()
+        plain = np.concatenate([f for f in found if len(f) and f[0] >= 0] or [np.empty(0, np.int64)])
+        self.met += np.bincount(plain, minlength=len(self.met))
+        pool, starts, sizes = self.pool, self.starts, self.sizes
+        extra = [*whole, np.array([] if end is None else [end], np.uint32)]
+        own = np.array([len(e) for e in extra], np.int64)
+        pool = np.concatenate([pool, *extra])
+        starts = np.concatenate([starts, len(self.pool) + np.cumsum(own) - own])
+        sizes = np.concatenate([sizes, own])
+        last = np.array([len(sizes) - 1])
+        numbers = np.concatenate([n for f in found for n in (f, last)]) if found else np.empty(0, np.int64)
+        numbers = np.where(numbers < 0, len(self.sizes) - 1 - numbers, numbers)
+        ids = pool[_spread(starts[numbers], sizes[numbers])]
+        ends = np.cumsum(np.array([len(f) + 1 for f in found], np.int64))
+        upto = np.concatenate([[0], np.cumsum(sizes[numbers])])[np.concatenate([[0], ends])]
+        return ids, np.diff(upto)
 
     def encode(self, data: bytes | None) -> bytes:
-        if not data:
-            return b""
-        if not plain_spaces(data):
-            return self.whole(data)
-        first, *rest = data.replace(b"\n", b" \n").split(b" ")
-        if fresh := set(rest).difference(self.pieces):
-            before = len(self.pieces)
-            self._learn(list(fresh))
-            if len(self.pieces) < before:  # emptied: all pieces of this text are new
-                self._learn(list(set(rest).difference(self.pieces)))
-        # The first piece has no blank in front of it.
-        return (self.whole(first) if first else b"") + b"".join(map(self.pieces.__getitem__, rest))
+        """One text, as little-endian 32-bit integers."""
+        return self.encode_texts([data])[0].astype("<u4", copy=False).tobytes()
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each run, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
 _LOADED: dict[str, CachedEncoder] = {}

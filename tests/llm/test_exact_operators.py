@@ -201,3 +201,24 @@ def test_word_cache_equals_the_library_on_odd_spaces():
     for _ in range(800):
         text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 30)))
         assert np.frombuffer(encoder.encode(text.encode()), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_word_cache_in_slices_with_a_full_store(monkeypatch):
+    """Slices of texts whose words come with and without marks, in a store that is thinned out again and again."""
+    from tokenizers import Tokenizer
+
+    from shelftide.llm import word_cache
+
+    monkeypatch.setattr(word_cache, "CACHE_WORDS", 40)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, tokenizer, rng = word_cache.CachedEncoder(path), Tokenizer.from_file(path), random.Random(3)
+    words = [f"{stem}{end}{mark}" for stem in ("the", "Zürich", "it's", "x9", "日本", "<|endoftext|>", "a.b", "") for end in ("", "s", "7") for mark in ("", ".", ",", "!", "?!", ";", ":", "'")]
+    for _ in range(120):
+        texts = ["".join(rng.choice(words) + rng.choice(" \n ") for _ in range(rng.randint(0, 30))).strip(" \n") or None for _ in range(rng.randint(0, 8))]
+        texts += rng.choices([None, "", " start", "\nstart", "two  blanks", "."], k=2)
+        ids, sizes = encoder.encode_texts([t if t is None else t.encode() for t in texts], 0)
+        want = [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 0] for t in texts]
+        assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+        assert len(encoder.numbers) == len(encoder.starts) == len(encoder.sizes) == len(encoder.met)
+    ids, sizes = encoder.encode_texts([])
+    assert len(ids) == len(sizes) == 0
