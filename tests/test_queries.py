@@ -42,6 +42,11 @@ def test_model_queries(spark, name, rows):
     assert QUERIES[name](spark, FOLDER).count() == rows
 
 
+def test_the_full_run_counts_the_figures_of_its_report(spark):
+    found = {r.artefact: r.row_count for r in QUERIES["full_run"](spark, FOLDER).collect()}
+    assert found["metrics"] == found["stockouts"] == len(LABEL_VALUES["category"]) + 1
+
+
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
