@@ -287,3 +287,12 @@ def test_unknown_tree_settings_are_errors():
     for wrong in ({"objective": "count:poisson"}, {"tree_method": "exact"}, {"eval_metric": "mae"}, {"max_bins": 500}):
         with pytest.raises(ValueError):
             TreeParams(**wrong)
+
+
+def test_tasks_of_a_level_are_bounded_by_the_cores(spark, monkeypatch):
+    asked, level = [], boosting._level
+    monkeypatch.setattr(boosting, "TASK_ROWS", 1)
+    monkeypatch.setattr(boosting, "_level", lambda *a: asked.append(a[-1]) or level(*a))
+    rows = spark.range(500).selectExpr("id", "id % 7 AS x", "CAST(id % 7 AS DOUBLE) AS y")
+    boosting.boost(rows, None, ["x"], "y", ["id"], TreeParams(n_estimators=1, max_depth=1), seed=1)
+    assert asked == [boosting.CORE_TASKS * spark.sparkContext.defaultParallelism]

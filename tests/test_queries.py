@@ -55,6 +55,10 @@ def shuffles(df) -> list[str]:
     return re.findall(r"Exchange (\w+)", plan(df))
 
 
+def test_features_read_the_staged_panel_and_no_order_lines(spark):
+    assert "lineitem" not in plan(catalog.feature_frame(spark, FOLDER))
+
+
 @pytest.fixture(scope="module")
 def staged(spark, tmp_path_factory):
     return sinks.stage(catalog.cleaned(spark, FOLDER), str(tmp_path_factory.mktemp("staged") / "t"))
