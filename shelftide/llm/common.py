@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -91,10 +93,38 @@ def text_slices(batch: pa.RecordBatch, column: str = "data", limit: int = SLICE_
         yield batch.slice(start)
 
 
-def map_slices(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """``work`` on each slice of texts of each task."""
+# What an operator keeps in a worker process from task to task, such as a codec with its store of words.
+_HELD: dict[str, object] = {}
+
+
+def held_by_worker(key: str, make: Callable[[], object]) -> object:
+    """``make()``, kept for the next tasks of this operator. A worker process keeps one such thing."""
+    if key not in _HELD:
+        release_held()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def release_held() -> None:
+    """Workers serve the tasks of all operators in turn, so a task that keeps nothing first gives back what an
+    earlier operator kept; else that would stand beside its own memory."""
+    if not _HELD:
+        return
+    _HELD.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    # Where the C library has it: freed memory goes back to the system.
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def map_slices(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, keeps: bool = False) -> DataFrame:
+    """``work`` on each slice of texts of each task. ``keeps``: it uses ``held_by_worker``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            release_held()
         for batch in batches:
             for part in text_slices(batch):
                 yield work(part)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelftide.llm.common import id_and_text, map_slices, text_slices, unused_name
+from shelftide.llm.common import held_by_worker, id_and_text, map_slices, text_slices, unused_name
 
 BLANK = "▁"
 STORE_WORDS = 250_000
@@ -246,14 +246,9 @@ def _lenient(run: bytearray) -> str:
         return "".join(out)
 
 
-_LOADED: dict[str, PieceCodec] = {}
-
-
 def piece_codec(path: str) -> PieceCodec:
-    """One per worker process and file."""
-    if path not in _LOADED:
-        _LOADED[path] = PieceCodec(path)
-    return _LOADED[path]
+    """One per worker process, until tasks of another operator come."""
+    return held_by_worker(path, lambda: PieceCodec(path))
 
 
 def encode_column(
@@ -323,7 +318,7 @@ def codec_digests(docs: DataFrame, model_file: str, id_col: str = "doc_id", text
         return pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return map_slices(id_and_text(docs, id_col, text_col), digests, schema)
+    return map_slices(id_and_text(docs, id_col, text_col), digests, schema, keeps=True)
 
 
 def _decimals(codec: PieceCodec) -> list[str]:

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelftide.llm.common import map_slices, text_slices, unused_name
+from shelftide.llm.common import map_slices, release_held, text_slices, unused_name
 from shelftide.llm.decontamination import words_of
 from shelftide.llm.labelled_sample import held_out, sample_ids, with_texts
 
@@ -229,6 +229,7 @@ def add_scores(docs: DataFrame, model: ToxicityModel, text_col: str = "text", sc
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_held()
         scorer = _Scorer(shared.value)
         for batch in batches:
             for part in text_slices(batch, data):

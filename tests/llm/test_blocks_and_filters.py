@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -130,3 +131,22 @@ def test_accounts_and_social_security_numbers(make_docs):
     assert len(moved) == 2 and all(0 < a < 900 and a != 666 and g and s for a, g, s in moved)
     back = {r["doc_id"]: r["text"] for r in pii_pseudonyms.pseudonymise(out.drop("n"), forward=False).collect()}
     assert back == {1: text, 2: text}
+
+
+def test_a_worker_keeps_one_store_until_another_operator_comes():
+    made = []
+    first = common.held_by_worker("a", lambda: made.append("a") or "store a")
+    assert common.held_by_worker("a", lambda: made.append("again")) is first and made == ["a"]
+    assert common.held_by_worker("b", lambda: "store b") == "store b" and list(common._HELD) == ["b"]
+    common.release_held()
+    assert not common._HELD
+    batch = pa.RecordBatch.from_pydict({"data": [b"x"]})
+
+    class Frame:
+        def mapInArrow(self, run, schema):
+            common.held_by_worker("codec", lambda: "words")
+            return list(run(iter([batch]))), list(common._HELD)
+
+    assert common.map_slices(Frame(), lambda b: b, "data binary") == ([batch], [])
+    assert common.map_slices(Frame(), lambda b: b, "data binary", keeps=True) == ([batch], ["codec"])
+    common.release_held()
