@@ -182,29 +182,32 @@ def _local_forest(links: DataFrame) -> DataFrame:
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, component) of every node with a link (u, v); the component is its smallest node.
 
-    Each round contracts by union-find inside the tasks, then hangs all neighbours of a node on the
-    smallest of them, first the larger ones, then the smaller ones (alternating stars).
-    Ends when a round changes nothing. The rounds grow with the logarithm of a component.
+    Each round hangs every node on the smallest neighbour of each neighbour that is smaller than it, contracts by
+    union-find inside the tasks, and again where all neighbours of a node meet (alternating stars). A task
+    then knows one parent of a node at most, so a node with very many neighbours sends a row a task. When every node has
+    one parent, parents are replaced by their own until none has one. Links never become more.
     """
     pairs = links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    edges = scratch.stage(_local_forest(pairs.distinct()).distinct(), "links")
-    before = None
-    # Dealt round robin after each minimum, so that the join shuffles both sides itself and a node with
-    # very many neighbours can be split there.
-    count = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    edges = scratch.stage(_local_forest(_local_forest(pairs).repartition("u")), "links")
     while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).repartition(count)
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = scratch.stage(_local_forest(large.where("u <> v").distinct()).distinct(), "links")
-        least = large.groupBy("u").agg(F.min("v").alias("m")).repartition(count)
-        small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        edges = scratch.stage(small.select("e.u", "e.v").where("u <> v").distinct(), "links")
-        # Order-free digest of the edges; two numbers reach the driver.
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before or not state[0]:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        before = state
+        parents = scratch.stage(edges.groupBy("u").agg(F.min("v").alias("v"), F.max("v").alias("last")), "parents")
+        if parents.where("v < last").isEmpty():
+            break
+        hung = _local_forest(_hung_higher(edges, parents).select("u", "v"))
+        edges = scratch.stage(_local_forest(hung.repartition("u")), "links")
+    # The first pass shows whether a parent has a parent at all.
+    while True:
+        higher = scratch.stage(_hung_higher(parents, parents), "parents")
+        if higher.where("moved").isEmpty():
+            return higher.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        parents = higher
+
+
+def _hung_higher(edges: DataFrame, parents: DataFrame) -> DataFrame:
+    """(u, v) with the parent of v in place of v where it has one (``moved``). Both sides are staged, so
+    the join shuffles them itself and a parent of very many nodes can be split there."""
+    above = parents.select(F.col("u").alias("v"), F.col("v").alias("above"))
+    return edges.select("u", "v").join(above, "v", "left").select("u", F.coalesce("above", "v").alias("v"), F.col("above").isNotNull().alias("moved"))
 
 
 # Candidates and their verification
@@ -221,7 +224,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _alike(pairs: DataFrame, nodes: DataFrame, length: int, floor: float) -> DataFrame:
-    """The pairs (u, v) whose sketches agree in a share of ``floor`` or more."""
+    """The pairs (u, v) whose sketches agree in a share of ``floor`` or more; one of a node with several sets may repeat."""
     left, right = (nodes.select(F.col("node").alias(n), F.col("sketch").alias(f"sketch_{n}")) for n in "uv")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,7 +234,7 @@ def _alike(pairs: DataFrame, nodes: DataFrame, length: int, floor: float) -> Dat
             yield batch.select(["u", "v"]).filter(fits)
 
     # A pivot of very many pairs is a skewed key of the first join; each pair is alone in the second.
-    return pairs.join(right, "v").join(left, "u").mapInArrow(work, "u long, v long").distinct()
+    return pairs.join(right, "v").join(left, "u").mapInArrow(work, "u long, v long")
 
 
 def _dealt(members: DataFrame, columns: list[str]) -> DataFrame:
@@ -265,7 +268,7 @@ def _candidates(block: pa.Table, signed: np.ndarray, floor: float) -> Iterator[t
 
 
 def _open_members(members: DataFrame, bands: int, rows: int, floor: float) -> DataFrame:
-    """(bucket, low, high, node): members of a bucket that have a candidate partner in the blocks of that group.
+    """(bucket, low, high, node), each once: members of a bucket that have a candidate partner in the blocks of that group.
 
     ``members``: bucket, band, node, component, blocks, signature. A task holds the signatures of two blocks at most."""
 
@@ -274,25 +277,27 @@ def _open_members(members: DataFrame, bands: int, rows: int, floor: float) -> Da
         for k, others in _candidates(block, _signed(block, bands, rows), floor):
             found.add(int(k))
             found.update(others.tolist())
-        return block.select(["bucket", "low", "high", "node"]).take(pa.array(sorted(found), pa.int64()))
+        # A node of several sets has several rows.
+        rows_of = dict(zip(block.column("node").take(pa.array(sorted(found), pa.int64())).to_pylist(), sorted(found), strict=True))
+        return block.select(["bucket", "low", "high", "node"]).take(pa.array(sorted(rows_of.values()), pa.int64()))
 
     return _dealt(members, ["signature"]).groupBy("bucket", "low", "high").applyInArrow(look, "bucket long, low int, high int, node long")
 
 
 def _links_in_blocks(members: DataFrame, bands: int, rows: int, percent: int, floor: float) -> DataFrame:
-    """Confirmed links (u, v) between different components of one bucket.
+    """Components (u, v) of one bucket with a confirmed link between their members.
 
     ``members``: bucket, low, high, band, own, node, component, signature, shingles, the members with a candidate partner. A
     pair is confirmed on the full sets in the task, so no unconfirmed pair becomes a row.
     """
 
     def compare(block: pa.Table) -> pa.Table:
-        node, held = block.column("node").to_numpy(), block.column("shingles").combine_chunks()
+        component, held = block.column("component").to_numpy(), block.column("shingles").combine_chunks()
         ends = np.asarray(held.offsets)
         values = np.asarray(held.values)
         sets = [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
         sizes = np.diff(ends)
-        found: list[tuple[int, int]] = []
+        found: set[tuple[int, int]] = set()
         for k, others in _candidates(block, _signed(block, bands, rows), floor):
             # Sizes alone rule out a pair whose smaller set is too small a part of the larger one.
             others = others[100 * np.minimum(sizes[others], sizes[k]) >= percent * np.maximum(sizes[others], sizes[k])]
@@ -303,8 +308,10 @@ def _links_in_blocks(members: DataFrame, bands: int, rows: int, percent: int, fl
             at = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
             common = np.add.reduceat(mine[at] == flat, np.concatenate([[0], np.cumsum(sizes[others])[:-1]]), dtype=np.int64)
             linked = others[100 * common >= percent * (sizes[others] + sizes[k] - common)]
-            found += [(max(node[k], x), min(node[k], x)) for x in node[linked]]
-        return pa.table({n: pa.array([p[i] for p in found], pa.int64()) for i, n in enumerate("uv")})
+            mine_is = int(component[k])
+            found.update((max(mine_is, x), min(mine_is, x)) for x in np.unique(component[linked]).tolist())
+        pairs = sorted(found)
+        return pa.table({n: pa.array([p[i] for p in pairs], pa.int64()) for i, n in enumerate("uv")})
 
     return members.groupBy("bucket", "low", "high").applyInArrow(compare, "u long, v long")
 
@@ -337,23 +344,21 @@ def find_groups(
     source = id_and_text(docs, id_col, text_col)
     signed = scratch.stage(_sign(source, length), "signatures")
     linked = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = linked.groupBy("set_high", "set_low").agg(F.min("doc_id").alias("node"))
-    member = scratch.stage(classes.repartition("node"), "classes")
-    # Rows that share a doc_id are one document, so their classes are linked.
-    of_class = scratch.stage(linked.select("doc_id", "set_high", "set_low").join(member, ["set_high", "set_low"]).select("doc_id", "node").distinct(), "members")
-    same_id = of_class.where("doc_id <> node").select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
-    nodes = linked.join(of_class.where("doc_id = node").select("doc_id"), "doc_id", "left_semi")
-    nodes = nodes.select(F.col("doc_id").alias("node"), "signature", "sketch", "set_high", "set_low")
-    # One row per document and set: rows that share a doc_id may have several sets.
-    nodes = scratch.stage(nodes.dropDuplicates(["node", "set_high", "set_low"]).select("node", "signature", "sketch"), "nodes")
+    # Equal sets have equal signatures, so a class takes those of any member.
+    own = [F.min("doc_id").alias("node"), F.first("signature").alias("signature"), F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("n")]
+    nodes = scratch.stage(linked.groupBy("set_high", "set_low").agg(*own), "classes")
+    # Members hang on their class, so rows that share a doc_id, which is one document, link their classes.
+    shared_sets = nodes.where("n > 1").select("set_high", "set_low", "node")
+    same_set = linked.select("doc_id", "set_high", "set_low").join(shared_sets, ["set_high", "set_low"])
+    same_set = same_set.where("doc_id <> node").select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
     several = scratch.stage(linked.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "several")
 
     width = 4 * rows
     keys = F.array(*[F.xxhash64(F.lit(b), F.substring("signature", 1 + b * width, width)) for b in range(bands)])
     placed = nodes.select("node", F.posexplode(keys).alias("band", "bucket"))
-    pivots = placed.groupBy("bucket").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot <> last")
-    pivots = scratch.stage(pivots.select("bucket", "pivot"), "buckets")
-    shared = scratch.stage(placed.join(pivots, "bucket").select("bucket", "band", "node", "pivot"), "bucketed")
+    pivots = placed.groupBy("bucket").agg(F.min("node").alias("pivot"), F.max("node").alias("last"), F.count(F.lit(1)).alias("size"))
+    pivots = scratch.stage(pivots.where("pivot <> last").select("bucket", "pivot", "size"), "buckets")
+    shared = scratch.stage(placed.join(pivots, "bucket").select("bucket", "band", "node", "pivot", "size"), "bucketed")
     first = shared.where("node <> pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
     first = scratch.stage(_alike(first, nodes, length, ESTIMATE_FLOOR), "pairs")
     needed = scratch.stage(first.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), "needed")
@@ -361,26 +366,30 @@ def find_groups(
     links = scratch.stage(_verified(first, sets, percent), "confirmed")
     scratch.drop(sets, needed)
 
-    found = components(links, scratch)
+    found = components(links.unionByName(same_set), scratch)
     # Pairs with the pivot are decided; what may be open is among three members or more.
-    labelled = shared.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labelled = shared.where("size > 2").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     labelled = scratch.stage(labelled.select("bucket", "band", "node", "component"), "labelled")
     scratch.drop(shared)
     mixed = labelled.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("a"), F.max("component").alias("b"))
-    mixed = scratch.stage(mixed.where("a <> b AND n > 2").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
+    mixed = mixed.where("a <> b").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    mixed = scratch.stage(mixed, "mixed")
     rest = scratch.stage(labelled.join(mixed, "bucket"), "rest")
     signature = nodes.select("node", "signature")
     still_open = scratch.stage(_open_members(rest.join(signature, "node"), bands, rows, ESTIMATE_FLOOR), "open")
     needed = scratch.stage(still_open.select(F.col("node").alias("doc_id")).distinct(), "needed")
     sets = _sets_for(needed, source, several, scratch)
-    again = _dealt(rest, []).join(still_open.distinct(), ["bucket", "low", "high", "node"])
+    again = _dealt(rest, []).join(still_open, ["bucket", "low", "high", "node"])
     # Signature and set come together once for a document, not once for every group that it is in.
     described = scratch.stage(sets.join(signature, "node"), "described")
     more = _links_in_blocks(again.join(described, "node"), bands, rows, percent, ESTIMATE_FLOOR)
-    all_links = found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more).unionByName(same_id)
-    final = components(all_links, scratch).withColumnRenamed("node", "doc_id")
+    # Only components are linked any more, not documents.
+    merged = components(more, scratch).withColumnRenamed("node", "first_component").withColumnRenamed("component", "merged")
+    final = found.withColumnsRenamed({"node": "doc_id", "component": "first_component"})
     joined = signed.select("doc_id", "n_shingles").join(final, "doc_id", "left")
-    component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "doc_id"))
+    # A document without a link yet may be linked now.
+    joined = joined.withColumn("first_component", F.coalesce("first_component", "doc_id")).join(merged, "first_component", "left")
+    component = F.coalesce("merged", "first_component")
     kept = F.col("doc_id").isNull() | (component == F.col("doc_id"))
     result = joined.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(kept, F.lit(True)).alias("kept"))
     return scratch.finish(result)

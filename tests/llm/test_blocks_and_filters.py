@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 import re
 
@@ -150,3 +151,37 @@ def test_a_worker_keeps_one_store_until_another_operator_comes():
     assert common.map_slices(Frame(), lambda b: b, "data binary") == ([batch], [])
     assert common.map_slices(Frame(), lambda b: b, "data binary", keeps=True) == ([batch], ["codec"])
     common.release_held()
+
+
+def _components_of(spark, pairs):
+    from shelftide.llm.common import Scratch
+    from shelftide.llm.near_duplicates import components
+
+    scratch = Scratch(spark, "components")
+    got = components(spark.createDataFrame(pairs, "u bigint, v bigint").repartition(5), scratch)
+    rows = got.collect()
+    assert len({r["node"] for r in rows}) == len(rows)
+    return {r["node"]: r["component"] for r in rows}, scratch
+
+
+def test_flat_links_need_no_round(spark):
+    """A group around its smallest member is staged three times: links, parents, parents of parents."""
+    got, scratch = _components_of(spark, [(k, 1) for k in range(2, 40)])
+    assert got == dict.fromkeys(range(2, 40), 1)
+    assert len(scratch.held) <= 3
+
+
+def test_components_of_chains_hubs_and_random_links(spark):
+    rng = random.Random(9)
+    numbers = rng.sample(range(1000, 2000), 120)
+    chain = list(itertools.pairwise(numbers[:60]))
+    hub = [(9999, x) for x in numbers[60:90]]  # the largest is in the middle
+    loose = [(rng.choice(numbers[90:]), rng.choice(numbers[90:])) for _ in range(25)]
+    pairs = chain + hub + loose + loose
+    want = {}
+    for a, b in pairs:
+        both = want.get(a, {a}) | want.get(b, {b})
+        want.update(dict.fromkeys(both, both))
+    want = {x: min(group) for x, group in want.items()}
+    got, _ = _components_of(spark, pairs)
+    assert got == {x: least for x, least in want.items() if x != least}
