@@ -10,8 +10,9 @@ which no way led on is marked in a bitfield and never tried again, so time is li
 length of a text.
 
 Texts are cut where no merge can reach over: in front of a run of blanks, if no piece
-holds a blank behind another character, and around a line feed, if no piece holds one. The
-ids of a cut piece are kept for its next occurrence, in a store of bounded size.
+holds a blank behind another character, around a line feed, if no piece holds one, and between a letter and a mark
+that ends its word, if no piece holds that mark behind a letter. The ids of a cut piece are kept for its next
+occurrence, in a store of bounded size that gives up first what was not met for longest.
 
 Characters without a piece become the pieces of their bytes, or the unknown id.
 
@@ -43,6 +44,33 @@ DECODED_ROWS = 256
 UNKNOWN_TEXT = " ⁇ "
 
 
+class WordStore:
+    """Ids of words, at most ``limit``. When the newer half is full it becomes the older one, which is dropped
+    but for the words that have been met again."""
+
+    def __init__(self, limit: int) -> None:
+        self.half = limit // 2
+        self.newer: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def __len__(self) -> int:
+        return len(self.newer) + len(self.older)
+
+    def get(self, key: bytes) -> bytes | None:
+        found = self.newer.get(key)
+        if found is None:
+            found = self.older.get(key)
+            if found is not None:
+                self.keep(key, found)
+        return found
+
+    def keep(self, key: bytes, ids: bytes) -> bytes:
+        if len(self.newer) >= self.half:
+            self.older, self.newer = self.newer, {}
+        self.newer[key] = ids
+        return ids
+
+
 class PieceCodec:
     """Encoder and decoder of one model file."""
 
@@ -75,8 +103,9 @@ class PieceCodec:
         import ahocorasick
 
         self.matcher = ahocorasick.Automaton()
-        for piece in self.id_of:
-            self.matcher.add_word(piece, piece)
+        # A match of one character says nothing new.
+        for piece in [p for p in self.id_of if len(p) > 1] or self.id_of:
+            self.matcher.add_word(piece, (len(piece) - 1, piece))
         self.matcher.make_automaton()
         # The next shorter piece that is a prefix; a first character is the last resort.
         self.shorter = {
@@ -86,8 +115,10 @@ class PieceCodec:
         inner = any(BLANK in p.lstrip(BLANK) for p in self.id_of)
         self.cut = None if inner or any("\n" in p for p in self.id_of) else re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n")
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.words: dict[bytes, bytes] = {}
-        self.runs: dict[bytes, bytes] = {}
+        self.words, self.runs = WordStore(STORE_WORDS), WordStore(STORE_WORDS)
+        # Marks that no piece holds behind a letter.
+        fixed = {p[k] for p in self.id_of for k in range(1, len(p)) if p[k - 1].isalpha()}
+        self.marks = {m.encode(): self._word(m) for m in ".,!?;:" if m not in fixed}
         # Text of each id. A byte below 128 is a character of its own wherever it stands.
         self.texts = [
             chr(self.byte_of[i]) if self.byte_of.get(i, 128) < 128 else "" if i in self.special else p.replace(BLANK, " ")
@@ -123,26 +154,32 @@ class PieceCodec:
         """The pieces (single characters where there is none) of a text with visible blanks."""
         n = len(text)
         longest: list[str] = list(text)
-        for end, piece in self.matcher.iter(text):
-            longest[end + 1 - len(piece)] = piece  # longer matches of a start come later
+        for end, (back, piece) in self.matcher.iter(text):
+            longest[end - back] = piece  # longer matches of a start come later
         failed = bytearray(n + 1)
         tokens: list[str] = []
-        at, token = 0, longest[0] if n else None
+        pairs, shorter = self.pairs, self.shorter
+        at, end, last, token = 0, 0, None, longest[0] if n else None
         while at < n:
-            last = tokens[-1] if tokens else None
             while token is not None:
-                if not failed[at + len(token)] and (last is None or self.compatible(last, token)):
-                    break
-                token = self.shorter.get(token)
+                end = at + len(token)
+                if not failed[end]:
+                    if last is None:
+                        break
+                    fits = pairs.get((last, token))
+                    if fits or (fits is None and self.compatible(last, token)):
+                        break
+                token = shorter.get(token)
             if token is None:
                 if last is None:
                     raise ValueError("no merged sequence")
                 failed[at] = 1
                 token = tokens.pop()
+                last = tokens[-1] if tokens else None
                 at -= len(token)
             else:
                 tokens.append(token)
-                at += len(token)
+                at, last = end, token
                 token = longest[at] if at < n else None
         return tokens
 
@@ -155,14 +192,25 @@ class PieceCodec:
         return [self.unknown_id]
 
     def _word(self, word: str) -> bytes:
-        return array("i", [i for t in self.split(word) for i in self.piece_ids(t)]).tobytes()
-
-    def _stored(self, store: dict[bytes, bytes], key: bytes, word: str) -> bytes:
-        found = store.get(key)
+        tokens = self.split(word)
+        ids = [self.id_of.get(t) for t in tokens]
+        if None in ids:
+            ids = [i for t in tokens for i in self.piece_ids(t)]
+        return array("i", ids).tobytes()
+
+    def _run(self, word: str) -> bytes:
+        key = word.encode()
+        return self.runs.get(key) or self.runs.keep(key, self._word(word))
+
+    def _plain(self, key: bytes) -> bytes:
+        """A word by its bytes; one that starts a line has a line feed in front, others have a blank that is not shown."""
+        found = self.words.get(key)
         if found is None:
-            if len(store) >= STORE_WORDS:
-                store.clear()
-            found = store[key] = self._word(word)
+            mark = self.marks.get(key[-1:])
+            if mark is not None and (key[-2:-1].isalpha() or key[-2:-1] >= b"\x80" and key.decode()[-2].isalpha()):
+                return self._plain(key[:-1]) + mark
+            text = key.decode()
+            found = self.words.keep(key, self._word(text if text[:1] == "\n" else BLANK + text))
         return found
 
     def encode(self, data: bytes | None) -> np.ndarray:
@@ -171,21 +219,20 @@ class PieceCodec:
             return np.empty(0, "<i4")
         if self.cut is None:
             return np.frombuffer(self._word(BLANK + data.decode().replace(" ", BLANK)), "<i4")
-        words = self.words
         ends = data[:1] == b" " or data[-1:] in (b" ", b"\n")
         if ends or b"  " in data or b" \n" in data or b"\n\n" in data or b"\xe2\x96\x81" in data:
             # Runs of blanks or line feeds: cut in general.
             text = BLANK + data.decode().replace(" ", BLANK)
-            coded = [self._stored(self.runs, w.encode(), w) for w in self.cut.findall(text)]
+            coded = [self._run(w) for w in self.cut.findall(text)]
         else:
             # The blank in front of the text makes the first word one like the others; a word that
             # starts a line has a line feed in place of the blank.
-            coded = []
+            coded, known = [], self.words.newer
             for key in data.replace(b"\n", b" \n").split(b" "):
-                found = words.get(key)
+                found = known.get(key)
                 if found is None:
-                    text = key.decode()
-                    found = self._stored(words, key, text if text[:1] == "\n" else BLANK + text)
+                    found = self._plain(key)
+                    known = self.words.newer
                 coded.append(found)
         return np.frombuffer(b"".join(coded), "<i4")
 

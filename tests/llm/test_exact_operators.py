@@ -222,3 +222,25 @@ def test_word_cache_in_slices_with_a_full_store(monkeypatch):
         assert len(encoder.numbers) == len(encoder.starts) == len(encoder.sizes) == len(encoder.met)
     ids, sizes = encoder.encode_texts([])
     assert len(ids) == len(sizes) == 0
+
+
+def test_a_mark_behind_a_word_needs_no_second_search(monkeypatch):
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model, codec, searched = sentencepiece.SentencePieceProcessor(model_file=path), piece_codec.PieceCodec(path), []
+    split = codec.split
+    monkeypatch.setattr(codec, "split", lambda text: searched.append(text) or split(text))
+    text = "zorbelan zorbelan, zorbelan. zorbelan! caféro caféro; zorbelan: zorbelan?\ncaféro, 3, )."
+    assert codec.encode(text.encode()).tolist() == model.encode(text)
+    assert [w.lstrip(piece_codec.BLANK) for w in searched] == ["zorbelan", "caféro", "\ncaféro", "3,", ")."]
+
+
+def test_words_met_again_stay_in_a_full_store():
+    store = piece_codec.WordStore(10)
+    store.keep(b"often", b"1")
+    for k in range(200):
+        store.keep(b"%d" % k, b"2")
+        assert store.get(b"often") == b"1"
+        assert len(store) <= 11
+    assert store.get(b"0") is None
