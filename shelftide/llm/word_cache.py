@@ -88,26 +88,40 @@ class CachedEncoder:
     def _learn(self) -> None:
         """Ids of all pieces that are numbered but not known. A piece starts with a line feed, with a tab at the
         start of a text, and with its first character where a blank stands in front of it."""
-        numbers, coded, marked = self.numbers, [], []
+        numbers, marks, first = self.numbers, self.marks, len(self.starts)
         fresh, numbers.fresh = numbers.fresh, []
-        for piece in fresh:
-            if piece[-1:] in self.marks and piece[-2:-1].isalpha():
-                marked.append((numbers[piece], numbers[piece[:-1]], piece[-1:]))
-            else:
-                coded.append(piece)
-        coded += numbers.fresh  # words that had not been met without their mark
+        # Behind a blank, at the start of a line, at the start of a text: pieces and their numbers.
+        coded: tuple[list[bytes], ...] = ([], [], [])
+        found: tuple[list[int], ...] = ([], [], [])
+        marked = []
+        kinds = {b"\n": 1, b"\t": 2}
+        # Numbers were given in the order of the pieces. Words that had not been met without their mark come last.
+        for taken in (fresh, numbers.fresh):
+            for number, piece in enumerate(taken, first):
+                mark = piece[-1:]
+                if mark in marks and taken is fresh and piece[-2:-1].isalpha():
+                    marked.append((number, numbers[piece[:-1]], mark))
+                else:
+                    kind = kinds.get(piece[:1], 0)
+                    coded[kind].append(piece)
+                    found[kind].append(number)
+            first += len(taken)
         numbers.fresh = []
         grown = len(numbers) - len(self.starts)
         self.starts = np.concatenate([self.starts, np.zeros(grown, np.int64)])
         self.sizes = np.concatenate([self.sizes, np.zeros(grown, np.int64)])
         self.met = np.concatenate([self.met, np.zeros(grown, np.int64)])
-        if coded:
+        behind, lines, starts = coded
+        if behind or lines or starts:
             # What starts a text is encoded behind a line feed, whose id is left out.
-            shown = [p if p[:1] == b"\n" else b"\n" + p[1:] if p[:1] == b"\t" else b" " + p for p in coded]
-            ids = self._ids(b"".join(shown).decode())
-            cuts = np.searchsorted(np.cumsum(self.n_bytes[ids]), np.cumsum([len(p) for p in shown])) + 1
-            before = np.concatenate([[0], cuts[:-1]]) + np.array([p[:1] == b"\t" for p in coded], np.int64)
-            at = np.array([numbers[p] for p in coded])
+            text = b"".join([b" " + b" ".join(behind) if behind else b"", *lines, *[b"\n" + p[1:] for p in starts]])
+            ids = self._ids(text.decode())
+            lengths = np.fromiter(map(len, behind + lines + starts), np.int64)
+            lengths[: len(behind)] += 1
+            cuts = np.searchsorted(np.cumsum(self.n_bytes[ids]), np.cumsum(lengths)) + 1
+            before = np.concatenate([[0], cuts[:-1]])
+            before[len(behind) + len(lines) :] += 1
+            at = np.array(found[0] + found[1] + found[2])
             self.starts[at], self.sizes[at] = len(self.pool) + before, cuts - before
             self.pool = np.concatenate([self.pool, ids])
         if marked:

@@ -244,3 +244,29 @@ def test_words_met_again_stay_in_a_full_store():
         assert store.get(b"often") == b"1"
         assert len(store) <= 11
     assert store.get(b"0") is None
+
+
+def test_new_pieces_are_not_looked_up_again():
+    from tokenizers import Tokenizer
+
+    from shelftide.llm import word_cache
+
+    path, looked = public_tokenizers.path("byte_bpe_50k.json"), []
+
+    class Watched(word_cache._Numbers):
+        def __getitem__(self, piece):
+            looked.append(piece)
+            return super().__getitem__(piece)
+
+    encoder = word_cache.CachedEncoder(path)
+    encoder.numbers = Watched()
+    encoder.numbers[b"\t"] = 0
+    texts = ["Zorb quax, quax vimble.\nQuax! nori", "zorb", "\nquax, nori;\nZorb café."]
+    want = [Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids for t in texts]
+    for _ in range(2):
+        ids, sizes = encoder.encode_texts([t.encode() for t in texts])
+        assert ids.tolist() == [i for w in want for i in w]
+        assert sizes.tolist() == [len(w) for w in want]
+    # Every word of both passes once, and the words in front of the five marks that follow an ASCII letter.
+    words = sum(len(t.replace("\n", " \n").split(" ")) for t in texts)
+    assert len(looked) <= 2 * words + 5
