@@ -112,13 +112,28 @@ def release_held() -> None:
         return
     _HELD.clear()
     gc.collect()
+    give_back()
+
+
+def give_back() -> None:
+    """Freed memory goes back to the system, where the C library can do that."""
     pa.default_memory_pool().release_unused()
-    # Where the C library has it: freed memory goes back to the system.
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:
         trim(0)
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for mapInArrow, whose freed memory is given back when a task is through. Allocators keep it otherwise, so that
+    every idle worker of an executor would hold what its largest task needed."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return task
+
+
 def map_slices(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, keeps: bool = False) -> DataFrame:
     """``work`` on each slice of texts of each task. ``keeps``: it uses ``held_by_worker``."""
 
@@ -129,7 +144,7 @@ def map_slices(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch],
             for part in text_slices(batch):
                 yield work(part)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
 
 
 def hash_words(words: list[bytes]) -> np.ndarray:

@@ -29,7 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelftide.llm.common import Scratch, hash_words, key_filter, map_slices, may_hold, row_key, text_slices, unused_name, window_hashes
+from shelftide.llm.common import Scratch, hash_words, key_filter, lean, map_slices, may_hold, row_key, text_slices, unused_name, window_hashes
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
@@ -170,7 +170,7 @@ def _with_row(source: DataFrame, scan, schema: str) -> DataFrame:
                 out = scan(part)
                 yield pa.RecordBatch.from_arrays([*out.columns, part.column("row")], [*out.schema.names, "row"])
 
-    return source.mapInArrow(work, schema)
+    return source.mapInArrow(lean(work), schema)
 
 
 def _joined(parts: list[DataFrame]) -> DataFrame:
@@ -258,7 +258,7 @@ def _cut_in_place(docs: DataFrame, index: Broadcast, text: str, keep: str) -> Da
                         hits = index.value.hits([words])[0]
                 yield _with_columns(part, {text: texts, keep: shares})
 
-    return docs.mapInArrow(cut, docs.schema)
+    return docs.mapInArrow(lean(cut), docs.schema)
 
 
 def _with_columns(part: pa.RecordBatch, new: dict[str, list]) -> pa.RecordBatch:
@@ -299,7 +299,7 @@ def _cut_by_rounds(docs: DataFrame, benchmark: DataFrame, count: int, size: int,
         seen, parts = looked_at.select(F.col(row).alias("row"), F.col(text).alias("data")), None
         for block in range(count):
             index = _index(benchmark, "item_id", "text", count, block, size)
-            found = scratch.stage(seen.mapInArrow(finder(index), "row string, spans array<struct<start:int,end:int>>"), f"block_{block}")
+            found = scratch.stage(seen.mapInArrow(lean(finder(index)), "row string, spans array<struct<start:int,end:int>>"), f"block_{block}")
             index.destroy()
             parts = found if parts is None else parts.unionByName(found)
         # Rows that repeat id and text have the same spans; a text has at most as many as words.
@@ -312,7 +312,7 @@ def _cut_by_rounds(docs: DataFrame, benchmark: DataFrame, count: int, size: int,
         maybe, sure = looked_at.where(may_hold(passes, F.xxhash64(row))), looked_at.where(~may_hold(passes, F.xxhash64(row)))
         done += [sure.drop(row), maybe.join(named, row, "left_anti").select(*looked_at.columns).drop(row)]
         hit = maybe.join(named, row).select(*looked_at.columns, held)
-        looked_at = scratch.stage(hit.mapInArrow(cut, looked_at.schema), "cut")
+        looked_at = scratch.stage(hit.mapInArrow(lean(cut), looked_at.schema), "cut")
     out = done[0]
     for rows in done[1:]:
         out = out.unionByName(rows)

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelftide.llm.common import Scratch, key_filter, map_slices, may_hold, text_slices, unused_name
+from shelftide.llm.common import Scratch, key_filter, lean, map_slices, may_hold, text_slices, unused_name
 
 MIN_WORDS = 50
 _NO_ID = -(1 << 63)
@@ -190,7 +190,7 @@ def delete_repeated_runs(
                 added = [pa.array(counts, pa.int64()), pa.array(deleted, pa.int64()), pa.array(emptied, pa.bool_())]
                 yield pa.RecordBatch.from_arrays([*arrays, *added], wanted.names)
 
-    out = joined.mapInArrow(rewrite, wanted).withColumn(text_col, F.col(text_col).cast("string")).unionByName(others)
+    out = joined.mapInArrow(lean(rewrite), wanted).withColumn(text_col, F.col(text_col).cast("string")).unionByName(others)
     if drop_emptied:
         out = out.where(~F.col(names["emptied"]))
     extra = [F.col(names[c]).alias(n) for c, n in zip(("n_lines", "n_deleted"), counts, strict=True)] if counts else []

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelftide.llm.common import Scratch, hash_words, id_and_text, key_filter, map_slices, may_hold, mix, unused_name, window_hashes
+from shelftide.llm.common import Scratch, hash_words, id_and_text, key_filter, lean, map_slices, may_hold, mix, unused_name, window_hashes
 
 SHINGLE = 5
 BANDS = 32
@@ -176,7 +176,7 @@ def _local_forest(links: DataFrame) -> DataFrame:
             [pa.array(nodes, pa.int64()), pa.array([root(x) for x in nodes], pa.int64())], ["u", "v"]
         )
 
-    return links.mapInArrow(unite, "u long, v long")
+    return links.mapInArrow(lean(unite), "u long, v long")
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
@@ -234,7 +234,7 @@ def _alike(pairs: DataFrame, nodes: DataFrame, length: int, floor: float) -> Dat
             yield batch.select(["u", "v"]).filter(fits)
 
     # A pivot of very many pairs is a skewed key of the first join; each pair is alone in the second.
-    return pairs.join(right, "v").join(left, "u").mapInArrow(work, "u long, v long")
+    return pairs.join(right, "v").join(left, "u").mapInArrow(lean(work), "u long, v long")
 
 
 def _dealt(members: DataFrame, columns: list[str]) -> DataFrame:
@@ -382,7 +382,8 @@ def find_groups(
     again = _dealt(rest, []).join(still_open, ["bucket", "low", "high", "node"])
     # Signature and set come together once for a document, not once for every group that it is in.
     described = scratch.stage(sets.join(signature, "node"), "described")
-    more = _links_in_blocks(again.join(described, "node"), bands, rows, percent, ESTIMATE_FLOOR)
+    # Staged, since a task that compares and unites in one stage has two Python workers.
+    more = scratch.stage(_links_in_blocks(again.join(described, "node"), bands, rows, percent, ESTIMATE_FLOOR), "more")
     # Only components are linked any more, not documents.
     merged = components(more, scratch).withColumnRenamed("node", "first_component").withColumnRenamed("component", "merged")
     final = found.withColumnsRenamed({"node": "doc_id", "component": "first_component"})

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelftide.llm.common import held_by_worker, id_and_text, map_slices, text_slices, unused_name
+from shelftide.llm.common import held_by_worker, id_and_text, lean, map_slices, text_slices, unused_name
 
 BLANK = "▁"
 STORE_WORDS = 250_000
@@ -324,7 +324,7 @@ def encode_column(
                 decoded = [pa.array([codec.decode(c) for c in coded], pa.string())] if decoded_col else []
                 yield pa.RecordBatch.from_arrays([*arrays, lists, *decoded], schema.names)
 
-    return source.mapInArrow(encode, schema)
+    return source.mapInArrow(lean(encode), schema)
 
 
 def decode_column(rows: DataFrame, model_file: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -344,7 +344,7 @@ def decode_column(rows: DataFrame, model_file: str, ids_col: str = "ids", text_c
                 texts = [codec.decode(np.asarray(v.values)) if v.is_valid else None for v in lists]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], schema.names)
 
-    return source.mapInArrow(decode, schema)
+    return source.mapInArrow(lean(decode), schema)
 
 
 def codec_digests(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelftide.llm.common import map_slices, release_held, text_slices, unused_name
+from shelftide.llm.common import lean, map_slices, release_held, text_slices, unused_name
 from shelftide.llm.decontamination import words_of
 from shelftide.llm.labelled_sample import held_out, sample_ids, with_texts
 
@@ -237,7 +237,7 @@ def add_scores(docs: DataFrame, model: ToxicityModel, text_col: str = "text", sc
                 arrays = [part.column(c) for c in part.schema.names if c != data]
                 yield pa.RecordBatch.from_arrays([*arrays, pa.array(scorer.model.probability(margins))], schema.names)
 
-    return source.mapInArrow(score, schema)
+    return source.mapInArrow(lean(score), schema)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, params: PUParams = PUParams()) -> DataFrame:

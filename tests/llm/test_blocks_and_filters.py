@@ -5,6 +5,9 @@ from __future__ import annotations
 import itertools
 import random
 import re
+import subprocess
+import sys
+from pathlib import Path
 
 import pyarrow as pa
 import pytest
@@ -185,3 +188,53 @@ def test_components_of_chains_hubs_and_random_links(spark):
     want = {x: min(group) for x, group in want.items()}
     got, _ = _components_of(spark, pairs)
     assert got == {x: least for x, least in want.items() if x != least}
+
+
+def test_links_of_blocks_are_staged_before_they_are_united(spark, make_docs, monkeypatch):
+    """A task that compares members and unites their links would have two Python workers at once."""
+    plans, united = [], near_duplicates.components
+
+    def seen(links, scratch):
+        plans.append(links._jdf.queryExecution().executedPlan().toString())
+        return united(links, scratch)
+
+    monkeypatch.setattr(near_duplicates, "components", seen)
+    words = [f"w{i}" for i in range(40)]
+    docs = make_docs([(i, " ".join([*words[: 40 - i], f"x{i}"])) for i in range(8)])
+    assert near_duplicates.find_groups(docs).count() == 8
+    assert len(plans) == 2 and not [p for p in plans if "InArrow" in p]
+
+
+_HELD_AFTER_TASK = r"""
+import re, random
+import pyarrow as pa
+from shelftide.llm import near_duplicates
+
+def held():
+    return sum(map(int, re.findall(r"\nPss_(?:Anon|Shmem):\s+(\d+)", open("/proc/self/smaps_rollup").read()))) / 1024
+
+class Frame:
+    def mapInArrow(self, run, schema):
+        return run
+
+def rows(n):
+    made = random.Random(n)
+    words = ["%x" % made.getrandbits(30) for _ in range(5000)]
+    texts = [" ".join(made.choices(words, k=500)).encode() for _ in range(n)]
+    yield pa.RecordBatch.from_pydict({"doc_id": list(range(n)), "data": texts})
+
+task = near_duplicates._sign(Frame(), 128)
+assert sum(b.num_rows for b in task(rows(10))) == 10
+before = held()
+assert sum(b.num_rows for b in task(rows(6000))) == 6000
+print(held() - before)
+"""
+
+
+def test_a_finished_task_gives_its_memory_back():
+    """MB that a process keeps after a task over 24 MB of text."""
+    rollup = Path("/proc/self/smaps_rollup")
+    if not rollup.exists():
+        pytest.skip("memory can't be read here")
+    done = subprocess.run([sys.executable, "-c", _HELD_AFTER_TASK], capture_output=True, text=True, cwd=Path(__file__).parents[2], check=True)
+    assert float(done.stdout) < 30
